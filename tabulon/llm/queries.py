@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tabulon.llm import mixing, simhash
+from tabulon.llm import gif, mixing, packing, simhash
 
 QUERIES = {
     "op2_simhash_near_dedup": simhash.query,
+    "op5_gif_media": gif.query,
     "op8_source_mixing": mixing.query,
+    "op10_best_fit_packing": packing.query,
 }
 
 ORACLE_SQL = {
