@@ -97,6 +97,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     return joined.select("id", "source", "size", "source_size", "target", copies.cast("long").alias("copies"))
 
 
+def mixed(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """``docs`` with every row as often as the mix takes it; all columns return.
+
+    Copies are counted per id; where ids repeat, each row gets its id's mean, rounded down.
+    """
+    copies = mix(docs, id_col, **options).groupBy("id").agg(F.floor(F.avg("copies")).cast("int").alias("__copies")).where("__copies > 0")
+    copies = stored(copies, "mix-copies").withColumnRenamed("id", "__id")
+    taken = docs.join(copies, docs[id_col].eqNullSafe(copies["__id"]))
+    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).drop("__id", "__copies", "__copy")
+
+
 def query(spark, sf_dir):
     found = mix(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target",

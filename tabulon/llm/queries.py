@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tabulon.llm import gif, mixing, packing, simhash
+from tabulon.llm import gif, linededup, mixing, packing, simhash, toxicity
 
 QUERIES = {
     "op2_simhash_near_dedup": simhash.query,
+    "op3_line_dedup": linededup.query,
     "op5_gif_media": gif.query,
+    "op6_toxicity": toxicity.query,
     "op8_source_mixing": mixing.query,
     "op10_best_fit_packing": packing.query,
 }
