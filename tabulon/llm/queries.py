@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from tabulon.llm import gif, linededup, mixing, packing, simhash, toxicity
+from tabulon.llm import chat, gif, htmltext, linededup, mixing, packing, simhash, toxicity
 
 QUERIES = {
+    "op1_chat_formatting": chat.query,
     "op2_simhash_near_dedup": simhash.query,
     "op3_line_dedup": linededup.query,
     "op5_gif_media": gif.query,
     "op6_toxicity": toxicity.query,
     "op8_source_mixing": mixing.query,
+    "op9_html_main_text": htmltext.query,
     "op10_best_fit_packing": packing.query,
 }
 
 ORACLE_SQL = {
+    "op1_chat_formatting": chat.SQL,
     "op8_source_mixing": mixing.SQL,
 }
