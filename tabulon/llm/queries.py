@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tabulon.llm import chat, gif, htmltext, linededup, mixing, packing, simhash, toxicity
+from tabulon.llm import chat, gif, htmltext, linededup, mixing, packing, simhash, topk, toxicity
 
 QUERIES = {
     "op1_chat_formatting": chat.query,
     "op2_simhash_near_dedup": simhash.query,
     "op3_line_dedup": linededup.query,
+    "op4_exact_top_k": topk.query,
     "op5_gif_media": gif.query,
     "op6_toxicity": toxicity.query,
     "op8_source_mixing": mixing.query,
@@ -17,5 +18,6 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_chat_formatting": chat.SQL,
+    "op4_exact_top_k": topk.SQL,
     "op8_source_mixing": mixing.SQL,
 }
