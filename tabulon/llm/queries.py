@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabulon.llm import chat, gif, htmltext, linededup, mixing, packing, simhash, topk, toxicity
+from tabulon.llm import chat, gif, htmltext, linededup, lmscore, mixing, packing, simhash, topk, toxicity
 
 QUERIES = {
     "op1_chat_formatting": chat.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_exact_top_k": topk.query,
     "op5_gif_media": gif.query,
     "op6_toxicity": toxicity.query,
+    "op7_lm_scoring": lmscore.query,
     "op8_source_mixing": mixing.query,
     "op9_html_main_text": htmltext.query,
     "op10_best_fit_packing": packing.query,
