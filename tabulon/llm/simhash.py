@@ -17,7 +17,6 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -116,14 +115,15 @@ def link_posting(values: np.ndarray, max_bits: int, pairwise: int = PAIRWISE) ->
 def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     """(a, b) verified links whose reachability is that of all pairs within ``max_bits``."""
 
-    def run(frames):
-        for f in frames:
-            found = [link_posting(np.asarray(v), max_bits) for v in f["fps"]]
-            a = np.concatenate([x[0] for x in found] + [np.empty(0, np.int64)])
-            b = np.concatenate([x[1] for x in found] + [np.empty(0, np.int64)])
-            yield pd.DataFrame({"a": a, "b": b})
-
-    return postings(fps, max_bits).select("fps").mapInPandas(run, "a long, b long")
+    def run(batches):
+        for batch in batches:
+            found = [link_posting(v.values.to_numpy(), max_bits) for v in batch.column(0)]
+            ends = [np.concatenate([x[k] for x in found] + [np.empty(0, np.int64)]) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(e) for e in ends], names=["a", "b"])
+
+    # few postings hold two fingerprints: stored, they make few tasks
+    shared = stored(postings(fps, max_bits).select("fps"), "simhash-postings")
+    return shared.mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, max_bits: int = 2) -> DataFrame:
