@@ -55,3 +55,27 @@ def text_or_empty(name: str) -> Column:
 def crc_class(id_col: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as the text ''."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+#: Bits of a key filter: at most 4 MB, however many keys it takes.
+FILTER_BITS = 1 << 25
+
+
+def key_filter(keys: DataFrame, key: Column, name: str) -> DataFrame:
+    """A bitmap of hashed keys, in at most 1,024 rows of 4 KB: of bounded size, so it may be broadcast."""
+    place = F.pmod(key, F.lit(FILTER_BITS))
+    bits = keys.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("__bucket"))
+    return stored(bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("__bits")), name)
+
+
+def with_maybe(df: DataFrame, key: Column, bits: DataFrame) -> DataFrame:
+    """``df`` plus ``__maybe``: false only for rows whose key the filter surely lacks.
+
+    With many more keys than bits all rows are true, and only the saving is lost.
+    """
+    place = F.pmod(key, F.lit(FILTER_BITS))
+    joined = df.join(F.broadcast(bits), F.bitmap_bucket_number(place) == F.col("__bucket"), "left")
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.floor(byte / F.pow(F.lit(2), at % 8)).cast("int") % 2 == 1
+    return joined.withColumn("__maybe", F.coalesce(hit, F.lit(False))).drop("__bucket", "__bits")

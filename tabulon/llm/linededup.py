@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import stored, table, text_or_empty
+from tabulon.llm.common import key_filter, stored, table, text_or_empty, with_maybe
 from tabulon.llm.mixing import word_count
 
 #: A single line is a passage by itself from so many words on.
@@ -114,7 +114,9 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                      .where("n > 1").select("ch", "keep"), "line-keepers")
     found = stored(chunks.join(keepers, "ch"), "line-found")
     ranges = stored(found.groupBy("id", "th").agg(F.collect_list(F.struct("first", "last", "ch", "keep")).alias("rs")), "line-ranges")
-    whole = keyed.alias("d").join(ranges.alias("r"), _same_doc("d", "r")).select("d.id", "d.th", F.split("d.text", "\n", -1).alias("all"), "r.rs")
+    bits = key_filter(ranges, F.xxhash64("id", "th"), "line-range-bits")
+    few = with_maybe(keyed, F.xxhash64("id", "th"), bits).where("__maybe")
+    whole = few.alias("d").join(ranges.hint("merge").alias("r"), _same_doc("d", "r")).select("d.id", "d.th", F.split("d.text", "\n", -1).alias("all"), "r.rs")
     texts = whole.select("id", "th", "all", F.explode("rs").alias("r")).select(
         "id", "th", "r.first", "r.last", "r.ch", (F.struct("id", "th", "r.first").eqNullSafe(F.col("r.keep"))).alias("is_kept"),
         F.array_join(F.slice("all", F.col("r.first") + 1, F.col("r.last") - F.col("r.first") + 1), "\n").alias("bytes"))
@@ -147,8 +149,15 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             yield pd.DataFrame({"__id": f["id"], "__th": f["th"], "__drop": out})
 
     drops = stored(per_doc.mapInPandas(flags, f"__id {id_type}, __th long, __drop array<boolean>"), "line-drops")
+    # only texts that may lose lines are shuffled
+    key = F.xxhash64(F.col(id_col), F.xxhash64(text_or_empty(text_col)))
+    split = with_maybe(docs, key, key_filter(drops, F.xxhash64("__id", "__th"), "line-drop-bits"))
+    touched = split.where("__maybe").drop("__maybe").join(
+        drops.hint("merge"), F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("__th")), "left")
+    untouched = split.where("NOT __maybe").drop("__maybe").withColumns(
+        {"__id": F.lit(None).cast(id_type), "__th": F.lit(None).cast("long"), "__drop": F.lit(None).cast("array<boolean>")})
+    joined = touched.select(untouched.columns).unionByName(untouched)
     text = F.col(text_col)
-    joined = docs.join(drops, docs[id_col].eqNullSafe(drops["__id"]) & (F.xxhash64(text_or_empty(text_col)) == drops["__th"]), "left")
     lines = F.split(text, "\n", -1)
     left = F.filter(lines, lambda x, i: ~F.coalesce(F.get(F.col("__drop"), i), F.lit(False)))
     done = joined.withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0)).cast("long"))
