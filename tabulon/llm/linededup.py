@@ -2,8 +2,9 @@
 
 1. Lines are hashed and counted over all documents; lines that occur once can be in no repeated chunk.
 2. A document's repeated lines fall into runs.  A run is cut where lines stop being
-   neighbours, where the counts of neighbours differ more than twofold (a passage
-   that was inserted beside other common lines), and, in long runs, where a rolling
+   neighbours, where the counts of neighbours differ (a passage that was inserted beside
+   other common lines; once at any difference, once at more than a twofold one, and
+   both cuttings count; long lines also count alone), and, in long runs, where a rolling
    hash over the last line hashes hits a boundary value: a cut depends on nearby
    lines only, so shifted or edited copies fall back into step.
 3. Chunks of two or more lines, or of ``MIN_WORDS`` words, are counted by hash; the
@@ -34,18 +35,19 @@ _MULT = np.uint64(0x9E3779B97F4A7C15)
 def rolling(hashes: np.ndarray, window: int = ROLL) -> np.ndarray:
     """Rolling polynomial hash of the last ``window`` line hashes at every line."""
     out = np.zeros(len(hashes), np.uint64)
-    power = np.uint64(1)
     for k in range(min(window, len(hashes))):
-        out[k:] += hashes[: len(hashes) - k] * power
-        power *= _MULT
+        out[k:] += hashes[: len(hashes) - k] * np.uint64(pow(int(_MULT), k, 1 << 64))
     return out ^ (out >> np.uint64(31))
 
 
-def cut_chunks(place: np.ndarray, hashes: np.ndarray, counts: np.ndarray) -> list[tuple[int, int]]:
-    """(first, one past last) index of each chunk among a document's repeated lines in order."""
+def cut_chunks(place: np.ndarray, hashes: np.ndarray, counts: np.ndarray, step: float = 2.0) -> list[tuple[int, int]]:
+    """(first, one past last) index of each chunk among a document's repeated lines in order.
+
+    Neighbours whose counts differ by more than ``step`` times are parted.
+    """
     n = len(place)
     low, high = np.minimum(counts[1:], counts[:-1]), np.maximum(counts[1:], counts[:-1])
-    new = np.concatenate([[True], (np.diff(place) != 1) | (high > 2 * low)])
+    new = np.concatenate([[True], (np.diff(place) != 1) | (high > step * low)])
     starts = np.append(np.flatnonzero(new), n)
     found = []
     for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
@@ -104,7 +106,9 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 cells = [(x["ord"], x["pos"], x["h"], x["words"], x["n"]) for x in ls]
                 place, pos, h, words, n = (np.array(c, np.int64) for c in zip(*cells))
                 hashes = h.view(np.uint64)
-                for a, b in cut_chunks(place, hashes, n):
+                alone = np.flatnonzero(words >= MIN_WORDS).tolist()
+                ranges = {*cut_chunks(place, hashes, n), *cut_chunks(place, hashes, n, 1.0), *((a, a + 1) for a in alone)}
+                for a, b in sorted(ranges):
                     if b - a >= MIN_LINES or words[a:b].sum() >= MIN_WORDS:
                         rows.append((i, th, int(pos[a]), int(pos[b - 1]), chunk_hash(hashes[a:b], pos[a:b])))
             yield pd.DataFrame(rows, columns=["id", "th", "first", "last", "ch"])
