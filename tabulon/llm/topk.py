@@ -143,8 +143,8 @@ def _blocks(rows: DataFrame, size: int, by_length: bool) -> DataFrame:
 def top_k(vectors: DataFrame, k: int = 10, is_query: Column | None = None, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k highest products with other rows, ties to smaller ids.
 
-    ``is_query`` picks queries by the column ``id``; null ids are candidates but
-    never queries, and tie last.  Vectors of other lengths are padded with zeros.
+    ``is_query`` picks queries by the column ``id``; rows without an id take no
+    part.  Vectors of other lengths are padded with zeros.
     Queries with fewer than k candidates return all of them.  Scores beyond 64 bits
     raise an error rather than wrap.  Extra columns are not read.
     """
@@ -161,26 +161,32 @@ def top_k(vectors: DataFrame, k: int = 10, is_query: Column | None = None, id_co
     return ranked.select(F.col("query_id"), "rank", "vec_id", "score")
 
 
+#: Pairs of blocks that one join key may hold.
+SPREAD = 64
+
+
 def _joined(queries: DataFrame, blocks: DataFrame) -> DataFrame:
     """Every query block with every vector block that may hold a result of it.
 
-    Both are blocks of thousands of rows; each side is spread over the other's keys,
-    so every pair is a row of its own and goes to any task.
+    Both are blocks of thousands of rows.  The pairs are chosen on their keys and lengths
+    alone; then each side joins on a salted key, so that however many blocks the other
+    side has, a key holds about ``SPREAD`` pairs.
     """
     with_bounds = "bounds" in queries.columns
     q_keys = queries.select(F.col("block").alias("qb"), *([F.col("bounds")] if with_bounds else []), F.col("norms").alias("qn"))
     b_keys = blocks.select(F.col("block").alias("vb"), "longest")
-    n = q_keys.count()
-    spread = b_keys.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(max(n - 1, 0)))))
-    pairs = spread.join(q_keys, "qb")
+    n, m = max(1, q_keys.count()), max(1, b_keys.count())
+    q_salts, b_salts = -(-m // SPREAD), -(-n // SPREAD)
+    pairs = b_keys.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).join(q_keys, "qb")
     if with_bounds:
         beyond = F.zip_with("bounds", "qn", lambda b, q: b <= q * F.col("longest") * (1 + 1e-9))
         pairs = pairs.where(F.exists(beyond, lambda x: x))
-    pairs = pairs.select("qb", "vb")
+    pairs = pairs.select("qb", "vb", F.pmod(F.xxhash64("vb"), F.lit(q_salts)).alias("s"), F.pmod(F.col("qb"), F.lit(b_salts)).alias("t"))
+    copies = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)).cast("array<long>"))
     q = queries.select(F.col("block").alias("qb"), F.col("ids").alias("q_ids"), F.col("vs").alias("q_vs"), F.col("norms").alias("q_norms"),
-                       *(["bounds"] if with_bounds else []))
-    b = blocks.select(F.col("block").alias("vb"), "ids", "vs", "norms")
-    return pairs.join(b, "vb").join(q, "qb")
+                       *(["bounds"] if with_bounds else []), copies(q_salts).alias("s"))
+    b = blocks.select(F.col("block").alias("vb"), "ids", "vs", "norms", copies(b_salts).alias("t"))
+    return pairs.join(q, ["qb", "s"]).withColumn("t", F.col("t").cast("long")).join(b, ["vb", "t"])
 
 
 def _np(column, i) -> np.ndarray:
