@@ -184,3 +184,31 @@ def sheet_label(spark, sf_dir):
 @query("WITH {sched} SELECT k1, k2, k3, k4, k5, coalesce(nullif(trim(subject), ''), nullif(trim(teacher), ''), nullif(lesson_type, ''), 'Без назви') AS label FROM sched")
 def coalesce_label(spark, sf_dir):
     return sched(spark, sf_dir).select("k1", "k2", "k3", "k4", "k5", text.first_filled(F.col("subject"), F.col("teacher"), F.col("lesson_type"), fallback="Без назви").alias("label"))
+
+
+MIXED = [
+    ("Алгебра (лек)", "Алгебра", "", "", "", "лекція"),
+    ("Геометрія доц. Іваненко І. І. ауд. 101", "Геометрія", "доц. Іваненко І.І.", "ауд. 101", "", ""),
+    ("[02.09, 09.09] Медіаправо (сем.)", "Медіаправо", "", "", "", "семінар"),
+    ("Фізика 307", "Фізика", "", "ауд. 307", "", ""),
+    ("Оптика https://zoom.us/j/1", "Оптика", "", "", "https://zoom.us/j/1", ""),
+    ("12.05.2024 9:00 Захист практики", "Захист практики", "", "", "", ""),
+    ("", "", "", "", "", ""),
+]
+
+
+@query(f"SELECT raw, a AS subject, b AS teacher, c AS room, d AS link, e AS lesson_type FROM ({sql_values(MIXED)}) t(raw, a, b, c, d, e)")
+def record_cleanup(spark, sf_dir):
+    from tabulon.functions import cleanup
+
+    return values(spark, [(r[0],) for r in MIXED], "raw string").select("raw", cleanup.subject_parts(F.col("raw")).alias("p")).select("raw", "p.*")
+
+
+ROOMS = [("307.0", "ауд. 307"), ("ауд307", "ауд. 307"), ("каб 12", "каб. 12"), ("online", "online"), ("", "")]
+
+
+@query(f"SELECT raw, want AS room FROM ({sql_values(ROOMS)}) t(raw, want)")
+def room_labels(spark, sf_dir):
+    from tabulon.functions import cleanup
+
+    return values(spark, [(r,) for r, _ in ROOMS], "raw string").select("raw", cleanup.room_label(F.col("raw")).alias("room"))
