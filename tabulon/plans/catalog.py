@@ -23,7 +23,9 @@ def query(sql: str | None = None):
 
 
 ORD = ", ".join(ORDER)
-BARE = (F.col("teacher") == "") & (F.col("room") == "")
+def bare():
+    return (F.col("teacher") == "") & (F.col("room") == "")
+
 FLAGS_SQL = """list_filter([CASE WHEN day = '' THEN 'missing_day' END, CASE WHEN start_time = '' OR end_time = '' THEN 'missing_time' END,
   CASE WHEN subject = '' THEN 'missing_subject' END], lambda f: f IS NOT NULL)"""
 SCORE_SQL = """greatest(0.0, least(1.0, (((CASE WHEN day <> '' THEN 0.28 ELSE 0 END)::DOUBLE + (CASE WHEN start_time <> '' THEN 0.24 ELSE 0 END)::DOUBLE)
@@ -214,7 +216,7 @@ def unique_match_merge(spark, sf_dir):
     df = sched(spark, sf_dir)
     has_day, subject = F.col("day") != "", F.col("subject") != ""
     fits = (F.col("h.groups") == F.col("g.groups")) | (F.col("h.course") == F.col("g.course"))
-    out = merge.unique_match(df, ["doc", "day", "start_time"], list(ORDER), subject & has_day, ~subject & has_day & ~BARE, fits, ["teacher", "room"])
+    out = merge.unique_match(df, ["doc", "day", "start_time"], list(ORDER), subject & has_day, ~subject & has_day & ~bare(), fits, ["teacher", "room"])
     return out.select("doc", "day", "start_time", "k1", "k2", "subject", "merged", F.length("teacher").alias("teacher_chars"), F.length("room").alias("room_chars"))
 
 
@@ -263,7 +265,7 @@ def confidence_score(spark, sf_dir):
   SELECT k1, k2, k3, k4, k5, bare AND n >= 2 AND frag AS demoted FROM g""")
 def group_quality_demotion(spark, sf_dir):
     df = scored(spark, sf_dir).where("accepted")
-    out = quality.demote_bare_groups(df, ["doc", "sheet_name", "day", "start_time", "end_time"], BARE, F.length("subject") % 2 == 0)
+    out = quality.demote_bare_groups(df, ["doc", "sheet_name", "day", "start_time", "end_time"], bare(), F.length("subject") % 2 == 0)
     return out.select("k1", "k2", "k3", "k4", "k5", "demoted")
 
 
