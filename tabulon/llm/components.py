@@ -17,6 +17,10 @@ def _signature(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
 
+#: Rows of a round's tables that one task takes; small tables make few tasks.
+ROWS_A_TASK = 100_000
+
+
 def connected(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(a, b) links -> (node, root) for every linked node but the roots.
 
@@ -29,15 +33,20 @@ def connected(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         if not before[0]:
             break
+        tasks = max(4, 2 * before[0] // ROWS_A_TASK)  # a round never has more than twice the edges
+
+        def kept(df: DataFrame, name: str, tasks: int = tasks) -> DataFrame:
+            return stored(df.coalesce(tasks), name)
+
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc-low")
+        low = kept(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc-low")
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stored(large, "cc-large")
-        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "cc-low")
+        large = kept(large, "cc-large")
+        low = kept(large.groupBy("u").agg(F.min("v").alias("m")), "cc-low")
         small = large.join(low, "u").select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v"))
         )).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
-        e = stored(small, "cc-small")
+        e = kept(small, "cc-small")
         after = _signature(e)
         if after == before:
             break
