@@ -104,7 +104,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """
     copies = mix(docs, id_col, **options).groupBy("id").agg(F.floor(F.avg("copies")).cast("int").alias("__copies")).where("__copies > 0")
     copies = stored(copies, "mix-copies").withColumnRenamed("id", "__id")
-    taken = docs.join(copies, docs[id_col].eqNullSafe(copies["__id"]))
+    taken = docs.join(copies.hint("merge"), docs[id_col].eqNullSafe(copies["__id"]))  # no bound on their number, so never broadcast
     return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).drop("__id", "__copies", "__copy")
 
 

@@ -19,7 +19,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.llm.common import bounded_batches, stored, table, text_or_empty
@@ -53,16 +53,22 @@ def fingerprint(text: str, n: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3) -> DataFrame:
-    """(id, fp signed 64-bit) per row; null texts are empty and get fingerprint zero."""
+    """(id, k1, k2, fp signed 64-bit) per row; null texts are empty and get fingerprint zero."""
     bounded_batches(docs.sparkSession)
-    source = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    k1, k2 = _row_key(F.col(id_col), text_or_empty(text_col))
+    source = docs.select(F.col(id_col).alias("id"), k1.alias("k1"), k2.alias("k2"), text_or_empty(text_col).alias("text"))
 
     def run(batches):
         for b in batches:
-            fps = np.array([fingerprint(t.as_py(), n) for t in b.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["id", "fp"])
+            fps = np.array([fingerprint(t.as_py(), n) for t in b.column(3)], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(fps.view(np.int64))], names=["id", "k1", "k2", "fp"])
 
-    return source.mapInArrow(run, f"id {dict(source.dtypes)['id']}, fp long")
+    return source.mapInArrow(run, f"id {dict(source.dtypes)['id']}, k1 long, k2 long, fp long")
+
+
+def _row_key(id_: Column, text: Column) -> tuple[Column, Column]:
+    """128 bits that tell rows apart by id and text."""
+    return F.xxhash64(id_, text), F.xxhash64(text, F.lit("k2"), id_)
 
 
 def _mask(positions: tuple[int, ...]) -> int:
@@ -126,6 +132,18 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     return shared.mapInArrow(run, "a long, b long")
 
 
+def _labelled(docs: DataFrame, id_col: str, text_col: str, n: int, max_bits: int) -> DataFrame:
+    """(id, k1, k2, fp, root, component_id) per row; root names the component even where ids repeat."""
+    fp = stored(fingerprints(docs, id_col, text_col, n), "simhash-fp")
+    classes = stored(fp.groupBy("fp").agg(F.min("id").alias("low")), "simhash-classes")
+    roots = connected(links(classes.select("fp"), max_bits))
+    named = stored(classes.join(roots, F.col("fp") == F.col("node"), "left")
+                   .select("fp", "low", F.coalesce("root", "fp").alias("root")), "simhash-roots")
+    lows = stored(named.groupBy("root").agg(F.min("low").alias("component_id")), "simhash-lows")
+    labels = stored(named.join(lows, "root").select("fp", "root", "component_id"), "simhash-labels")
+    return fp.join(labels, "fp").select("id", "k1", "k2", "fp", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, max_bits: int = 2) -> DataFrame:
     """(id, fp, component_id) for every row of ``docs``.
 
@@ -135,32 +153,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     never the smallest unless all ids of the component are null.  Extra columns
     are not read.  An empty table gives an empty result.
     """
-    fp = stored(fingerprints(docs, id_col, text_col, n), "simhash-fp")
-    classes = stored(fp.groupBy("fp").agg(F.min("id").alias("low")), "simhash-classes")
-    roots = connected(links(classes.select("fp"), max_bits))
-    named = stored(classes.join(roots, F.col("fp") == F.col("node"), "left")
-                   .select("fp", "low", F.coalesce("root", "fp").alias("root")), "simhash-roots")
-    lows = stored(named.groupBy("root").agg(F.min("low").alias("component_id")), "simhash-lows")
-    labels = stored(named.join(lows, "root").select("fp", "component_id"), "simhash-labels")
-    return fp.join(labels, "fp").select("id", "fp", "component_id")
-
-
-def hex16(fp: Column) -> Column:
-    return F.lower(F.lpad(F.hex(fp), 16, "0"))
+    return _labelled(docs, id_col, text_col, n, max_bits).select("id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, max_bits: int = 2) -> DataFrame:
-    """``docs`` without near-duplicates: the document with the component's smallest id stays.
+    """``docs`` without near-duplicates: of each component one document stays, with the smallest id.
 
-    All columns return.  Of repeated rows with that id one stays (smallest
-    whole row by its hash), and of components whose ids are all null one row.
+    All columns return.  Where rows repeat that id, or all ids of a component are null, one of
+    them stays, chosen by a hash of id and text.  Texts are shuffled once: the join and the choice among
+    repeated rows share their key.
     """
-    found = near_duplicates(docs, id_col, text_col, n, max_bits)
-    keep = stored(found.where(F.col("id").eqNullSafe(F.col("component_id")))
-                  .groupBy("id").agg(F.max(F.lit(1)).alias("__kept")), "simhash-keep")
-    ids = F.col(id_col)
-    kept = docs.join(keep.withColumnRenamed("id", "__keep_id"), ids.eqNullSafe(F.col("__keep_id")), "left_semi")
-    return kept.dropDuplicates([id_col])
+    found = _labelled(docs, id_col, text_col, n, max_bits).where(F.col("id").eqNullSafe(F.col("component_id")))
+    first = F.min(F.struct("k1", "k2"))
+    keep = stored(found.groupBy("root").agg(first.alias("k")).select(F.col("k.k1").alias("__k1"), F.col("k.k2").alias("__k2")), "simhash-keep")
+    k1, k2 = _row_key(F.col(id_col), text_or_empty(text_col))
+    rows = docs.withColumns({"__k1": k1, "__k2": k2}).join(keep.hint("merge"), ["__k1", "__k2"])
+    nth = F.row_number().over(Window.partitionBy("__k1", "__k2").orderBy("__k1"))
+    return rows.withColumn("__nth", nth).where("__nth = 1").select(docs.columns)
+
+
+def hex16(fp: Column) -> Column:
+    return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
 def query(spark, sf_dir):

@@ -372,3 +372,13 @@ def test_pipeline_stages_keep_columns(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, df, SF)
         assert out.columns == df.columns, name
+
+
+def test_one_of_each_keeps_one_row_of_every_component(spark):
+    rows = EDGE + [(1, "five six seven eight", "a"), (9, "five six seven eight", "a"), (None, "alone and far away", "a"), (None, "another one elsewhere", "a")]
+    out = simhash.one_of_each(docs_of(spark, rows))
+    assert out.columns == docs_of(spark, []).columns
+    got = sorted((str(r.doc_id), r.text or "") for r in out.collect())
+    want = [("1", "five six seven eight"), ("1", "one two three four"), ("2", ""), ("5", "w " * 5000 + "end"), ("6", "naïve ÄÖ x\ty"),
+            ("None", "alone and far away"), ("None", "another one elsewhere")]
+    assert got == sorted(want)
