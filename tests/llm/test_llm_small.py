@@ -379,6 +379,6 @@ def test_one_of_each_keeps_one_row_of_every_component(spark):
     out = simhash.one_of_each(docs_of(spark, rows))
     assert out.columns == docs_of(spark, []).columns
     got = sorted((str(r.doc_id), r.text or "") for r in out.collect())
-    want = [("1", "five six seven eight"), ("1", "one two three four"), ("2", ""), ("5", "w " * 5000 + "end"), ("6", "naïve ÄÖ x\ty"),
+    want = [("1", "five six seven eight"), ("1", "one two three four"), ("2", ""), ("5", "w " * 5000 + "end"), ("6", EDGE[-1][1]),
             ("None", "alone and far away"), ("None", "another one elsewhere")]
     assert got == sorted(want)
