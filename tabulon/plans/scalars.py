@@ -212,3 +212,20 @@ def room_labels(spark, sf_dir):
     from tabulon.functions import cleanup
 
     return values(spark, [(r,) for r, _ in ROOMS], "raw string").select("raw", cleanup.room_label(F.col("raw")).alias("room"))
+
+
+PLACES = [
+    ("https://it.example.edu/files/IPZ_2_kurs.xlsx", "Факультет інформаційних технологій", "IPZ 2 kurs"),
+    ("https://law.example.edu/uploads/pravo-magistry.pdf", "Юридичний факультет", "pravo magistry"),
+    ("https://example.org/wp-content/uploads/12", "Невідомий факультет", "example"),
+    ("archive.zip::Хімія/розклад.csv", "Невідомий факультет", "розклад"),
+]
+
+
+@query(f"SELECT locator, a AS faculty, b AS label FROM ({sql_values(PLACES)}) t(locator, a, b)")
+def locator_labels(spark, sf_dir):
+    from tabulon.functions import labels
+
+    x = F.col("locator")
+    hosts = {"it.example.edu": "Факультет інформаційних технологій", "law.example.edu": "Юридичний факультет"}
+    return values(spark, [(r[0],) for r in PLACES], "locator string").select("locator", labels.faculty_of(x, hosts).alias("faculty"), labels.path_label(x).alias("label"))
