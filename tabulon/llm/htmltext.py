@@ -36,6 +36,8 @@ _WORDS = frozenset(
     "share sharing social related recommended pagination pager toolbar comment comments commentlist disqus reply replies respond "
     "copyright legal disclaimer hidden skip".split())
 _REPLIES = frozenset("comment comments commentlist disqus reply replies respond related recommended".split())
+#: What marks a plain container as the article's.
+_BODY = frozenset("article post entry story main content".split())
 _BLOCKS = frozenset(
     "address article blockquote body br caption center dd details dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul aside dialog title".split())
@@ -62,6 +64,8 @@ def _marked(tag: str, attributes: str) -> str:
                 return "replies"
             if words & _WORDS:
                 why = "furniture"
+            elif words & _BODY and tag in ("div", "section", "td") and not why:
+                why = "keep"
     return why
 
 
@@ -133,7 +137,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                 if stack[i][0] not in _LOOSE:
                     break
         why = _marked(tag, attributes)
-        if tag in _KEEPERS and not why and not any(w == "replies" for _, w in stack):
+        if tag in _KEEPERS and why in ("", "keep") and not any(w == "replies" for _, w in stack):
             # an article also ends furniture whose end tag is missing
             close(next((i for i, (_, w) in enumerate(stack) if w in ("furniture", "hidden")), len(stack)))
             why = "keep"

@@ -309,6 +309,8 @@ def test_mix_targets_and_bounds(spark):
     ("<div class=ad>buy<article><p>kept</p></article>", "kept"),
     ("<article><p>a</p><div class='comments'><p>no</p></div><aside>no</aside><p>b</p><form>no</form></article>", "a b"),
     ("<main><p>&nbsp;a\n\n b&#233;</p></main><section id=comments><article>no</article></section>", "a bé"),
+    ("<div id='content'><p>a</p><div class=sidebar>s</div><p>b</p></div><p>tail</p>", "a b"),
+    ("<div class='page with-sidebar'><main class=content><p>x</p></main></div>", "x"),
     ("<p>" + "long words here " * 20 + "</p><ul><li><a href=x>l</a></li></ul>", ("long words here " * 20).strip()),
 ])
 def test_main_text(page, want):
