@@ -384,3 +384,37 @@ def test_one_of_each_keeps_one_row_of_every_component(spark):
     want = [("1", "five six seven eight"), ("1", "one two three four"), ("2", ""), ("5", "w " * 5000 + "end"), ("6", EDGE[-1][1]),
             ("None", "alone and far away"), ("None", "another one elsewhere")]
     assert got == sorted(want)
+
+
+def five_words(text):
+    w = (text or "").lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+@pytest.mark.parametrize("pairwise, rounds", [(32, 12), (2, 12), (2, 1)])
+def test_pipeline_drops_near_copies_by_brute_force(spark, monkeypatch, pairwise, rounds):
+    import corpus_pipeline
+    from tabulon.llm import nearcopies
+
+    monkeypatch.setattr(nearcopies, "PAIRWISE", pairwise)
+    monkeypatch.setattr(nearcopies, "PIVOT_ROUNDS", rounds)
+    rng = random.Random(12)
+    rows = [*EDGE]
+    for i in range(10, 40):
+        t = [f"w{rng.randrange(2000)}" for _ in range(rng.choice([60, 200, 400]))]
+        rows.append((i, " ".join(t), "a"))
+        for k in range(1, 7):  # from close copies to ones below the bound
+            u = list(t)
+            for at in rng.sample(range(len(t)), max(1, len(t) * k // 200)):
+                u[at] = f"x{rng.randrange(2000)}"
+            rows.append((rng.choice([None, i + 100 * k]), " ".join(u), "a"))
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs_of(spark, rows), SF).collect()
+    kept = [(r.doc_id, r.text) for r in kept]
+    jac = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+    sets = [(i, t, five_words(t)) for i, t in {(i, t) for i, t, _ in rows}]
+    stay = [five_words(t) for _, t in kept]
+    assert sum(jac(a[2], b[2]) >= 0.8 for n, a in enumerate(sets) for b in sets[:n]) > 100
+    assert all(jac(a, b) < 0.8 for n, a in enumerate(stay) for b in stay[:n])
+    for i, t, s in sets:
+        if (i, t) not in kept:  # what goes is near another one, of no larger id
+            assert any((j, u) != (i, t) and jac(s, v) >= 0.8 and (j is not None or i is None) and (i is None or j <= i) for j, u, v in sets)
