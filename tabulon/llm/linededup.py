@@ -1,15 +1,18 @@
 """Line dedup by content-defined chunks of lines.
 
-1. Lines are hashed and counted over all documents; lines that occur once can be in no repeated chunk.
+1. Lines, and pairs of adjacent lines, are hashed and counted over all documents; lines that occur once can be in no repeated chunk.
 2. A document's repeated lines fall into runs.  A run is cut where lines stop being
    neighbours, where the counts of neighbours differ (a passage that was inserted beside
    other common lines; once at any difference, once at more than a twofold one, and
-   both cuttings count; long lines also count alone), and, in long runs, where a rolling
+   both cuttings count; long lines also count alone), where the pair of neighbours does not repeat
+   or does so less often than both its lines (two more cuttings), and, in long runs, where a rolling
    hash over the last line hashes hits a boundary value: a cut depends on nearby
-   lines only, so shifted or edited copies fall back into step.
+   lines only, so shifted or edited copies fall back into step.  In runs of repeated pairs, the shortest
+   span of ``MIN_WORDS`` words from every line on, and the one up to every line, are chunks too: together
+   they cover each repeated passage of so many words, wherever its copies were cropped.
 3. Chunks of two or more lines, or of ``MIN_WORDS`` words, are counted by hash; the
    bytes of each repeated chunk are compared with those of its first occurrence (smallest id,
-   then place), which stays.  Equal ones are removed.
+   then place), which stays.  Equal ones are removed, but for lines that they share with it.
 
 Blank lines count as no line: they part no run and go only inside a removed chunk.
 """
@@ -40,14 +43,17 @@ def rolling(hashes: np.ndarray, window: int = ROLL) -> np.ndarray:
     return out ^ (out >> np.uint64(31))
 
 
-def cut_chunks(place: np.ndarray, hashes: np.ndarray, counts: np.ndarray, step: float = 2.0) -> list[tuple[int, int]]:
+def cut_chunks(place: np.ndarray, hashes: np.ndarray, counts: np.ndarray, step: float = 2.0,
+               parted: np.ndarray | None = None) -> list[tuple[int, int]]:
     """(first, one past last) index of each chunk among a document's repeated lines in order.
 
-    Neighbours whose counts differ by more than ``step`` times are parted.
+    Neighbours whose counts differ by more than ``step`` times are parted, and those that ``parted`` (one flag a pair) tells.
     """
     n = len(place)
     low, high = np.minimum(counts[1:], counts[:-1]), np.maximum(counts[1:], counts[:-1])
     new = np.concatenate([[True], (np.diff(place) != 1) | (high > step * low)])
+    if parted is not None:
+        new[1:] |= parted
     starts = np.append(np.flatnonzero(new), n)
     found = []
     for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
@@ -62,6 +68,20 @@ def cut_chunks(place: np.ndarray, hashes: np.ndarray, counts: np.ndarray, step:
     return found
 
 
+def spans(place: np.ndarray, words: np.ndarray, parted: np.ndarray, least: int = MIN_WORDS) -> set[tuple[int, int]]:
+    """(first, one past last) of the shortest span of ``least`` words from every line on, and up to every line, within runs."""
+    starts = np.append(np.flatnonzero(np.concatenate([[True], (np.diff(place) != 1) | parted])), len(place))
+    run = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    total = np.concatenate([[0], np.cumsum(words)])
+    at = np.arange(len(place))
+    end = np.searchsorted(total, total[:-1] + least, side="left")  # one past the line that reaches it
+    ok = end <= starts[run + 1]
+    found = set(zip(at[ok].tolist(), end[ok].tolist()))
+    first = np.searchsorted(total, total[1:] - least, side="right") - 1
+    ok = first >= starts[run]
+    return found | set(zip(first[ok].tolist(), (at[ok] + 1).tolist()))
+
+
 def chunk_hash(hashes: np.ndarray, pos: np.ndarray) -> int:
     """Order-dependent 64-bit hash of a chunk's lines and the blank lines between them."""
     power = np.uint64(1)
@@ -91,30 +111,42 @@ def _same_doc(a: str, b: str) -> Column:
 def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, th, first, last): line ranges whose bytes already stand at an earlier place."""
     keyed = _keyed(docs, id_col, text_col)
-    lines = keyed.select("id", "th", F.posexplode(_lines(F.col("text"))).alias("ord", "s")).select(
-        "id", "th", "ord", "s.pos", F.xxhash64("s.line").alias("h"), word_count(F.col("s.line")).cast("int").alias("words"))
+    hashed = keyed.select("id", "th", F.transform(_lines(F.col("text")), lambda s: F.struct(
+        s["pos"].alias("pos"), F.xxhash64(s["line"]).alias("h"), word_count(s["line"]).cast("int").alias("words"))).alias("ls"))
+
+    def with_next(s: Column, i: Column) -> Column:
+        after = F.get(F.col("ls"), i + 1)
+        pair = F.when(after.isNotNull(), F.xxhash64(s["h"], after["h"], after["pos"] - s["pos"]))
+        return F.struct(s["pos"].alias("pos"), s["h"].alias("h"), s["words"].alias("words"), pair.alias("pair"))
+
+    lines = hashed.select("id", "th", F.posexplode(F.transform("ls", with_next)).alias("ord", "s")).select(
+        "id", "th", "ord", "s.pos", "s.h", "s.words", "s.pair")
     lines = stored(lines, "line-hashes")
     known = stored(lines.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "line-counts")
-    again = lines.join(known, "h").select("id", "th", "ord", "pos", "h", "words", "n")
-    per_doc = again.groupBy("id", "th").agg(F.array_sort(F.collect_set(F.struct("ord", "pos", "h", "words", "n"))).alias("ls"))
+    pairs = stored(lines.where("pair IS NOT NULL").groupBy("pair").agg(F.count("*").alias("pn")).where("pn > 1"), "line-pairs")
+    again = lines.join(known, "h").join(pairs.withColumnRenamed("pair", "p"), F.col("pair") == F.col("p"), "left")
+    again = again.select("id", "th", "ord", "pos", "h", "words", "n", F.coalesce("pn", F.lit(0)).alias("pn"))
+    per_doc = again.groupBy("id", "th").agg(F.array_sort(F.collect_set(F.struct("ord", "pos", "h", "words", "n", "pn"))).alias("ls"))
     id_type = dict(docs.dtypes)[id_col]
 
     def cut(frames):
         for f in frames:
             rows = []
             for i, th, ls in zip(f["id"], f["th"], f["ls"]):
-                cells = [(x["ord"], x["pos"], x["h"], x["words"], x["n"]) for x in ls]
-                place, pos, h, words, n = (np.array(c, np.int64) for c in zip(*cells))
+                cells = [(x["ord"], x["pos"], x["h"], x["words"], x["n"], x["pn"]) for x in ls]
+                place, pos, h, words, n, pn = (np.array(c, np.int64) for c in zip(*cells))
                 hashes = h.view(np.uint64)
                 alone = np.flatnonzero(words >= MIN_WORDS).tolist()
-                ranges = {*cut_chunks(place, hashes, n), *cut_chunks(place, hashes, n, 1.0), *((a, a + 1) for a in alone)}
+                once, fewer = pn[:-1] == 0, pn[:-1] < np.minimum(n[:-1], n[1:])
+                ranges = {*cut_chunks(place, hashes, n), *cut_chunks(place, hashes, n, 1.0), *((a, a + 1) for a in alone),
+                          *cut_chunks(place, hashes, n, np.inf, once), *cut_chunks(place, hashes, n, np.inf, fewer), *spans(place, words, once)}
                 for a, b in sorted(ranges):
                     if b - a >= MIN_LINES or words[a:b].sum() >= MIN_WORDS:
                         rows.append((i, th, int(pos[a]), int(pos[b - 1]), chunk_hash(hashes[a:b], pos[a:b])))
             yield pd.DataFrame(rows, columns=["id", "th", "first", "last", "ch"])
 
     chunks = stored(per_doc.mapInPandas(cut, f"id {id_type}, th long, first int, last int, ch long"), "line-chunks")
-    keepers = stored(chunks.groupBy("ch").agg(F.count("*").alias("n"), F.min(F.struct("id", "th", "first")).alias("keep"))
+    keepers = stored(chunks.groupBy("ch").agg(F.count("*").alias("n"), F.min(F.struct("id", "th", "first", "last")).alias("keep"))
                      .where("n > 1").select("ch", "keep"), "line-keepers")
     found = stored(chunks.join(keepers, "ch"), "line-found")
     ranges = stored(found.groupBy("id", "th").agg(F.collect_list(F.struct("first", "last", "ch", "keep")).alias("rs")), "line-ranges")
@@ -122,12 +154,13 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     few = with_maybe(keyed, F.xxhash64("id", "th"), bits).where("__maybe")
     whole = few.alias("d").join(ranges.hint("merge").alias("r"), _same_doc("d", "r")).select("d.id", "d.th", F.split("d.text", "\n", -1).alias("all"), "r.rs")
     texts = whole.select("id", "th", "all", F.explode("rs").alias("r")).select(
-        "id", "th", "r.first", "r.last", "r.ch", (F.struct("id", "th", "r.first").eqNullSafe(F.col("r.keep"))).alias("is_kept"),
+        "id", "th", "r.first", "r.last", "r.ch", (F.struct("id", "th", "r.first", "r.last").eqNullSafe(F.col("r.keep"))).alias("is_kept"),
+        F.when(F.col("id").eqNullSafe(F.col("r.keep.id")) & (F.col("th") == F.col("r.keep.th")), F.col("r.keep.last")).otherwise(F.lit(-1)).alias("shared_to"),
         F.array_join(F.slice("all", F.col("r.first") + 1, F.col("r.last") - F.col("r.first") + 1), "\n").alias("bytes"))
     texts = stored(texts, "line-texts")
     kept = stored(texts.where("is_kept").groupBy("ch").agg(F.min("bytes").alias("kept_bytes")), "line-kept")
     others = texts.where("NOT is_kept").join(kept, "ch").where("bytes = kept_bytes")
-    return others.select("id", "th", "first", "last")
+    return others.select("id", "th", F.greatest("first", F.col("shared_to") + 1).alias("first"), "last").where("first <= last")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -148,6 +148,18 @@ def test_chunk_cuts_resist_shifts():
     assert len(whole & moved) > 0.8 * len(whole)
 
 
+def test_line_dedup_finds_cropped_and_adjoining_passages(spark):
+    rng = random.Random(13)
+    lines = lambda n, k=12: [" ".join(rng.choice(["ab", "cd", "ef", "gh", "ij"]) + str(rng.randrange(999)) for _ in range(k)) for _ in range(n)]
+    p, q, whole, m = lines(3, 20), lines(3, 20), lines(8), lines(6, 20)
+    a = ["same same " * 8] * 6  # a line that repeats within its document: the first fifty words stay
+    texts = {1: p + q, 2: lines(1) + p + lines(1), 3: q, 10: whole, 11: lines(1) + whole[2:7] + lines(2), 12: whole[:3] + lines(1) + whole[3:], 20: a,
+             30: m, 31: m, 32: m[:3], 33: m[3:]}
+    got = {r.doc_id: (r.n_removed, r.text) for r in linededup.dedup_lines(docs_of(spark, [(i, "\n".join(t), "a") for i, t in texts.items()])).collect()}
+    assert {i: n for i, (n, _) in got.items()} == {1: 0, 2: 3, 3: 3, 10: 0, 11: 5, 12: 8, 20: 2, 30: 0, 31: 6, 32: 3, 33: 3}
+    assert got[2][1].split("\n") == [texts[2][0], texts[2][4]]
+
+
 # --- top-k ------------------------------------------------------------------------------
 
 def test_top_k_against_brute_force(spark):
