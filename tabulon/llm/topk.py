@@ -118,7 +118,8 @@ def best_of_block(q_ids, q, q_norm, bound, p_ids, p, p_norm, k: int):
             for f in np.argsort(-np.abs(direction))[:COORDINATES]:
                 spread = np.sqrt(max(0.0, (1 - c * c) * (1 - direction[f] ** 2))) + 1e-9
                 x = unit[alive, f]
-                alive = alive[(x >= direction[f] * c - spread) & ((c < direction[f]) | (x <= direction[f] * c + spread))]
+                # either bound holds only while the angles don't reach beyond the axis
+                alive = alive[((c < -direction[f]) | (x >= direction[f] * c - spread)) & ((c < direction[f]) | (x <= direction[f] * c + spread))]
             if len(alive):
                 keep(query, alive, _products(q[query : query + 1], p[alive], exact)[0])
     flat = np.concatenate(rows) if rows else np.zeros(0, int)

@@ -188,6 +188,21 @@ def test_pruned_blocks_keep_all_winners():
         assert sorted(np.array(found)[at == i].tolist())[::-1] == sorted(scores[i].tolist())[::-1][:10]
 
 
+@pytest.mark.parametrize("sign", [-1, 1])
+def test_pruning_keeps_winners_along_one_coordinate(sign):
+    rng = np.random.default_rng(14)
+    p = rng.integers(-250, 250, (600, 8))
+    p[:, 3] = sign * rng.integers(500, 1000, 600)
+    q, norm = p[:30], lambda m: np.sqrt((m.astype(float) ** 2).sum(axis=1))
+    scores = q @ p.T
+    for share in (0.72, 0.8, 0.9):  # bounds that prune by coordinates
+        bound = share * norm(q) * norm(p).max()
+        at, to, _ = topk.best_of_block(np.full(30, -1), q, norm(q), bound, np.arange(600), p, norm(p), 10)
+        for i in range(30):
+            want = sorted((x for x in scores[i] if x >= bound[i]), reverse=True)[:10]
+            assert sorted(scores[i][to[at == i]], reverse=True) == want
+
+
 # --- gif ---------------------------------------------------------------------------------
 
 def test_gif_round_trip():
