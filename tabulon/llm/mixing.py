@@ -74,9 +74,22 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     without words has target 0 and no copies.  Repeated rows count separately
     and share the copies of their places in order.
     """
+    placed = _placed(docs, id_col, text_col, source_col, weights, share, cap, seed, False)
+    return placed.select("id", "source", "size", "source_size", "target", "copies")
+
+
+def _row_key(id_col: str, text_col: str, source_col: str) -> list[Column]:
+    """128 bits that tell rows apart by id, text and source."""
+    parts = [F.col(id_col), text_or_empty(text_col), F.col(source_col)]
+    return [F.xxhash64(*parts).alias("k1"), F.xxhash64(F.lit("k2"), *parts[::-1]).alias("k2")]
+
+
+def _placed(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights, share, cap, seed, keyed: bool) -> DataFrame:
+    """The rows of ``mix``; ``keyed``: with the row key k1, k2, which then also orders rows of one id and size."""
+    keys = ["k1", "k2"] if keyed else []
     band = F.substring(F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")), 1, BAND_DIGITS)
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
-                       word_count(text_or_empty(text_col)).alias("size"))
+                       word_count(text_or_empty(text_col)).alias("size"), *(_row_key(id_col, text_col, source_col) if keyed else []))
     rows = stored(rows.withColumn("cls", F.floor(F.log2(F.col("size") + F.lit(1.0))).cast("int")).withColumn("band", band), "mix-sizes")
     bands = rows.groupBy("source", "cls", "band").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
     bands = stored(bands, "mix-bands")
@@ -87,25 +100,35 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     placed = placed.join(goal, F.col("source").eqNullSafe(F.col("g_source"))).select(
         F.col("source").alias("b_source"), F.col("cls").alias("b_cls"), F.col("band").alias("b_band"), "ahead", "source_size", "target")
     placed = stored(placed, "mix-places")
-    in_band = Window.partitionBy("source", "cls", "band").orderBy("id", "size")
+    in_band = Window.partitionBy("source", "cls", "band").orderBy("id", "size", *keys)
     numbered = rows.withColumn("nth", F.row_number().over(in_band))
     joined = numbered.join(placed, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("cls") == F.col("b_cls")) & (F.col("band") == F.col("b_band")))
     step = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     offset = _fraction(F.concat(F.lit(seed + ":"), F.coalesce("source", F.lit(""))))
     last = F.col("ahead") + F.col("nth")
     copies = F.floor(last * step + offset) - F.floor((last - 1) * step + offset)
-    return joined.select("id", "source", "size", "source_size", "target", copies.cast("long").alias("copies"))
+    return joined.select("id", "source", "size", "source_size", "target", copies.cast("long").alias("copies"), *keys)
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+          weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, seed: str = "mix") -> DataFrame:
     """``docs`` with every row as often as the mix takes it; all columns return.
 
-    Copies are counted per id; where ids repeat, each row gets its id's mean, rounded down.
+    Copies are counted per row: by id, text and source, and by a row number among rows equal in these, whose
+    copies differ by one at most.
     """
-    copies = mix(docs, id_col, **options).groupBy("id").agg(F.floor(F.avg("copies")).cast("int").alias("__copies")).where("__copies > 0")
-    copies = stored(copies, "mix-copies").withColumnRenamed("id", "__id")
-    taken = docs.join(copies.hint("merge"), docs[id_col].eqNullSafe(copies["__id"]))  # no bound on their number, so never broadcast
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).drop("__id", "__copies", "__copy")
+    rows = _placed(docs, id_col, text_col, source_col, weights, share, cap, seed, True)
+    counts = rows.groupBy("k1", "k2", "copies").agg(F.count("*").alias("n")).groupBy("k1", "k2").agg(
+        F.max(F.struct("copies", "n")).alias("high"), F.min("copies").alias("low")).where("high.copies > 0")
+    counts = stored(counts.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), "high", "low"), "mix-copies")
+    k1, k2 = _row_key(id_col, text_col, source_col)
+    nth = F.row_number().over(Window.partitionBy("__k1", "__k2").orderBy("__k1"))
+    numbered = docs.withColumns({"__k1": k1, "__k2": k2}).withColumn("__nth", nth)
+    taken = numbered.join(counts.hint("merge").select("__k1", "__k2", F.col("high").alias("__high"), F.col("low").alias("__low")),
+                          ["__k1", "__k2"])  # no bound on their number, so never broadcast
+    copies = F.when(F.col("__nth") <= F.col("__high.n"), F.col("__high.copies")).otherwise(F.col("__low"))
+    taken = taken.withColumn("__copies", copies.cast("int")).where("__copies > 0")
+    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(docs.columns)
 
 
 def query(spark, sf_dir):

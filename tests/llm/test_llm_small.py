@@ -327,6 +327,20 @@ def test_mix_targets_and_bounds(spark):
     assert mixing.mix(docs_of(spark, [])).count() == 0
 
 
+def test_mixed_takes_each_row_by_its_own_copies(spark):
+    rng = random.Random(15)
+    rows = EDGE + [(None if i % 3 == 0 else i // 2, f"t{i} " + "w " * rng.randint(0, 60), rng.choice(["a", "b", "c", None])) for i in range(100, 700)]
+    rows += [(5000, "the same row " * 5, "b")] * 30
+    want = Counter()
+    for r in mixing.mix(docs_of(spark, rows)).collect():
+        want[r.id, r.source, r.size] += r.copies
+    out = mixing.mixed(docs_of(spark, rows))
+    assert out.columns == docs_of(spark, []).columns
+    got = Counter((r.doc_id, r.source, len((r.text or "").encode().split())) for r in out.collect())
+    assert got == +want
+    assert {(r.doc_id, r.text, r.source) for r in out.collect()} <= set(rows)
+
+
 # --- html ----------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("page, want", [
