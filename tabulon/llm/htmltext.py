@@ -5,6 +5,8 @@ id marks them as page furniture give no lines.  Text lengths without link
 text are summed over sliding windows of lines.  The main text begins at a surge, where the sum rises
 over the threshold, and ends at the dive behind it, where it falls below.  An
 article or main element is a surge and a dive by itself: whatever it holds is kept in full, however short.
+So is a container marked as content, but there surge and dive also decide outside it.  A line counts
+with ``LONG`` characters at most, so that one very long block does not hide common paragraphs.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from tabulon.llm.common import bounded_batches, table, text_or_empty
 WINDOW = 3
 #: A window is dense from this share of the densest window on.
 DENSE = 0.25
+#: Characters that a line counts with at most, and the least window sum of a surge outside a marked container.
+LONG, OUTSIDE = 320, 150
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -48,14 +52,14 @@ _LOOSE = frozenset("p li dt dd tr td th option".split())
 
 
 def _marked(tag: str, attributes: str) -> str:
-    """Why an element is page furniture ('' if it isn't): 'replies', 'hidden' or 'furniture'."""
+    """Why an element is page furniture ('' if it isn't): 'replies', 'hidden' or 'furniture'; or what keeps it: 'main' or 'keep'."""
     why = "furniture" if tag in _FURNITURE else ""
     if not attributes or tag in ("html", "body"):
         return why
     for name, a, b, c in _MARK.findall(attributes):
         value, name = (a or b or c).lower(), name.lower()
         if name == "role":
-            why = "furniture" if value in _ROLES else "keep" if value == "main" else why
+            why = "furniture" if value in _ROLES else "main" if value == "main" else why
         elif name in ("hidden", "aria-hidden"):
             why = "hidden" if name == "hidden" or value == "true" else why
         else:
@@ -69,29 +73,30 @@ def _marked(tag: str, attributes: str) -> str:
     return why
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """(text, length without link text, inside an article or main element) of every block."""
-    out: list[tuple[str, int, bool]] = []
+def lines_of(page: str) -> list[tuple[str, int, int]]:
+    """(text, length without link text, 2 inside an article or main element, 1 inside a marked container, else 0) of every block."""
+    out: list[tuple[str, int, int]] = []
     parts: list[str] = []
     linked = 0
     stack: list[tuple[str, str]] = []  # open elements of interest, and why each is dropped
-    dropped = kept = links = 0
+    dropped = kept = marked = links = 0
 
     def flush() -> None:
         nonlocal linked
         if parts:
             line = " ".join(unescape("".join(parts)).split())
             if line:
-                out.append((line, max(0, len(line) - linked), kept > 0))
+                out.append((line, max(0, len(line) - linked), 2 if kept else 1 if marked else 0))
             parts.clear()
         linked = 0
 
     def close(depth: int) -> None:
-        nonlocal dropped, kept
+        nonlocal dropped, kept, marked
         while len(stack) > depth:
             tag, why = stack.pop()
             dropped -= why in ("furniture", "replies", "hidden")
-            kept -= why == "keep"
+            kept -= why == "main"
+            marked -= why == "keep"
 
     at, end = 0, len(page)
     while at < end:
@@ -137,10 +142,10 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                 if stack[i][0] not in _LOOSE:
                     break
         why = _marked(tag, attributes)
-        if tag in _KEEPERS and why in ("", "keep") and not any(w == "replies" for _, w in stack):
+        if tag in _KEEPERS and why in ("", "keep", "main") and not any(w == "replies" for _, w in stack):
             # an article also ends furniture whose end tag is missing
             close(next((i for i, (_, w) in enumerate(stack) if w in ("furniture", "hidden")), len(stack)))
-            why = "keep"
+            why = "main"
         if tag == "a":
             links = 1
         if tag in _VOID or attributes.endswith("/") and tag in ("svg", "path", "circle", "rect"):
@@ -148,22 +153,24 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if why or tag in ("div", "section", "article", "main", "ul", "ol", "table"):
             stack.append((tag, why))
             dropped += why in ("furniture", "replies", "hidden")
-            kept += why == "keep"
+            kept += why == "main"
+            marked += why == "keep"
     flush()
     return out
 
 
-def keep_range(sizes: list[int], window: int = WINDOW, dense: float = DENSE) -> list[tuple[int, int]]:
+def keep_range(sizes: list[int], window: int = WINDOW, dense: float = DENSE, floor: float = 1.0) -> list[tuple[int, int]]:
     """(first, one past last) line of each stretch between a surge and its dive.
 
     A line's block sum is the text in the ``window`` lines from it on.  A surge is a
     line whose sum reaches the threshold with text on the line itself, a dive the
     next line whose sum and own text are both below it.
     """
+    sizes = [min(n, LONG) for n in sizes]
     sums = [sum(sizes[i : i + window]) for i in range(len(sizes))]
     if not sums or not max(sums):
         return []
-    least = max(1.0, dense * max(sums))
+    least = max(floor, dense * max(sums))
     found, start = [], -1
     for i, total in enumerate(sums):
         if start < 0 and total >= least and sizes[i] >= min(least / window, 25):
@@ -179,11 +186,12 @@ def keep_range(sizes: list[int], window: int = WINDOW, dense: float = DENSE) ->
 def main_text(page: str | None) -> str:
     """The main text of one page; '' if there is none."""
     lines = lines_of(page or "")
-    inside = [text for text, _, keep in lines if keep]
+    inside = [text for text, _, keep in lines if keep == 2]
     if inside:
-        return " ".join(inside)
-    sizes = [n for _, n, _ in lines]
-    return " ".join(text for a, b in keep_range(sizes) for text, _, _ in lines[a:b])
+        return " ".join(text for text, _, keep in lines if keep)
+    marked = {i for i, (_, _, keep) in enumerate(lines) if keep}
+    dense = {i for a, b in keep_range([n for _, n, _ in lines], floor=OUTSIDE if marked else 1.0) for i in range(a, b)}
+    return " ".join(lines[i][0] for i in sorted(marked | dense))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

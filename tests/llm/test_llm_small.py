@@ -358,6 +358,17 @@ def test_main_text(page, want):
     assert htmltext.main_text(page) == want
 
 
+def test_main_text_without_article():
+    words = [f"para{i} " * 40 for i in range(12)]
+    blocks = "".join(f"<p>{w}</p>" for w in words)
+    long_block = "<div>" + "huge block " * 1800 + "</div>"
+    for page in (blocks + long_block, long_block + blocks, "<ul><li><a href=x>l</a></li></ul>" + blocks[:2000] + long_block + blocks):
+        assert all(w.strip() in htmltext.main_text(page) for w in words)
+    for mark in ("post", "story"):
+        got = htmltext.main_text(f"<div class={mark}><p>teaser</p></div><ul><li><a href=x>some link</a></li></ul>{blocks}<p>end</p>")
+        assert got.startswith("teaser") and "some link" not in got and all(w.strip() in got for w in words)
+
+
 def test_surge_and_dive():
     assert htmltext.keep_range([0, 2, 0, 80, 90, 0, 70, 0, 0, 0, 3]) == [(3, 7)] or htmltext.keep_range([0, 2, 0, 80, 90, 0, 70, 0, 0, 0, 3])[0][0] == 3
 
