@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Java pattern of the word separator used by every word contract.
 WORD_GAP = r"[\x20\x09-\x0D]+"
-#: Rows in one Arrow batch, so that a batch of very long texts still fits a worker.
-ARROW_ROWS = "1000"
+#: Rows that a worker turns into Python objects at once.
+SLICE_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,11 +24,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see.
 
-    A cluster names it in ``spark.checkpoint.dir``; only where that is unset
+    A cluster names it in ``spark.checkpoint.dir``; only where that is unset in local mode
     (single-machine tests) a temporary folder is made and recorded there.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -43,9 +47,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small enough for very long texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Batches in parts of at most ``rows`` rows, without copying; Spark itself bounds a batch's bytes."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
 
 
 def text_or_empty(name: str) -> Column:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import bounded_batches, table, text_or_empty
+from tabulon.llm.common import slices, table, text_or_empty
 
 WIDTH = 64
 ROWS = 1024
@@ -288,11 +288,10 @@ def read_payload(frames) -> bytes:
 
 def to_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, media): every text as a GIF; null texts count as empty."""
-    bounded_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             made = [payload_of(t.as_py()) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([n for _, n in made], pa.int64()), pa.array([encode(p) for p, _ in made], pa.binary())],
@@ -306,13 +305,12 @@ def frames(media: DataFrame, id_col: str = "id", media_col: str = "media") -> Da
 
     Null media have no rows; a broken GIF gives one row with ``error`` set.
     """
-    bounded_batches(media.sparkSession)
     source = media.where(F.col(media_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(media_col).alias("media"))
     kind = dict(source.dtypes)["id"]
     names = ["id", "frame", "delay_cs", "disposal", "width", "height", "rgba", "histogram", "error"]
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             at, rows = [], []
             for i, m in enumerate(b.column(1)):
                 try:
@@ -350,13 +348,12 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     Null, empty, repeated and very long texts all give a row; equal texts give equal values.
     """
-    bounded_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
     names = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             rows = [digest(t.as_py()) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names=["id", *names])
 

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import bounded_batches, stored, table, text_or_empty
+from tabulon.llm.common import slices, stored, table, text_or_empty
 from tabulon.llm.components import connected
 
 SEED = 42
@@ -54,12 +54,11 @@ def fingerprint(text: str, n: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3) -> DataFrame:
     """(id, k1, k2, fp signed 64-bit) per row; null texts are empty and get fingerprint zero."""
-    bounded_batches(docs.sparkSession)
     k1, k2 = _row_key(F.col(id_col), text_or_empty(text_col))
     source = docs.select(F.col(id_col).alias("id"), k1.alias("k1"), k2.alias("k2"), text_or_empty(text_col).alias("text"))
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             fps = np.array([fingerprint(t.as_py(), n) for t in b.column(3)], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(fps.view(np.int64))], names=["id", "k1", "k2", "fp"])
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import bounded_batches, crc_class, table, text_or_empty
+from tabulon.llm.common import crc_class, slices, table, text_or_empty
 
 #: Documented bounds of the training sample: labelled documents per class, and bytes of each that are fitted.
 TOXIC_DOCS = 1200
@@ -311,13 +311,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 def with_score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` plus ``__score``, which the text alone decides; null texts are scored as empty ones."""
     spark = docs.sparkSession
-    bounded_batches(spark)
     shared = spark.sparkContext.broadcast((model.value.astype(np.float32), model.bias, model.shift))
     place = docs.columns.index(text_col)
 
     def run(batches):
         m = Model(*shared.value)
-        for b in batches:
+        for b in slices(batches):
             texts = [(t.as_py() or "").encode("utf-8", "surrogatepass") for t in b.column(place)]
             score = pa.array(m.scores(texts), pa.float64())
             yield pa.RecordBatch.from_arrays([*b.columns, score], names=[*b.schema.names, "__score"])
