@@ -5,14 +5,15 @@ so every later piece fills a sequence by itself.
 
 Pack: pieces are dealt over groups of about ``GROUP`` rows (one group is one
 task's work, whatever a document's id or source), and each group is packed by itself.  A bin is
-filled greedily with the longest piece that fits; then its smallest piece is
-replaced by the two unpacked pieces that fit the expanded gap most tightly, if
-these fill more.  A group wastes at most its last bins, about one in a thousand.
+filled greedily with the longest piece that fits; then its smallest piece (the only one
+of a bin that holds one) is replaced by the two unpacked pieces that fit the expanded gap
+most tightly, if these fill more.  A group wastes at most its last bins, about one in a thousand.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from array import array
 from functools import cache
@@ -23,22 +24,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import bounded_batches, stored, table, text_or_empty
+from tabulon.llm.common import slices, stored, table, text_or_empty
 
 LENGTH = 2048
 GROUP = 4000
 END_ID = 0
-#: Distinct white-space-free chunks whose ids a worker remembers.
+#: Distinct chunks whose ids a worker remembers.
 CACHE = 600_000
+#: A space with no white space on either side, in Unicode's sense or Python's wider one: there pre-tokens always part.
+_PART = re.compile(r" (?=\S)(?<=\S )")
 
 
 class Tokenizer(dict):
     """Token ids of the byte-level BPE vocabulary as little-endian 32-bit bytes.
 
     Special strings are plain text.  Ids come from the vocabulary's rank file
-    through tiktoken; they are those of the tokenizers file (a test compares
-    them), several times faster.  The pre-tokenizer never joins what single
-    spaces part, so the ids of a chunk with its leading space are remembered.
+    through tiktoken; they are those of the tokenizers file (a fuzz test compares
+    them), several times faster.  The pre-tokenizer never joins what a space between
+    two characters other than white space parts, so the ids of a chunk with its leading
+    space are remembered.
     """
 
     def __init__(self, ranks_path: str | None = None):
@@ -47,8 +51,8 @@ class Tokenizer(dict):
 
         path = ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken")
         with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        encoding = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        encoding = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=self.ranks, special_tokens={})
         self._encode = encoding.encode_ordinary
 
     def whole(self, text: str) -> bytes:
@@ -62,9 +66,7 @@ class Tokenizer(dict):
 
     def ids(self, text: str) -> bytes:
         """The ids of the whole text, without an end."""
-        chunks = text.split(" ")
-        if "" in chunks:
-            return self.whole(text)
+        chunks = _PART.split(text)
         if len(self) > CACHE:
             self.clear()
         return self.whole(chunks[0]) + b"".join(map(self.__getitem__, chunks[1:]))
@@ -88,13 +90,12 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
 
     Null and empty texts have one piece: the end id alone.  Repeated rows repeat.
     """
-    bounded_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
 
     def run(batches):
         ids_of = tokenizer(ranks_path).ids
         end = array("I", [END_ID]).tobytes()
-        for b in batches:
+        for b in slices(batches):
             at, piece, start, size, crc, kept = [], [], [], [], [], []
             for row, text in enumerate(b.column(1)):
                 ids = ids_of(text.as_py()) + end
@@ -165,7 +166,7 @@ def best_two_fit(lengths: np.ndarray, capacity: int = LENGTH) -> tuple[np.ndarra
         while gap and (fit := (mask & ((1 << (gap + 1)) - 1)).bit_length() - 1) > 0:
             held.append((fit, take(fit)))
             gap -= fit
-        if gap and len(held) > 1 and mask:
+        if gap and mask:
             small, item = held[-1]  # greedy filling descends, so the last is the smallest
             a, b = best_pair(gap + small)
             if a + b > small:
