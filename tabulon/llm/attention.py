@@ -15,18 +15,28 @@ import numpy as np
 
 VOCABULARY = 50257
 END = 50256
-CLASSES = 64
+CLASSES = 96
 DIM = 16
 HASHED = 8192
 #: Context window, and how many of its tokens are there for context only (but in a text's first window).
-WINDOW, OVERLAP = 16, 3
+WINDOW, OVERLAP = 32, 4
 STEP = WINDOW - OVERLAP
+#: Windows of one gradient step.
+BATCH = 16
 #: Strength of the class's own distribution in the count table.
 ALPHA = 40.0
+#: What stands before or after an id is counted in so many places: the most frequent (low) ids have their own, the rest share.
+OWN_PLACES, PLACES = 24, 32
+#: Bound of every exponent, so that none overflows.
+LARGEST = np.float32(60)
 
 _CAUSAL = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
-SHAPES = {"emb": (HASHED, DIM), "pos": (WINDOW, DIM), "q": (DIM, DIM), "k": (DIM, DIM), "v": (DIM, DIM), "o": (DIM, DIM),
-          "out": (DIM, CLASSES), "bias": (CLASSES,)}
+SHAPES = {"emb": (HASHED, DIM), "pos": (WINDOW, DIM), "qkv": (DIM, 3 * DIM), "o": (DIM, DIM), "out": (DIM, CLASSES), "bias": (CLASSES,)}
+
+_IDS = np.arange(VOCABULARY)
+#: Embedding row of every id: frequent (low) ids have their own, the rest share.
+ROW = np.where(_IDS < HASHED // 2, _IDS, HASHED // 2 + _IDS * 2654435761 % (HASHED // 2)).astype(np.uint16)
+PLACE = np.where(_IDS < OWN_PLACES, _IDS, OWN_PLACES + _IDS % (PLACES - OWN_PLACES)).astype(np.int64)
 
 
 def fresh(seed: int = 11) -> dict[str, np.ndarray]:
@@ -48,110 +58,117 @@ def unflat(v: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def hashed(ids: np.ndarray) -> np.ndarray:
-    """Embedding row of an id: frequent (low) ids have their own, the rest share."""
-    return np.where(ids < HASHED // 2, ids, HASHED // 2 + ids * 2654435761 % (HASHED // 2))
+def _exp(z: np.ndarray) -> np.ndarray:
+    """exp in place; exponents beyond the bound, which hardly ever come, are cut to it."""
+    if z.size and z.max() > LARGEST:
+        np.minimum(z, LARGEST, out=z)
+    return np.exp(z, out=z)
 
 
 def _forward(w, ids):
-    x = w["emb"][hashed(ids)] + w["pos"]
-    rows = x.reshape(-1, DIM)
-    q, k, v = ((rows @ m).reshape(x.shape) for m in (w["q"] * np.float32(DIM**-0.5), w["k"], w["v"]))
-    s = q @ k.transpose(0, 2, 1)
-    np.clip(s, -60, 60, out=s)
-    s += _CAUSAL
-    np.exp(s, out=s)
-    s /= s.sum(axis=2, keepdims=True)
-    o = s @ v
-    return x, q, k, v, s, o, x + (o.reshape(-1, DIM) @ w["o"]).reshape(x.shape)
+    """Embedded inputs, queries, keys, values, attention, its output, and the states that predict; rows are windows' places."""
+    n = len(ids)
+    x = w["emb"].take(ROW.take(ids.ravel()), axis=0)
+    x.reshape(n, WINDOW, DIM)[...] += w["pos"]
+    qkv = (x @ w["qkv"]).reshape(n, WINDOW, 3 * DIM)
+    q, k, v = qkv[..., :DIM], qkv[..., DIM : 2 * DIM], qkv[..., 2 * DIM :]
+    a = q @ k.transpose(0, 2, 1)
+    a += _CAUSAL
+    _exp(a)
+    a *= (1 / np.maximum(a.sum(axis=2), np.float32(1e-30)))[..., None]
+    o = (a @ v).reshape(-1, DIM)
+    return x, q, k, v, a, o, x + o @ w["o"]
 
 
 def class_log_probs(w, ids: np.ndarray, scored: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Natural log-probability of the class ``wanted`` at the ``scored`` places of each window."""
-    h = _forward(w, ids)[-1][scored]
+    h = _forward(w, ids)[-1][scored.ravel()]
     z = h @ w["out"]
-    z += w["bias"]
-    np.clip(z, -60, 60, out=z)
-    own = z[np.arange(len(z)), wanted]
-    np.exp(z, out=z)
-    return own - np.log(z @ np.ones(z.shape[1], np.float32))
+    own = np.minimum(z[np.arange(len(z)), wanted], LARGEST) + w["bias"][wanted]
+    return own - np.log(_exp(z) @ np.exp(w["bias"]))
 
 
 class Trainer:
     """Adagrad over batches of full windows."""
 
     def __init__(self, w: dict[str, np.ndarray], rate: float = 0.08):
-        self.w, self.rate = {n: a.copy() for n, a in w.items()}, rate
+        self.w, self.rate = {n: a.copy() for n, a in w.items()}, np.float32(rate)
         self.g = {n: np.full(a.shape, 1e-6, np.float32) for n, a in w.items()}
         self.seen = 0
 
-    def step(self, ids: np.ndarray, wanted: np.ndarray, valid: np.ndarray) -> float:
-        w = self.w
+    def step(self, ids: np.ndarray, wanted: np.ndarray, valid: np.ndarray) -> None:
+        """One step on windows ``ids`` (what stands before) towards classes ``wanted`` at the ``valid`` places."""
+        w, n = self.w, len(ids)
         x, q, k, v, a, o, h = _forward(w, ids)
-        n = max(1, int(valid.sum()))
-        z = h @ w["out"] + w["bias"]
-        z -= z.max(axis=2, keepdims=True)
-        p = np.exp(z)
-        p /= p.sum(axis=2, keepdims=True)
-        b, t = np.nonzero(valid)
-        loss = -np.log(p[b, t, wanted[b, t]] + 1e-12).mean() if len(b) else 0.0
-        p[b, t, wanted[b, t]] -= 1
-        p[~valid] = 0
-        p /= n
-        grad = {"out": np.einsum("btd,btc->dc", h, p), "bias": p.sum(axis=(0, 1))}
-        dh = p @ w["out"].T
-        do = dh @ w["o"].T
-        grad["o"] = np.einsum("btd,bte->de", o, dh)
-        da = do @ v.transpose(0, 2, 1)
-        dv = a.transpose(0, 2, 1) @ do
-        ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-        dq, dk = ds @ k * np.float32(DIM**-0.5), ds.transpose(0, 2, 1) @ q  # q is scaled already
-        dx = dh + dq @ w["q"].T + dk @ w["k"].T + dv @ w["v"].T
-        for name, d in (("q", dq), ("k", dk), ("v", dv)):
-            grad[name] = np.einsum("btd,bte->de", x, d)
-        grad["pos"] = dx.sum(axis=0)
-        rows, back = np.unique(hashed(ids).ravel(), return_inverse=True)
-        flat_dx = dx.reshape(-1, DIM)
-        d_emb = np.stack([np.bincount(back, flat_dx[:, c], minlength=len(rows)) for c in range(DIM)], axis=1).astype(np.float32)
-        for name, d in grad.items():
-            self.g[name] += d * d
-            w[name] -= self.rate * d / np.sqrt(self.g[name])
-        self.g["emb"][rows] += d_emb * d_emb
-        w["emb"][rows] -= self.rate * d_emb / np.sqrt(self.g["emb"][rows])
-        self.seen += len(ids)
-        return float(loss)
-
-
-def cluster(ids: np.ndarray, classes: int = CLASSES, seed: int = 5) -> np.ndarray:
-    """Class of every vocabulary id from its neighbours in a sample of token ids.
-
-    k-means over the hashed distributions of what stands before and after an id; ids that
-    the sample lacks share class 0; the end id has a class of its own.
+        wanted, valid = wanted.ravel(), valid.ravel()
+        # p - onehot of a row is scale * (z * lift - onehot * total): the scale goes to the narrow side of each product
+        z = _exp(h @ w["out"])
+        lift = np.exp(w["bias"])
+        total = z @ lift
+        z[np.arange(len(z)), wanted] -= total / lift[wanted]
+        scale = (valid / (total * np.float32(max(1, int(valid.sum()))))).astype(np.float32)
+        grad = {"out": ((h * scale[:, None]).T @ z) * lift, "bias": (scale @ z) * lift}
+        dh = (z @ (w["out"] * lift).T) * scale[:, None]
+        grad["o"] = o.T @ dh
+        do = (dh @ w["o"].T).reshape(n, WINDOW, DIM)
+        ds = do @ v.transpose(0, 2, 1)
+        ds *= a
+        ds -= a * ds.sum(axis=2, keepdims=True)
+        d = np.empty((n, WINDOW, 3 * DIM), np.float32)
+        np.matmul(ds, k, out=d[..., :DIM])
+        np.matmul(ds.transpose(0, 2, 1), q, out=d[..., DIM : 2 * DIM])
+        np.matmul(a.transpose(0, 2, 1), do, out=d[..., 2 * DIM :])
+        d = d.reshape(-1, 3 * DIM)
+        dx = dh + d @ w["qkv"].T
+        grad["qkv"] = x.T @ d
+        grad["pos"] = dx.reshape(n, WINDOW, DIM).sum(axis=0)
+        for name, g in grad.items():
+            self.g[name] += g * g
+            w[name] -= self.rate * g / np.sqrt(self.g[name])
+        # each embedding row's gradient: the sum over its places
+        row = ROW.take(ids.ravel())
+        order = np.argsort(row, kind="stable")
+        row = row[order]
+        first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+        g = np.add.reduceat(dx.take(order, axis=0), first, axis=0)
+        row = row[first]
+        held = self.g["emb"].take(row, axis=0) + g * g
+        self.g["emb"][row] = held
+        w["emb"][row] -= self.rate * g / np.sqrt(held)
+        self.seen += n
+
+
+def neighbours(before: np.ndarray, after: np.ndarray, table: np.ndarray) -> None:
+    """Adds to ``table`` (id, place) what stands before each id (first half of the places) and after it."""
+    one = table.dtype.type(1)
+    np.add.at(table.ravel(), after * (2 * PLACES) + PLACE.take(before), one)
+    np.add.at(table.ravel(), before * (2 * PLACES) + PLACES + PLACE.take(after), one)
+
+
+def cluster(table: np.ndarray, classes: int = CLASSES, seed: int = 5) -> np.ndarray:
+    """Class of every vocabulary id from the table of its neighbours.
+
+    k-means over the distributions of what stands before and after an id; ids that never occurred
+    share class 0; the end id has a class of its own.
     """
-    before, after = ids[:-1], ids[1:]
-    width = 64
-    spot = lambda x: np.where(x < 48, x % 48, 48 + x % 16)
-    top = np.argsort(-np.bincount(ids, minlength=VOCABULARY))
-    rank = np.empty(VOCABULARY, np.int64)
-    rank[top] = np.arange(VOCABULARY)
-    table = np.zeros((VOCABULARY, 2 * width), np.float32)
-    np.add.at(table, (after, spot(rank[before])), 1)
-    np.add.at(table, (before, width + spot(rank[after])), 1)
-    count = table.sum(axis=1)
+    count = table.sum(axis=1, dtype=np.float64).astype(np.float32)
     known = np.flatnonzero(count > 0)
+    out = np.zeros(VOCABULARY, np.int64)
+    out[END] = classes - 1
+    if not len(known):
+        return out
     m = np.sqrt(table[known] / count[known, None])
     rng = np.random.default_rng(seed)
-    order = known[np.argsort(-count[known])]
-    centre = np.sqrt(table[order[: classes - 2]] / count[order[: classes - 2], None])
+    order = np.argsort(-count[known], kind="stable")
+    centre = m[order[: classes - 2]]
     if len(centre) < classes - 2:
-        centre = np.vstack([centre, rng.random((classes - 2 - len(centre), 2 * width), np.float32)])
+        centre = np.vstack([centre, rng.random((classes - 2 - len(centre), m.shape[1]), np.float32)])
+    weight = np.sqrt(count[known])
     for _ in range(12):
         near = (m @ centre.T - 0.5 * (centre**2).sum(axis=1)).argmax(axis=1)
-        weight = np.sqrt(count[known])
         total = np.bincount(near, weight, minlength=classes - 2)
-        for c in range(2 * width):
+        for c in range(m.shape[1]):
             centre[:, c] = np.where(total > 0, np.bincount(near, weight * m[:, c], minlength=classes - 2) / np.maximum(total, 1e-9), centre[:, c])
-    out = np.zeros(VOCABULARY, np.int64)
     out[known] = near + 1
     out[END] = classes - 1
     return out
@@ -172,28 +189,32 @@ def count_table(pairs: np.ndarray, classes_of: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Windows:
-    """Overlapping windows over many texts' tokens, in which every token is scored once."""
+    """Windows over many texts' tokens."""
 
     ids: np.ndarray  # windows x WINDOW, what stands before
     wanted: np.ndarray  # windows x WINDOW, the id to predict
     scored: np.ndarray  # windows x WINDOW
     at: np.ndarray  # windows x WINDOW, the place of the id to predict
+    text: np.ndarray  # the text of each window
+    nth: np.ndarray  # its number in the text
 
 
-def windows(tokens: np.ndarray, ends: np.ndarray) -> Windows:
-    """Windows of texts whose tokens (each text's end id included) stop at ``ends``."""
+def windows(tokens: np.ndarray, ends: np.ndarray, overlap: int = OVERLAP) -> Windows:
+    """Windows of texts whose tokens (each text's end id included) stop at ``ends``; every token is scored in exactly one."""
     begins = np.concatenate([[0], ends[:-1]])
     size = ends - begins
-    many = 1 + np.maximum(0, -(-(size - WINDOW) // STEP))
+    step = WINDOW - overlap
+    many = 1 + np.maximum(0, -(-(size - WINDOW) // step))
     text = np.repeat(np.arange(len(ends)), many)
     nth = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
-    place = nth[:, None] * STEP + np.arange(WINDOW)
+    place = (nth * step)[:, None] + np.arange(WINDOW)
     inside = place < size[text][:, None]
     at = np.minimum(place + begins[text][:, None], len(tokens) - 1)
     wanted = tokens[at]
-    ids = np.where(place == 0, END, tokens[np.maximum(at - 1, 0)])
-    scored = inside & ((np.arange(WINDOW) >= OVERLAP) | (nth == 0)[:, None])
-    return Windows(ids, wanted, scored, at)
+    ids = tokens[np.maximum(at - 1, 0)]
+    ids[nth == 0, 0] = END
+    scored = inside & ((np.arange(WINDOW) >= overlap) | (nth == 0)[:, None])
+    return Windows(ids, wanted, scored, at, text, nth)
 
 
 @dataclass
@@ -202,7 +223,7 @@ class Model:
     classes_of: np.ndarray
     in_class: np.ndarray
 
-    def token_log10(self, tokens: np.ndarray, ends: np.ndarray, batch: int = 2048) -> np.ndarray:
+    def token_log10(self, tokens: np.ndarray, ends: np.ndarray, batch: int = 128) -> np.ndarray:
         """log10 probability of every token; ``tokens`` hold each text's ids and its end id."""
         w = windows(tokens, ends)
         out = np.zeros(len(tokens), np.float32)

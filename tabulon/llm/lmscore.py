@@ -1,8 +1,12 @@
 """Language-model scoring of documents: a causal attention model and a word-unigram base.
 
-One pass over the training documents gathers, per task: word counts, subword counts
-by class before, and the weights after local gradient steps on a window of every
-document (averaged over all tasks).  One pass over all documents scores them.
+1. ``tokenized``: every text is split and tokenized once; its subword ids are stored with it.  The same pass
+   counts, per task, words and the neighbours of every subword id in the training documents.
+2. Subword classes are clustered from all these neighbours.
+3. ``learn``: every window of every training document takes part in one gradient step: a quarter of the
+   windows in a first round, the others in a second one that starts from the first round's average.  Each
+   task steps by itself; weights are averaged by windows seen.  The first round also counts ids by the class before.
+4. ``score``: overlapping windows score each token once, from the stored ids.
 
 Word counts are looked up in two ways.  The ``COMMON`` most frequent short words, a
 bounded table, are broadcast; they cover most tokens and every hot word.  All other
@@ -11,11 +15,16 @@ words are joined with the count table as (word, document) pairs.
 A text's score is the log10 probability of its lower-cased words and its end: each word's
 is a mixture of the attention model's (its subword ids given all before) and, with
 ``CACHE_SHARE``, of a unigram cache of the common words.
+
+What reaches the driver is bounded whatever the corpus: ``COMMON`` words, one count per (id, place) and per
+(class, id), and ``SUMS`` vectors of weights.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
@@ -24,22 +33,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.llm import attention
-from tabulon.llm.attention import CLASSES, END, VOCABULARY, WINDOW
-from tabulon.llm.common import bounded_batches, crc_class, stored, table, text_or_empty
+from tabulon.llm.attention import BATCH, CLASSES, END, PLACES, VOCABULARY
+from tabulon.llm.common import crc_class, slices, stored, table, text_or_empty
 from tabulon.llm.packing import Tokenizer
 
 #: Words of at most this many bytes, and how many of them, are broadcast: at most 8 MB.
 COMMON, COMMON_BYTES = 131_072, 48
-#: Bounded sample on which classes and first weights are fitted (documents, bytes of each).
-SAMPLE_DOCS, SAMPLE_BYTES = 1000, 4000
-SAMPLE_EPOCHS = 3
-#: Windows of each training document that take part in the gradient steps.
-STEPS_PER_DOC = 1
+#: Windows of round 0 are one in so many, the others are of round 1; and the steps' rates.
+FIRST_ONE_IN, RATES = 4, (0.1, 0.15)
+#: Vectors of weights that are summed on the driver.
+SUMS = 16
 #: Share of the unigram cache of common words in a word's probability.
 CACHE_SHARE = 0.2
 HELD_OUT = 7, 2
 #: The end token; no word holds white space.
 END_WORD = b"\n"
+#: Words that a task counts, or whose ids it remembers, at once.
 FLUSH = 300_000
 
 
@@ -48,26 +57,36 @@ def words_of(text: str) -> list[bytes]:
 
 
 class Subwords(dict):
-    """Subword ids of words, as bytes of 32-bit integers, remembered by word."""
+    """Subword ids of words, as bytes of 16-bit integers, remembered by word."""
 
     def __init__(self, ranks_path: str | None = None):
         self._whole = Tokenizer(ranks_path).whole
 
     def __missing__(self, word: bytes) -> bytes:
-        found = self._whole(" " + word.decode("utf-8", "replace"))
+        found = np.frombuffer(self._whole(" " + word.decode("utf-8", "replace")), np.uint32).astype(np.uint16).tobytes()
         if len(word) < 40:
             self[word] = found
         return found
 
-    def tokens(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All texts' ids in one array, each text closed by the end id; where each text stops; ids of each word and end."""
+    def ids(self, words: list[bytes]) -> bytes:
+        """The 16-bit ids of a text's words and its end."""
         if len(self) > FLUSH:
             self.clear()
-        stop = [np.array([END], np.uint32).tobytes()]
-        parts = [p for words in texts for p in (*map(self.__getitem__, words), *stop)]
-        size = np.fromiter(map(len, parts), np.int64, len(parts)) >> 2
-        word_ends = np.cumsum([len(words) + 1 for words in texts])
-        return np.frombuffer(b"".join(parts), np.uint32).astype(np.int64), np.cumsum(size)[word_ends - 1], size
+        return b"".join(map(self.__getitem__, words)) + END_ID
+
+
+#: The end id as bytes; and whether an id begins with a space, as the first one of every word does.
+END_ID = np.array([END], np.uint16).tobytes()
+
+
+@cache
+def begins_word(ranks_path: str | None = None) -> np.ndarray:
+    """Per id: whether a word, or the end of a text, begins with it."""
+    out = np.zeros(VOCABULARY, bool)
+    for token, i in Tokenizer(ranks_path).ranks.items():
+        out[i] = token.startswith(b" ")
+    out[END] = True
+    return out
 
 
 @cache
@@ -76,25 +95,8 @@ def subwords(ranks_path: str | None = None) -> Subwords:
     return Subwords(ranks_path)
 
 
-def first_fit(texts: list[str], ranks_path: str | None = None) -> tuple[np.ndarray, dict]:
-    """(class of every id, first weights) from the sample."""
-    tokens, ends, _ = subwords(ranks_path).tokens([words_of(t) for t in texts])
-    if not len(tokens):
-        tokens, ends = np.array([END]), np.array([1])
-    classes_of = attention.cluster(np.concatenate([[END], tokens]))
-    w = attention.windows(tokens, ends)
-    trainer = attention.Trainer(attention.fresh())
-    rng = np.random.default_rng(3)
-    for _ in range(SAMPLE_EPOCHS):
-        order = rng.permutation(len(w.ids))
-        for i in range(0, len(order), 64):
-            part = order[i : i + 64]
-            trainer.step(w.ids[part], classes_of[w.wanted[part]], w.scored[part])
-    return classes_of, trainer.w
-
-
-def _chunks(texts: list, limit: int = 400_000):
-    """Runs of a batch's texts of about ``limit`` characters."""
+def _chunks(texts: list, limit: int = 400_000) -> Iterator[slice]:
+    """Runs of a batch's texts (or ids) of about ``limit`` characters (or bytes)."""
     at = 0
     while at < len(texts):
         upto, size = at, 0
@@ -105,88 +107,208 @@ def _chunks(texts: list, limit: int = 400_000):
         at = upto
 
 
-def gather(docs: DataFrame, classes_of: np.ndarray, weights: dict, text_col: str = "text", ranks_path: str | None = None) -> DataFrame:
-    """Rows of three kinds from the training documents, each task's share.
+def joined(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All texts' stored ids in one array, and where each text stops."""
+    return np.frombuffer(b"".join(ids), np.uint16).astype(np.int64), np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) >> 1)
 
-    (word, n): word counts, the end included; (pair, n): counts of class-before
-    and id; (vec, n): weights after the task's steps, and windows seen.
-    """
-    bounded_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast((classes_of.astype(np.int16), attention.flat(weights)))
-    source = docs.select(text_or_empty(text_col).alias("text"))
-    schema = pa.schema([("word", pa.binary()), ("pair", pa.int32()), ("vec", pa.list_(pa.float32())), ("n", pa.int64())])
 
-    def rows(words=(), pairs=(), vecs=(), n=()):
-        k = len(n)
-        nothing = [None] * k
-        return pa.RecordBatch.from_arrays([pa.array(words or nothing, pa.binary()), pa.array(pairs if len(pairs) else nothing, pa.int32()),
-                                           pa.array(vecs or nothing, pa.list_(pa.float32())), pa.array(n, pa.int64())], schema=schema)
+def _before(tokens: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """What stands before each token; the end id before a text's first."""
+    before = np.concatenate([[END], tokens[:-1]])
+    before[ends[:-1]] = END
+    return before
+
+
+def _counted(at: np.ndarray, n: np.ndarray, columns: list[str], name: str) -> Iterator[pa.RecordBatch]:
+    """Rows (``name``, n); the other columns are null."""
+    for i in range(0, len(at), 100_000):
+        part = {name: pa.array(at[i : i + 100_000], pa.int32()), "n": pa.array(n[i : i + 100_000], pa.int64())}
+        yield _rows(part, columns)
+
+
+_TYPES = {"th": pa.int64(), "held": pa.bool_(), "text": pa.string(), "ids": pa.binary(), "word": pa.binary(), "near": pa.int32(), "pair": pa.int32(),
+          "vec": pa.binary(), "n": pa.int64()}
+
+
+def _rows(part: dict[str, pa.Array], columns: list[str], types: dict | None = None) -> pa.RecordBatch:
+    many = len(next(iter(part.values())))
+    types = {**_TYPES, **(types or {})}
+    return pa.RecordBatch.from_arrays([part[c] if c in part else pa.nulls(many, types[c]) for c in columns], names=columns)
+
+
+def tokenized(source: DataFrame, ranks_path: str | None = None) -> DataFrame:
+    """From (id, held, text), rows of three kinds.
+
+    (id, th, held, text, ids): every text with its subword ids, the end included; (word, n): counts of the training texts'
+    words and ends; (near, n): how often each id stands next to each place.  Counts are a task's share.
+    """
+    id_type = dict(source.dtypes)["id"]
+    columns = ["id", "th", "held", "text", "ids", "word", "near", "n"]
+    keyed = source.select("id", F.xxhash64("text").alias("th"), "held", "text")
 
     def run(batches):
-        known, first = shared.value
-        known = known.astype(np.int64)
         sub = subwords(ranks_path)
         counts: Counter = Counter()
-        pairs = np.zeros(CLASSES * VOCABULARY, np.int64)
-        trainer = attention.Trainer(attention.unflat(first), rate=0.04)
-        held: list = []
-
-        def learn(least: int) -> None:
-            while len(held) >= max(1, least):
-                part = [held.pop() for _ in range(min(64, len(held)))]
-                ids, wanted, scored = (np.stack(x) for x in zip(*part))
-                trainer.step(ids, known[wanted], scored)
-
-        for b in batches:
-            texts = [t.as_py() for t in b.column(0)]
+        near = np.zeros((VOCABULARY, 2 * PLACES), np.int32)
+        types = None
+
+        def words() -> pa.RecordBatch:
+            out = _rows({"word": pa.array(list(counts), pa.binary()), "n": pa.array(list(counts.values()), pa.int64())}, columns, types)
+            counts.clear()
+            return out
+
+        for b in slices(batches):
+            types = {"id": b.schema.field(0).type}
+            texts = b.column(3).to_pylist()
+            train = [not h for h in b.column(2).to_pylist()]
+            found = []
             for part in _chunks(texts):
                 split = [words_of(t) for t in texts[part]]
-                for words in split:
-                    counts.update(words)
-                counts[END_WORD] += len(split)
-                tokens, ends, _ = sub.tokens(split)
-                begins = np.concatenate([[0], ends[:-1]])
-                before = np.concatenate([[END], tokens[:-1]])
-                before[begins] = END
-                at, n = np.unique(known[before] * VOCABULARY + tokens, return_counts=True)
-                pairs[at] += n
-                # windows of every document, anywhere in it
-                size = ends - begins
-                for turn in range(STEPS_PER_DOC):
-                    start = begins + np.maximum(0, size - WINDOW) * (((ends + turn) * 2654435761 >> 7) % 1024) // 1024
-                    place = start[:, None] + np.arange(WINDOW)
-                    inside = place < ends[:, None]
-                    place = np.minimum(place, len(tokens) - 1)
-                    held += list(zip(before[place], tokens[place], inside))
-                learn(64)
+                ids = [sub.ids(w) for w in split]
+                found += ids
+                for w, t in zip(split, train[part]):
+                    if t:
+                        counts.update(w)
+                        counts[END_WORD] += 1
+                learned = [i for i, t in zip(ids, train[part]) if t]
+                if learned:
+                    tokens, ends = joined(learned)
+                    attention.neighbours(_before(tokens, ends), tokens, near)
                 if len(counts) > FLUSH:
-                    yield from (rows(words=list(counts), n=list(counts.values())),)
-                    counts.clear()
-        learn(1)
+                    yield words()
+            yield _rows({**dict(zip(("id", "th", "held", "text"), b.columns)), "ids": pa.array(found, pa.binary())}, columns, types)
         if counts:
-            yield rows(words=list(counts), n=list(counts.values()))
-        at = np.flatnonzero(pairs)
-        for i in range(0, len(at), 100_000):
-            yield rows(pairs=at[i : i + 100_000].astype(np.int32), n=pairs[at[i : i + 100_000]])
+            yield words()
+        if types:
+            at = np.flatnonzero(near)
+            for i in range(0, len(at), 100_000):
+                part = at[i : i + 100_000]
+                yield _rows({"near": pa.array(part, pa.int32()), "n": pa.array(near.ravel()[part], pa.int64())}, columns, types)
+
+    return keyed.mapInArrow(run, f"id {id_type}, th long, held boolean, text string, ids binary, word binary, near int, n long")
+
+
+def learn(docs: DataFrame, classes_of: np.ndarray, weights: dict, turn: int) -> DataFrame:
+    """Rows of two kinds from the training documents' (th, ids), each task's share.
+
+    (vec, n): weights after steps on all windows of round ``turn``, and how many these are; (pair, n), in round 0:
+    counts of (class of the id before, id).
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((classes_of.astype(np.int16), attention.flat(weights)))
+    columns = ["pair", "vec", "n"]
+
+    def run(batches):
+        known, first = shared.value
+        known = known.astype(np.int64)
+        pairs = np.zeros((CLASSES, VOCABULARY), np.int64) if turn == 0 else None
+        trainer = attention.Trainer(attention.unflat(first), rate=RATES[turn])
+        left: list[np.ndarray] = []
+        rng = np.random.default_rng(turn)
+
+        def steps(ids, wanted, valid, least: int):
+            """Full batches are learned; what is left over is returned."""
+            at = 0
+            while len(ids) - at >= least:
+                part = slice(at, at + BATCH)
+                trainer.step(ids[part], known[wanted[part]], valid[part])
+                at += BATCH
+            return [x[at:] for x in (ids, wanted, valid)]
+
+        for b in slices(batches):
+            stored_ids = b.column(1).to_pylist()
+            for part in _chunks(stored_ids):
+                tokens, ends = joined(stored_ids[part])
+                if pairs is not None:
+                    np.add.at(pairs.ravel(), known[_before(tokens, ends)] * VOCABULARY + tokens, 1)
+                w = attention.windows(tokens, ends, overlap=0)
+                th = b.column(0).slice(part.start, len(ends)).to_numpy()
+                mine = (((th[w.text] + w.nth) % FIRST_ONE_IN == 0) == (turn == 0)).nonzero()[0]
+                rng.shuffle(mine)
+                new = [w.ids[mine], w.wanted[mine], w.scored[mine]]
+                left = steps(*([np.concatenate(x) for x in zip(left, new)] if left else new), BATCH)
+        if left and len(left[0]):
+            steps(*left, 1)
+        if pairs is not None:
+            at = np.flatnonzero(pairs)
+            yield from _counted(at, pairs.ravel()[at], columns, "pair")
         if trainer.seen:
-            yield rows(vecs=[attention.flat(trainer.w)], n=[trainer.seen])
+            yield _rows({"vec": pa.array([attention.flat(trainer.w).tobytes()], pa.binary()), "n": pa.array([trainer.seen], pa.int64())}, columns)
 
-    return source.mapInArrow(run, "word binary, pair int, vec array<float>, n long")
+    return docs.select("th", "ids").mapInArrow(run, "pair int, vec binary, n long")
 
 
-def text_scores(lm: attention.Model, sub: Subwords, split: list[list[bytes]], known: np.ndarray, cached: int) -> np.ndarray:
+def averaged(vectors: DataFrame, weights: dict) -> dict:
+    """The mean of (vec, n) rows' weights by n; ``weights`` where there is no row.  Sums are taken in tasks first."""
+
+    def run(batches):
+        total, many = 0.0, 0
+        for b in slices(batches, 64):
+            for vec, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                total, many = total + np.frombuffer(vec, np.float32) * np.float64(n), many + n
+        if many:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()), pa.array([many], pa.int64())], names=["vec", "n"])
+
+    sums = vectors.repartition(SUMS).mapInArrow(run, "vec binary, n long").toArrow()
+    if not sums.num_rows:
+        return weights
+    total = sum(np.frombuffer(v, np.float64) for v in sums["vec"].to_pylist())
+    return attention.unflat(total / sum(sums["n"].to_pylist()))
+
+
+def _table(rows: DataFrame, key: str, shape: tuple[int, int]) -> np.ndarray:
+    """Sums of n per key as a table of a fixed shape, which bounds what reaches the driver."""
+    out = np.zeros(shape, np.int64)
+    found = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum("n").alias("n")).toArrow()
+    out.ravel()[found[key].to_numpy()] = found["n"].to_numpy()
+    return out
+
+
+@dataclass
+class Fitted:
+    """All that scoring needs of the training documents."""
+
+    model: attention.Model
+    common: dict[bytes, int]
+    cached: int  # tokens that the common words and the ends make up
+    ends: int
+    n_all: int
+    n_distinct: int
+
+
+def fit(tokens: DataFrame, counts: DataFrame) -> Fitted:
+    """The model of the training rows of a stored ``tokenized`` table; ``counts`` are its summed (word, c)."""
+    is_end = F.col("word") == F.lit(END_WORD)
+    totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.when(is_end, F.col("c"))), F.lit(0))).first()
+    n_all, n_distinct, n_ends = map(int, totals)
+    top = counts.where(F.length("word") <= COMMON_BYTES).orderBy(F.desc("c"), "word").limit(COMMON).toArrow()
+    common = dict(zip(top["word"].to_pylist(), top["c"].to_pylist()))
+    classes_of = attention.cluster(_table(tokens, "near", (VOCABULARY, 2 * PLACES)).astype(np.float32))
+    train = tokens.where("ids IS NOT NULL AND NOT held")
+    weights, pairs = attention.fresh(), None
+    for turn in range(len(RATES)):
+        learned = stored(learn(train, classes_of, weights, turn), "lm-learned")
+        if turn == 0:
+            pairs = _table(learned, "pair", (CLASSES, VOCABULARY))
+        weights = averaged(learned.where("vec IS NOT NULL").select("vec", "n"), weights)
+    model = attention.Model(weights, classes_of, attention.count_table(pairs, classes_of))
+    cached = n_ends + sum(c for w, c in common.items() if w != END_WORD)
+    return Fitted(model, common, cached, n_ends, n_all, n_distinct)
+
+
+def text_scores(lm: attention.Model, ids: list[bytes], first: np.ndarray, known: np.ndarray, cached: int) -> np.ndarray:
     """log10 probability of each text's words and end.
 
-    ``known`` has log10(count + 1) of every word and end in order, 0 for a word that is not common.
+    ``known`` has log10(count + 1) of every word and end in order, 0 for a word that is not common; ``first`` tells
+    which ids begin a word.
     """
-    tokens, ends, size = sub.tokens(split)
-    by_token = lm.token_log10(tokens, ends)
-    model = np.add.reduceat(by_token, np.cumsum(size) - size, dtype=np.float64)
+    tokens, ends = joined(ids)
+    at = np.flatnonzero(first[tokens])
+    model = np.add.reduceat(lm.token_log10(tokens, ends), at, dtype=np.float64)
     with np.errstate(divide="ignore", over="ignore"):
         cache_part = CACHE_SHARE / max(cached, 1) * (10.0**known - 1)
         mixed = np.where(model > -290, np.log10(cache_part + (1 - CACHE_SHARE) * 10.0**model), model + np.log10(1 - CACHE_SHARE))
-    words = np.array([len(w) + 1 for w in split])
-    return np.add.reduceat(mixed, np.cumsum(words) - words)
+    words = np.searchsorted(at, ends)
+    return np.add.reduceat(mixed, np.concatenate([[0], words[:-1]]))
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None) -> DataFrame:
@@ -196,49 +318,32 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks
     count is zero and the model stays at its first weights.  Repeated rows repeat; extra
     columns are not read; an empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    bounded_batches(spark)
     modulus, held = HELD_OUT
     source = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    training = source.where(crc_class("id", modulus) != held)
-    sample_ids = training.select("id").where("id IS NOT NULL").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS)
-    sample = source.join(F.broadcast(sample_ids.distinct()), "id").select("id", F.substring("text", 1, SAMPLE_BYTES).alias("text"))
-    texts = [r["text"] for r in sorted(sample.collect(), key=lambda r: (str(r["id"]), r["text"]))[: 2 * SAMPLE_DOCS]]
-    classes_of, weights = first_fit(texts, ranks_path)
-
-    gathered = stored(gather(training, classes_of, weights, "text", ranks_path), "lm-gathered")
-    counts = stored(gathered.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
-    totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.when(F.col("word") == F.lit(END_WORD), F.col("c"))), F.lit(0))).first()
-    n_all, n_distinct, n_ends = map(int, totals)
-    common = counts.where(F.length("word") <= COMMON_BYTES).orderBy(F.desc("c"), "word").limit(COMMON).collect()
-    pairs = np.zeros(CLASSES * VOCABULARY, np.int64)
-    found = gathered.where("pair IS NOT NULL").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # at most classes x vocabulary rows
-    pairs[found["pair"].to_numpy()] = found["n"].to_numpy()
-    # weights averaged by windows seen: a fixed number of sums, however many tasks
-    mean = (gathered.where("vec IS NOT NULL").select(F.posexplode("vec").alias("i", "x"), "n")
-            .groupBy("i").agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("x")).toArrow())
-    if mean.num_rows:
-        vec = np.zeros(mean.num_rows)
-        vec[mean["i"].to_numpy()] = mean["x"].to_numpy()
-        weights = attention.unflat(vec)
-    model = attention.Model(weights, classes_of, attention.count_table(pairs.reshape(CLASSES, VOCABULARY), classes_of))
-    cached = n_ends + sum(r["c"] for r in common if bytes(r["word"]) != END_WORD)
-    shared = spark.sparkContext.broadcast((model, cached, {r["word"] if isinstance(r["word"], bytes) else bytes(r["word"]): r["c"] for r in common}, n_ends))
-    keyed = source.select("id", F.xxhash64("text").alias("th"), "text")
-    id_type = dict(source.dtypes)["id"]
+    source = source.select("id", (crc_class("id", modulus) == held).alias("held"), "text")
+    tokens = stored(tokenized(source, ranks_path), "lm-tokens")
+    counts = stored(tokens.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
+    fitted = fit(tokens, counts)
+    return scored(tokens.where("ids IS NOT NULL").select("id", "th", "text", "ids"), counts, fitted, ranks_path)
+
+
+def scored(texts: DataFrame, counts: DataFrame, fitted: Fitted, ranks_path: str | None = None) -> DataFrame:
+    """The rows of ``score`` for stored (id, th, text, ids)."""
+    shared = texts.sparkSession.sparkContext.broadcast(fitted)
+    id_type = dict(texts.dtypes)["id"]
     names = ["word", "id", "th", "tf", "logs", "known", "n_tokens", "score"]
 
     def run(batches):
-        lm, cached, seen, ends_seen = shared.value
-        logs = {w: float(np.log10(c + 1.0)) for w, c in seen.items()}
-        sub = subwords(ranks_path)
-        end_log, get = float(np.log10(ends_seen + 1.0)), logs.get
-        for b in batches:
-            texts = [t.as_py() for t in b.column(2)]
+        f: Fitted = shared.value
+        first = begins_word(ranks_path)
+        get = {w: float(x) for w, x in zip(f.common, np.log10(np.fromiter(f.common.values(), np.float64, len(f.common)) + 1.0))}.get
+        end_log = float(np.log10(f.ends + 1.0))
+        for b in slices(batches):
+            texts, all_ids = b.column(2).to_pylist(), b.column(3).to_pylist()
             for part in _chunks(texts):
-                split = [words_of(t) for t in texts[part]]
-                at, word, tf, looked = [], [], [], []
-                for i, words in enumerate(split):
+                at, word, tf, looked, many = [], [], [], [], []
+                for i, text in enumerate(texts[part]):
+                    words = words_of(text)
                     found = list(map(get, words))
                     if None in found:
                         rest = Counter(w for w, x in zip(words, found) if x is None)
@@ -246,26 +351,26 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks
                         tf += rest.values()
                         at += [i] * len(rest)
                     found.append(end_log)
+                    many.append(len(found))
                     looked.append(np.array(found, np.float64))  # None becomes nan
                 known = np.concatenate(looked)
                 common = ~np.isnan(known)
                 known[~common] = 0.0
-                scores = text_scores(lm, sub, split, known, cached)
-                many = np.array([len(w) + 1 for w in split])
+                scores = text_scores(f.model, all_ids[part], first, known, f.cached)
                 begin = np.cumsum(many) - many
                 sums = np.add.reduceat(known, begin).tolist()
-                seen_words = (np.add.reduceat(common.astype(np.int64), begin) - (ends_seen == 0)).tolist()
-                n, first = len(split), part.start
-                rows = pa.array(np.concatenate([np.arange(n), np.array(at, np.int64)]) + first, pa.int64())
-                th = b.column(1).slice(first, n).to_numpy()
+                seen_words = (np.add.reduceat(common.astype(np.int64), begin) - (f.ends == 0)).tolist()
+                n, start = len(many), part.start
+                rows = pa.array(np.concatenate([np.arange(n), np.array(at, np.int64)]) + start, pa.int64())
+                th = b.column(1).slice(start, n).to_numpy()
                 keys = [END_WORD + x.tobytes() for x in th]  # the document's own row: a key of its own, which no word equals
                 pad = [None] * len(word)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(keys + word, pa.binary()), b.column(0).take(rows), b.column(1).take(rows), pa.array([0] * n + tf, pa.int64()),
                     pa.array(sums + pad, pa.float64()), pa.array(seen_words + pad, pa.int64()),
-                    pa.array([len(w) + 1 for w in split] + pad, pa.int64()), pa.array(scores.tolist() + pad, pa.float64())], names=names)
+                    pa.array(many + pad, pa.int64()), pa.array(scores.tolist() + pad, pa.float64())], names=names)
 
-    found = keyed.mapInArrow(run, f"word binary, id {id_type}, th long, tf long, logs double, known long, n_tokens long, score double")
+    found = texts.mapInArrow(run, f"word binary, id {id_type}, th long, tf long, logs double, known long, n_tokens long, score double")
     looked = found.join(counts.withColumnRenamed("word", "w"), F.col("word") == F.col("w"), "left")
     c = F.coalesce("c", F.lit(0))
     per_doc = looked.groupBy("id", "th").agg(
@@ -273,11 +378,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks
         F.max("logs").alias("logs"), F.max("known").alias("known"),
         F.sum(F.col("tf") * F.log10(c + F.lit(1.0))).alias("rare_logs"), F.sum(F.when(c > 0, F.col("tf")).otherwise(F.lit(0))).alias("rare_known"))
     each = per_doc.select("*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    unit = float(np.log10(n_all + n_distinct + 1.0))
+    unit = float(np.log10(fitted.n_all + fitted.n_distinct + 1.0))
+    modulus, held = HELD_OUT
     return each.select(
         "id", (crc_class("id", modulus) == held).alias("held_out"), "n_tokens",
         (F.col("known") + F.col("rare_known") / F.col("copies")).cast("long").alias("n_known"),
-        F.lit(n_all).cast("long").alias("train_tokens"),
+        F.lit(fitted.n_all).cast("long").alias("train_tokens"),
         (F.col("logs") + F.col("rare_logs") / F.col("copies") - F.col("n_tokens") * F.lit(unit)).alias("base_score"), "score")
 
 
