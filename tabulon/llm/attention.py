@@ -9,6 +9,7 @@ classes x vocabulary, whatever the corpus size.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -199,14 +200,20 @@ class Windows:
     nth: np.ndarray  # its number in the text
 
 
-def windows(tokens: np.ndarray, ends: np.ndarray, overlap: int = OVERLAP) -> Windows:
-    """Windows of texts whose tokens (each text's end id included) stop at ``ends``; every token is scored in exactly one."""
+def windows(tokens: np.ndarray, ends: np.ndarray, overlap: int = OVERLAP, pick: Callable | None = None) -> Windows:
+    """Windows of texts whose tokens (each text's end id included) stop at ``ends``; every token is scored in exactly one.
+
+    ``pick`` chooses windows by their texts and numbers there: all in order if it is missing.
+    """
     begins = np.concatenate([[0], ends[:-1]])
     size = ends - begins
     step = WINDOW - overlap
     many = 1 + np.maximum(0, -(-(size - WINDOW) // step))
     text = np.repeat(np.arange(len(ends)), many)
     nth = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
+    if pick is not None:
+        chosen = pick(text, nth)
+        text, nth = text[chosen], nth[chosen]
     place = (nth * step)[:, None] + np.arange(WINDOW)
     inside = place < size[text][:, None]
     at = np.minimum(place + begins[text][:, None], len(tokens) - 1)

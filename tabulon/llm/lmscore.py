@@ -1,7 +1,7 @@
 """Language-model scoring of documents: a causal attention model and a word-unigram base.
 
-1. ``tokenized``: every text is split and tokenized once; its subword ids are stored with it.  The same pass
-   counts, per task, words and the neighbours of every subword id in the training documents.
+1. ``tokenized``: every text is split and tokenized once, and its subword ids are stored; from here on a word is the
+   bytes of its ids.  The same pass counts, per task, words and the neighbours of every subword id in the training documents.
 2. Subword classes are clustered from all these neighbours.
 3. ``learn``: every window of every training document takes part in one gradient step: a quarter of the
    windows in a first round, the others in a second one that starts from the first round's average.  Each
@@ -22,6 +22,7 @@ What reaches the driver is bounded whatever the corpus: ``COMMON`` words, one co
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -46,8 +47,6 @@ SUMS = 16
 #: Share of the unigram cache of common words in a word's probability.
 CACHE_SHARE = 0.2
 HELD_OUT = 7, 2
-#: The end token; no word holds white space.
-END_WORD = b"\n"
 #: Words that a task counts, or whose ids it remembers, at once.
 FLUSH = 300_000
 
@@ -60,22 +59,22 @@ class Subwords(dict):
     """Subword ids of words, as bytes of 16-bit integers, remembered by word."""
 
     def __init__(self, ranks_path: str | None = None):
-        self._whole = Tokenizer(ranks_path).whole
+        self._encode = Tokenizer(ranks_path).encode
 
     def __missing__(self, word: bytes) -> bytes:
-        found = np.frombuffer(self._whole(" " + word.decode("utf-8", "replace")), np.uint32).astype(np.uint16).tobytes()
+        found = array("H", self._encode(" " + word.decode("utf-8", "replace"))).tobytes()
         if len(word) < 40:
             self[word] = found
         return found
 
-    def ids(self, words: list[bytes]) -> bytes:
-        """The 16-bit ids of a text's words and its end."""
+    def of(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word."""
         if len(self) > FLUSH:
             self.clear()
-        return b"".join(map(self.__getitem__, words)) + END_ID
+        return list(map(self.__getitem__, words))
 
 
-#: The end id as bytes; and whether an id begins with a space, as the first one of every word does.
+#: The end of a text as the bytes of its id, which no word holds; and whether an id begins with a space, as the first one of every word does.
 END_ID = np.array([END], np.uint16).tobytes()
 
 
@@ -126,7 +125,7 @@ def _counted(at: np.ndarray, n: np.ndarray, columns: list[str], name: str) -> It
         yield _rows(part, columns)
 
 
-_TYPES = {"th": pa.int64(), "held": pa.bool_(), "text": pa.string(), "ids": pa.binary(), "word": pa.binary(), "near": pa.int32(), "pair": pa.int32(),
+_TYPES = {"th": pa.int64(), "held": pa.bool_(), "ids": pa.binary(), "word": pa.binary(), "near": pa.int32(), "pair": pa.int32(),
           "vec": pa.binary(), "n": pa.int64()}
 
 
@@ -139,11 +138,11 @@ def _rows(part: dict[str, pa.Array], columns: list[str], types: dict | None = No
 def tokenized(source: DataFrame, ranks_path: str | None = None) -> DataFrame:
     """From (id, held, text), rows of three kinds.
 
-    (id, th, held, text, ids): every text with its subword ids, the end included; (word, n): counts of the training texts'
+    (id, th, held, ids): every text's hash and subword ids, the end included; (word, n): counts of the training texts'
     words and ends; (near, n): how often each id stands next to each place.  Counts are a task's share.
     """
     id_type = dict(source.dtypes)["id"]
-    columns = ["id", "th", "held", "text", "ids", "word", "near", "n"]
+    columns = ["id", "th", "held", "ids", "word", "near", "n"]
     keyed = source.select("id", F.xxhash64("text").alias("th"), "held", "text")
 
     def run(batches):
@@ -163,20 +162,20 @@ def tokenized(source: DataFrame, ranks_path: str | None = None) -> DataFrame:
             train = [not h for h in b.column(2).to_pylist()]
             found = []
             for part in _chunks(texts):
-                split = [words_of(t) for t in texts[part]]
-                ids = [sub.ids(w) for w in split]
-                found += ids
-                for w, t in zip(split, train[part]):
+                ids = []
+                for text, t in zip(texts[part], train[part]):
+                    words_ids = [*sub.of(words_of(text)), END_ID]
+                    ids.append(b"".join(words_ids))
                     if t:
-                        counts.update(w)
-                        counts[END_WORD] += 1
+                        counts.update(words_ids)
+                found += ids
                 learned = [i for i, t in zip(ids, train[part]) if t]
                 if learned:
                     tokens, ends = joined(learned)
                     attention.neighbours(_before(tokens, ends), tokens, near)
                 if len(counts) > FLUSH:
                     yield words()
-            yield _rows({**dict(zip(("id", "th", "held", "text"), b.columns)), "ids": pa.array(found, pa.binary())}, columns, types)
+            yield _rows({**dict(zip(("id", "th", "held"), b.columns)), "ids": pa.array(found, pa.binary())}, columns, types)
         if counts:
             yield words()
         if types:
@@ -185,7 +184,7 @@ def tokenized(source: DataFrame, ranks_path: str | None = None) -> DataFrame:
                 part = at[i : i + 100_000]
                 yield _rows({"near": pa.array(part, pa.int32()), "n": pa.array(near.ravel()[part], pa.int64())}, columns, types)
 
-    return keyed.mapInArrow(run, f"id {id_type}, th long, held boolean, text string, ids binary, word binary, near int, n long")
+    return keyed.mapInArrow(run, f"id {id_type}, th long, held boolean, ids binary, word binary, near int, n long")
 
 
 def learn(docs: DataFrame, classes_of: np.ndarray, weights: dict, turn: int) -> DataFrame:
@@ -220,11 +219,10 @@ def learn(docs: DataFrame, classes_of: np.ndarray, weights: dict, turn: int) ->
                 tokens, ends = joined(stored_ids[part])
                 if pairs is not None:
                     np.add.at(pairs.ravel(), known[_before(tokens, ends)] * VOCABULARY + tokens, 1)
-                w = attention.windows(tokens, ends, overlap=0)
                 th = b.column(0).slice(part.start, len(ends)).to_numpy()
-                mine = (((th[w.text] + w.nth) % FIRST_ONE_IN == 0) == (turn == 0)).nonzero()[0]
-                rng.shuffle(mine)
-                new = [w.ids[mine], w.wanted[mine], w.scored[mine]]
+                pick = lambda text, nth, th=th: rng.permutation(np.flatnonzero(((th[text] + nth) % FIRST_ONE_IN == 0) == (turn == 0)))
+                w = attention.windows(tokens, ends, 0, pick)
+                new = [w.ids, w.wanted, w.scored]
                 left = steps(*([np.concatenate(x) for x in zip(left, new)] if left else new), BATCH)
         if left and len(left[0]):
             steps(*left, 1)
@@ -277,7 +275,7 @@ class Fitted:
 
 def fit(tokens: DataFrame, counts: DataFrame) -> Fitted:
     """The model of the training rows of a stored ``tokenized`` table; ``counts`` are its summed (word, c)."""
-    is_end = F.col("word") == F.lit(END_WORD)
+    is_end = F.col("word") == F.lit(END_ID)
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.when(is_end, F.col("c"))), F.lit(0))).first()
     n_all, n_distinct, n_ends = map(int, totals)
     top = counts.where(F.length("word") <= COMMON_BYTES).orderBy(F.desc("c"), "word").limit(COMMON).toArrow()
@@ -291,18 +289,16 @@ def fit(tokens: DataFrame, counts: DataFrame) -> Fitted:
             pairs = _table(learned, "pair", (CLASSES, VOCABULARY))
         weights = averaged(learned.where("vec IS NOT NULL").select("vec", "n"), weights)
     model = attention.Model(weights, classes_of, attention.count_table(pairs, classes_of))
-    cached = n_ends + sum(c for w, c in common.items() if w != END_WORD)
+    cached = n_ends + sum(c for w, c in common.items() if w != END_ID)
     return Fitted(model, common, cached, n_ends, n_all, n_distinct)
 
 
-def text_scores(lm: attention.Model, ids: list[bytes], first: np.ndarray, known: np.ndarray, cached: int) -> np.ndarray:
+def text_scores(lm: attention.Model, tokens: np.ndarray, ends: np.ndarray, at: np.ndarray, known: np.ndarray, cached: int) -> np.ndarray:
     """log10 probability of each text's words and end.
 
-    ``known`` has log10(count + 1) of every word and end in order, 0 for a word that is not common; ``first`` tells
-    which ids begin a word.
+    ``known`` has log10(count + 1) of every word and end in order, 0 for a word that is not common; ``at`` tells
+    where these begin among the ids.
     """
-    tokens, ends = joined(ids)
-    at = np.flatnonzero(first[tokens])
     model = np.add.reduceat(lm.token_log10(tokens, ends), at, dtype=np.float64)
     with np.errstate(divide="ignore", over="ignore"):
         cache_part = CACHE_SHARE / max(cached, 1) * (10.0**known - 1)
@@ -324,11 +320,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks
     tokens = stored(tokenized(source, ranks_path), "lm-tokens")
     counts = stored(tokens.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
     fitted = fit(tokens, counts)
-    return scored(tokens.where("ids IS NOT NULL").select("id", "th", "text", "ids"), counts, fitted, ranks_path)
+    return scored(tokens.where("ids IS NOT NULL").select("id", "th", "ids"), counts, fitted, ranks_path)
 
 
 def scored(texts: DataFrame, counts: DataFrame, fitted: Fitted, ranks_path: str | None = None) -> DataFrame:
-    """The rows of ``score`` for stored (id, th, text, ids)."""
+    """The rows of ``score`` for stored (id, th, ids)."""
     shared = texts.sparkSession.sparkContext.broadcast(fitted)
     id_type = dict(texts.dtypes)["id"]
     names = ["word", "id", "th", "tf", "logs", "known", "n_tokens", "score"]
@@ -336,39 +332,37 @@ def scored(texts: DataFrame, counts: DataFrame, fitted: Fitted, ranks_path: str
     def run(batches):
         f: Fitted = shared.value
         first = begins_word(ranks_path)
-        get = {w: float(x) for w, x in zip(f.common, np.log10(np.fromiter(f.common.values(), np.float64, len(f.common)) + 1.0))}.get
-        end_log = float(np.log10(f.ends + 1.0))
+        logs = np.log10(np.fromiter(f.common.values(), np.float64, len(f.common)) + 1.0).tolist()
+        get = {**dict(zip(f.common, logs)), END_ID: float(np.log10(f.ends + 1.0))}.get
         for b in slices(batches):
-            texts, all_ids = b.column(2).to_pylist(), b.column(3).to_pylist()
-            for part in _chunks(texts):
-                at, word, tf, looked, many = [], [], [], [], []
-                for i, text in enumerate(texts[part]):
-                    words = words_of(text)
-                    found = list(map(get, words))
-                    if None in found:
-                        rest = Counter(w for w, x in zip(words, found) if x is None)
-                        word += rest
-                        tf += rest.values()
-                        at += [i] * len(rest)
-                    found.append(end_log)
-                    many.append(len(found))
-                    looked.append(np.array(found, np.float64))  # None becomes nan
-                known = np.concatenate(looked)
+            all_ids = b.column(2).to_pylist()
+            for part in _chunks(all_ids):
+                tokens, ends = joined(all_ids[part])
+                places = np.flatnonzero(first[tokens])  # words and ends
+                stops = np.searchsorted(places, ends)
+                many = np.diff(stops, prepend=0)
+                raw, cuts = b"".join(all_ids[part]), [*(2 * places).tolist(), 2 * len(tokens)]
+                words = [raw[x:y] for x, y in zip(cuts, cuts[1:])]
+                found = list(map(get, words))
+                known = np.array(found, np.float64)  # None becomes nan
                 common = ~np.isnan(known)
+                text_of = np.repeat(np.arange(len(many)), many)
+                rest = Counter(zip(text_of[~common].tolist(), [w for w, x in zip(words, found) if x is None]))
+                at, word, tf = [i for i, _ in rest], [w for _, w in rest], list(rest.values())
                 known[~common] = 0.0
-                scores = text_scores(f.model, all_ids[part], first, known, f.cached)
-                begin = np.cumsum(many) - many
+                scores = text_scores(f.model, tokens, ends, places, known, f.cached)
+                begin = stops - many
                 sums = np.add.reduceat(known, begin).tolist()
                 seen_words = (np.add.reduceat(common.astype(np.int64), begin) - (f.ends == 0)).tolist()
                 n, start = len(many), part.start
                 rows = pa.array(np.concatenate([np.arange(n), np.array(at, np.int64)]) + start, pa.int64())
                 th = b.column(1).slice(start, n).to_numpy()
-                keys = [END_WORD + x.tobytes() for x in th]  # the document's own row: a key of its own, which no word equals
+                keys = [END_ID + x.tobytes() for x in th]  # the document's own row: a key of its own, which no word equals
                 pad = [None] * len(word)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(keys + word, pa.binary()), b.column(0).take(rows), b.column(1).take(rows), pa.array([0] * n + tf, pa.int64()),
                     pa.array(sums + pad, pa.float64()), pa.array(seen_words + pad, pa.int64()),
-                    pa.array(many + pad, pa.int64()), pa.array(scores.tolist() + pad, pa.float64())], names=names)
+                    pa.array(many.tolist() + pad, pa.int64()), pa.array(scores.tolist() + pad, pa.float64())], names=names)
 
     found = texts.mapInArrow(run, f"word binary, id {id_type}, th long, tf long, logs double, known long, n_tokens long, score double")
     looked = found.join(counts.withColumnRenamed("word", "w"), F.col("word") == F.col("w"), "left")

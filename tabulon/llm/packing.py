@@ -53,10 +53,10 @@ class Tokenizer(dict):
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         encoding = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=self.ranks, special_tokens={})
-        self._encode = encoding.encode_ordinary
+        self.encode = encoding.encode_ordinary
 
     def whole(self, text: str) -> bytes:
-        return array("I", self._encode(text)).tobytes()
+        return array("I", self.encode(text)).tobytes()
 
     def __missing__(self, chunk: str) -> bytes:
         found = self.whole(" " + chunk)
