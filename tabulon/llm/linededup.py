@@ -1,18 +1,16 @@
 """Line dedup by content-defined chunks of lines.
 
-1. Lines, and pairs of adjacent lines, are hashed and counted over all documents; lines that occur once can be in no repeated chunk.
-2. A document's repeated lines fall into runs.  A run is cut where lines stop being
-   neighbours, where the counts of neighbours differ (a passage that was inserted beside
-   other common lines; once at any difference, once at more than a twofold one, and
-   both cuttings count; long lines also count alone), where the pair of neighbours does not repeat
-   or does so less often than both its lines (two more cuttings), and, in long runs, where a rolling
-   hash over the last line hashes hits a boundary value: a cut depends on nearby
-   lines only, so shifted or edited copies fall back into step.  In runs of repeated pairs, the shortest
-   span of ``MIN_WORDS`` words from every line on, and the one up to every line, are chunks too: together
-   they cover each repeated passage of so many words, wherever its copies were cropped.
-3. Chunks of two or more lines, or of ``MIN_WORDS`` words, are counted by hash; the
-   bytes of each repeated chunk are compared with those of its first occurrence (smallest id,
-   then place), which stays.  Equal ones are removed, but for lines that they share with it.
+1. Lines are hashed, and pairs of adjacent lines are counted by hash over all documents; a pair that occurs once
+   can be in no repeated chunk.
+2. A document's repeated pairs fall into runs.  A rolling hash over the line hashes cuts each run into chunks of two
+   or more lines: a cut depends on three lines only, so shifted or edited copies fall back into step.  Chunks are
+   counted by hash over all documents.
+3. Cuts may part a passage of two or three lines, or one that was cropped elsewhere.  So every maximal run of lines that
+   continues the first occurrence of its pairs is a chunk too: no repeated pair is lost.  A single line of ``MIN_WORDS`` words
+   can also count as a chunk (``long_lines``).
+4. The bytes of each repeated chunk are compared with those of its first occurrence (smallest id,
+   then place), which stays.  Equal ones are removed, but for lines that they share with it.  The earliest
+   place of a line is never part of a later copy, so every line stays somewhere.
 
 Blank lines count as no line: they part no run and go only inside a removed chunk.
 """
@@ -20,77 +18,56 @@ Blank lines count as no line: they part no run and go only inside a removed chun
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import key_filter, stored, table, text_or_empty, with_maybe
+from tabulon.llm.common import key_filter, slices, stored, table, text_or_empty, with_maybe
 from tabulon.llm.mixing import word_count
 
 #: A single line is a passage by itself from so many words on.
 MIN_WORDS = 50
-MIN_LINES = 2
-#: In long runs: lines before the first possible cut, rolling window, and one cut in so many lines.
-LEAST, ROLL, CUT_ONE_IN = 4, 3, 8
+#: One place in so many is a cut.
+CUT_ONE_IN = 4
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
-def rolling(hashes: np.ndarray, window: int = ROLL) -> np.ndarray:
-    """Rolling polynomial hash of the last ``window`` line hashes at every line."""
-    out = np.zeros(len(hashes), np.uint64)
-    for k in range(min(window, len(hashes))):
-        out[k:] += hashes[: len(hashes) - k] * np.uint64(pow(int(_MULT), k, 1 << 64))
-    return out ^ (out >> np.uint64(31))
+def crossings(pairs: np.ndarray, same_run: np.ndarray) -> np.ndarray:
+    """Which pairs of adjacent lines are cut apart: those where the rolling hash of three lines hits a boundary value.
 
-
-def cut_chunks(place: np.ndarray, hashes: np.ndarray, counts: np.ndarray, step: float = 2.0,
-               parted: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """(first, one past last) index of each chunk among a document's repeated lines in order.
-
-    Neighbours whose counts differ by more than ``step`` times are parted, and those that ``parted`` (one flag a pair) tells.
+    ``same_run``: whether a pair goes on from the one before.  No two neighbouring pairs are cut, so a chunk has two lines at least.
     """
-    n = len(place)
-    low, high = np.minimum(counts[1:], counts[:-1]), np.maximum(counts[1:], counts[:-1])
-    new = np.concatenate([[True], (np.diff(place) != 1) | (high > step * low)])
-    if parted is not None:
-        new[1:] |= parted
-    starts = np.append(np.flatnonzero(new), n)
-    found = []
-    for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
-        first = a
-        if b - a > 2 * LEAST:
-            hit = np.flatnonzero(rolling(hashes[a:b]) % np.uint64(CUT_ONE_IN) == 0) + a + 1
-            for at in hit.tolist():
-                if at - first >= LEAST and b - at >= MIN_LINES:
-                    found.append((first, at))
-                    first = at
-        found.append((first, b))
-    return found
-
-
-def spans(place: np.ndarray, words: np.ndarray, parted: np.ndarray, least: int = MIN_WORDS) -> set[tuple[int, int]]:
-    """(first, one past last) of the shortest span of ``least`` words from every line on, and up to every line, within runs."""
-    starts = np.append(np.flatnonzero(np.concatenate([[True], (np.diff(place) != 1) | parted])), len(place))
-    run = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    total = np.concatenate([[0], np.cumsum(words)])
-    at = np.arange(len(place))
-    end = np.searchsorted(total, total[:-1] + least, side="left")  # one past the line that reaches it
-    ok = end <= starts[run + 1]
-    found = set(zip(at[ok].tolist(), end[ok].tolist()))
-    first = np.searchsorted(total, total[1:] - least, side="right") - 1
-    ok = first >= starts[run]
-    return found | set(zip(first[ok].tolist(), (at[ok] + 1).tolist()))
-
-
-def chunk_hash(hashes: np.ndarray, pos: np.ndarray) -> int:
-    """Order-dependent 64-bit hash of a chunk's lines and the blank lines between them."""
-    power = np.uint64(1)
-    h = np.uint64(len(hashes))
-    with np.errstate(over="ignore"):
-        for x, gap in zip(hashes, np.diff(pos, prepend=pos[0] - 1).astype(np.uint64)):
-            h = (h ^ x) * _MULT + gap * power
-            h ^= h >> np.uint64(29)
-    return int(h.astype(np.int64))
+    before = np.concatenate([pairs[:1], pairs[:-1]])
+    h = (before * _MULT) ^ pairs
+    h = (h ^ (h >> np.uint64(31))) * _MULT
+    hit = same_run & ((h >> np.uint64(33)) % np.uint64(CUT_ONE_IN) == 0)
+    return hit & ~np.concatenate([[False], hit[:-1]])
+
+
+def chunks_of(pairs: np.ndarray, same_run: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first pair, last pair, hash) of each chunk."""
+    if not len(pairs):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    cut = crossings(pairs, same_run)
+    inside = np.flatnonzero(~cut)
+    begins = ~same_run[inside] | np.concatenate([[True], cut[inside[1:] - 1]])
+    first = np.flatnonzero(begins)
+    size = np.diff(np.append(first, len(inside)))
+    power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(size.max(initial=1) - 1, _MULT)]))
+    nth = np.arange(len(inside)) - np.repeat(first, size)
+    value = np.add.reduceat(pairs[inside] * power[nth], first) if len(first) else np.zeros(0, np.uint64)
+    return inside[first], inside[np.append(first[1:], len(inside)) - 1] if len(first) else first, value ^ size.astype(np.uint64)
+
+
+def continued(doc: np.ndarray, order: np.ndarray, own: np.ndarray, first_doc: np.ndarray, first_order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first pair, last pair) of every maximal run that follows, line by line, the first occurrence of its pairs elsewhere or earlier."""
+    later = (first_doc != own) | (first_order != order)
+    goes_on = np.zeros(len(doc), bool)
+    goes_on[1:] = (later[1:] & later[:-1] & (doc[1:] == doc[:-1]) & (order[1:] == order[:-1] + 1)
+                   & (first_doc[1:] == first_doc[:-1]) & (first_order[1:] == first_order[:-1] + 1))
+    first = np.flatnonzero(later & ~goes_on)
+    stops = later & ~np.concatenate([goes_on[1:], [False]])
+    return first, np.flatnonzero(stops)
 
 
 def _lines(text: Column) -> Column:
@@ -108,48 +85,69 @@ def _same_doc(a: str, b: str) -> Column:
     return F.col(f"{a}.id").eqNullSafe(F.col(f"{b}.id")) & (F.col(f"{a}.th") == F.col(f"{b}.th"))
 
 
-def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_lines: bool = True) -> DataFrame:
     """(id, th, first, last): line ranges whose bytes already stand at an earlier place."""
     keyed = _keyed(docs, id_col, text_col)
     hashed = keyed.select("id", "th", F.transform(_lines(F.col("text")), lambda s: F.struct(
-        s["pos"].alias("pos"), F.xxhash64(s["line"]).alias("h"), word_count(s["line"]).cast("int").alias("words"))).alias("ls"))
+        s["pos"].alias("pos"), F.xxhash64(s["line"]).alias("h"), F.length(s["line"]).alias("size"), (word_count(s["line"]) >= MIN_WORDS).alias("long"))).alias("ls"))
 
     def with_next(s: Column, i: Column) -> Column:
         after = F.get(F.col("ls"), i + 1)
-        pair = F.when(after.isNotNull(), F.xxhash64(s["h"], after["h"], after["pos"] - s["pos"]))
-        return F.struct(s["pos"].alias("pos"), s["h"].alias("h"), s["words"].alias("words"), pair.alias("pair"))
-
-    lines = hashed.select("id", "th", F.posexplode(F.transform("ls", with_next)).alias("ord", "s")).select(
-        "id", "th", "ord", "s.pos", "s.h", "s.words", "s.pair")
-    lines = stored(lines, "line-hashes")
-    known = stored(lines.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "line-counts")
-    pairs = stored(lines.where("pair IS NOT NULL").groupBy("pair").agg(F.count("*").alias("pn")).where("pn > 1"), "line-pairs")
-    again = lines.join(known, "h").join(pairs.withColumnRenamed("pair", "p"), F.col("pair") == F.col("p"), "left")
-    again = again.select("id", "th", "ord", "pos", "h", "words", "n", F.coalesce("pn", F.lit(0)).alias("pn"))
-    per_doc = again.groupBy("id", "th").agg(F.array_sort(F.collect_set(F.struct("ord", "pos", "h", "words", "n", "pn"))).alias("ls"))
+        gap = after["pos"] - s["pos"]
+        return F.struct(s["pos"].alias("pos"), gap.alias("gap"), F.when(after.isNotNull(), F.xxhash64(s["h"], after["h"], gap)).alias("pair"),
+                        F.when(s["long"], s["h"]).alias("long"))
+
+    lines = hashed.select("id", "th", F.posexplode(F.transform("ls", with_next)).alias("ord", "s")).select("id", "th", "ord", "s.pos", "s.gap", "s.pair", "s.long")
+    lines = stored(lines.where("pair IS NOT NULL OR long IS NOT NULL"), "line-pairs")
+    again = lines.where("pair IS NOT NULL").groupBy("pair").agg(F.count("*").alias("n")).where("n > 1").select("pair")
+    again = stored(lines.join(again, "pair").select("pair", "id", "th", "ord", "pos", "gap"), "line-again")
+    firsts = again.groupBy("pair").agg(F.min(F.struct("id", "th", "ord", "pos")).alias("f"))
+    placed = again.join(firsts, "pair").select("id", "th", F.struct(
+        "ord", "pos", "gap", "pair", F.xxhash64("f.id", "f.th").alias("first_doc"), F.col("f.ord").alias("first_ord"), F.col("f.pos").alias("first_pos"),
+        F.col("f.id").alias("first_id"), F.col("f.th").alias("first_th")).alias("p"))
+    # rows that repeat id and text are one document
+    per_doc = placed.groupBy("id", "th").agg(F.array_sort(F.collect_set("p")).alias("ps")).select("id", "th", F.xxhash64("id", "th").alias("own"), "ps")
     id_type = dict(docs.dtypes)[id_col]
 
-    def cut(frames):
-        for f in frames:
-            rows = []
-            for i, th, ls in zip(f["id"], f["th"], f["ls"]):
-                cells = [(x["ord"], x["pos"], x["h"], x["words"], x["n"], x["pn"]) for x in ls]
-                place, pos, h, words, n, pn = (np.array(c, np.int64) for c in zip(*cells))
-                hashes = h.view(np.uint64)
-                alone = np.flatnonzero(words >= MIN_WORDS).tolist()
-                once, fewer = pn[:-1] == 0, pn[:-1] < np.minimum(n[:-1], n[1:])
-                ranges = {*cut_chunks(place, hashes, n), *cut_chunks(place, hashes, n, 1.0), *((a, a + 1) for a in alone),
-                          *cut_chunks(place, hashes, n, np.inf, once), *cut_chunks(place, hashes, n, np.inf, fewer), *spans(place, words, once)}
-                for a, b in sorted(ranges):
-                    if b - a >= MIN_LINES or words[a:b].sum() >= MIN_WORDS:
-                        rows.append((i, th, int(pos[a]), int(pos[b - 1]), chunk_hash(hashes[a:b], pos[a:b])))
-            yield pd.DataFrame(rows, columns=["id", "th", "first", "last", "ch"])
-
-    chunks = stored(per_doc.mapInPandas(cut, f"id {id_type}, th long, first int, last int, ch long"), "line-chunks")
-    keepers = stored(chunks.groupBy("ch").agg(F.count("*").alias("n"), F.min(F.struct("id", "th", "first", "last")).alias("keep"))
-                     .where("n > 1").select("ch", "keep"), "line-keepers")
-    found = stored(chunks.join(keepers, "ch"), "line-found")
-    ranges = stored(found.groupBy("id", "th").agg(F.collect_list(F.struct("first", "last", "ch", "keep")).alias("rs")), "line-ranges")
+    def cut(batches):
+        for b in slices(batches):
+            ps = b.column(3)
+            cells = ps.flatten()
+            doc = np.repeat(np.arange(b.num_rows), np.diff(ps.offsets.to_numpy()))
+            get = lambda name: cells.field(name).to_numpy()  # noqa: E731, B023
+            order, pos, gap, pairs = get("ord"), get("pos"), get("gap"), get("pair").view(np.uint64)
+            same = np.zeros(len(doc), bool)
+            same[1:] = (doc[1:] == doc[:-1]) & (order[1:] == order[:-1] + 1)
+            a, z, value = chunks_of(pairs, same)
+            own = b.column(2).to_numpy()[doc]
+            c, y = continued(doc, order, own, get("first_doc"), get("first_ord"))
+            first, last = np.concatenate([a, c]), np.concatenate([z, y])
+            # a run's key: where its first occurrence stands
+            with np.errstate(over="ignore"):
+                key = (get("first_doc")[c].view(np.uint64) * _MULT + get("first_pos")[c].astype(np.uint64)) * _MULT + (pos[y] + gap[y] - pos[c]).astype(np.uint64)
+            runs, none = pa.array(c, pa.int64()), len(a)
+            kept_first = get("first_pos")[c]
+            pad = lambda x, t: pa.concat_arrays([pa.nulls(none, t), x])  # noqa: E731, B023
+            rows = pa.array(doc[first], pa.int64())
+            yield pa.RecordBatch.from_arrays([
+                b.column(0).take(rows), b.column(1).take(rows), pa.array(pos[first], pa.int32()), pa.array(pos[last] + gap[last], pa.int32()),
+                pa.array(np.concatenate([value, key]).view(np.int64)), pad(cells.field("first_id").take(runs), b.column(0).type),
+                pad(cells.field("first_th").take(runs), pa.int64()), pad(pa.array(kept_first, pa.int32()), pa.int32()),
+                pad(pa.array(kept_first + (pos[y] + gap[y] - pos[c]), pa.int32()), pa.int32())],
+                names=["id", "th", "first", "last", "ch", "k_id", "k_th", "k_first", "k_last"])
+
+    found = stored(per_doc.mapInArrow(cut, f"id {id_type}, th long, first int, last int, ch long, k_id {id_type}, k_th long, k_first int, k_last int"), "line-chunks")
+    place = ["id", "th", "first", "last"]
+    chunks = found.where("k_first IS NULL").select(*place, F.xxhash64(F.lit("chunk"), "ch").alias("ch"))
+    if long_lines:
+        long = lines.where("long IS NOT NULL").select("id", "th", F.col("pos").alias("first"), F.col("pos").alias("last"), F.xxhash64(F.lit("line"), "long").alias("ch"))
+        chunks = chunks.unionByName(long.distinct())
+    keepers = stored(chunks.groupBy("ch").agg(F.count("*").alias("n"), F.min(F.struct(*place)).alias("keep")).where("n > 1").select("ch", "keep"), "line-keepers")
+    runs = found.where("k_first IS NOT NULL").select(*place, F.xxhash64(F.lit("run"), "ch").alias("ch"), F.struct(
+        F.col("k_id").alias("id"), F.col("k_th").alias("th"), F.col("k_first").alias("first"), F.col("k_last").alias("last")).alias("keep"))
+    kept_runs = runs.select("keep.*", "ch", "keep").distinct()
+    ranges = chunks.join(keepers, "ch").select(*place, "ch", "keep").unionByName(runs).unionByName(kept_runs)
+    ranges = stored(ranges.groupBy("id", "th").agg(F.collect_list(F.struct("first", "last", "ch", "keep")).alias("rs")), "line-ranges")
     bits = key_filter(ranges, F.xxhash64("id", "th"), "line-range-bits")
     few = with_maybe(keyed, F.xxhash64("id", "th"), bits).where("__maybe")
     whole = few.alias("d").join(ranges.hint("merge").alias("r"), _same_doc("d", "r")).select("d.id", "d.th", F.split("d.text", "\n", -1).alias("all"), "r.rs")
@@ -163,46 +161,42 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return others.select("id", "th", F.greatest("first", F.col("shared_to") + 1).alias("first"), "last").where("first <= last")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_lines: bool = True) -> DataFrame:
     """All rows and columns of ``docs``, repeated chunks removed from the text, plus n_lines and n_removed.
 
     Null texts stay null and have no lines.  Rows that share id and text are one
     document and fare alike; rows that share an id only are told apart by text.  A
     text whose lines are all removed becomes empty.  An empty table stays empty.
-    n_lines and n_removed must not be columns of ``docs``.
+    Columns of ``docs`` that are called n_lines or n_removed are replaced.
     """
-    ranges = repeated_chunks(docs, id_col, text_col)
+    ranges = repeated_chunks(docs, id_col, text_col, long_lines)
     per_doc = ranges.distinct().groupBy("id", "th").agg(F.collect_list(F.struct("first", "last")).alias("rs"))
     id_type = dict(docs.dtypes)[id_col]
 
-    def flags(frames):
-        for f in frames:
+    def flags(batches):
+        for b in slices(batches):
             out = []
-            for rs in f["rs"]:
+            for rs in b.column(2).to_pylist():
                 drop = np.zeros(max(r["last"] for r in rs) + 1, bool)
                 for r in rs:
                     drop[r["first"] : r["last"] + 1] = True
                 out.append(drop)
-            yield pd.DataFrame({"__id": f["id"], "__th": f["th"], "__drop": out})
-
-    drops = stored(per_doc.mapInPandas(flags, f"__id {id_type}, __th long, __drop array<boolean>"), "line-drops")
-    # only texts that may lose lines are shuffled
-    key = F.xxhash64(F.col(id_col), F.xxhash64(text_or_empty(text_col)))
-    split = with_maybe(docs, key, key_filter(drops, F.xxhash64("__id", "__th"), "line-drop-bits"))
-    touched = split.where("__maybe").drop("__maybe").join(
-        drops.hint("merge"), F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("__th")), "left")
-    untouched = split.where("NOT __maybe").drop("__maybe").withColumns(
-        {"__id": F.lit(None).cast(id_type), "__th": F.lit(None).cast("long"), "__drop": F.lit(None).cast("array<boolean>")})
-    joined = touched.select(untouched.columns).unionByName(untouched)
-    text = F.col(text_col)
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(out, pa.list_(pa.bool_()))], names=["id", "th", "drop"])
+
+    drops = stored(per_doc.mapInArrow(flags, f"id {id_type}, th long, drop array<boolean>"), "line-drops")
+    # only texts that may lose lines are shuffled; whole rows travel as one column, so no name clashes
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("own_id"), F.xxhash64(text_or_empty(text_col)).alias("own_th"))
+    split = with_maybe(rows, F.xxhash64("own_id", "own_th"), key_filter(drops, F.xxhash64("id", "th"), "line-drop-bits"))
+    touched = split.where("__maybe").join(drops.hint("merge"), F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_th") == F.col("th")), "left").select("row", "drop")
+    untouched = split.where("NOT __maybe").select("row", F.lit(None).cast("array<boolean>").alias("drop"))
+    text = F.col("row").getField(text_col)
     lines = F.split(text, "\n", -1)
-    left = F.filter(lines, lambda x, i: ~F.coalesce(F.get(F.col("__drop"), i), F.lit(False)))
-    done = joined.withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0)).cast("long"))
-    done = done.withColumn("n_lines", F.when(text.isNull(), F.lit(0).cast("long")).otherwise(F.col("n_lines")))
-    done = done.withColumn("n_removed", F.when(F.col("__drop").isNull() | text.isNull(), F.lit(0).cast("long"))
-                           .otherwise(F.size(F.filter("__drop", lambda x: x)).cast("long")))
-    done = done.withColumn(text_col, F.when(F.col("__drop").isNull(), text).otherwise(F.array_join(left, "\n")))
-    return done.drop("__id", "__th", "__drop")
+    left = F.filter(lines, lambda x, i: ~F.coalesce(F.get(F.col("drop"), i), F.lit(False)))
+    none = text.isNull() | F.col("drop").isNull()
+    counts = {"n_lines": F.when(text.isNull(), F.lit(0)).otherwise(F.size(lines)), "n_removed": F.when(none, F.lit(0)).otherwise(F.size(F.filter("drop", lambda x: x)))}
+    columns = [F.when(none, text).otherwise(F.array_join(left, "\n")).alias(c) if c == text_col else F.col("row").getField(c).alias(c)
+               for c in docs.columns if c not in counts]
+    return touched.unionByName(untouched).select(*columns, *[n.cast("long").alias(c) for c, n in counts.items()])
 
 
 def query(spark, sf_dir):
