@@ -10,9 +10,7 @@ delay and colour histogram.
 
 from __future__ import annotations
 
-import hashlib
 import struct
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -328,37 +326,41 @@ def frames(media: DataFrame, id_col: str = "id", media_col: str = "media") -> Da
                                   "rgba binary, histogram array<long>, error string")
 
 
-def digest(text: str | None) -> tuple:
-    """A text stored as GIF and read back: the digest columns of its row."""
-    payload, n = payload_of(text)
-    media = encode(payload)
-    samples, levels, count = [], np.zeros(16, np.int64), 0
-    for f in decode(media):
-        samples.append(read_payload([f]))
-        levels += f.histogram()[:16]
-        count += 1
-    back = b"".join(samples)
-    feature = f"{count}x{DELAY_CS}cs:" + ",".join(map(str, levels.tolist()))
-    return (n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-UNIT:]), len(media),
-            hashlib.sha256(media).hexdigest(), feature)
+def with_payload(media: DataFrame) -> DataFrame:
+    """``media`` (id, n_bytes, media) plus what its bytes give back: ``payload`` and ``frames``, the timed frames with their grey histograms."""
+    kind = dict(media.dtypes)["id"]
+    timed = pa.struct([("delay_cs", pa.int32()), ("width", pa.int32()), ("height", pa.int32()), ("histogram", pa.list_(pa.int64()))])
+
+    def run(batches):
+        for b in slices(batches, 100):
+            payloads, shown = [], []
+            for m in b.column(2):
+                samples, found = [], []
+                for f in decode(m.as_py()):
+                    samples.append(read_payload([f]))
+                    found.append({"delay_cs": f.delay_cs, "width": f.width, "height": f.height, "histogram": f.histogram()[:16].tolist()})
+                payloads.append(b"".join(samples))
+                shown.append(found)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(payloads, pa.binary()), pa.array(shown, pa.list_(timed))], names=["id", "n_bytes", "media", "payload", "frames"])
+
+    return media.mapInArrow(run, f"id {kind}, n_bytes long, media binary, payload binary, "
+                                 "frames array<struct<delay_cs int, width int, height int, histogram array<long>>>")
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: sizes and digests of payload and media, and the histogram feature.
 
-    Null, empty, repeated and very long texts all give a row; equal texts give equal values.
+    The payload is what the media column's bytes give back.  Null, empty, repeated and very long texts all give a row;
+    equal texts give equal values; an empty table gives an empty result; extra columns are not read.
     """
-    source = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-    names = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-
-    def run(batches):
-        for b in slices(batches):
-            rows = [digest(t.as_py()) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names=["id", *names])
-
-    return source.mapInArrow(run, f"id {dict(source.dtypes)['id']}, n_bytes long, payload_bytes long, payload_sha256 string, "
-                                  "tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    read = with_payload(to_media(docs, id_col, text_col))
+    none = F.array_repeat(F.lit(0).cast("long"), 16)
+    levels = F.aggregate("frames", none, lambda total, f: F.zip_with(total, f["histogram"], lambda x, y: x + y))
+    feature = F.concat(F.size("frames").cast("string"), F.lit("x"), F.array_max(F.col("frames.delay_cs")).cast("string"), F.lit("cs:"), F.array_join(levels.cast("array<string>"), ","))
+    return read.select(
+        "id", "n_bytes", F.length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.substring("payload", -UNIT, UNIT)).alias("tail_crc32"), F.length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"), feature.alias("feature"))
 
 
 def query(spark, sf_dir):
