@@ -7,7 +7,9 @@ numpy.  A misspelt or new form shares most n-grams with forms that were seen.
 
 A text is as toxic as its worst window, so a few words do not drown in a long
 document.  Labels are per document: training alternates between choosing the worst
-windows of each toxic document and fitting them against windows of clean ones.
+windows of each toxic document and fitting them against windows of clean ones.  Windows
+are chosen from whole texts, in Spark tasks; the driver gets chosen windows only, at most
+four a document.  The threshold is set on whole texts of other labelled documents.
 
 Scoring touches every byte of every text: because vectors are only averaged, each
 n-gram bucket contributes one number, and batches are scored with array
@@ -16,6 +18,7 @@ operations on their joined bytes.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,18 +26,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import crc_class, slices, table, text_or_empty
+from tabulon.llm.common import crc_class, slices, stored, table, text_or_empty
 
-#: Documented bounds of the training sample: labelled documents per class, and bytes of each that are fitted.
+#: Documented bounds of the training sample: labelled documents per class, each with its whole text.
 TOXIC_DOCS = 1200
-CLEAN_DOCS = 3600
-FIT_BYTES = 8_000
+CLEAN_DOCS = 4000
+#: Tasks that read the sample.
+TASKS = 32
 BUCKETS = 1 << 16
 DIM = 8
 GRAMS = (3, 4, 5)
 WINDOW = 6
 ROUNDS = 4
 EPOCHS = 3
+#: Windows of one gradient step.
+BATCH = 64
+#: Windows chosen in a round: the worst ones of a clean and of a toxic document, and random ones of a clean one.
+WORST, RANDOM = (2, 2), 2
+#: Bytes that are taken apart at once; a longer text is read in pieces that share a window's words.
+PIECE = 200_000
 SEED = 7
 #: Share of the training documents that set the threshold and take no part in the fit.
 HOLD = 5
@@ -120,19 +130,14 @@ class Model:
 
     def logits(self, texts: list[bytes]) -> np.ndarray:
         """Log-odds of each text's worst window; a text without words has the bias alone."""
-        bag = bags(texts)
-        out = np.full(len(texts), self.bias)
-        doc, _, odds = self.windows(bag)
-        if len(doc):
-            at = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-            out[doc[at]] = np.maximum.reduceat(odds, at)
-        return out - self.shift
-
-    def many_logits(self, texts: list[bytes]) -> np.ndarray:
-        return np.concatenate([self.logits(texts[part]) for part in _parts(texts)] + [np.zeros(0)])
+        out = np.full(len(texts), -np.inf)
+        for pieces, owner, _ in _parts(texts):
+            doc, _, odds = self.windows(bags(pieces))
+            np.maximum.at(out, owner[doc], odds)
+        return np.where(np.isfinite(out), out, self.bias) - self.shift
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        return 1.0 / (1.0 + np.exp(-np.clip(self.many_logits(texts), -40, 40)))
+        return 1.0 / (1.0 + np.exp(-np.clip(self.logits(texts), -40, 40)))
 
 
 def _window_starts(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -156,26 +161,42 @@ def _window_sums(bag: Bags, values: np.ndarray, bias: float):
     return bag.doc[starts] if len(starts) else starts, starts, (total[starts + size] - total[starts]) / WINDOW + bias
 
 
-def _fit(groups: list[np.ndarray], weight: list[np.ndarray], labels: np.ndarray, table_: np.ndarray, soft: np.ndarray, bias: np.ndarray, rng) -> None:
-    """Adagrad on windows; each group holds the buckets of a window and their averaging weights."""
-    g_table, g_soft, g_bias = np.full(len(table_), 1e-8), np.full(soft.shape, 1e-8), np.full(2, 1e-8)
+@dataclass
+class Chosen:
+    """Windows: the buckets of their features and the weights of these in the average, all in one array; and labels."""
+
+    feature: np.ndarray  # 16 bits
+    weight: np.ndarray
+    size: np.ndarray  # features of each window
+    label: np.ndarray
+
+
+def _fit(chosen: Chosen, table_: np.ndarray, soft: np.ndarray, bias: np.ndarray, rng) -> None:
+    """Adagrad on windows; the table is trained together with the softmax."""
+    g_table, g_soft, g_bias = np.full(len(table_), 1e-8, np.float32), np.full(soft.shape, 1e-8, np.float32), np.full(2, 1e-8, np.float32)
+    begin = np.cumsum(chosen.size) - chosen.size
     for _ in range(EPOCHS):
-        order = rng.permutation(len(groups))
-        for i in range(0, len(order), 64):
-            pick = order[i : i + 64]
-            ids = np.concatenate([groups[k] for k in pick])
-            w = np.concatenate([weight[k] for k in pick])
-            row = np.repeat(np.arange(len(pick)), [len(groups[k]) for k in pick])
-            vectors = table_[ids] * w[:, None]
-            mean = np.stack([np.bincount(row, vectors[:, d], minlength=len(pick)) for d in range(DIM)], axis=1)
+        order = rng.permutation(len(chosen.size))
+        size = chosen.size[order]
+        stop = np.cumsum(size)
+        spot = np.repeat(begin[order] - (stop - size), size) + np.arange(stop[-1])
+        features, weights, labels = chosen.feature[spot], chosen.weight[spot], chosen.label[order]
+        for i in range(0, len(order), BATCH):
+            many = size[i : i + BATCH]
+            a, b = stop[i] - size[i], stop[min(i + BATCH, len(order)) - 1]
+            ids, w, y = features[a:b], weights[a:b, None], labels[i : i + BATCH]
+            mean = np.add.reduceat(table_[ids] * w, np.cumsum(many) - many, axis=0)
             z = mean @ soft + bias
             z -= z.max(axis=1, keepdims=True)
             p = np.exp(z)
             p /= p.sum(axis=1, keepdims=True)
-            p[np.arange(len(pick)), labels[pick]] -= 1.0
-            d_soft, d_bias, d_mean = mean.T @ p / len(pick), p.mean(axis=0), p @ soft.T / len(pick)
-            used, back = np.unique(ids, return_inverse=True)
-            d_rows = np.stack([np.bincount(back, d_mean[row, d] * w, minlength=len(used)) for d in range(DIM)], axis=1)
+            p[np.arange(len(y)), y] -= 1.0
+            d_soft, d_bias, d_mean = mean.T @ p / len(y), p.mean(axis=0), p @ soft.T / len(y)
+            by_id = np.argsort(ids, kind="stable")
+            used = ids[by_id]
+            first = np.flatnonzero(np.concatenate([[True], used[1:] != used[:-1]]))
+            d_rows = np.add.reduceat((np.repeat(d_mean, many, axis=0) * w)[by_id], first, axis=0)
+            used = used[first]
             g_table[used] += (d_rows**2).mean(axis=1)
             g_soft += d_soft**2
             g_bias += d_bias**2
@@ -184,92 +205,180 @@ def _fit(groups: list[np.ndarray], weight: list[np.ndarray], labels: np.ndarray,
             bias -= 0.1 * d_bias / np.sqrt(g_bias)
 
 
-def _parts(texts: list[bytes], limit: int = 400_000):
-    """Slices of about ``limit`` bytes, so that a part's arrays stay small; no text is split."""
+def _pieces(text: bytes) -> Iterator[bytes]:
+    """A text in pieces of at most about PIECE bytes, each beginning with the last words of the one before."""
     at = 0
-    while at < len(texts):
-        upto, size = at, 0
-        while upto < len(texts) and (upto == at or size + len(texts[upto]) < limit):
-            size += len(texts[upto])
-            upto += 1
-        yield slice(at, upto)
-        at = upto
-
-
-def _peculiarity(texts: list[bytes], labels: np.ndarray) -> np.ndarray:
+    while len(text) - at > PIECE:
+        stop = text.rfind(b" ", at + PIECE // 2, at + PIECE)
+        stop = at + PIECE if stop < 0 else stop
+        yield text[at:stop]
+        back = stop
+        for _ in range(WINDOW):
+            back = text.rfind(b" ", max(at, stop - 40 * WINDOW), back) if back >= 0 else back
+        at = max(at + 1, back) if back > at else stop
+    yield text[at:]
+
+
+def _parts(texts: list[bytes]) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
+    """Pieces of about twice PIECE bytes together, the text that each belongs to, and its number there."""
+    held, owner, number, size = [], [], [], 0
+    for i, text in enumerate(texts):
+        for k, piece in enumerate(_pieces(text)):
+            if held and size + len(piece) > 2 * PIECE:
+                yield held, np.array(owner), np.array(number)
+                held, owner, number, size = [], [], [], 0
+            held.append(piece)
+            owner.append(i)
+            number.append(k)
+            size += len(piece)
+    if held:
+        yield held, np.array(owner), np.array(number)
+
+
+def _held_by(texts: list[bytes], labels: np.ndarray) -> np.ndarray:
+    """Per label and bucket: the texts that hold it."""
+    held = np.zeros((2, BUCKETS), np.int64)
+    seen, last = np.zeros(BUCKETS, bool), -1
+
+    def close() -> None:
+        if last >= 0:
+            held[labels[last]] += seen
+        seen[:] = False
+
+    for pieces, owner, _ in _parts(texts):
+        bag = bags(pieces)
+        doc = owner[bag.doc[bag.word]]
+        order = np.argsort(doc, kind="stable")
+        doc, feature = doc[order], bag.feature[order]
+        for part in np.split(np.arange(len(doc)), np.flatnonzero(np.diff(doc)) + 1) if len(doc) else ():
+            if doc[part[0]] != last:
+                close()
+                last = int(doc[part[0]])
+            seen[feature[part]] = True
+    close()
+    return held
+
+
+def _lift(held: np.ndarray, docs: np.ndarray) -> np.ndarray:
     """Per bucket: how much likelier toxic documents hold it, as a log ratio; 0 where few do."""
-    held = np.zeros((2, BUCKETS))
-    for part in _parts(texts):
-        bag = bags(texts[part])
-        seen = np.unique(bag.feature * (bag.doc.max(initial=0) + 1) + bag.doc[bag.word])
-        feature, doc = seen // (bag.doc.max(initial=0) + 1), seen % (bag.doc.max(initial=0) + 1)
-        for y in (0, 1):
-            held[y] += np.bincount(feature[labels[part][doc] == y], minlength=BUCKETS)
-    n = np.array([(labels == 0).sum(), (labels == 1).sum()])
-    lift = np.log((held[1] + 0.5) / (n[1] + 1)) - np.log((held[0] + 0.5) / (n[0] + 1))
+    lift = np.log((held[1] + 0.5) / (docs[1] + 1)) - np.log((held[0] + 0.5) / (docs[0] + 1))
     lift[held[1] < 3] = 0
     return lift
 
 
-def _chosen(texts, labels, odds_of, keep: tuple[int, int], extra: int, rng):
-    """Buckets, averaging weights and labels of chosen windows: each document's ``keep[label]`` worst, and ``extra`` random ones of clean ones."""
-    groups, weights, want = [], [], []
-    for part in _parts(texts):
-        bag = bags(texts[part])
+def _lots(salt: np.ndarray, place: np.ndarray, step: int) -> np.ndarray:
+    """A fixed random number of every window, from its document's salt and its place."""
+    h = (salt ^ np.uint64(step * 0x9E37 + 1)) + place.astype(np.uint64) * _P1
+    h = (h ^ (h >> np.uint64(31))) * _P2
+    return h ^ (h >> np.uint64(29))
+
+
+def _choose(texts: list[bytes], labels: np.ndarray, salts: np.ndarray, value: np.ndarray, step: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(text, lot, buckets, averaging weights) of chosen windows: each text's WORST[label] ones, and RANDOM ones of clean texts.
+
+    ``value``: per bucket, log ratios in step 0 (a window's squares of positive word averages are summed), else the model's contributions.
+    """
+    found = []
+    for pieces, owner, number in _parts(texts):
+        bag = bags(pieces)
         starts, size = _window_starts(bag.doc)
         if not len(starts):
             continue
-        doc, y = bag.doc[starts], labels[part][bag.doc[starts]]
-        per_word = np.bincount(bag.word, minlength=bag.words)
+        per_word = np.maximum(np.bincount(bag.word, minlength=bag.words), 1)
+        words = np.bincount(bag.word, value[bag.feature], minlength=bag.words) / per_word
+        total = np.concatenate([[0.0], np.cumsum(np.maximum(words, 0) ** 2 if step == 0 else words)])
+        odds = total[starts + size] - total[starts]
+        doc = owner[bag.doc[starts]]
+        place = starts - np.searchsorted(bag.doc, bag.doc[starts]) + PIECE * number[bag.doc[starts]]
+        lot = _lots(salts[doc], place, step)
         order = np.argsort(bag.word, kind="stable")
-        feature, bounds = bag.feature[order], np.concatenate([[0], np.cumsum(per_word)])
-        odds = odds_of(bag, starts, size)
-        rank = np.lexsort((-odds, doc))
-        nth = np.arange(len(rank)) - np.searchsorted(doc[rank], doc[rank], side="left")
-        pick = rank[nth < np.where(y[rank] == 1, keep[1], keep[0])]
-        if extra:
-            rank = np.lexsort((rng.random(len(doc)), doc))
-            nth = np.arange(len(rank)) - np.searchsorted(doc[rank], doc[rank], side="left")
-            pick = np.concatenate([pick, rank[(nth < extra) & (y[rank] == 0)]])
-        per_word = np.maximum(per_word, 1)
-        for k in pick.tolist():
-            a, b = starts[k], starts[k] + size[k]
-            groups.append(feature[bounds[a] : bounds[b]].astype(np.int32))
-            weights.append(np.repeat(1.0 / (WINDOW * per_word[a:b]), np.diff(bounds[a : b + 1])).astype(np.float32))
-            want.append(y[k])
-    return groups, weights, np.array(want, np.int64)
-
-
-def train(texts: list[bytes], toxic: list[int], seed: int = SEED) -> Model:
-    """Fit on labelled texts; a sample without both classes gives a model of one constant."""
-    labels = np.asarray(toxic, np.int64)
-    if not len(labels) or labels.min() == labels.max():
-        return Model(np.zeros(BUCKETS), float(5 * (2 * labels[0] - 1)) if len(labels) else -5.0)
+        feature, bounds = bag.feature[order], np.searchsorted(bag.word[order], np.arange(bag.words + 1))
+
+        def take(rank: np.ndarray, most: np.ndarray, kind: int) -> None:
+            nth = np.arange(len(rank)) - np.searchsorted(doc[rank], doc[rank], side="left")  # noqa: B023
+            for k in rank[nth < most[rank]].tolist():
+                a, b = starts[k], starts[k] + size[k]  # noqa: B023
+                found.append((int(doc[k]), kind, -odds[k] if kind == 0 else lot[k], int(lot[k] >> np.uint64(1)), feature[bounds[a] : bounds[b]].astype(np.uint16),  # noqa: B023
+                              np.repeat(1.0 / (WINDOW * per_word[a:b]), np.diff(bounds[a : b + 1])).astype(np.float32)))  # noqa: B023
+
+        y = labels[doc]
+        take(np.lexsort((lot, -odds, doc)), np.where(y == 1, WORST[1], WORST[0]), 0)
+        take(np.lexsort((lot, doc)), np.where(y == 1, 0, RANDOM), 1)
+    # a text in several pieces has chosen windows in each
+    found.sort(key=lambda f: f[:4])
+    last, nth = None, 0
+    for doc, kind, _, lot, feature, weight in found:
+        nth = nth + 1 if (doc, kind) == last else 0
+        last = doc, kind
+        if nth < (RANDOM if kind else WORST[labels[doc]]):
+            yield doc, lot, feature, weight
+
+
+def train(sample: DataFrame, seed: int = SEED) -> Model:
+    """Fit on a stored sample (text, y, salt, hold); one without both classes gives a model of one constant.
+
+    Rows of ``hold`` set the threshold and take no part in the fit.
+    """
+    sample = sample.coalesce(TASKS)
+    docs = np.zeros(2, np.int64)
+    for r in sample.where("NOT hold").groupBy("y").count().collect():
+        docs[r["y"]] = r["count"]
+    if not docs.all():
+        return Model(np.zeros(BUCKETS), 5.0 if docs[1] else -5.0)
+    fit_rows = sample.where("NOT hold")
+    spark = sample.sparkSession
+
+    def texts_of(b: pa.RecordBatch) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        return ([t.encode("utf-8", "surrogatepass") for t in b.column(0).to_pylist()], b.column(1).to_numpy(zero_copy_only=False).astype(np.int64),
+                b.column(2).to_numpy().view(np.uint64))
+
+    def counted(batches):
+        held = np.zeros((2, BUCKETS), np.int64)
+        for b in slices(batches):
+            held += _held_by(*texts_of(b)[:2])
+        yield pa.RecordBatch.from_arrays([pa.array([held.tobytes()], pa.binary())], names=["held"])
+
+    counts = fit_rows.select("text", "y", "salt").mapInArrow(counted, "held binary").toArrow()["held"].to_pylist()
+    lift = _lift(sum(np.frombuffer(c, np.int64).reshape(2, BUCKETS) for c in counts), docs)
+
+    def chosen(value: np.ndarray, step: int) -> Chosen:
+        shared = spark.sparkContext.broadcast(value)
+
+        def run(batches):
+            for b in slices(batches):
+                texts, labels, salts = texts_of(b)
+                rows = list(_choose(texts, labels, salts, shared.value, step))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([int(salts[d]) >> 1 for d, *_ in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([int(labels[r[0]]) for r in rows], pa.int32()),
+                    pa.array([r[2].tobytes() for r in rows], pa.binary()), pa.array([r[3].tobytes() for r in rows], pa.binary())],
+                    names=["salt", "lot", "y", "feature", "weight"])
+
+        found = fit_rows.select("text", "y", "salt").mapInArrow(run, "salt long, lot long, y int, feature binary, weight binary").toArrow()
+        found = found.sort_by([("salt", "ascending"), ("lot", "ascending"), ("feature", "ascending")])  # whatever task came first
+        feature = [np.frombuffer(x, np.uint16) for x in found["feature"].to_pylist()]
+        return Chosen(np.concatenate(feature), np.concatenate([np.frombuffer(x, np.float32) for x in found["weight"].to_pylist()]),
+                      np.array([len(x) for x in feature]), found["y"].to_numpy())
+
     rng = np.random.default_rng(seed)
-    held = np.arange(len(texts)) % HOLD == 0
-    fit_texts, fit_labels = [t for t, h in zip(texts, held) if not h], labels[~held]
-    table_ = rng.normal(0, 0.1, (BUCKETS, DIM))
-    soft = rng.normal(0, 0.5, (DIM, 2))
-    bias = np.zeros(2)
-    lift = _peculiarity(fit_texts, fit_labels)
-
-    def peculiar(bag: Bags, starts, size):
-        value = np.bincount(bag.word, lift[bag.feature], minlength=bag.words) / np.maximum(np.bincount(bag.word, minlength=bag.words), 1)
-        total = np.concatenate([[0.0], np.cumsum(np.maximum(value, 0) ** 2)])
-        return total[starts + size] - total[starts]
+    table_ = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
+    soft, bias = rng.normal(0, 0.5, (DIM, 2)).astype(np.float32), np.zeros(2, np.float32)
 
     def model() -> Model:
-        return Model(table_ @ (soft[:, 1] - soft[:, 0]), float(bias[1] - bias[0]))
-
-    def by_model(bag: Bags, starts, size):
-        return model().windows(bag)[2]
+        return Model((table_ @ (soft[:, 1] - soft[:, 0])).astype(np.float64), float(bias[1] - bias[0]))
 
     for step in range(ROUNDS):
-        chosen = _chosen(fit_texts, fit_labels, by_model if step else peculiar, (2, 2), 2, rng)
-        if len(chosen[0]):
-            _fit(*chosen, table_, soft, bias, rng)
+        windows = chosen(model().value if step else lift, step)
+        if len(windows.size):
+            _fit(windows, table_, soft, bias, rng)
     done = model()
-    done.shift = _threshold(done.many_logits([t for t, h in zip(texts, held) if h]), labels[held])
+    shared_model = spark.sparkContext.broadcast(done)
+
+    def top(batches):
+        for b in slices(batches):
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(shared_model.value.logits(texts_of(b)[0]), pa.float64())], names=["y", "logit"])
+
+    held = sample.where("hold").select("text", "y", "salt").mapInArrow(top, "y int, logit double").toArrow()
+    done.shift = _threshold(held["logit"].to_numpy(), held["y"].to_numpy())
     return done
 
 
@@ -290,22 +399,22 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     """Train on a bounded sample of the labelled rows outside the held-out class.
 
     The sample is the first TOXIC_DOCS and CLEAN_DOCS ids by hash among labelled
-    ids (null ids or labels take no part); only their texts reach the driver.
+    ids (null ids or labels take no part; the higher label counts where one repeats).  Where
+    rows repeat an id, the text with the smallest hash stands for it.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).alias("y"))
     known = known.groupBy("id").agg(F.max("y").alias("y"))
     if held_out_modulus:
         known = known.where(crc_class("id", held_out_modulus) != 0)
-    picked = []
-    for y, most in ((1, TOXIC_DOCS), (0, CLEAN_DOCS)):
-        picked += known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(most).collect()
-    spark = docs.sparkSession
-    schema = f"id {dict(known.dtypes)['id']}, y int"
-    sample = spark.createDataFrame([(r["id"], int(r["y"])) for r in picked], schema)
-    texts = docs.select(F.col(id_col).alias("id"), F.substring(text_or_empty(text_col), 1, FIT_BYTES).alias("text"))
-    found = texts.join(F.broadcast(sample), "id").select("id", "text", "y").dropDuplicates(["id"]).collect()
-    found.sort(key=lambda r: (str(r["id"]), r["text"]))
-    return train([r["text"].encode("utf-8", "surrogatepass") for r in found], [r["y"] for r in found])
+    known = stored(known, "toxic-labels")
+    picked = [known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(most) for y, most in ((1, TOXIC_DOCS), (0, CLEAN_DOCS))]
+    picked = picked[0].unionByName(picked[1])
+    texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    found = texts.join(F.broadcast(picked), "id")  # at most TOXIC_DOCS + CLEAN_DOCS ids
+    found = found.groupBy("id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    salt = F.xxhash64("id", F.lit("salt"))
+    sample = found.select("text", F.col("y").cast("int").alias("y"), salt.alias("salt"), (F.pmod(F.xxhash64("id", F.lit("hold")), F.lit(HOLD)) == 0).alias("hold"))
+    return train(stored(sample, "toxic-sample"))
 
 
 def with_score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
