@@ -19,7 +19,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.llm.common import slices, stored, table, text_or_empty
@@ -100,21 +100,22 @@ def link_posting(values: np.ndarray, max_bits: int, pairwise: int = PAIRWISE) ->
     v = np.unique(values.astype(np.int64).view(np.uint64))
     if len(v) <= pairwise:
         i, j = np.triu_indices(len(v), 1)
-        x = v[i] ^ v[j]
-        shared = (x.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)
-        ok = (shared >= 8 - max_bits) & (np.bitwise_count(x) <= max_bits)
-        return v[i[ok]].view(np.int64), v[j[ok]].view(np.int64)
-    if max_bits != 2:
+        a, b = v[i], v[j]
+    elif max_bits != 2:
         raise ValueError("large postings are linked for two bits only")
-    varying = [b for b in range(64) if len(np.unique(v >> np.uint64(b) & np.uint64(1))) > 1]
-    centre = np.concatenate([v] + [v ^ (np.uint64(1) << np.uint64(b)) for b in varying])
-    member = np.tile(v, len(varying) + 1)
-    order = np.lexsort((member, centre))
-    centre, member = centre[order], member[order]
-    same = centre[1:] == centre[:-1]
-    a, b = member[:-1][same], member[1:][same]
-    pairs = np.unique(np.stack([a, b]), axis=1)
-    return pairs[0].view(np.int64), pairs[1].view(np.int64)
+    else:
+        varying = [b for b in range(64) if len(np.unique(v >> np.uint64(b) & np.uint64(1))) > 1]
+        centre = np.concatenate([v] + [v ^ (np.uint64(1) << np.uint64(b)) for b in varying])
+        member = np.tile(v, len(varying) + 1)
+        order = np.lexsort((member, centre))
+        centre, member = centre[order], member[order]
+        same = centre[1:] == centre[:-1]
+        a, b = np.unique(np.stack([member[:-1][same], member[1:][same]]), axis=1)
+    # every candidate, of either kind, is tallied and verified
+    x = a ^ b
+    shared = (x.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)
+    ok = (shared >= 8 - max_bits) & (np.bitwise_count(x) <= max_bits)
+    return a[ok].view(np.int64), b[ok].view(np.int64)
 
 
 def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
@@ -164,11 +165,10 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     found = _labelled(docs, id_col, text_col, n, max_bits).where(F.col("id").eqNullSafe(F.col("component_id")))
     first = F.min(F.struct("k1", "k2"))
-    keep = stored(found.groupBy("root").agg(first.alias("k")).select(F.col("k.k1").alias("__k1"), F.col("k.k2").alias("__k2")), "simhash-keep")
+    keep = stored(found.groupBy("root").agg(first.alias("k")).select("k.k1", "k.k2"), "simhash-keep")
     k1, k2 = _row_key(F.col(id_col), text_or_empty(text_col))
-    rows = docs.withColumns({"__k1": k1, "__k2": k2}).join(keep.hint("merge"), ["__k1", "__k2"])
-    nth = F.row_number().over(Window.partitionBy("__k1", "__k2").orderBy("__k1"))
-    return rows.withColumn("__nth", nth).where("__nth = 1").select(docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), k1.alias("k1"), k2.alias("k2")).join(keep.hint("merge"), ["k1", "k2"])
+    return rows.dropDuplicates(["k1", "k2"]).select("row.*")
 
 
 def hex16(fp: Column) -> Column:
