@@ -1,16 +1,16 @@
 """Mixing sources to target weights by systematic sampling.
 
 A document's expected copies are its source's target over its source's size.
-Within a source the documents lie in a fixed order (log-size band, then a hash
-band, then id); the running sum of expected copies plus one random offset per
+Within a source the documents lie in a fixed order (size class, then a hash of
+id, size and text); the running sum of expected copies plus one random offset per
 source crosses an integer boundary once for every copy emitted.  Ordering by
 size makes the systematic draw a stratified one, so the words taken come near
 the target although documents differ by orders of magnitude.
 
 The running sum is taken in two levels: counts per (source, band) first, a
 running sum over that small table, then row numbers inside each band.  A band is
-1/256 of a source's size class, so a source that holds a third of all rows is spread
-over all tasks.  Row numbers are integers, so reruns agree to the last copy.
+a source's size class with one beginning of the hash; there are more of them the more rows there are, so a source that
+holds a third of all rows is spread over all tasks, and so are rows that share an id.  Row numbers are integers, so reruns agree to the last copy.
 """
 
 from __future__ import annotations
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from tabulon.llm.common import WORD_GAP, stored, table, text_or_empty
 
-#: Leading hex digits of the id's md5 that make a hash band.
-BAND_DIGITS = 2
+#: Rows that a hash band holds about; a source's size class has 256 bands at least, and 16 times as many as often as that needs.
+BAND_ROWS = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -87,10 +87,14 @@ def _row_key(id_col: str, text_col: str, source_col: str) -> list[Column]:
 def _placed(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights, share, cap, seed, keyed: bool) -> DataFrame:
     """The rows of ``mix``; ``keyed``: with the row key k1, k2, which then also orders rows of one id and size."""
     keys = ["k1", "k2"] if keyed else []
-    band = F.substring(F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")), 1, BAND_DIGITS)
+    band = F.md5(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.col("size").cast("string"), F.lit(":"), F.col("th")).cast("binary"))
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
-                       word_count(text_or_empty(text_col)).alias("size"), *(_row_key(id_col, text_col, source_col) if keyed else []))
-    rows = stored(rows.withColumn("cls", F.floor(F.log2(F.col("size") + F.lit(1.0))).cast("int")).withColumn("band", band), "mix-sizes")
+                       word_count(text_or_empty(text_col)).alias("size"), F.md5(text_or_empty(text_col).cast("binary")).alias("th"), *(_row_key(id_col, text_col, source_col) if keyed else []))
+    rows = stored(rows.withColumn("cls", F.floor(F.log2(F.col("size") + F.lit(1.0))).cast("int")).withColumn("band", band).drop("th"), "mix-sizes")
+    digits = 2
+    while rows.count() > BAND_ROWS << 4 * digits:
+        digits += 1
+    rows = rows.withColumn("order", F.col("band")).withColumn("band", F.substring("band", 1, digits))
     bands = rows.groupBy("source", "cls", "band").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
     bands = stored(bands, "mix-bands")
     goal = targets(bands.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, cap)
@@ -100,7 +104,7 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, source_col: str, weight
     placed = placed.join(goal, F.col("source").eqNullSafe(F.col("g_source"))).select(
         F.col("source").alias("b_source"), F.col("cls").alias("b_cls"), F.col("band").alias("b_band"), "ahead", "source_size", "target")
     placed = stored(placed, "mix-places")
-    in_band = Window.partitionBy("source", "cls", "band").orderBy("id", "size", *keys)
+    in_band = Window.partitionBy("source", "cls", "band").orderBy("order", "id", *keys)
     numbered = rows.withColumn("nth", F.row_number().over(in_band))
     joined = numbered.join(placed, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("cls") == F.col("b_cls")) & (F.col("band") == F.col("b_band")))
     step = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -120,15 +124,14 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     rows = _placed(docs, id_col, text_col, source_col, weights, share, cap, seed, True)
     counts = rows.groupBy("k1", "k2", "copies").agg(F.count("*").alias("n")).groupBy("k1", "k2").agg(
         F.max(F.struct("copies", "n")).alias("high"), F.min("copies").alias("low")).where("high.copies > 0")
-    counts = stored(counts.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), "high", "low"), "mix-copies")
-    k1, k2 = _row_key(id_col, text_col, source_col)
-    nth = F.row_number().over(Window.partitionBy("__k1", "__k2").orderBy("__k1"))
-    numbered = docs.withColumns({"__k1": k1, "__k2": k2}).withColumn("__nth", nth)
-    taken = numbered.join(counts.hint("merge").select("__k1", "__k2", F.col("high").alias("__high"), F.col("low").alias("__low")),
-                          ["__k1", "__k2"])  # no bound on their number, so never broadcast
-    copies = F.when(F.col("__nth") <= F.col("__high.n"), F.col("__high.copies")).otherwise(F.col("__low"))
-    taken = taken.withColumn("__copies", copies.cast("int")).where("__copies > 0")
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(docs.columns)
+    counts = stored(counts, "mix-copies")
+    # whole rows travel as one column, so no name clashes
+    numbered = docs.select(F.struct("*").alias("row"), *_row_key(id_col, text_col, source_col))
+    numbered = numbered.withColumn("nth", F.row_number().over(Window.partitionBy("k1", "k2").orderBy("k1")))
+    taken = numbered.join(counts.hint("merge"), ["k1", "k2"])  # no bound on their number, so never broadcast
+    copies = F.when(F.col("nth") <= F.col("high.n"), F.col("high.copies")).otherwise(F.col("low")).cast("int")
+    taken = taken.select("row", copies.alias("copies")).where("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
 
 
 def query(spark, sf_dir):
@@ -139,7 +142,7 @@ def query(spark, sf_dir):
 
 SQL = r"""
 WITH d AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, md5(coalesce(text, '')) AS th FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 p AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS pos FROM s),
 w AS (SELECT *, ([3.0, 1.0, 2.0])[(pos % 3 + 1)::INT]::DOUBLE AS weight, source_size * 2.0::DOUBLE AS cap FROM p),
@@ -150,7 +153,7 @@ f AS (SELECT ratio, pos, level FROM l WHERE ratio > level ORDER BY ratio, pos LI
 g AS (SELECT l.source, l.source_size,
         CASE WHEN f.pos IS NULL OR (l.ratio, l.pos) < (f.ratio, f.pos) THEN l.cap ELSE f.level * l.weight END AS target
       FROM l LEFT JOIN f ON true),
-o AS (SELECT d.*, row_number() OVER (PARTITION BY source ORDER BY floor(log2(size + 1.0)), substr(md5(doc_id::VARCHAR), 1, 2), doc_id, size) AS k FROM d),
+o AS (SELECT d.*, row_number() OVER (PARTITION BY source ORDER BY floor(log2(size + 1.0)), md5(coalesce(doc_id::VARCHAR, '') || ':' || size || ':' || th), doc_id) AS k FROM d),
 j AS (SELECT o.doc_id, o.source, o.size, g.source_size, g.target, o.k,
         CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0.0 END AS step,
         ('0x' || substr(md5('mix:' || coalesce(o.source, '')), 1, 8))::UBIGINT::DOUBLE / 4294967296.0::DOUBLE AS u
