@@ -142,10 +142,78 @@ def test_line_dedup_removes_later_copies_only(spark):
 def test_chunk_cuts_resist_shifts():
     rng = np.random.default_rng(0)
     h = rng.integers(0, 2**63, 400).astype(np.uint64)
-    at, n = np.arange(400), np.full(400, 2)
-    whole = {tuple(h[a:b]) for a, b in linededup.cut_chunks(at, h, n)}
-    moved = {tuple(h[3:][a:b]) for a, b in linededup.cut_chunks(at[3:], h[3:], n[3:])}
-    assert len(whole & moved) > 0.8 * len(whole)
+
+    def chunks(pairs):
+        same = np.arange(len(pairs)) > 0
+        first, last, value = linededup.chunks_of(pairs, same)
+        assert len(set(value.tolist())) == len(value) and (last >= first).all()
+        return {tuple(pairs[a : b + 1]) for a, b in zip(first, last)}
+
+    whole, moved = chunks(h), chunks(h[3:])
+    edited = chunks(np.concatenate([h[:200], rng.integers(0, 2**63, 2).astype(np.uint64), h[201:]]))
+    assert len(whole) > 60 and len(whole & moved) >= len(whole) - 3 and len(whole & edited) >= len(whole) - 3
+    assert [len(x) for x in linededup.chunks_of(h[:0], np.zeros(0, bool))] == [0, 0, 0]
+
+
+def plain_runs(docs):
+    """Lines that go: maximal runs of adjacent lines that follow the first occurrences of their pairs."""
+    placed = {i: [(k, x) for k, x in enumerate(t.split("\n")) if x.strip()] for i, t in docs.items()}
+    pairs = {(i, o): (x, y, q - p) for i, ls in placed.items() for o, ((p, x), (q, y)) in enumerate(zip(ls, ls[1:]))}
+    count, first = Counter(pairs.values()), {}
+    for at in sorted(pairs):
+        first.setdefault(pairs[at], at)
+    gone = {i: set() for i in docs}
+    for i, ls in placed.items():
+        o = 0
+        while o < len(ls) - 1:
+            kept = first[pairs[i, o]]
+            if count[pairs[i, o]] < 2 or kept == (i, o):
+                o += 1
+                continue
+            n = 1
+            while (i, o + n) in pairs and first[pairs[i, o + n]] == (kept[0], kept[1] + n) and count[pairs[i, o + n]] > 1:
+                n += 1
+            shared = placed[i][kept[1] + n][0] if kept[0] == i else -1
+            gone[i] |= {k for k in range(ls[o][0], ls[o + n][0] + 1) if k > shared}
+            o += n
+    return gone
+
+
+def test_line_dedup_against_brute_force(spark):
+    rng = random.Random(17)
+    lines = [f"line {k} x" for k in range(60)]
+    docs = {}
+    for i in range(200):
+        t = []
+        while len(t) < rng.randint(1, 25):
+            at = rng.randrange(len(lines))
+            t += lines[at : at + rng.choice([1, 1, 2, 2, 3, 6])] + [rng.choice(["", f"own {i} {len(t)}", " "])] * rng.randint(0, 1)
+        docs[i] = "\n".join(t)
+    gone = plain_runs(docs)
+    got = {r.doc_id: (r.text, r.n_removed) for r in linededup.dedup_lines(docs_of(spark, [(i, t, "a") for i, t in docs.items()])).collect()}
+    assert sum(map(len, gone.values())) > 500
+    for i, t in docs.items():
+        left = [x for k, x in enumerate(t.split("\n")) if k not in gone[i]]
+        assert got[i] == ("\n".join(left), len(gone[i])), i
+
+
+def test_two_line_runs_all_go_and_no_line_vanishes(spark):
+    """What later copies of repeated two-line runs keep: nothing; and every line stays somewhere."""
+    docs = {1: "u1\nA a\nB b\nC c\nu2", 2: "v1\nA a\nB b\nv2", 3: "w1\nC c\nw2", 4: "B b\nC c", 5: "x1\n\nA a\n\nB b", 6: "y\n\nA a\n\nB b\nz"}
+    got = {r.doc_id: r.text for r in linededup.dedup_lines(docs_of(spark, [(i, t, "a") for i, t in docs.items()])).collect()}
+    assert got == {1: docs[1], 2: "v1\nv2", 3: docs[3], 4: "", 5: docs[5], 6: "y\n\nz"}
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    before = {(r.doc_id, r.text) for r in table.select("doc_id", "text").collect()}
+    after = linededup.dedup_lines(table, long_lines=False).select("doc_id", "text").collect()
+    lines_of = lambda texts: {x for t in texts for x in (t or "").split("\n") if x}
+    assert lines_of(t for _, t in before) == lines_of(r.text for r in after)
+
+
+def test_line_dedup_of_clashing_names(spark):
+    df = spark.createDataFrame([(1, "a b\nc d", 7, "x", True, 5), (2, "a b\nc d", 8, "y", None, 6)], "doc_id long, text string, n_lines int, `row` string, drop boolean, own_th int")
+    out = linededup.dedup_lines(df)
+    assert out.columns == ["doc_id", "text", "row", "drop", "own_th", "n_lines", "n_removed"]
+    assert sorted(out.collect()) == [(1, "a b\nc d", "x", True, 5, 2, 0), (2, "", "y", None, 6, 2, 2)]
 
 
 def test_line_dedup_finds_cropped_and_adjoining_passages(spark):
@@ -156,7 +224,7 @@ def test_line_dedup_finds_cropped_and_adjoining_passages(spark):
     texts = {1: p + q, 2: lines(1) + p + lines(1), 3: q, 10: whole, 11: lines(1) + whole[2:7] + lines(2), 12: whole[:3] + lines(1) + whole[3:], 20: a,
              30: m, 31: m, 32: m[:3], 33: m[3:]}
     got = {r.doc_id: (r.n_removed, r.text) for r in linededup.dedup_lines(docs_of(spark, [(i, "\n".join(t), "a") for i, t in texts.items()])).collect()}
-    assert {i: n for i, (n, _) in got.items()} == {1: 0, 2: 3, 3: 3, 10: 0, 11: 5, 12: 8, 20: 2, 30: 0, 31: 6, 32: 3, 33: 3}
+    assert {i: n for i, (n, _) in got.items()} == {1: 0, 2: 3, 3: 3, 10: 0, 11: 5, 12: 8, 20: 4, 30: 0, 31: 6, 32: 3, 33: 3}
     assert got[2][1].split("\n") == [texts[2][0], texts[2][4]]
 
 
@@ -166,12 +234,12 @@ def test_top_k_against_brute_force(spark):
     rng = np.random.default_rng(4)
     vectors = [(i, [float(x) for x in rng.normal(0, 1 + i % 5, 6)]) for i in range(0, 260)]
     vectors += [(400, None), (500, [1.0, None]), (600, [float("nan")]), (700, [float("inf")]), (800, []), (901, vectors[0][1]), (902, vectors[0][1])]
-    vectors += [(i, vectors[5][1]) for i in range(1001, 1040)]
+    vectors += [(i, vectors[5][1]) for i in range(1001, 1040)] + [(1002, vectors[5][1])] * 3 + [(1100, [0.0] * 6)]
     got = topk.top_k(spark.createDataFrame(vectors, "vec_id long, embedding array<double>")).collect()
-    good = {i: [math.floor(1024 * x) for x in v] for i, v in vectors if v is not None and all(x is not None and math.isfinite(x) for x in v)}
+    good = [(i, [math.floor(1024 * x) for x in v]) for i, v in vectors if v is not None and all(x is not None and math.isfinite(x) for x in v)]
     want = []
-    for q in sorted(i for i in good if i % 100 == 0):
-        scores = sorted((-sum(a * b for a, b in zip(good[q], v)), i) for i, v in good.items() if i != q)[:10]
+    for q, u in sorted(x for x in good if x[0] % 100 == 0):
+        scores = sorted((-sum(a * b for a, b in zip(u, v)), i) for i, v in good if i != q)[:10]
         want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores)]
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == sorted(want)
 
@@ -203,6 +271,36 @@ def test_pruning_keeps_winners_along_one_coordinate(sign):
             assert sorted(scores[i][to[at == i]], reverse=True) == want
 
 
+def test_top_k_of_huge_components_clashing_names_and_an_empty_table(spark):
+    kind = "vec_id long, embedding array<double>, norm string, block int, bounds string"
+    rows = [(0, [1.0, 2.0]), (1, [1e300, 0.0]), (2, [-1e300, 1.0]), (3, [3.0, 1.0]), (100, [1e300, 1e300])]
+    df = spark.createDataFrame([(i, v, "x", 1, "y") for i, v in rows], kind)
+    top = 2**63 - 1
+    cut = lambda x: max(-top - 1, min(top, math.floor(1024 * x) if abs(x) < 1e15 else (top if x > 0 else -top - 1)))
+    want = []
+    for q, u in rows:
+        if q % 100 == 0:
+            scores = sorted((-sum(cut(a) * cut(b) for a, b in zip(u, v)), i) for i, v in rows if i != q)
+            want += [(q, k + 1, i, max(-top - 1, min(top, -s))) for k, (s, i) in enumerate(scores)]
+    got = topk.top_k(df).collect()
+    assert sorted((r.query_id, r.vec_id, r.score) for r in got) == sorted((q, i, s) for q, _, i, s in want)
+    assert topk.top_k(df.limit(0)).count() == 0 and topk.top_k(df.where("vec_id = 3")).count() == 0
+
+
+def test_coordinates_prune_where_few_of_them_hold_the_energy(spark):
+    rng = np.random.default_rng(18)
+    scale = 2.0 ** -np.arange(32)
+    vectors = [(i, (rng.normal(0, 1, 32) * scale).tolist()) for i in range(3000)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    share = topk.pruning(df).collect()
+    assert any(r.way == "coordinates" for r in share) and sum(r.products for r in share) < 0.3 * sum(r.pairs for r in share)
+    good = np.array([np.floor(1024 * np.array(v)) for _, v in vectors])
+    scores = good[::100] @ good.T
+    got = {(r.query_id, r["rank"]): r.score for r in topk.top_k(df).collect()}
+    for n, q in enumerate(range(0, 3000, 100)):
+        assert [got[q, k + 1] for k in range(10)] == sorted(np.delete(scores[n], q).tolist(), reverse=True)[:10]
+
+
 # --- gif ---------------------------------------------------------------------------------
 
 def test_gif_round_trip():
@@ -241,6 +339,24 @@ def test_gif_columns(spark):
     assert all(f.error is None and f.delay_cs == gif.DELAY_CS and sum(f.histogram) == 3 * f.width * f.height for f in frames)
 
 
+def test_gif_digests_by_hashlib(spark):
+    import hashlib
+    import zlib
+
+    rows = EDGE + [(70, "very long text " * 20_000, "a"), (70, "very long text " * 20_000, "a"), (71, "x" * 64, "a"), (72, "é" * 33, "a")]
+    got = gif.digests(docs_of(spark, rows)).collect()
+    want = []
+    for i, t, _ in rows:
+        raw = (t or "").encode()
+        payload = raw + b"\0" * (-len(raw) % 64 if raw else 64)
+        media = gif.encode(payload)
+        want.append((str(i), len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(media), hashlib.sha256(media).hexdigest()))
+    assert sorted((str(r.id), *r[1:7]) for r in got) == sorted(want)
+    levels = np.bincount(np.frombuffer(b"x" * 64, np.uint8) >> 4, minlength=16)
+    assert {r.feature for r in got if r.id == 71} == {f"1x{gif.DELAY_CS}cs:" + ",".join(map(str, levels.tolist()))}
+    assert gif.digests(docs_of(spark, [])).count() == 0
+
+
 # --- toxicity ------------------------------------------------------------------------------
 
 def test_toxicity_learns_words_and_their_misspellings(spark):
@@ -356,14 +472,14 @@ def test_lm_score_against_brute_force(spark):
     counts = stored(tokens.where("word IS NOT NULL").groupBy("word").agg({"n": "sum"}).toDF("word", "c"), "t")
     fitted = lmscore.fit(tokens, counts)
     assert np.allclose(np.exp(math.log(10) * fitted.model.in_class.astype(float)).sum(axis=1), len(set(fitted.model.classes_of)), atol=1e-3)
-    got = lmscore.scored(tokens.where("ids IS NOT NULL").select("id", "th", "text", "ids"), counts, fitted).collect()
+    got = lmscore.scored(tokens.where("ids IS NOT NULL").select("id", "th", "ids"), counts, fitted).collect()
     sub, want = lmscore.subwords(), []
     for i, t, _ in rows:
         words = [np.frombuffer(sub[x], np.uint16).tolist() for x in lmscore.words_of(t or "")] + [[attention.END]]
         each = plain_log10(fitted.model, [x for word in words for x in word])
         total, at = 0.0, 0
-        for word, raw in zip(words, [*lmscore.words_of(t or ""), b"\n"]):
-            share = fitted.common.get(raw, 0) / fitted.cached
+        for word in words:
+            share = fitted.common.get(np.array(word, np.uint16).tobytes(), 0) / fitted.cached
             total += math.log10(lmscore.CACHE_SHARE * share + (1 - lmscore.CACHE_SHARE) * 10 ** sum(each[at : at + len(word)]))
             at += len(word)
         want.append((str(i), len(words), round(total, 2)))
