@@ -161,13 +161,13 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return others.select("id", "th", F.greatest("first", F.col("shared_to") + 1).alias("first"), "last").where("first <= last")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_lines: bool = True) -> DataFrame:
-    """All rows and columns of ``docs``, repeated chunks removed from the text, plus n_lines and n_removed.
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_lines: bool = True, counts: bool = True) -> DataFrame:
+    """All rows and columns of ``docs``, repeated chunks removed from the text, plus (``counts``) n_lines and n_removed.
 
     Null texts stay null and have no lines.  Rows that share id and text are one
     document and fare alike; rows that share an id only are told apart by text.  A
     text whose lines are all removed becomes empty.  An empty table stays empty.
-    Columns of ``docs`` that are called n_lines or n_removed are replaced.
+    With ``counts``, columns of ``docs`` that are called n_lines or n_removed are replaced.
     """
     ranges = repeated_chunks(docs, id_col, text_col, long_lines)
     per_doc = ranges.distinct().groupBy("id", "th").agg(F.collect_list(F.struct("first", "last")).alias("rs"))
@@ -193,10 +193,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = F.split(text, "\n", -1)
     left = F.filter(lines, lambda x, i: ~F.coalesce(F.get(F.col("drop"), i), F.lit(False)))
     none = text.isNull() | F.col("drop").isNull()
-    counts = {"n_lines": F.when(text.isNull(), F.lit(0)).otherwise(F.size(lines)), "n_removed": F.when(none, F.lit(0)).otherwise(F.size(F.filter("drop", lambda x: x)))}
+    added = {} if not counts else {"n_lines": F.when(text.isNull(), F.lit(0)).otherwise(F.size(lines)), "n_removed": F.when(none, F.lit(0)).otherwise(F.size(F.filter("drop", lambda x: x)))}
     columns = [F.when(none, text).otherwise(F.array_join(left, "\n")).alias(c) if c == text_col else F.col("row").getField(c).alias(c)
-               for c in docs.columns if c not in counts]
-    return touched.unionByName(untouched).select(*columns, *[n.cast("long").alias(c) for c, n in counts.items()])
+               for c in docs.columns if c not in added]
+    return touched.unionByName(untouched).select(*columns, *[n.cast("long").alias(c) for c, n in added.items()])
 
 
 def query(spark, sf_dir):

@@ -417,8 +417,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     return train(stored(sample, "toxic-sample"))
 
 
-def with_score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` plus ``__score``, which the text alone decides; null texts are scored as empty ones."""
+def with_score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "__score") -> DataFrame:
+    """``docs`` plus a score, which the text alone decides; null texts are scored as empty ones."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((model.value.astype(np.float32), model.bias, model.shift))
     place = docs.columns.index(text_col)
@@ -428,10 +428,19 @@ def with_score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
         for b in slices(batches):
             texts = [(t.as_py() or "").encode("utf-8", "surrogatepass") for t in b.column(place)]
             score = pa.array(m.scores(texts), pa.float64())
-            yield pa.RecordBatch.from_arrays([*b.columns, score], names=[*b.schema.names, "__score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, score], names=[*b.schema.names, score_col])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, schema + ", __score double")
+    return docs.mapInArrow(run, schema + f", `{score_col}` double")
+
+
+def not_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the classifier does not reject, with their columns, whatever these are called."""
+    name = "score"
+    while name in docs.columns:
+        name += "_"
+    scored = with_score(docs, fit_toxicity(docs, labels, id_col, text_col), text_col, name)
+    return scored.where(F.col(name) < 0.5).drop(name)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

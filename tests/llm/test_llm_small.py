@@ -35,9 +35,12 @@ TURNS = "conv_id long, turn long, role string, text string, k int, n_copies int"
 def test_chat_keeps_maximal_conversations(spark):
     logs = {1: "ab", 2: "abc", 3: "abc", 4: "ax", 5: "a", 6: "b", None: "z"}
     rows = [(c, k, "user", t, 0, 0) for c, ts in logs.items() for k, t in enumerate(ts)]
-    rows += [(7, 0, None, None, 0, 0), (8, 1, "user", "q", 0, 0), (8, 1, "user", "q", 0, 0)]
-    got = {r.conv_id: (r.n_turns, r.n_copies) for r in chat.chat_format(spark.createDataFrame(rows, TURNS)).collect()}
-    assert got == {2: (3, 2), 4: (2, 1), 6: (1, 1), 7: (1, 1), 8: (2, 1), None: (1, 1)}
+    rows += [(None, k, "user", x, 0, 0) for k, x in enumerate("zayy")] + [(7, 0, None, None, 0, 0), (8, 1, "user", "q", 0, 0), (8, 1, "user", "q", 0, 0)]
+    out = chat.chat_format(spark.createDataFrame(rows, TURNS)).collect()
+    got = {r.conv_id: (r.n_turns, r.n_copies) for r in out if r.conv_id is not None}
+    assert got == {2: (3, 2), 4: (2, 1), 6: (1, 1), 7: (1, 1), 8: (2, 1)}
+    # turns without a conversation id are conversations by themselves; one of them begins another conversation
+    assert sorted((r.text, r.n_copies) for r in out if r.conv_id is None) == [(f"<|im_start|>user\n{x}<|im_end|>\n", n) for x, n in (("y", 2), ("z", 2))]
 
 
 def test_chat_empty(spark):
@@ -680,6 +683,49 @@ def test_pipeline_stages_keep_columns(spark):
         assert out.columns == df.columns, name
 
 
+CLASH = "doc_id long, text string, source string, lang string, n_chars long, score int, row string, k1 string, n_lines int, copies int, piece int, id int, length int"
+
+
+def test_pipeline_stages_of_nulls_repeats_clashing_names_and_empty_tables(spark):
+    import corpus_pipeline
+
+    extra = (None, 9, 1, "r", "k", 2, 3, 4, 5, 6)
+    rows = [(i, t, s, *extra) for i, t, s in [*EDGE, (None, None, None), (None, None, None), (8, "same line one\nsame line two", "a"), (9, "same line one\nsame line two", "a")]]
+    df = spark.createDataFrame(rows, CLASH)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, df.limit(0), SF).count() == 0, name
+        out = stage(spark, df, SF)
+        if name != "packing":
+            assert out.columns == df.columns, name
+            assert out.select("score", "row", "k1", "n_lines", "copies", "piece", "id", "length").distinct().collect() == [(1, "r", "k", 2, 3, 4, 5, 6)], name
+        got = Counter((r.doc_id, r.text) for r in out.collect()) if name != "packing" else None
+        if name == "toxicity":
+            assert got == Counter((i, t) for i, t, *_ in rows)
+        elif name == "line_dedup":
+            assert got == Counter((i, "" if i == 9 else t) for i, t, *_ in rows)
+        elif name == "simhash_near_dedup":
+            assert sorted(t or "" for _, t in got.elements()) == sorted({"one two three four", "", "w " * 5000 + "end", EDGE[-1][1], "same line one\nsame line two"})
+        elif name == "mixing":
+            assert all(n <= 2 * Counter((i, t) for i, t, *_ in rows)[k] for k, n in got.items())
+        else:
+            assert {r.doc_id for r in out.collect()} == {i for i, *_ in rows} and out.agg({"length": "sum"}).first()[0] > 5000
+
+
+def test_pipeline_run_applies_its_stages_in_turn(spark, tmp_path):
+    import corpus_pipeline
+
+    rows = [(i, f"text {i} " + " ".join(f"w{(i * k) % 89}" for k in range(60)), "ab"[i % 2]) for i in range(40)] + EDGE
+    df = spark.createDataFrame([(i, t, s, "en", len(t or "")) for i, t, s in rows], "doc_id long, text string, source string, lang string, n_chars long")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 0) for i in range(20)], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    want = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for _, stage in corpus_pipeline.STAGES:
+        want = spark.createDataFrame(stage(spark, want, str(tmp_path)).collect(), schema=stage(spark, want, str(tmp_path)).schema)
+    fields = ("doc_id", "piece", "start", "length", "ids_crc32")
+    of = lambda x: sorted(map(repr, x.select(*fields).collect()))
+    assert of(corpus_pipeline.run(spark, str(tmp_path))) == of(want)
+
+
 def test_one_of_each_keeps_one_row_of_every_component(spark):
     rows = EDGE + [(1, "five six seven eight", "a"), (9, "five six seven eight", "a"), (None, "alone and far away", "a"), (None, "another one elsewhere", "a")]
     out = simhash.one_of_each(docs_of(spark, rows))
