@@ -57,7 +57,7 @@ def stream_window_counts(spark, sf_dir):
 def full_row_quality(spark, sf_dir):
     """Schedule rows through the whole quality chain: flags, severity, confidence, routing, demotion."""
     df = rows.first_wins(sched(spark, sf_dir), ["doc", "sheet_name", "day", "start_time", "subject", "course"], list(ORDER))
-    df = df.withColumn("flags", quality.row_flags()).withColumn("severity", quality.severity(F.col("flags")))
+    df = quality.flagged(df, notes=None).withColumn("severity", quality.severity(F.col("flags")))
     has = [F.col(c) != "" for c in ("day", "start_time", "end_time", "subject")]
     df = df.withColumn("confidence", quality.confidence(*has, F.size("flags")))
     df = df.withColumn("accepted", quality.accepted(F.col("flags"), F.col("confidence"), ["day", "start_time", "end_time", "subject"]))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tabulon.functions import classify, programs, text
 from tabulon.functions import segments as seg
+from tabulon.operators import quality
 from tabulon.plans.sched import read
 
 QUERIES: dict = {}
@@ -323,3 +324,151 @@ _ALIAS = "CASE lower(j) " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in progra
 def program_labels(spark, sf_dir):
     """The clean form of every program label, and whether it may stand."""
     return programs.labelled(labels(spark, sf_dir), "label").select("label", F.col("program_candidate").alias("candidate"), F.col("program_bad").alias("bad"))
+
+
+TEACHERS = ("", "Вовна О. В.", "доц. Коваль І. П. (лек)", "Коваль І. П. 214", "Коваль І. П. 9:30", "А ; Б ; В ; Г ; Д ; Е", "Довгий список ; " * 14, "практична Марія")
+ROOMS = ("", "214", "ауд. 214", "доц. Коваль", "https://meet.example/abc", "аудиторія в далекому корпусі номер два на третьому поверсі біля великої сходової клітки справа")
+NOTES = ("", "Право", "звіт декана " * 8, "примітка " * 30, "Розклад занять на весну та осінь цього навчального року для всіх студентів факультету і кафедр")
+#: Clock times of a slot; the third is too long, the fourth too short, the fifth too late.
+SLOTS = (("08:00", "09:20"), ("09:30", "10:50"), ("09:00", "14:30"), ("11:00", "11:10"), ("22:00", "23:20"), ("", "09:20"))
+MORE_SUBJECTS = ("Іноземна мова", "Англійська мова", "Хімія 214", "Хімія / А-12", "Біологія хімічний ф-т 12", "Логіка Коваль І. та інші", "a?pwd=b", "=SUM(A1)", "12345", "???",
+                 "Аналіз / продовження / (лек)", "Аналіз / Геометрія / Логіка", "Аналіз / продовження / ще", "Іспит 12.05.2024", "Історія -----", "кваліфікаційна робота", "Практика виробнича",
+                 "Довга назва предмета про все на світі " * 5)
+
+
+def schedule_rows(spark, sf_dir):
+    """One row a part, its cells drawn from the lists by its key."""
+    pick = lambda values, i: F.element_at(F.array(*map(F.lit, values)), (i % len(values) + 1).cast("int"))
+    k = F.col("p_partkey")
+    return read(spark, sf_dir, "part").select(
+        "p_partkey", pick(("fit-schedule", "chem-schedule"), k).alias("source_name"), F.trim(pick(LABELS + MORE_SUBJECTS, k)).alias("subject"),
+        F.when(F.col("p_size") == 1, "").otherwise("Середа").alias("day"), pick([a for a, _ in SLOTS], F.floor(k / 3)).alias("start_time"),
+        pick([b for _, b in SLOTS], F.floor(k / 3)).alias("end_time"), pick(TEACHERS, F.floor(k / 7)).alias("teacher"),
+        pick(ROOMS, F.floor(k / 11)).alias("room"), pick(NOTES, F.floor(k / 13)).alias("notes"))
+
+
+def _pick_sql(values, i) -> str:
+    return f"([{_quoted(values)}])[({i} % {len(values)} + 1)::INT]"
+
+
+ROWS_SQL = f"""rows AS (SELECT p_partkey, {_pick_sql(("fit-schedule", "chem-schedule"), "p_partkey")} AS source, trim({_pick_sql(LABELS + MORE_SUBJECTS, "p_partkey")}) AS s,
+  CASE WHEN p_size = 1 THEN '' ELSE 'Середа' END AS day, {_pick_sql([a for a, _ in SLOTS], "(p_partkey // 3)")} AS a, {_pick_sql([b for _, b in SLOTS], "(p_partkey // 3)")} AS b,
+  trim({_pick_sql(TEACHERS, "(p_partkey // 7)")}) AS t, trim({_pick_sql(ROOMS, "(p_partkey // 11)")}) AS r, trim({_pick_sql(NOTES, "(p_partkey // 13)")}) AS n FROM part)"""
+_MIX = some("t", quality.A_LESSON, quality.A_NUMBER, quality.A_CLOCK)
+_SEMI = "(length(t) - length(replace(t, ';', '')))"
+_PARALLEL = f"(source = 'fit-schedule' AND lower(s) IN ('іноземна мова', 'англійська мова') AND {_SEMI} >= 3 AND NOT {some('t', classify.LINK)} AND NOT {_MIX})"
+_PIECES = "list_filter(list_transform(string_split(s, ' / '), lambda x: trim(x)), lambda x: x <> '')"
+_WRAPPED = (f"(NOT ({some('s', classify.LINK, classify.TEACHER, quality.A_TRAILING_ROOM, r'[0-9]{2}.[0-9]{2}.[0-9]{4}')} OR {room_sql('s')} OR {some('s', *classify.ROOMISH)}) AND len({_PIECES}) >= 3 "
+            f"AND len(list_filter({_PIECES}, lambda x: NOT regexp_matches(x, '\\p{{L}}'))) = 0 AND len(list_filter({_PIECES}[2:], lambda x: NOT regexp_matches(x, '^(\\(|\\p{{Ll}})'))) = 0 "
+            f"AND {some('s', quality.A_LESSON)})")
+_LONG = f"(length(s) > 220 OR {garbage_sql('s')})"
+_FLAGS = {
+    "missing_day": "day = ''", "missing_time": "(a = '' OR b = '')", "missing_subject": "s = ''",
+    "subject_contains_room": f"({room_sql('s')} OR {some('s', *classify.ROOMISH, quality.A_TRAILING_ROOM)})",
+    "subject_contains_teacher": f"({some('s', classify.TEACHER)} OR len(list_filter(regexp_extract_all(s, '[А-ЯІЇЄҐ][а-яіїєґ''’ʼ-]+\\s+[А-ЯІЇЄҐ]\\.\\s*(?:[А-ЯІЇЄҐ]\\.)?'), "
+                                "lambda x: NOT regexp_matches(x, '[А-ЯІЇЄҐ]\\.\\s*[А-ЯІЇЄҐ]\\.$'))) > 0)",
+    "subject_contains_link": some("s", classify.LINK),
+    "service_text_subject": f"({some('s', *classify.ADMIN)} OR {service_sql('s')} OR {forbidden_sql(tokens_sql('s'))})",
+    "subject_too_long": "length(s) > 140", "teacher_too_long": f"(length(t) > 180 AND NOT {_PARALLEL})",
+    "inconsistent_columns": (f"({_MIX} OR {has('t', ('лек', 'практ'))} OR ({_SEMI} >= 5 AND NOT {_PARALLEL}) OR (r <> '' AND ({some('r', classify.TEACHER, classify.LINK, quality.A_TITLE)} OR length(r) > 80)) "
+                             f"OR length(n) > 240 OR (length(n) > 80 AND {service_sql('n')}) OR ((length(s) - length(replace(s, ' / ', ''))) / 3 >= 2 AND NOT {_WRAPPED}) "
+                             f"OR regexp_matches(s, '[0-9]{{2}}\\.[0-9]{{2}}\\.[0-9]{{4}}') OR {has('s', quality.DASHES)} OR {_FRAGMENT_SQL.replace('(t', '(s').replace(' t ', ' s ')})"),
+    "garbage_text": (f"({_LONG} OR {has('s', quality.PASSWORD_MARKS)} OR starts_with(s, '=') OR regexp_full_match(s, '[0-9]+') OR NOT regexp_matches(s, '\\p{{L}}') OR {all_of('s', seg.W_ABBREVIATION)} "
+                     f"OR (NOT contains(s, ' ') AND ({code_token_sql('s')} OR regexp_full_match(s, '[A-Za-z0-9=._-]{{10,}}'))))"),
+    "implausible_time": ("(list_contains(list_transform(list_filter([a, b], lambda x: x <> ''), lambda x: split_part(x, ':', 1)::INT * 60 + split_part(x, ':', 2)::INT < 420 "
+                         "OR split_part(x, ':', 1)::INT * 60 + split_part(x, ':', 2)::INT > 1350), true) OR (a <> '' AND b <> '' AND (m < 30 OR m > "
+                         "CASE WHEN regexp_matches(lower(s), 'кваліфікаційн[а-яі]+ робот|захист[а-яі]|атестаці[а-яі]|практик[а-яі]') THEN 360 ELSE 240 END)))"),
+}
+
+
+@query(f"""WITH {ROWS_SQL}, m AS (SELECT *, CASE WHEN a <> '' AND b <> '' THEN split_part(b, ':', 1)::INT * 60 + split_part(b, ':', 2)::INT - split_part(a, ':', 1)::INT * 60 - split_part(a, ':', 2)::INT END AS m FROM rows)
+  SELECT p_partkey, array_to_string(list_sort(list_filter([{", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c in _FLAGS.items())}], lambda x: x IS NOT NULL)), ',') AS flags FROM m""")
+def full_row_flags(spark, sf_dir):
+    """Every quality flag over rows in which each is raised."""
+    return quality.flagged(schedule_rows(spark, sf_dir)).select("p_partkey", F.array_join(F.array_sort("flags"), ",").alias("flags"))
+
+
+@query(f"""WITH {ROWS_SQL}, d AS (SELECT p_partkey, {tokens_sql('s')} AS s, {tokens_sql('n')} AS n FROM rows),
+  t AS (SELECT p_partkey, CASE WHEN s <> '' THEN s ELSE n END AS t FROM d)
+  SELECT p_partkey FROM t WHERE NOT ({all_of('t', seg.W_DROP_SERVICE, seg.W_DROP_TECHNICAL, seg.W_DROP_DATES)} OR {some('t', *classify.ADMIN)} OR ({service_sql('t')} AND NOT {some('t', seg.A_EXAM)}))""")
+def review_without_service_rows(spark, sf_dir):
+    """Review rows without those that hold no class at all."""
+    return quality.without_dropped(schedule_rows(spark, sf_dir), evidence=("notes",)).select("p_partkey")
+
+
+#: Buckets: source, program, subjects, groups, notes; rows of a bucket take its subjects and notes in turn.
+BUCKETS = (
+    ("history-schedule", "032 Історія України", "Методика", "", "032 Історія України: семінар"), ("history-schedule", "032 Архівна справа", "Методика", "", "про архівна справа"),
+    ("history-schedule", "Археологія", "Методика", "", "Археологія."), ("biomed-schedule", "Біологія клітини", "іноземна мова", "", "Біологія клітини; лаб"),
+    ("biomed-schedule", "Біофізика", "(лаб", "G-1", ""), ("biomed-schedule", "Лаб.діагностика", "Ендокринологія з оцінкою результатів досліджень", "G", "перше ; друге"),
+    ("biomed-schedule", "Іноземна мова", "Логіка мови", "G", "Іноземна мова, друге"), ("chem-schedule", "Хімія полімерів", "ВМС", "", "Хімія полімерів."),
+    ("phys-schedule", "акад", "Оптика", "G", ""), ("phys-schedule", "Фізика timetable", "Оптика", "G", ""), ("phys-schedule", "Ботаніка та зоологія", "Оптика", "G", ""),
+    ("phys-schedule", "Оптика хвиль", "ауд. 21", "G", ""), ("iht-schedule", "Матеріали E12", "Логіка", "G", ""), ("law-schedule", "2 академічна", "Право", "G", ""),
+    ("econom-schedule", "Коваль І.", "Логіка", "G", ""), ("sociology-schedule", "English", "Логіка", "G", ""), ("sociology-schedule", "СОЦІОЛОГІЯ ПРАЦІ (С)", "Логіка", "G", ""),
+    ("sociology-schedule", "Соціальна структура", "МЕТОДИ", "G", "Соціальна структура"), ("sociology-schedule", "Соціальна робота", "Методи", "", "Соціальна робота."),
+    ("psy-schedule", "Психологія", "Логіка", "G", "вільний день"), ("psy-schedule", "Психологія праці", "Базова загальновійськова підготовка", "G", ""),
+    ("psy-schedule", "Психологія мови", "Захист навчальної практики", "G", "інше"), ("mechmat-schedule", "Математика + лек", "Аналіз", "G", ""),
+    ("geo-schedule", "Розклад", "Карти", "G", ""), ("geo-schedule", "Географія", "Карти", "G", "Географія"), ("geo-schedule", "geo-schedule", "Карти", "G", ""),
+    ("geo-schedule", "Геоморфологія та палеогеографія", "Карти", "G", ""), ("geo-schedule", "географія малих міст", "Карти", "G", ""), ("geo-schedule", "Географія (пр)", "Карти", "G", ""),
+    ("geo-schedule", "невідома програма", "Карти", "G", ""), ("geo-schedule", "Дуже довга назва програми про географію всіх материків і всіх океанів світу", "Карти", "G", ""),
+)
+
+
+def bucket_rows(spark, sf_dir):
+    """Buckets of one to four rows, one bucket a supplier nation and list entry."""
+    draw = lambda i: F.element_at(F.array(*[F.lit(b[i]) for b in BUCKETS]), (F.col("s_suppkey") % len(BUCKETS) + 1).cast("int"))
+    rows = read(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("faculty "), F.floor(F.col("s_suppkey") / (len(BUCKETS) * 4)).cast("string"), F.lit("-"), (F.col("s_suppkey") % 4).cast("string")).alias("faculty"), draw(0).alias("source_name"),
+        draw(1).alias("program"), draw(2).alias("subject"), draw(3).alias("groups"), draw(4).alias("notes"), (F.col("s_suppkey") % 5).alias("k"))
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("k") % 4).cast("int"))))
+
+
+_B = "(s_suppkey % {n} + 1)::INT".format(n=len(BUCKETS))
+_BSQL = ", ".join(f"([{_quoted(b[i] for b in BUCKETS)}])[{_B}] AS {name}" for i, name in enumerate(("src", "prog", "subj", "grp", "note")))
+_ANCHOR = "(note <> '' AND c <> '' AND starts_with(note, c) AND (substr(note, length(c) + 1) = '' OR regexp_matches(substr(note, length(c) + 1), '^\\s*[:;,.]')))"
+_FRAG = _FRAGMENT_SQL.replace("(t", "(subj").replace(" t ", " subj ")
+
+
+def _rule_sql() -> str:
+    of = lambda name, most: f"(src = '{name}-schedule' AND n <= {most})"
+    one, no_parts = "(low IS NOT NULL AND low = high)", parts_sql("c")
+    opaque = opaque_sql("c")
+    fragmented = (f"(c = '' OR {some('c', classify.TEACHER, *quality.FRAGMENTED)} OR length(replace(c, '(', '')) <> length(replace(c, ')', '')) OR {opaque} OR regexp_matches(c, '^\\p{{Ll}}') "
+                  f"OR (contains(c, '+') AND {some('c', quality.A_LESSON)}))")
+    letters, upper = "length(regexp_replace(c, '\\P{L}', '', 'g'))", "length(regexp_replace(c, '\\P{Lu}', '', 'g'))"
+    shouted = f"({letters} > 0 AND {upper} >= {letters} * 0.9 AND {some('c', *quality.A_UPPER_MARKS)})"
+    rules = [
+        ("history", f"({of('history', 3)} AND regexp_matches(c, '^[0-9]{{3}}\\s+') AND no_groups AND low IS NOT NULL AND none_same AND (anchored OR (noted AND named))) OR ({of('history', 1)} AND anchored AND others)"),
+        ("biomed", f"({of('biomed', 2)} AND {one} AND low IN ({_quoted(quality.BIOMED_SUBJECTS)}) AND no_groups AND (anchored OR notes_begin)) OR ({of('biomed', 2)} AND (fragment OR (lower(c) = 'іноземна мова' AND anchored AND others))) "
+                   f"OR ({of('biomed', 3)} AND lower(c) IN ({_quoted(quality.LAB_PROGRAMS)}) AND noted AND {one} AND low = '{quality.LAB_SUBJECT}' AND listed AND loose)"),
+        ("chem", f"{of('chem', 3)} AND anchored AND no_groups AND {one} AND {all_of('low', quality.C_SHORT_UPPER, flags='')}"),
+        ("phys", f"src = 'phys-schedule' AND ({all_of('c', quality.W_PHYS_TITLE)} OR {some('c', r'(?:^| )(?:timetable|sem[.])', r'(?:^|[^0-9])20[0-9][0-9](?:$|[^0-9])')})"),
+        ("phys_small", f"{of('phys', 3)} AND ({some('c', classify.TEACHER)} OR NOT {has('c', quality.PHYS_SAFE)} OR loose_subject)"),
+        ("iht", f"{of('iht', 3)} AND {codes_sql('c')} >= 1"), ("law", f"{of('law', 3)} AND {all_of('c', r'[0-9]+ *академ[а-яіїєґ]*')}"),
+        ("econom", f"{of('econom', 2)} AND {all_of('c', quality.C_ECONOM_NAME, flags='')}"),
+        ("sociology", f"{of('sociology', 3)} AND (lower(c) IN ('english', 'англ.мова') OR {shouted} OR {some('c', classify.TEACHER)} OR (notes_are_program AND shouted) OR ({one} AND low <> c AND no_groups AND anchored))"),
+        ("psy", f"{of('psy', 3)} AND ((n = 1 AND study) OR ({one} AND low = '{quality.MILITARY}') OR (study AND military) OR (n = 1 AND {one} AND low = '{quality.PRACTICE}' AND noted AND NOT anchored) OR (n <= 2 AND study AND no_groups))"),
+        ("mechmat", f"{of('mechmat', 1)} AND (contains(c, '+') OR {some('c', quality.A_LESSON)})"),
+        ("any", f"n <= 3 AND (bad OR {some('c', *quality.TINY_BAD)} OR {fragmented} OR length(c) >= 70 OR lower(c) IN ('', 'unknown program', 'невідома програма') OR lower(c) = replace(src, '-', ' ') OR lower(c) = src OR lower(c) = lower(fac))"),
+    ]
+    del no_parts
+    return "CASE " + " ".join(f"WHEN {c} THEN '{n}'" for n, c in rules) + " END"
+
+
+@query(f"""WITH labels AS (SELECT DISTINCT ([{_quoted(b[1] for b in BUCKETS)}])[{_B}] AS l FROM supplier),
+  t AS (SELECT l, {tokens_sql('l')} AS t FROM labels), p AS (SELECT l, t, {parts_sql('t')} AS p FROM t){_steps()},
+  j AS MATERIALIZED (SELECT *, array_to_string({_KEPT}, ' ; ') AS j FROM e), f AS MATERIALIZED (SELECT *, {_ALIAS} AS candidate FROM j),
+  named AS MATERIALIZED (SELECT l, candidate AS c, (t <> '' AND (candidate = '' OR {bad_sql('t', 'p')})) AS bad FROM f),
+  raw AS (SELECT 'faculty ' || (s_suppkey // {len(BUCKETS) * 4}) || '-' || (s_suppkey % 4) AS fac, {_BSQL}, unnest(range(0, (s_suppkey % 5) % 4 + 1)) AS copy FROM supplier),
+  r AS (SELECT fac, src, prog, {tokens_sql('subj')} AS subj, {tokens_sql('grp')} AS grp, {tokens_sql('note')} AS note, c, bad FROM raw JOIN named ON prog = l),
+  g AS (SELECT fac, prog, count(*) AS n, min(src) AS src, any_value(c) AS c, any_value(bad) AS bad, bool_and(grp = '') AS no_groups, bool_and({_ANCHOR}) AS anchored, bool_and(NOT {_ANCHOR}) AS loose,
+    min(subj) FILTER (subj <> '') AS low, max(subj) FILTER (subj <> '') AS high, bool_and(note <> '') AS noted,
+    bool_and(len(list_filter(regexp_extract_all(lower(c), '[а-яіїєґa-z]{{5,}}'), lambda w: contains(lower(note), w))) > 0) AS named, bool_and(subj <> '' AND subj <> c) AS others,
+    bool_and(subj = '' OR subj <> c) AS none_same, bool_or(contains(note, ' ; ')) AS listed, bool_or({_FRAG}) AS fragment,
+    bool_or({room_sql('subj')} OR {some('subj', *classify.ROOMISH)} OR {_FRAG}) AS loose_subject, bool_or({all_of('note', seg.W_DROP_SERVICE)}) AS study, bool_and(note = c) AS notes_are_program,
+    bool_and({all_of('subj', quality.C_LONG_UPPER, flags='')}) AS shouted, bool_or(subj = '{quality.MILITARY}') AS military, bool_and(starts_with(lower(note), lower(prog))) AS notes_begin
+    FROM r GROUP BY fac, prog)
+  SELECT fac AS faculty, prog AS program, n, {_rule_sql()} AS reason FROM g""")
+def bucket_reasons(spark, sf_dir):
+    """Why small buckets go to review, by rule list; null where they don't."""
+    return quality.bucket_reasons(bucket_rows(spark, sf_dir)).select("faculty", "program", "n", "reason")

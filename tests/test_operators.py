@@ -91,7 +91,7 @@ def test_first_wins_and_fill_with_nulls(spark):
 def test_flags_and_severity(spark):
     df = spark.createDataFrame([("Алгебра", "Понеділок", "08:00", "09:20", "Вовна О. В.", "ауд. 1"), ("ауд. 12", "", "08:00", "08:10", "", "")],
                                "subject string, day string, start_time string, end_time string, teacher string, room string")
-    got = df.withColumn("flags", quality.row_flags()).withColumn("severity", quality.severity(F.col("flags"))).collect()
+    got = quality.flagged(df, notes=None).withColumn("severity", quality.severity(F.col("flags"))).collect()
     assert (got[0].flags, got[0].severity) == ([], "none")
     assert got[1].severity == "fail" and {"missing_day", "subject_contains_room", "implausible_time"} <= set(got[1].flags)
 
