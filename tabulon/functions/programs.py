@@ -1,6 +1,6 @@
 """Program labels: what is none, and the clean form of what is one.
 
-Rules look at a label many times, so ``labelled`` works them out once for every distinct label, in stages, and joins them back.
+Rules look at a label many times, so ``judged`` works them out once for every distinct label, in stages, and ``with_label`` joins them back.
 """
 
 from __future__ import annotations
@@ -152,9 +152,9 @@ def _named(p: Column) -> Column:
     return F.coalesce(F.element_at(known, F.lower(joined)), joined)
 
 
-def labelled(labels: DataFrame, label: str, prefix: str = "program") -> DataFrame:
-    """``labels`` plus ``<prefix>_candidate`` (its clean form, '' if nothing is left) and ``<prefix>_bad``; null reads as ''."""
-    each = labels.select(F.coalesce(F.col(label), F.lit("")).alias("l")).distinct().withColumn("t", service_tokens(F.col("l")))
+def judged(labels: DataFrame) -> DataFrame:
+    """(label, candidate, bad) of every distinct label in the one column of ``labels``: its clean form ('' if nothing is left); null reads as ''."""
+    each = labels.toDF("l").select(F.coalesce("l", F.lit("")).alias("l")).distinct().withColumn("t", service_tokens(F.col("l")))
     each = each.withColumn("p", parts(F.col("t"))).withColumn("c", _plain(F.col("l")))
     for _ in range(DEPTH):
         tail = F.regexp_replace(service_tokens(F.regexp_extract("c", rx(DATED), 1)), EDGE, "")
@@ -162,8 +162,18 @@ def labelled(labels: DataFrame, label: str, prefix: str = "program") -> DataFram
         each = each.withColumn("c", _plain(_unwrapped(F.col("c"), F.col("tail_bad"))))
     each = each.withColumn("cp", parts(F.col("c"))).withColumn("candidate", _named(F.col("cp")))
     each = each.withColumn("bad", (F.col("t") != "") & ((F.col("candidate") == "") | _bad(F.col("t"), F.col("p"))))
-    names = each.select(F.col("l").alias("__l"), F.col("candidate").alias(f"{prefix}_candidate"), F.col("bad").alias(f"{prefix}_bad"))
-    return labels.join(names, F.coalesce(F.col(label), F.lit("")) == F.col("__l")).drop("__l")
+    return each.select(F.col("l").alias("label"), "candidate", "bad")
+
+
+def with_label(df: DataFrame, label: str, names: DataFrame, prefix: str = "program") -> DataFrame:
+    """``df`` plus ``<prefix>_candidate`` and ``<prefix>_bad`` of a column, from ``judged`` labels."""
+    of = names.select(F.col("label").alias("__l"), F.col("candidate").alias(f"{prefix}_candidate"), F.col("bad").alias(f"{prefix}_bad"))
+    return df.join(of, F.coalesce(F.col(label), F.lit("")) == F.col("__l")).drop("__l")
+
+
+def labelled(df: DataFrame, label: str, prefix: str = "program") -> DataFrame:
+    """``df`` plus the clean form of its labels and whether they are bad."""
+    return with_label(df, label, judged(df.select(label)), prefix)
 
 
 def is_label(candidate: Column, bad: Column) -> Column:

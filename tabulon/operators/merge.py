@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.operators.rows import island, ordered
+from tabulon.sources.scratch import kept
 
 
 def unique_match(df: DataFrame, slot: list[str], order: list[str], is_host: Column, is_guest: Column, fits: Column, fields: list[str],
@@ -14,14 +15,17 @@ def unique_match(df: DataFrame, slot: list[str], order: list[str], is_host: Colu
 
     ``fits`` compares h.* with g.*.  A guest with no fitting host, or with several,
     stays a row of its own.  A host takes its guests' values in order, each distinct one once; ``merged`` counts them.
-    Hosts do not change while guests are matched, so the set form equals the row-by-row one.
+    Hosts do not change while guests are matched, so the set form equals the row-by-row one.  The input and the matches are
+    read several times and therefore stored.
     """
+    df = kept(df, "match-input")
     key = F.struct(*order)
     hosts = df.where(is_host).select("*", key.alias("__host"))
     guests = df.where(is_guest).select("*", key.alias("__guest"))
     meet = [F.col(f"h.{c}") == F.col(f"g.{c}") for c in slot] + [fits]
     pairs = hosts.alias("h").join(guests.alias("g"), meet).select("h.__host", "g.__guest", *[F.col(f"g.{f}").alias(f) for f in fields])
     pairs = pairs.withColumn("__n", F.count("*").over(Window.partitionBy("__guest"))).where("__n = 1")
+    pairs = kept(pairs.drop("__n"), "match-pairs")
     in_order = lambda f: F.transform(F.array_sort(F.collect_list(F.struct("__guest", f))), lambda s: s[f])
     taken = pairs.groupBy("__host").agg(F.count("*").alias("merged"), *[in_order(f).alias(f"__{f}") for f in fields])
     joined = hosts.join(taken.withColumnRenamed("__host", "__t"), F.col("__host") == F.col("__t"), "left")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tabulon.functions import classify, programs, times
 from tabulon.functions import segments as seg
 from tabulon.functions.text import rx, service_tokens
+from tabulon.sources.scratch import kept
 
 #: Flags that send a row to review.
 HARD_FLAGS = (
@@ -57,11 +58,10 @@ def confidence(has_day: Column, has_start: Column, has_end: Column, has_subject:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), total - F.lit(0.05) * F.least(warnings, F.lit(4))))
 
 
-def _parts_join(df: DataFrame, column: str, facts: dict[str, Column]) -> DataFrame:
-    """``df`` plus facts of a text column, worked out once for every distinct text."""
+def _facts(df: DataFrame, column: str, facts: dict[str, Column]) -> DataFrame:
+    """(__x, facts) of every distinct text of a column."""
     each = df.select(F.coalesce(F.col(column), F.lit("")).alias("x")).distinct()
-    each = each.withColumn("t", F.trim("x")).select(F.col("x").alias("__x"), *[c.alias(n) for n, c in facts.items()])
-    return df.join(each, F.coalesce(F.col(column), F.lit("")) == F.col("__x")).drop("__x")
+    return each.withColumn("t", F.trim("x")).select(F.col("x").alias("__x"), *[c.alias(n) for n, c in facts.items()])
 
 
 def is_wrapped(t: Column) -> Column:
@@ -114,8 +114,10 @@ def flagged(df: DataFrame, source: str = "source_name", subject: str = "subject"
     one source may name many teachers.
     """
     t = F.col("t")
-    wide = _parts_join(_parts_join(_parts_join(df, subject, subject_facts(t)), teacher, teacher_facts(t)), room, room_facts(t))
-    wide = _parts_join(wide, notes, notes_facts(t)) if notes else wide.withColumn("n_columns", F.lit(False))
+    wide = df if notes else df.withColumn("n_columns", F.lit(False))
+    for column, facts in ((subject, subject_facts(t)), (teacher, teacher_facts(t)), (room, room_facts(t)), (notes, notes_facts(t))):
+        if column:
+            wide = wide.join(_facts(df, column, facts), F.coalesce(F.col(column), F.lit("")) == F.col("__x")).drop("__x")
     parallel = (F.lower(source) == "fit-schedule") & F.col("s_language") & F.col("t_parallel")
     blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
     rules = [
@@ -253,17 +255,22 @@ def without_dropped(review: DataFrame, subject: str = "subject", evidence: tuple
 
 
 def audit(rows: DataFrame, file: str, sheet: str) -> DataFrame:
-    """Per file: rows, issues by name and status, from per-sheet counters."""
+    """Per file: rows, issues by name and status, from per-sheet counters; subjects are classified once a distinct text."""
+    needed = list(dict.fromkeys([file, sheet, "subject", "teacher", "week_type", "day", "start_time", "end_time"]))
+    rows, x = kept(rows.select(needed), "audit-rows"), F.col("t")
+    has = x != ""
+    facts = {"s_room": has & classify.is_room(x), "s_teacher": has & classify.is_teacher(x), "s_link": has & classify.has_link(x), "s_admin": has & classify.is_admin(x),
+             "s_garbage": has & classify.is_garbage(x)}
+    rows = rows.join(_facts(rows, "subject", facts), F.coalesce("subject", F.lit("")) == F.col("__x")).drop("__x")
     s, t = F.trim("subject"), F.trim("teacher")
-    has = s != ""
     issues = {
         "missing_week_type": F.trim("week_type") == "",
-        "missing_required_cells": (F.trim("day") == "") | (F.trim("start_time") == "") | (F.trim("end_time") == "") | ~has,
-        "subject_contains_room": has & classify.is_room(s),
-        "subject_contains_teacher": has & classify.is_teacher(s),
-        "subject_contains_link": has & classify.has_link(s),
-        "service_text_subject": has & classify.is_admin(s),
-        "garbage_text": has & classify.is_garbage(s),
+        "missing_required_cells": (F.trim("day") == "") | (F.trim("start_time") == "") | (F.trim("end_time") == "") | (s == ""),
+        "subject_contains_room": F.col("s_room"),
+        "subject_contains_teacher": F.col("s_teacher"),
+        "subject_contains_link": F.col("s_link"),
+        "service_text_subject": F.col("s_admin"),
+        "garbage_text": F.col("s_garbage"),
         "subject_too_long": F.length(s) > 140,
         "teacher_too_long": F.length(t) > 180,
         "implausible_time": times.implausible(F.col("start_time"), F.col("end_time"), s),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabulon.functions import classify, programs, text
+from tabulon.functions import classify, fields, programs, text
 from tabulon.functions import segments as seg
 from tabulon.operators import quality
 from tabulon.plans.sched import read
@@ -472,3 +472,87 @@ def _rule_sql() -> str:
 def bucket_reasons(spark, sf_dir):
     """Why small buckets go to review, by rule list; null where they don't."""
     return quality.bucket_reasons(bucket_rows(spark, sf_dir)).select("faculty", "program", "n", "reason")
+
+
+#: Subject and group cells; # stands for a part's size.
+CELLS = (
+    "Логіка 21#", "Логіка / А-12", "Логіка хімічний ф-т 12", "лек. Логіка", "(пр) Логіка та методи", "с: Логіка", "лаб) Хімія", "Логіка доц. Коваль І. П.", "Логіка, Коваль І. П.", "Логіка І. Коваль",
+    "Логіка на 9:30", "12.09 Логіка", "9:30 Логіка", "12.09.2024 10:15 Логіка", "12.09, 13.09 вересня Логіка", "початок о 9:00 Логіка", "12.09 , Зустріч груп - Логіка", "соціол.культури",
+    "Курс за вибором: Логіка мови + 2 пари", "Дисципліни вільного вибору студента: Етика", "Курс за вибором: 12", "# курс магістр", "2 курс бакалавр", "1 курс", "1 курс маг", "Історія / філософії / (лекції)",
+    "Історія / Філософії / права", "група 1# ; декан факультету", "ОП Психологія", "освітні програми «Економіка»", "спеціальність: Право", "[1.0]", "ІПЗ-1# / ІПЗ-12", "12 студентів", "2024 н.р.", "потік 1 ; Право",
+    "\"Міжнародне право\" денна форма навчання", "Коваль І. П. / Логіка", "Логіка", "214 ауд.", "12а каб", "307.0", "online", "корп. 3", "Б-21", "сем. ",
+)
+
+
+def cells(spark, sf_dir):
+    part = read(spark, sf_dir, "part")
+    drawn = F.element_at(F.array(*map(F.lit, CELLS)), (F.col("p_partkey") % len(CELLS) + 1).cast("int"))
+    return part.select(F.replace(drawn, F.lit("#"), F.col("p_size").cast("string")).alias("label")).distinct().withColumn("t", text.service_tokens(F.col("label")))
+
+
+CELLS_SQL = f"""labels AS (SELECT DISTINCT replace(([{_quoted(CELLS)}])[(p_partkey % {len(CELLS)} + 1)::INT], '#', p_size::VARCHAR) AS l FROM part), t AS (SELECT l, {tokens_sql('l')} AS t FROM labels)"""
+
+
+def _got(pattern: str, k: int, flags: str = "(?i)", x: str = "t") -> str:
+    return f"regexp_extract({x}, '{flags}{re2(pattern)}', {k})"
+
+
+def _trim_sql(x: str, signs: str) -> str:
+    return f"regexp_replace({x}, '^[{signs}]+|[{signs}]+$', '', 'g')"
+
+
+def _room_sql(x: str) -> str:
+    r = f"regexp_replace({x}, '([0-9])\\.0($|[^\\p{{L}}\\p{{N}}_])', '\\1\\2')"
+    return (f"CASE WHEN regexp_matches({r}, '(?i)^[0-9]{{1,4}}[A-Za-zА-ЯІЇЄҐ]?\\s*ауд\\.?$') THEN 'ауд. ' || regexp_extract({r}, '(?i)^([0-9]{{1,4}}[A-Za-zА-ЯІЇЄҐ]?)', 1) "
+            f"WHEN regexp_matches({r}, '(?i)^[0-9]{{1,4}}[A-Za-zА-ЯІЇЄҐ]?\\s*каб\\.?$') THEN 'каб. ' || regexp_extract({r}, '(?i)^([0-9]{{1,4}}[A-Za-zА-ЯІЇЄҐ]?)', 1) "
+            f"WHEN regexp_matches(lower({r}), '^(ауд\\.|каб\\.|корп\\.)') OR lower({r}) IN ('online', 'онлайн') THEN {r} ELSE 'ауд. ' || {r} END")
+
+
+_MARK, _AFTER = _trim_sql(f"lower({_got(fields.LEADING_LESSON, 1)})", " .,:;"), _trim_sql(_got(fields.LEADING_LESSON, 2), " ,;/-")
+_KIND = "CASE " + " ".join(f"WHEN {_MARK} IN ({_quoted(m)}) THEN '{k}'" for k, m in fields.LESSON_MARKS.items()) + " ELSE '' END"
+_NAMED = f"{_got(fields.TRAILING_TEACHER, 2)} <> ''"
+_TT = lambda k: _trim_sql(f"CASE WHEN {_NAMED} THEN {_got(fields.TRAILING_TEACHER, k)} ELSE {_got(fields.TRAILING_INITIAL, k, '')} END", " ,;/-")
+_PREFIX = lambda k: "CASE " + " ".join(f"WHEN {some('t', p)} THEN {_trim_sql(_got(p, k), ' ,;')}" for p in fields.PREFIXES) + " ELSE '' END"
+
+
+@query(f"""WITH {CELLS_SQL} SELECT l AS label, {_room_sql('t')} AS room,
+  CASE WHEN {_KIND} <> '' AND {_AFTER} <> '' THEN {_AFTER} ELSE t END AS lesson_subject, CASE WHEN {_AFTER} <> '' THEN {_KIND} ELSE '' END AS lesson,
+  CASE WHEN {_got(fields.TRAILING_ROOM, 2)} <> '' THEN {_trim_sql(_got(fields.TRAILING_ROOM, 1), ' /')} ELSE t END AS room_subject,
+  CASE WHEN {_got(fields.TRAILING_ROOM, 2)} <> '' THEN {_room_sql(_got(fields.TRAILING_ROOM, 2))} ELSE '' END AS subject_room,
+  CASE WHEN {_TT(1)} <> '' AND {_TT(2)} <> '' THEN {_TT(1)} ELSE t END AS teacher_subject, CASE WHEN {_TT(1)} <> '' THEN {_TT(2)} ELSE '' END AS subject_teacher,
+  CASE WHEN {_got(fields.TIME_NOTE, 2)} <> '' THEN {_trim_sql(_got(fields.TIME_NOTE, 1), ' /,;')} ELSE t END AS note_subject, {_got(fields.TIME_NOTE, 2)} AS subject_note,
+  CASE WHEN {_PREFIX(2)} <> '' THEN {_PREFIX(2)} ELSE t END AS dated_subject, CASE WHEN {_PREFIX(2)} <> '' THEN {_PREFIX(1)} ELSE '' END AS prefix,
+  CASE WHEN {all_of('t', seg.W_DOTTED_LOWER)} THEN upper(t[1]) || t[2:] ELSE t END AS capitalised,
+  CASE WHEN lower({_got(fields.COURSE, 2)}) LIKE 'маг%' THEN {_got(fields.COURSE, 1)} || ' магістр' WHEN lower({_got(fields.COURSE, 2)}) = 'бакалавр' THEN {_got(fields.COURSE, 1)} || ' бакалавр'
+    ELSE {_got(fields.COURSE, 1)} END AS course FROM t""")
+def field_peeling(spark, sf_dir):
+    """What a subject cell holds besides the subject, taken off one kind at a time."""
+    t = F.col("t")
+    pairs = {"lesson": fields.without_lesson_mark(t), "room": fields.without_room(t), "teacher": fields.without_trailing_teacher(t), "note": fields.without_time_note(t), "dated": fields.without_prefix(t)}
+    rest = {"lesson": "lesson", "room": "subject_room", "teacher": "subject_teacher", "note": "subject_note", "dated": "prefix"}
+    columns = [c for k, (subject, other) in pairs.items() for c in (subject.alias(f"{k}_subject"), other.alias(rest[k]))]
+    return cells(spark, sf_dir).select("label", fields.room_name(t).alias("room"), *columns, fields.capitalised(t).alias("capitalised"), fields.course_level(t).alias("course"))
+
+
+def _noise_of(x: str) -> str:
+    return (f"({technical_sql(x)} OR {some(x, *classify.URLISH)} OR {service_sql(x)} OR {some(x, *classify.ADMIN)} OR {some(x, classify.TEACHER)} "
+            f"OR {all_of(x, seg.W_SURNAME, seg.W_INITIALS, seg.W_STUDENT_COUNT, seg.W_YEAR)} OR {some(x, *seg.A_GROUP_NOISE, seg.A_GROUP_DATE)} OR {has(compact_sql(x), seg.GROUP_NOISE_COMPACT)})")
+
+
+_SIG = [f"regexp_replace({tokens_sql(_trim_sql(_got(p, 1, x='s'), chr(92) + '[' + chr(92) + ']{} '))}, '^([0-9]+)\\.0$', '\\1')" for p in (*fields.GROUP_SIGNALS, fields.QUOTED)]
+_EXPLICIT = f"({some('s', seg.A_EXPLICIT_GROUP)} OR {all_of('s', seg.W_GROUP_CODE)})"
+_FILLED = "FILTER (s <> '')"
+
+
+@query(f"""WITH {CELLS_SQL}, u AS (SELECT l, t, unnest(range(1, len(x) + 1)) AS k, unnest(x) AS raw FROM (SELECT l, t, regexp_split_to_array(t, '\\s*[|;/]\\s*') AS x FROM t)),
+  v AS (SELECT l, t, k, regexp_replace({_trim_sql(tokens_sql('raw'), chr(92) + '[' + chr(92) + ']{} ')}, '^([0-9]+)\\.0$', '\\1') AS s FROM u WHERE raw <> ''),
+  w AS (SELECT l, t, k, CASE WHEN s = '' THEN '' {" ".join(f"WHEN {x} <> '' AND NOT {_noise_of(x)} THEN {x}" for x in _SIG)}
+    WHEN {all_of('s', seg.W_STUDENT_COUNT, seg.W_YEAR)} OR {some('s', seg.A_GROUP_DATE)} THEN '' ELSE s END AS s FROM v),
+  f AS (SELECT l, t, s, min(k) AS k, {_EXPLICIT} AS explicit FROM w WHERE s <> '' AND NOT {_noise_of('s')} GROUP BY l, t, s),
+  g AS (SELECT l, coalesce(string_agg(s, '; ' ORDER BY k) FILTER (explicit), '') AS explicit, coalesce(string_agg(s, '; ' ORDER BY k), '') AS kept FROM f GROUP BY l)
+  SELECT t.l AS label, CASE WHEN coalesce(explicit, '') <> '' THEN explicit
+    WHEN {some('t', classify.LINK)} OR {service_sql('t')} OR {some('t', *classify.ADMIN)} OR {some('t', seg.A_GROUP_DATE)} THEN ''
+    WHEN coalesce(kept, '') <> '' THEN kept WHEN {_noise_of('t')} THEN '' ELSE t END AS groups FROM t LEFT JOIN g ON t.l = g.l""")
+def group_fields(spark, sf_dir):
+    """The groups that a cell names."""
+    return cells(spark, sf_dir).select("label", fields.group_field(F.col("t")).alias("groups"))
