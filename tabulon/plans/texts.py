@@ -556,3 +556,27 @@ _FILLED = "FILTER (s <> '')"
 def group_fields(spark, sf_dir):
     """The groups that a cell names."""
     return cells(spark, sf_dir).select("label", fields.group_field(F.col("t")).alias("groups"))
+
+
+_CONTEXT = lambda a, b: f"({a} = '' OR {b} = '' OR contains({a}, {b}) OR contains({b}, {a}))"
+GROUP_NAMES = ("", "ІПЗ - 1", "ІПЗ-11", "КН-2", "кн 2")
+
+
+@query(f"""WITH r AS (SELECT p_partkey AS k, p_brand AS slot, p_size % 6 = 0 AS guest, ([{_quoted(GROUP_NAMES)}])[(p_partkey % 5 + 1)::INT] AS grp, CASE WHEN p_partkey % 3 = 0 THEN '' ELSE (p_partkey % 3)::VARCHAR END AS course FROM part),
+  n AS (SELECT *, {compact_sql('grp')} AS g FROM r), h AS (SELECT * FROM n WHERE NOT guest AND k % 8 = 1), q AS (SELECT * FROM n WHERE guest),
+  m AS (SELECT h.k AS host, q.k AS guest, count(*) OVER (PARTITION BY q.k) AS hosts FROM h JOIN q ON h.slot = q.slot AND {_CONTEXT('h.g', 'q.g')} AND {_CONTEXT('h.course', 'q.course')})
+  SELECT h.k, coalesce(count(m.guest), 0) AS merged, coalesce(string_agg('T' || m.guest, '; ' ORDER BY m.guest), '') AS teacher FROM h LEFT JOIN m ON h.k = m.host AND m.hosts = 1 GROUP BY h.k""")
+def slot_context_merge(spark, sf_dir):
+    """Guests go to the one host of their slot whose group and course can be theirs; blank ones fit any."""
+    from tabulon.operators import merge
+
+    k = F.col("p_partkey")
+    names = F.element_at(F.array(*map(F.lit, GROUP_NAMES)), (k % 5 + 1).cast("int"))
+    rows = read(spark, sf_dir, "part").select(
+        k.alias("k"), F.col("p_brand").alias("slot"), (F.col("p_size") % 6 == 0).alias("guest"), fields.slot_key(names).alias("g"),
+        F.when(k % 3 == 0, "").otherwise((k % 3).cast("string")).alias("course"))
+    rows = rows.withColumn("teacher", F.when(F.col("guest"), F.concat(F.lit("T"), F.col("k").cast("string"))).otherwise(""))
+    fits = fields.same_context(F.col("h.g"), F.col("g.g")) & fields.same_context(F.col("h.course"), F.col("g.course"))
+    host = ~F.col("guest") & (F.col("k") % 8 == 1)
+    out = merge.unique_match(rows, ["slot"], ["k"], host, F.col("guest"), fits, ["teacher"])
+    return out.where(host).select("k", "merged", "teacher")
