@@ -118,7 +118,8 @@ def flagged(df: DataFrame, source: str = "source_name", subject: str = "subject"
     for column, facts in ((subject, subject_facts(t)), (teacher, teacher_facts(t)), (room, room_facts(t)), (notes, notes_facts(t))):
         if column:
             wide = wide.join(_facts(df, column, facts), F.coalesce(F.col(column), F.lit("")) == F.col("__x")).drop("__x")
-    parallel = (F.lower(source) == "fit-schedule") & F.col("s_language") & F.col("t_parallel")
+    fit = F.lower(source) == "fit-schedule" if source in df.columns else F.lit(False)
+    parallel = fit & F.col("s_language") & F.col("t_parallel")
     blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
     rules = [
         ("missing_day", blank(day)),
