@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 
 #: Java pattern of the word separator used by every word contract.
 WORD_GAP = r"[\x20\x09-\x0D]+"
-#: Rows that a worker turns into Python objects at once.
+#: Rows that a worker turns into Python objects at once, and of a batch while something is stored.
 SLICE_ROWS = 1000
 
 
@@ -36,14 +38,53 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Fewer rows in an Arrow batch while something is written, so that rows of several columns of texts and lists stay
+    small in all tasks of an executor; what was set before comes back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(SLICE_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+#: Tables stored so far, by open ``passing`` block.
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Tables that are stored inside are removed at the end, but lasting ones, which go to the block around.
+
+    Shuffle files of plans that are done with are let go as well: Spark removes them when the driver collects garbage.
+    """
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        gc.collect()
+        spark._jvm.System.gc()
+
+
+def stored(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
-    Cuts lineage: a lost executor costs a reread, not a recomputation.
+    Cuts lineage: a lost executor costs a reread, not a recomputation.  What a result still reads after a ``passing``
+    block ends must be ``lasting``.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
+    blocks = _OPEN[:-1] if lasting else _OPEN
+    if blocks:
+        blocks[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -67,11 +108,11 @@ def crc_class(id_col: str, modulus: int) -> Column:
 FILTER_BITS = 1 << 25
 
 
-def key_filter(keys: DataFrame, key: Column, name: str) -> DataFrame:
+def key_filter(keys: DataFrame, key: Column, name: str, lasting: bool = False) -> DataFrame:
     """A bitmap of hashed keys, in at most 1,024 rows of 4 KB: of bounded size, so it may be broadcast."""
     place = F.pmod(key, F.lit(FILTER_BITS))
     bits = keys.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("__bucket"))
-    return stored(bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("__bits")), name)
+    return stored(bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("__bits")), name, lasting)
 
 
 def with_maybe(df: DataFrame, key: Column, bits: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import key_filter, slices, stored, table, text_or_empty, with_maybe
+from tabulon.llm.common import key_filter, passing, slices, stored, table, text_or_empty, with_maybe
 from tabulon.llm.mixing import word_count
 
 #: A single line is a passage by itself from so many words on.
@@ -169,6 +169,25 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text whose lines are all removed becomes empty.  An empty table stays empty.
     With ``counts``, columns of ``docs`` that are called n_lines or n_removed are replaced.
     """
+    with passing(docs.sparkSession):
+        drops, bits = _drops(docs, id_col, text_col, long_lines)
+    # only texts that may lose lines are shuffled; whole rows travel as one column, so no name clashes
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("own_id"), F.xxhash64(text_or_empty(text_col)).alias("own_th"))
+    split = with_maybe(rows, F.xxhash64("own_id", "own_th"), bits)
+    touched = split.where("__maybe").join(drops.hint("merge"), F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_th") == F.col("th")), "left").select("row", "drop")
+    untouched = split.where("NOT __maybe").select("row", F.lit(None).cast("array<boolean>").alias("drop"))
+    text = F.col("row").getField(text_col)
+    lines = F.split(text, "\n", -1)
+    left = F.filter(lines, lambda x, i: ~F.coalesce(F.get(F.col("drop"), i), F.lit(False)))
+    none = text.isNull() | F.col("drop").isNull()
+    added = {} if not counts else {"n_lines": F.when(text.isNull(), F.lit(0)).otherwise(F.size(lines)), "n_removed": F.when(none, F.lit(0)).otherwise(F.size(F.filter("drop", lambda x: x)))}
+    columns = [F.when(none, text).otherwise(F.array_join(left, "\n")).alias(c) if c == text_col else F.col("row").getField(c).alias(c)
+               for c in docs.columns if c not in added]
+    return touched.unionByName(untouched).select(*columns, *[n.cast("long").alias(c) for c, n in added.items()])
+
+
+def _drops(docs: DataFrame, id_col: str, text_col: str, long_lines: bool) -> tuple[DataFrame, DataFrame]:
+    """(id, th, drop): for every document that loses lines a flag a line; and a filter of these documents."""
     ranges = repeated_chunks(docs, id_col, text_col, long_lines)
     per_doc = ranges.distinct().groupBy("id", "th").agg(F.collect_list(F.struct("first", "last")).alias("rs"))
     id_type = dict(docs.dtypes)[id_col]
@@ -183,20 +202,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 out.append(drop)
             yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(out, pa.list_(pa.bool_()))], names=["id", "th", "drop"])
 
-    drops = stored(per_doc.mapInArrow(flags, f"id {id_type}, th long, drop array<boolean>"), "line-drops")
-    # only texts that may lose lines are shuffled; whole rows travel as one column, so no name clashes
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("own_id"), F.xxhash64(text_or_empty(text_col)).alias("own_th"))
-    split = with_maybe(rows, F.xxhash64("own_id", "own_th"), key_filter(drops, F.xxhash64("id", "th"), "line-drop-bits"))
-    touched = split.where("__maybe").join(drops.hint("merge"), F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_th") == F.col("th")), "left").select("row", "drop")
-    untouched = split.where("NOT __maybe").select("row", F.lit(None).cast("array<boolean>").alias("drop"))
-    text = F.col("row").getField(text_col)
-    lines = F.split(text, "\n", -1)
-    left = F.filter(lines, lambda x, i: ~F.coalesce(F.get(F.col("drop"), i), F.lit(False)))
-    none = text.isNull() | F.col("drop").isNull()
-    added = {} if not counts else {"n_lines": F.when(text.isNull(), F.lit(0)).otherwise(F.size(lines)), "n_removed": F.when(none, F.lit(0)).otherwise(F.size(F.filter("drop", lambda x: x)))}
-    columns = [F.when(none, text).otherwise(F.array_join(left, "\n")).alias(c) if c == text_col else F.col("row").getField(c).alias(c)
-               for c in docs.columns if c not in added]
-    return touched.unionByName(untouched).select(*columns, *[n.cast("long").alias(c) for c, n in added.items()])
+    drops = stored(per_doc.mapInArrow(flags, f"id {id_type}, th long, drop array<boolean>"), "line-drops", lasting=True)
+    return drops, key_filter(drops, F.xxhash64("id", "th"), "line-drop-bits", lasting=True)
 
 
 def query(spark, sf_dir):

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tabulon.llm import attention
 from tabulon.llm.attention import BATCH, CLASSES, END, PLACES, VOCABULARY
-from tabulon.llm.common import crc_class, slices, stored, table, text_or_empty
+from tabulon.llm.common import crc_class, passing, slices, stored, table, text_or_empty
 from tabulon.llm.packing import Tokenizer
 
 #: Words of at most this many bytes, and how many of them, are broadcast: at most 8 MB.
@@ -319,7 +319,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks
     source = source.select("id", (crc_class("id", modulus) == held).alias("held"), "text")
     tokens = stored(tokenized(source, ranks_path), "lm-tokens")
     counts = stored(tokens.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
-    fitted = fit(tokens, counts)
+    with passing(docs.sparkSession):
+        fitted = fit(tokens, counts)
     return scored(tokens.where("ids IS NOT NULL").select("id", "th", "ids"), counts, fitted, ranks_path)
 
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import WORD_GAP, stored, table, text_or_empty
+from tabulon.llm.common import WORD_GAP, passing, stored, table, text_or_empty
 
 #: Rows that a hash band holds about; a source's size class has 256 bands at least, and 16 times as many as often as that needs.
 BAND_ROWS = 100_000
@@ -121,10 +121,9 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     Copies are counted per row: by id, text and source, and by a row number among rows equal in these, whose
     copies differ by one at most.
     """
-    rows = _placed(docs, id_col, text_col, source_col, weights, share, cap, seed, True)
-    counts = rows.groupBy("k1", "k2", "copies").agg(F.count("*").alias("n")).groupBy("k1", "k2").agg(
-        F.max(F.struct("copies", "n")).alias("high"), F.min("copies").alias("low")).where("high.copies > 0")
-    counts = stored(counts, "mix-copies")
+    with passing(docs.sparkSession):
+        rows = _placed(docs, id_col, text_col, source_col, weights, share, cap, seed, True)
+        counts = stored(_row_copies(rows), "mix-copies", lasting=True)
     # whole rows travel as one column, so no name clashes
     numbered = docs.select(F.struct("*").alias("row"), *_row_key(id_col, text_col, source_col))
     numbered = numbered.withColumn("nth", F.row_number().over(Window.partitionBy("k1", "k2").orderBy("k1")))
@@ -134,6 +133,13 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     return taken.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
 
 
+def _row_copies(rows: DataFrame) -> DataFrame:
+    """(k1, k2, high, low): the copies of rows that share a key, and how many of them take the higher number."""
+    counts = rows.groupBy("k1", "k2", "copies").agg(F.count("*").alias("n")).groupBy("k1", "k2").agg(
+        F.max(F.struct("copies", "n")).alias("high"), F.min("copies").alias("low")).where("high.copies > 0")
+    return counts
+
+
 def query(spark, sf_dir):
     found = mix(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target",

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import slices, stored, table, text_or_empty
+from tabulon.llm.common import passing, slices, stored, table, text_or_empty
 from tabulon.llm.components import connected
 
 SEED = 42
@@ -134,14 +134,20 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
 
 def _labelled(docs: DataFrame, id_col: str, text_col: str, n: int, max_bits: int) -> DataFrame:
     """(id, k1, k2, fp, root, component_id) per row; root names the component even where ids repeat."""
-    fp = stored(fingerprints(docs, id_col, text_col, n), "simhash-fp")
+    with passing(docs.sparkSession):
+        fp = stored(fingerprints(docs, id_col, text_col, n), "simhash-fp", lasting=True)
+        labels = stored(_components(fp, max_bits), "simhash-labels", lasting=True)
+    return fp.join(labels, "fp").select("id", "k1", "k2", "fp", "root", "component_id")
+
+
+def _components(fp: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, root, component_id) of every distinct fingerprint."""
     classes = stored(fp.groupBy("fp").agg(F.min("id").alias("low")), "simhash-classes")
     roots = connected(links(classes.select("fp"), max_bits))
     named = stored(classes.join(roots, F.col("fp") == F.col("node"), "left")
                    .select("fp", "low", F.coalesce("root", "fp").alias("root")), "simhash-roots")
     lows = stored(named.groupBy("root").agg(F.min("low").alias("component_id")), "simhash-lows")
-    labels = stored(named.join(lows, "root").select("fp", "root", "component_id"), "simhash-labels")
-    return fp.join(labels, "fp").select("id", "k1", "k2", "fp", "root", "component_id")
+    return named.join(lows, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, max_bits: int = 2) -> DataFrame:

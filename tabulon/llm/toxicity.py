@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import crc_class, slices, stored, table, text_or_empty
+from tabulon.llm.common import crc_class, passing, slices, stored, table, text_or_empty
 
 #: Documented bounds of the training sample: labelled documents per class, each with its whole text.
 TOXIC_DOCS = 1200
@@ -402,6 +402,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     ids (null ids or labels take no part; the higher label counts where one repeats).  Where
     rows repeat an id, the text with the smallest hash stands for it.
     """
+    with passing(docs.sparkSession):
+        return _fitted(docs, labels, id_col, text_col, label_col, held_out_modulus)
+
+
+def _fitted(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, held_out_modulus: int | None) -> Model:
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).alias("y"))
     known = known.groupBy("id").agg(F.max("y").alias("y"))
     if held_out_modulus:
@@ -439,7 +444,8 @@ def not_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     name = "score"
     while name in docs.columns:
         name += "_"
-    scored = with_score(docs, fit_toxicity(docs, labels, id_col, text_col), text_col, name)
+    # stored: whole rows pass the workers in small batches
+    scored = stored(with_score(docs, fit_toxicity(docs, labels, id_col, text_col), text_col, name), "toxic-scores")
     return scored.where(F.col(name) < 0.5).drop(name)
 
 
