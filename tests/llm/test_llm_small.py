@@ -741,12 +741,13 @@ def five_words(text):
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
 
 
-@pytest.mark.parametrize("pairwise, rounds", [(32, 12), (2, 12), (2, 1)])
-def test_pipeline_drops_near_copies_by_brute_force(spark, monkeypatch, pairwise, rounds):
+@pytest.mark.parametrize("pairwise, stars, rounds", [(32, 3, 10), (2, 1, 10), (2, 0, 1), (32, 0, 0)])
+def test_pipeline_drops_near_copies_by_brute_force(spark, monkeypatch, pairwise, stars, rounds):
     import corpus_pipeline
     from tabulon.llm import nearcopies
 
     monkeypatch.setattr(nearcopies, "PAIRWISE", pairwise)
+    monkeypatch.setattr(nearcopies, "STAR_ROUNDS", stars)
     monkeypatch.setattr(nearcopies, "PIVOT_ROUNDS", rounds)
     rng = random.Random(12)
     rows = [*EDGE]
