@@ -16,7 +16,7 @@ except ImportError:  # JSON files still load
 
 # What a configuration leaves out.
 KEYWORDS = ("розклад", "schedule", "занять", "пари", "semester", "lessons", "timetable")
-OUTPUT, CACHE, THRESHOLD = "out", ".cache/timetable_scraper", 0.74
+OUTPUT, CACHE, THRESHOLD = "out", ".cache/tabulon", 0.74
 
 
 def _read(path: Path) -> dict:
