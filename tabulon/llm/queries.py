@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabulon.llm import chat, gif, htmltext, linededup, lmscore, mixing, packing, simhash, topk, toxicity
+from tabulon.llm import chat, gif, htmltext, linededup, lmscore, mixing, packing, simhash, topk, toxicity, urlfilter
 
 QUERIES = {
     "op1_chat_formatting": chat.query,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_source_mixing": mixing.query,
     "op9_html_main_text": htmltext.query,
     "op10_best_fit_packing": packing.query,
+    "op11_url_filters": urlfilter.query,
 }
 
 ORACLE_SQL = {
     "op1_chat_formatting": chat.SQL,
     "op4_exact_top_k": topk.SQL,
     "op8_source_mixing": mixing.SQL,
+    "op11_url_filters": urlfilter.SQL,
 }
