@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabulon.llm import chat, gif, htmltext, linededup, lmscore, mixing, packing, simhash, topk, toxicity, urlfilter
+from tabulon.llm import chat, crosstoken, gif, htmltext, linededup, lmscore, mixing, packing, simhash, topk, toxicity, urlfilter
 
 QUERIES = {
     "op1_chat_formatting": chat.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_html_main_text": htmltext.query,
     "op10_best_fit_packing": packing.query,
     "op11_url_filters": urlfilter.query,
+    "op12_cross_tokenizer": crosstoken.query,
 }
 
 ORACLE_SQL = {
