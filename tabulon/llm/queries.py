@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabulon.llm import chat, crosstoken, gif, htmltext, linededup, lmscore, mixing, packing, simhash, topk, toxicity, urlfilter
+from tabulon.llm import chat, crosstoken, gif, htmltext, linededup, lmscore, mixing, packing, repair, simhash, topk, toxicity, urlfilter
 
 QUERIES = {
     "op1_chat_formatting": chat.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_best_fit_packing": packing.query,
     "op11_url_filters": urlfilter.query,
     "op12_cross_tokenizer": crosstoken.query,
+    "op13_conversation_repair": repair.query,
 }
 
 ORACLE_SQL = {
@@ -24,4 +25,5 @@ ORACLE_SQL = {
     "op4_exact_top_k": topk.SQL,
     "op8_source_mixing": mixing.SQL,
     "op11_url_filters": urlfilter.SQL,
+    "op13_conversation_repair": repair.SQL,
 }
