@@ -11,6 +11,11 @@ def rx(pattern: str) -> str:
     return "(?iuU)" + pattern
 
 
+def let(x: Column, f) -> Column:
+    """``f`` of ``x``, worked out once: inside, ``x`` is a variable, so a rule that names it often does not repeat the work in plan and code."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
+
 def flat(x: Column) -> Column:
     """White space of any kind, no-break space and line ends included, to single spaces; trimmed."""
     return F.trim(F.regexp_replace(F.coalesce(x.cast("string"), F.lit("")), r"(?U)\s+", " "))

@@ -26,6 +26,19 @@ def overlap_join(left: DataFrame, right: DataFrame, sheet: list[str], low: str,
     return (pairs if gap is None else pairs.where(gap)).drop("a_bin", "b_bin")
 
 
+def covering(points: DataFrame, cells: DataFrame, sheet: list[str], rows: int = 32, columns: int = 8) -> DataFrame:
+    """Points (sheet, row, col) with the cell whose rectangle holds each; points outside all cells are left out.
+
+    Rectangles are spread over bins of rows and columns, a point lies in one bin, and they meet by (sheet, bin): a hash join whose
+    shuffle grows with the cells' area over a bin's.  Where rectangles overlap, a point gets every one that holds it.
+    """
+    bins = lambda low, high, width: F.sequence(F.floor(F.col(low) / width), F.floor(F.col(high) / width))
+    spread = cells.withColumn("__rb", F.explode(bins("min_row", "max_row", rows))).withColumn("__cb", F.explode(bins("min_col", "max_col", columns)))
+    placed = points.withColumn("__rb", F.floor(F.col("row") / rows)).withColumn("__cb", F.floor(F.col("col") / columns))
+    inside = F.col("row").between(F.col("min_row"), F.col("max_row")) & F.col("col").between(F.col("min_col"), F.col("max_col"))
+    return placed.join(spread, [*sheet, "__rb", "__cb"]).where(inside).drop("__rb", "__cb")
+
+
 def nearest(left: DataFrame, right: DataFrame, keys: list[str], left_id: list[str], tier: Column, distance: Column, value: Column, name: str) -> DataFrame:
     """Each left row's best right row: smallest tier, then distance, then value.
 
