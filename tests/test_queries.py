@@ -3,9 +3,9 @@
 import pytest
 from conftest import SF, as_rows
 
-from tabulon.plans import catalog, files, flow, grids, printed, scalars, texts
+from tabulon.plans import catalog, files, flow, grids, merges, printed, scalars, texts
 
-MODULES = (catalog, scalars, files, flow, texts, grids, printed)
+MODULES = (catalog, scalars, files, flow, texts, grids, printed, merges)
 QUERIES = {n: f for m in MODULES for n, f in m.QUERIES.items()}
 SQL = {n: q for m in MODULES for n, q in m.SQL.items()}
 
