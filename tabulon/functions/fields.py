@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabulon.functions import classify, programs
 from tabulon.functions import segments as seg
-from tabulon.functions.text import rx, service_tokens, without_zero_fraction
+from tabulon.functions.text import behind_first, rx, service_tokens, without_zero_fraction
 
 # Lesson marks and what they stand for; patterns with the parts they give.
 LESSON_MARKS = {
@@ -47,8 +47,6 @@ LABEL_NAMES = {
     "постіиний": "Постійний", "постіиниии": "Постійний", "постійне": "Постійне", "постійний розклад": "Постійний розклад", "постiйний розклад": "Постійний розклад",
     "генетичнии аналіз": "Генетичний аналіз", "доклінічнии аналіз продуктів біотехнологіі": "Доклінічний аналіз продуктів біотехнології",
 }
-#: Dates and times that may stand before a subject, one after the other.
-MOST_PREFIXES = 4
 
 
 def parts(t: Column) -> Column:
@@ -132,7 +130,7 @@ def without_trailing_teacher(t: Column) -> tuple[Column, Column]:
 def without_leading_teacher(t: Column) -> tuple[Column, Column]:
     """(subject, teacher): the first part of several, if it is a name, goes."""
     p = parts(t)
-    first, rest = F.get(p, 0), F.array_join(F.array_distinct(F.slice(p, 2, 1000)), " / ")
+    first, rest = F.get(p, 0), F.array_join(F.array_distinct(behind_first(p)), " / ")
     taken = (F.size(p) >= 2) & seg.somewhere(first, LEADING_TEACHER) & (rest != "") & ~classify.is_room(rest) & ~classify.has_link(rest)
     return F.when(taken, rest).otherwise(t), F.when(taken, first).otherwise(F.lit(""))
 
@@ -154,12 +152,28 @@ def without_prefix(t: Column) -> tuple[Column, Column]:
     return F.when(taken, rest).otherwise(t), F.when(taken, prefix).otherwise(F.lit(""))
 
 
+def without_prefixes(t: Column) -> tuple[Column, Column]:
+    """(subject, array of prefixes): dates, times and events before the subject are taken off one after the other till none is left.
+
+    Each takes a word at least, so as many steps as there are words are enough; texts that begin with none take no step.
+    """
+    def step(at: Column, _: Column) -> Column:
+        subject, prefix = without_prefix(at["subject"])
+        return F.struct(subject.alias("subject"), F.when(prefix == "", at["taken"]).otherwise(F.concat(at["taken"], F.array(prefix))).alias("taken"))
+
+    begun = F.struct(t.alias("subject"), F.array().cast("array<string>").alias("taken"))
+    some = F.greatest(*[t.rlike(rx(p)) for p in PREFIXES])
+    words = F.when(some, F.sequence(F.lit(1), F.size(F.split(t, " ")))).otherwise(F.array().cast("array<int>"))
+    found = F.aggregate(words, begun, step)
+    return found["subject"], found["taken"]
+
+
 def unwrapped(t: Column) -> Column:
     """A subject that was broken over lines, its pieces (between slashes) joined again."""
     pieces = F.filter(F.transform(F.split(t, " / "), service_tokens), lambda p: p != "")
     bad = (classify.has_link(t) | classify.is_teacher(t) | classify.is_room(t) | classify.is_roomish_subject(t) | seg.is_code_segment(t)
            | t.rlike(r"[0-9]{2}\.[0-9]{2}\.[0-9]{4}"))
-    goes_on = F.forall(F.slice(pieces, 2, 1000), lambda p: p.startswith("(") | seg.lead_lower(p))
+    goes_on = F.forall(behind_first(pieces), lambda p: p.startswith("(") | seg.lead_lower(p))
     return F.when(~bad & (F.size(pieces) >= 3) & F.forall(pieces, lambda p: p.rlike(r"\p{L}")) & goes_on, F.array_join(pieces, " ")).otherwise(t)
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tabulon.functions import classify
 from tabulon.functions import segments as seg
-from tabulon.functions.text import compact, flat, rx, service_tokens
+from tabulon.functions.text import behind_first, compact, flat, rx, service_tokens
+from tabulon.sources.scratch import kept
 
 # Whole labels that name no program.
 BAD_LABELS = (
@@ -54,8 +55,6 @@ WRAPPED = (
 DATED = r"^(?:\d{1,2}\.\d{1,2}(?:\.\d{2,4})?(?:\s*[-–—]\s*\d{1,2}\.\d{1,2}(?:\.\d{2,4})?)?\s+){1,3}(.+)$"
 EDGE = r"^[ .,:;-]+|[ .,:;-]+$"
 CONJUNCTIONS = ("та", "і", "й", "and")
-#: Wrappings may hold each other; so many are taken off.
-DEPTH = 3
 
 
 def parts(t: Column) -> Column:
@@ -93,7 +92,7 @@ def has_dangling_conjunction(p: Column) -> Column:
 
 
 def has_lower_continuation(p: Column) -> Column:
-    return (F.size(p) >= 2) & F.exists(F.slice(p, 2, 1000), seg.lead_lower)
+    return (F.size(p) >= 2) & F.exists(behind_first(p), seg.lead_lower)
 
 
 def is_group_aggregate(p: Column) -> Column:
@@ -103,9 +102,9 @@ def is_group_aggregate(p: Column) -> Column:
     return (groups >= 2) | ((streams >= 1) & (groups >= 1)) | ((academic >= 1) & ((numbers >= 1) | (F.size(p) >= 2)))
 
 
-def _bad(t: Column, p: Column) -> Column:
-    """Bad by what the label (service tokens ``t``, parts ``p``) itself shows."""
-    solid, bare = compact(t), F.regexp_replace(t, r"^[ .,:;-]+", "")
+def _bad(t: Column, p: Column, clean: Column) -> Column:
+    """Bad by what the label (service tokens ``t``, parts ``p``) shows; names, rooms and forbidden words count only if they stay in its ``clean`` form."""
+    solid, bare = compact(t), F.regexp_replace(clean, r"^[ .,:;-]+", "")
     one_word = ~F.contains(t, F.lit(" "))
     count = lambda c: F.length(t) - F.length(F.replace(t, F.lit(c), F.lit("")))
     coded = t.rlike(r"\d") | t.rlike("[-+/=_;:]") | (t.rlike("[A-Z].*[A-Z]") & t.rlike("[a-z]"))
@@ -156,12 +155,16 @@ def judged(labels: DataFrame) -> DataFrame:
     """(label, candidate, bad) of every distinct label in the one column of ``labels``: its clean form ('' if nothing is left); null reads as ''."""
     each = labels.toDF("l").select(F.coalesce("l", F.lit("")).alias("l")).distinct().withColumn("t", service_tokens(F.col("l")))
     each = each.withColumn("p", parts(F.col("t"))).withColumn("c", _plain(F.col("l")))
-    for _ in range(DEPTH):
+    while True:  # wrappings may hold each other: until no label changes
         tail = F.regexp_replace(service_tokens(F.regexp_extract("c", rx(DATED), 1)), EDGE, "")
-        each = each.withColumn("tail", tail).withColumn("tail_bad", _bad(F.col("tail"), parts(F.col("tail"))))
-        each = each.withColumn("c", _plain(_unwrapped(F.col("c"), F.col("tail_bad"))))
+        each = each.withColumn("tail", tail).withColumn("tail_bad", _bad(F.col("tail"), parts(F.col("tail")), F.col("tail")))
+        each = kept(each.withColumn("inner", _plain(_unwrapped(F.col("c"), F.col("tail_bad")))), "labels-unwrapped")
+        done = each.where("inner <> c").isEmpty()
+        each = each.withColumn("c", F.col("inner"))
+        if done:
+            break
     each = each.withColumn("cp", parts(F.col("c"))).withColumn("candidate", _named(F.col("cp")))
-    each = each.withColumn("bad", (F.col("t") != "") & ((F.col("candidate") == "") | _bad(F.col("t"), F.col("p"))))
+    each = each.withColumn("bad", (F.col("t") != "") & ((F.col("candidate") == "") | _bad(F.col("t"), F.col("p"), F.col("candidate"))))
     return each.select(F.col("l").alias("label"), "candidate", "bad")
 
 

@@ -52,6 +52,11 @@ def segments(x: Column) -> Column:
     return F.filter(F.transform(F.split(flat(x), r"\s*[|;/]\s*"), F.trim), lambda s: s != "")
 
 
+def behind_first(xs: Column) -> Column:
+    """An array without its first element."""
+    return F.slice(xs, 2, F.greatest(F.size(xs) - 1, F.lit(0)))
+
+
 def joined_distinct(x: Column, sep: str = "; ") -> Column:
     return F.array_join(F.array_distinct(F.filter(x, lambda s: s != "")), sep)
 

@@ -25,9 +25,8 @@ def _also(a: Column, b: Column) -> Column:
 def clean_subjects(df: DataFrame) -> DataFrame:
     """Subject, teacher, room, link, lesson kind and notes, with all that subject cells hold besides the subject moved to where it belongs."""
     df = df.withColumn("subject", service_tokens(F.col("subject")))
-    for _ in range(fields.MOST_PREFIXES):
-        subject, prefix = fields.without_prefix(F.col("subject"))
-        df = df.withColumns({"subject": subject, "notes": _also(F.col("notes"), prefix)})
+    subject, prefixes = fields.without_prefixes(F.col("subject"))
+    df = df.withColumns({"subject": subject, "notes": F.array_join(F.array_distinct(F.filter(F.concat(F.array("notes"), prefixes), lambda x: x != "")), "; ")})
     df = df.withColumn("__p", cleanup.subject_parts(F.col("subject")))
     df = df.withColumns({"subject": service_tokens(F.col("__p.subject")), "teacher": _also(fields.teacher_field(service_tokens(F.col("teacher"))), F.col("__p.teacher")),
                          "room": _also(service_tokens(F.col("room")), F.col("__p.room")), "link": _also(F.col("link"), F.col("__p.link")),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabulon.functions import classify, programs, times
 from tabulon.functions import segments as seg
-from tabulon.functions.text import service_tokens
+from tabulon.functions.text import behind_first, service_tokens
 from tabulon.sources.scratch import kept
 
 #: Flags that send a row to review.
@@ -68,7 +68,7 @@ def is_wrapped(t: Column) -> Column:
     """A subject that was broken over lines: three or more parts between slashes that go on in lower case or brackets, a lesson mark among them."""
     pieces = F.filter(F.transform(F.split(t, " / "), F.trim), lambda p: p != "")
     bad = classify.has_link(t) | classify.is_teacher(t) | classify.is_room(t) | classify.is_roomish_subject(t) | seg.somewhere(t, A_TRAILING_ROOM, r"\d{2}\.\d{2}\.\d{4}")
-    goes_on = F.forall(F.slice(pieces, 2, 1000), lambda p: p.startswith("(") | seg.lead_lower(p))
+    goes_on = F.forall(behind_first(pieces), lambda p: p.startswith("(") | seg.lead_lower(p))
     return ~bad & (F.size(pieces) >= 3) & F.forall(pieces, lambda p: p.rlike(r"\p{L}")) & goes_on & seg.somewhere(t, A_LESSON)
 
 

@@ -262,7 +262,8 @@ def main(argv: list[str] | None = None) -> int:
     whole = settings.load(args.config)
     config = settings.selected(whole, args.sources)
     if args.command == "inspect-source":
-        inspected(spark, config).show(1000, truncate=False)
+        for asset in inspected(spark, config).toLocalIterator():  # a partition at a time, however many there are
+            print(json.dumps(asset.asDict(), ensure_ascii=False, default=str))
         return 0
     if args.command == "run-batched":
         if args.merge_existing and not args.sources:

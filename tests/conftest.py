@@ -14,7 +14,8 @@ def spark():
     from pyspark.sql import SparkSession
 
     s = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "6g")
-         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate())
+         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").config("spark.sql.codegen.wholeStage", "false")
+         .config("spark.sql.codegen.factoryMode", "NO_CODEGEN").getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     return s
 
