@@ -25,7 +25,7 @@ LABELS = (
     "Самостійна / робота", "дисципліна за вибором", "Курс за вибором: Логіка", "вибору", "розклад занять з'явиться пізніше", "ст.", "доц", "Ф", "ЛОГІКА", "ЛОГІКА (Л) # год",
     "Логіка (лек)", "Логіка (", "Логіка -", "(лаб) 12#", "А. Б.", "соціол.культури", "Фізика плазми", "Оптика та лазери", "2# студентів", "202# н.р.", "2024 навчальний рік",
     "початок занять о 9", "денна форма навчання", "\"Право", "Право \"", "097 123 4567", "слово", "A1b2C3d4E5 F6", "Доставити: Географія (укр)", "Географія бакалавр", "понеділок", "M O N D A Y",
-    "Вільний день", "посвята в першокурсники", "Google Classroom", "захист дипломів", "# підгр.", "III курс Право", "Право ; Коваль І. П.", "Соціологія ; доц. Коваль І. П.", ". Губіна К.Є",
+    "Вільний день", "посвята в першокурсники", "Google Classroom", "захист дипломів", "# підгр.", "III курс Право", "Право ; Коваль І. П.", "Соціологія ; доц. Коваль І. П.",
 )
 
 
