@@ -10,11 +10,12 @@ from tabulon.sources.scratch import kept
 
 
 def unique_match(df: DataFrame, slot: list[str], order: list[str], is_host: Column, is_guest: Column, fits: Column, fields: list[str],
-                 sep: str = "; ") -> DataFrame:
+                 seps: dict[str, str] | None = None) -> DataFrame:
     """Guests (metadata-only rows) merge into the one host of their slot that fits.
 
     ``fits`` compares h.* with g.*.  A guest with no fitting host, or with several,
-    stays a row of its own.  A host takes its guests' values in order, each distinct one once; ``merged`` counts them.
+    stays a row of its own.  A host takes its guests' values in order, each distinct one once, joined by the field's entry in ``seps`` or a
+    semicolon; ``merged`` counts the guests.
     Hosts do not change while guests are matched, so the set form equals the row-by-row one.  The input and the matches are
     read several times and therefore stored.
     """
@@ -30,7 +31,7 @@ def unique_match(df: DataFrame, slot: list[str], order: list[str], is_host: Colu
     taken = pairs.groupBy("__host").agg(F.count("*").alias("merged"), *[in_order(f).alias(f"__{f}") for f in fields])
     joined = hosts.join(taken.withColumnRenamed("__host", "__t"), F.col("__host") == F.col("__t"), "left")
     both = lambda f: F.array_join(F.array_distinct(F.filter(
-        F.concat(F.array(F.col(f)), F.coalesce(f"__{f}", F.array().cast("array<string>"))), lambda x: x != "")), sep)
+        F.concat(F.array(F.col(f)), F.coalesce(f"__{f}", F.array().cast("array<string>"))), lambda x: x != "")), (seps or {}).get(f, "; "))
     merged = joined.withColumns({f: both(f) for f in fields}).withColumn("merged", F.coalesce("merged", F.lit(0)).cast("long"))
     left_over = guests.join(pairs.select(F.col("__guest").alias("__g")), F.col("__guest") == F.col("__g"), "left_anti").withColumn("merged", F.lit(0).cast("long"))
     others = df.where(~is_host & ~is_guest).withColumn("merged", F.lit(0).cast("long"))

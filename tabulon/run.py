@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from tabulon import config as settings
 from tabulon import models
+from tabulon.functions import fields, text
 from tabulon.functions import segments as seg
-from tabulon.functions import text
-from tabulon.operators import normalize, quality, records, report
+from tabulon.operators import continuation, gridrecords, merge, normalize, quality, records, report, splitgrid
+from tabulon.operators.rows import ordered
 from tabulon.sinks import workbooks
 from tabulon.sources import assets as asset_sources
 from tabulon.sources import cells as cell_sources
@@ -52,6 +53,50 @@ def discovered(spark: SparkSession, sources: Iterable[models.Source]) -> tuple[D
     return asset_sources.described(found), spark.createDataFrame(issues, "source_name string, issue string")
 
 
+def sheet_records(cells: DataFrame) -> DataFrame:
+    """Records of every sheet by its layout: split-cell grids, tables under a header row with all required fields, else grids with a day and a time axis.
+
+    ``nth`` orders the records of a row.
+    """
+    columns = [*splitgrid.SHEET, "row_index", *records.FIELDS, "raw_excerpt"]
+
+    def shaped(df: DataFrame, *order: str) -> DataFrame:
+        have = df.withColumns({c: F.lit("") for c in records.FIELDS if c not in df.columns})
+        if "raw_excerpt" not in have.columns:
+            have = have.withColumn("raw_excerpt", text.excerpt([F.col(c) for c in records.FIELDS]))
+        return have.select(*columns, F.struct(*[F.col(c).cast("int").alias(f"k{i}") if i < len(order) else F.lit(0).alias(f"k{i}") for i, c in enumerate([*order, *["row_index"] * 3][:3])]).alias("nth"))
+
+    known = cells.where("error IS NULL")
+    split = kept(splitgrid.split_sheets(known).select(*splitgrid.SHEET), "run-split")
+    rest = known.join(split, splitgrid.SHEET, "left_anti")
+    out = []
+    if not split.isEmpty():
+        out.append(shaped(splitgrid.split_grid_records(known.join(split, splitgrid.SHEET, "left_semi")), "min_row", "min_col", "nth"))
+    out.append(shaped(records.tabular_records(rest)))
+    headed = records.header_rows(records.named_cells(rest))
+    free = kept(rest.join(headed, splitgrid.SHEET, "left_anti"), "run-unheaded")
+    if not free.isEmpty():
+        out.append(shaped(gridrecords.grid_records(free), "col_index"))
+    whole = out[0]
+    for df in out[1:]:
+        whole = whole.unionByName(df)
+    return whole
+
+
+def merged_rows(rows: DataFrame) -> DataFrame:
+    """Rows with metadata-only rows merged into the one row of their slot that fits, and continued subjects joined; orphans of neither group nor course go."""
+    rows = kept(rows.withColumn("place", F.row_number().over(ordered(["asset_locator", "sheet_ord"], ["row_index", "nth"]))).drop("nth"), "run-placed")
+    bare = F.concat("teacher", "room", "link", "notes") == ""
+    fits = fields.same_context(fields.slot_key(F.col("h.course")), fields.slot_key(F.col("g.course"))) & fields.same_context(fields.slot_key(F.col("h.groups")), fields.slot_key(F.col("g.groups")))
+    slot = ["asset_locator", "sheet_ord", "day", "start_time", "end_time"]
+    has = F.col("subject") != ""
+    done = lambda name: F.when(F.col("merged") > 0, F.array_union("autofix_actions", F.array(F.lit(name)))).otherwise(F.col("autofix_actions"))
+    met = merge.unique_match(rows, slot, ["place"], has, ~has & ~bare, fits, ["teacher", "room", "link", "notes"], {"link": " "})
+    met = met.withColumn("autofix_actions", done("slot_metadata_merged")).where(has | bare | (F.col("merged") > 0) | (F.concat("groups", "course") != "")).drop("merged")
+    told = continuation.with_continuations(met, ["asset_locator", "sheet_ord"], "place", ["source_name", "sheet_name", "day", "start_time", "end_time"])
+    return told.withColumn("autofix_actions", done("subject_continuation_merged")).drop("merged", "place")
+
+
 def collected(spark: SparkSession, sources: Iterable[models.Source]) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, assets, issues) of some sources; files that fail give issues and the others go on."""
     sources = list(sources)
@@ -61,7 +106,7 @@ def collected(spark: SparkSession, sources: Iterable[models.Source]) -> tuple[Da
     failed = cells.where("error IS NOT NULL").select("locator", "error").join(found.select("locator", "source_name"), "locator").select("source_name", F.col("error").alias("issue"))
     broken = found.where("error IS NOT NULL").select("source_name", F.col("error").alias("issue"))
     kinds = spark.createDataFrame([(s.name, s.kind) for s in sources], "source_name string, source_kind string")
-    rows = normalize.normalized(records.tabular_records(cells), found).join(F.broadcast(kinds), "source_name", "left")  # one row a configured source
+    rows = merged_rows(normalize.normalized(sheet_records(cells), found)).join(F.broadcast(kinds), "source_name", "left")  # one row a configured source
     return rows, found.drop("content"), issues.unionByName(failed).unionByName(broken)
 
 

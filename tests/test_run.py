@@ -107,3 +107,23 @@ def test_status_of_sources(spark):
     got = df.select(run.status(*map(F.col, "arfiwq")).alias("s"), "want").collect()
     assert all(r.s.status == r.want for r in got)
     assert [r.s.note for r in got][1:3] == ["Access to the official source is blocked (HTTP 403 / Cloudflare)", run.INCOMPLETE]
+
+
+def test_layouts_and_merges_of_a_run(spark):
+    """A split-cell grid, a grid with axes and a table in one relation of cells; a table's metadata rows and continued subjects are merged."""
+    grid = {"split": {(2, 1): "день", (2, 2): "час", (2, 3): "1 курс ІПЗ", (2, 4): "2 курс", (3, 3): "група А-1", (5, 1): "середа", (5, 2): "8:00-9:20", (5, 3): "Теорія поля (лек)", (8, 3): "Вовна О. В.", (12, 4): "1"},
+            "axes": {(1, 3): "1 курс", (2, 3): "група 1", (4, 1): "Понеділок", (4, 2): "8:40-10:15", (4, 3): "Алгебра (лек)", (8, 1): "Вівторок", (8, 2): "10:35-12:10", (8, 3): "Геометрія"}}
+    table = [["", "Середа", "13:00", "14:20", "Логіка та методи", "", "", "", "", "група 2", "", ""], ["", "Середа", "13:00", "14:20", "наукового пошуку", "Вовна О. В.", "", "", "", "група 2", "", ""],
+             ["", "Четвер", "13:00", "14:20", "Психологія", "", "", "", "", "група 2", "", ""], ["", "Четвер", "13:00", "14:20", "", "", "", "https://meet.example/z", "214", "", "", ""],
+             ["", "П'ятниця", "13:00", "14:20", "", "", "", "https://meet.example/y", "", "", "", ""]]
+    places = [(s, r, c, x) for s, cs in grid.items() for (r, c), x in cs.items()] + [("table", r, c, x) for r, row in enumerate([HEAD, *table], 1) for c, x in enumerate(row, 1) if x]
+    found = spark.createDataFrame([("f/a.xlsx", 0, s, r, r, c, c, x, None) for s, r, c, x in places], cells.CELLS)
+    rows = run.sheet_records(found)
+    assets = spark.createDataFrame([("f/a.xlsx", "fit-schedule", "file", "h")], "locator string, source_name string, asset_kind string, content_hash string")
+    got = run.merged_rows(run.normalize.normalized(rows, assets)).collect()
+    by = {(r.sheet_name, r.subject): r for r in got}
+    assert set(by) == {("split", "Теорія поля"), ("axes", "Алгебра"), ("axes", "Геометрія"), ("table", "Логіка та методи наукового пошуку"), ("table", "Психологія")} and len(got) == 5
+    split, cont, host = by["split", "Теорія поля"], by["table", "Логіка та методи наукового пошуку"], by["table", "Психологія"]
+    assert (split.day, split.start_time, split.teacher, split.lesson_type, split.course) == ("Середа", "08:00", "Вовна О. В.", "лекція", "1")
+    assert cont.teacher == "Вовна О. В." and "subject_continuation_merged" in cont.autofix_actions
+    assert (host.room, host.link) == ("214", "https://meet.example/z") and "slot_metadata_merged" in host.autofix_actions
