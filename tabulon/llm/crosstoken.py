@@ -17,6 +17,7 @@ More documents want more ``blocks``, up to one A id each.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from functools import cache
 
 import numpy as np
@@ -60,34 +61,44 @@ class Aligner(dict):
         self.b_size = model.get_piece_size()
         self.b_bytes = [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace("▁", " ").encode()
                         for i in range(self.b_size) for p in (model.id_to_piece(i),)]
+        self.b_lengths = list(map(len, self.b_bytes))
         self.b_encode = model.encode
-        self.a_bytes = dict((i, t) for t, i in self.a.ranks.items())
+        self.names = list(map(str, range(max(self.a_size, self.b_size))))
 
     def aligned(self, text: str):
-        """The alignment of space + ``text`` as one chunk."""
-        a, b = self.a.encode(" " + text), self.b_encode(text)
-        own = (" " + text).encode()
-        if b"".join([self.b_bytes[i] for i in b]) != own or b"".join([self.a_bytes[i] for i in a]) != own:
+        """The alignment of space + ``text`` as one chunk.  A's tokens always give its bytes back: it knows every byte."""
+        own = " " + text
+        a, b = self.a.encode(own), self.b_encode(text)
+        if b"".join([self.b_bytes[i] for i in b]) != own.encode():
             return None
-        lengths, pieces, width = self.a_lengths, self.b_bytes, self.b_size
-        codes, cuts, i, j, first_a, first_b = [], [], 0, 0, 0, 0
-        end_a, end_b = lengths[a[0]], len(pieces[b[0]])
+        a_lengths, b_lengths, names, width = self.a_lengths, self.b_lengths, self.names, self.b_size
+        codes, cuts, i, j, n = [], "", 0, 0, 1
+        x, y = a[0], b[0]
+        told_a, told_b = names[x], names[y]  # ids since the last cut
+        ahead = a_lengths[x] - b_lengths[y]  # bytes that A's tokens so far have more than B's
+        last = len(a) - 1
         while True:
-            codes.append(a[i] * width + b[j])
-            if end_a == end_b:
-                cuts.append(",".join(map(str, a[first_a : i + 1])) + "|" + ",".join(map(str, b[first_b : j + 1])))
-                i, j = i + 1, j + 1
-                if i == len(a):
+            codes.append(x * width + y)
+            if not ahead:
+                if i == last:
                     break
-                first_a, first_b = i, j
-                end_a, end_b = end_a + lengths[a[i]], end_b + len(pieces[b[j]])
-            elif end_a < end_b:
+                cuts += told_a + "|" + told_b + ";"
+                n += 1
+                i, j = i + 1, j + 1
+                x, y = a[i], b[j]
+                told_a, told_b = names[x], names[y]
+                ahead = a_lengths[x] - b_lengths[y]
+            elif ahead < 0:
                 i += 1
-                end_a += lengths[a[i]]
+                x = a[i]
+                told_a += "," + names[x]
+                ahead += a_lengths[x]
             else:
                 j += 1
-                end_b += len(pieces[b[j]])
-        return len(a), len(b), len(cuts), np.array(codes, np.int64).tobytes(), ";".join(cuts)
+                y = b[j]
+                told_b += "," + names[y]
+                ahead -= b_lengths[y]
+        return len(a), len(b), n, array("q", codes).tobytes(), cuts + told_a + "|" + told_b
 
     def __missing__(self, chunk: str):
         found = self.aligned(chunk)
