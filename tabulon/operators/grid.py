@@ -7,23 +7,34 @@ from pyspark.sql import functions as F
 
 
 def overlap_join(left: DataFrame, right: DataFrame, sheet: list[str], low: str, high: str, gap: Column | None = None, bin_width: int = 8,
-                 how_many: str = "pairs") -> DataFrame:
+                 how_many: str = "pairs", near: tuple[str, int] | None = None) -> DataFrame:
     """Pairs of a sheet whose [low, high] column ranges overlap; columns come out as ``a_*`` and ``b_*``.
 
     Both sides are spread over bins of columns and meet by (sheet, bin), a hash join;
     a pair is kept in the bin of its overlap's first column only.  ``gap`` is a further condition on a_* and b_*.
+    ``near`` (column, distance) asks for values at most that far apart: right rows lie in one bin of that width, left rows in three.  There
+    pairs may be far more than rows, so tasks follow the shuffle's number and not the bytes of the sides.
     """
     def binned(df: DataFrame, p: str) -> DataFrame:
         named = df.select([F.col(c).alias(f"{p}_{c}") for c in df.columns])
         bins = F.sequence(F.floor(F.col(f"{p}_{low}") / bin_width), F.floor(F.col(f"{p}_{high}") / bin_width))
-        return named.withColumn(f"{p}_bin", F.explode(bins))
+        named = named.withColumn(f"{p}_bin", F.explode(bins))
+        if near is None:
+            return named
+        stripe = F.floor(F.col(f"{p}_{near[0]}") / max(near[1], 1))
+        return named.withColumn(f"{p}_stripe", F.explode(F.sequence(stripe - 1, stripe + 1)) if p == "a" else stripe)
 
     a, b = binned(left, "a"), binned(right, "b")
     meet = [F.col(f"a_{s}") == F.col(f"b_{s}") for s in sheet] + [F.col("a_bin") == F.col("b_bin")]
     over = (F.col(f"a_{low}") <= F.col(f"b_{high}")) & (F.col(f"b_{low}") <= F.col(f"a_{high}"))
     first = F.floor(F.greatest(f"a_{low}", f"b_{low}") / bin_width) == F.col("a_bin")
+    if near is not None:
+        meet.append(F.col("a_stripe") == F.col("b_stripe"))
+        over &= F.abs(F.col(f"a_{near[0]}") - F.col(f"b_{near[0]}")) <= near[1]
+        tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        a, b = a.repartition(tasks, *[f"a_{s}" for s in sheet], "a_bin", "a_stripe"), b.hint("merge")
     pairs = a.join(b, meet).where(over & first)
-    return (pairs if gap is None else pairs.where(gap)).drop("a_bin", "b_bin")
+    return (pairs if gap is None else pairs.where(gap)).drop("a_bin", "b_bin", "a_stripe", "b_stripe")
 
 
 def covering(points: DataFrame, cells: DataFrame, sheet: list[str], rows: int = 32, columns: int = 8) -> DataFrame:
