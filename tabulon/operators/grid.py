@@ -50,16 +50,39 @@ def covering(points: DataFrame, cells: DataFrame, sheet: list[str], rows: int =
     return placed.join(spread, [*sheet, "__rb", "__cb"]).where(inside).drop("__rb", "__cb")
 
 
-def nearest(left: DataFrame, right: DataFrame, keys: list[str], left_id: list[str], tier: Column, distance: Column, value: Column, name: str) -> DataFrame:
-    """Each left row's best right row: smallest tier, then distance, then value.
+def beside(spots: DataFrame, marks: DataFrame, keys: list[str], at: str) -> DataFrame:
+    """(keys, at, before, after) of every place of ``spots``: the last mark up to it and the first from it on, as (t: its place, v).
 
-    ``left`` and ``right`` have their columns prefixed a_ and b_; candidates meet by
-    ``keys`` and fold in one aggregate with map-side minima.  A null tier is no candidate.
+    ``marks`` has one row (keys, at, v) a place.  Places are taken once, so the windows grow with distinct places, and no mark meets every spot.
     """
-    meet = [F.col(f"a_{k}") == F.col(f"b_{k}") for k in keys]
-    best = F.min(F.when(tier.isNotNull(), F.struct(tier.alias("tier"), distance.alias("distance"), value.alias("value"))))
-    found = left.join(right, meet, "left").groupBy(*left_id).agg(best.alias("best"))
-    return found.select(*left_id, F.col("best.value").alias(name), F.col("best.tier").alias("tier"), F.col("best.distance").alias("distance"))
+    both = spots.select(*keys, at).distinct().withColumn("__spot", F.lit(True)).unionByName(marks.withColumn("__spot", F.lit(False)), allowMissingColumns=True)
+    placed = both.groupBy(*keys, at).agg(F.bool_or("__spot").alias("__spot"), F.first(F.when(~F.col("__spot"), F.struct(F.col(at).alias("t"), "v")), ignorenulls=True).alias("m"))
+    w = Window.partitionBy(*keys).orderBy(at)
+    placed = placed.withColumns({"before": F.last("m", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
+                                 "after": F.first("m", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))})
+    return placed.where("__spot").drop("__spot", "m")
+
+
+def nearest(left: DataFrame, right: DataFrame, left_id: list[str], at: str, value: str, tiers: list[tuple[list[str], int | None]], name: str) -> DataFrame:
+    """Each left row's best right row: first tier that has one, then smallest distance in ``at``, then smallest ``value``.
+
+    A tier is (columns that must be equal, distance allowed or None).  Right rows fold to the smallest value a place, and a left row looks
+    at the places beside its own: cost follows rows, not pairs.  Rows without any candidate have nulls.
+    """
+    found, near = left, {}
+    for keys in dict.fromkeys(tuple(k) for k, _ in tiers):
+        marks = right.where(F.col(at).isNotNull()).groupBy(*keys, at).agg(F.min(value).alias("v"))
+        side = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.abs(F.col(at) - F.col(f"{c}.t")).alias("distance"), F.col(f"{c}.v").alias("value")))
+        near[keys] = f"__near{len(near)}"
+        best = beside(left, marks, list(keys), at).select(*keys, at, F.array_min(F.array(side("before"), side("after"))).alias(near[keys]))
+        found = found.join(best, [*keys, at], "left")
+    def candidate(i: int, keys: list[str], most: int | None) -> Column:
+        n = near[tuple(keys)]
+        fits = F.col(n).isNotNull() if most is None else F.col(f"{n}.distance") <= most
+        return F.when(fits, F.struct(F.lit(i).alias("tier"), f"{n}.distance", f"{n}.value"))
+
+    best = F.min(F.coalesce(*[candidate(i, *t) for i, t in enumerate(tiers, 1)])).alias("best")
+    return found.groupBy(*left_id).agg(best).select(*left_id, F.col("best.value").alias(name), F.col("best.tier").alias("tier"), F.col("best.distance").alias("distance"))
 
 
 def asof_both_sides(events: DataFrame, key: str, ts: str, is_left: Column, is_right: Column, right_value: str) -> DataFrame:

@@ -103,3 +103,36 @@ def test_delta_and_reachability(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (3, 4)], "src long, dst long")
     roots = spark.createDataFrame([(1,)], "node long")
     assert sorted(tuple(r) for r in graph.reachable(edges, roots, 2).collect()) == [(1, 0), (2, 1), (3, 2)]
+
+
+def test_overlap_join_by_distance_equals_all_pairs(spark):
+    side = lambda k: spark.range(60).selectExpr("'s' AS sheet", "id", f"id * {k} % 31 AS lo", f"id * {k} % 31 + id % 5 AS hi", f"id * {k} % 17 - 8 AS r")
+    a, b = side(7), side(11)
+    got = sorted((r.a_id, r.b_id) for r in grid.overlap_join(a, b, ["sheet"], "lo", "hi", near=("r", 2)).collect())
+    want = sorted((x.id, y.id) for x in a.collect() for y in b.collect() if x.lo <= y.hi and y.lo <= x.hi and abs(x.r - y.r) <= 2)
+    assert got == want and len(want) > 50
+    plan = grid.overlap_join(a, b, ["sheet"], "lo", "hi", near=("r", 2))._jdf.queryExecution().optimizedPlan().toString()
+    assert "a_stripe" in plan  # rows far apart in r never meet
+
+
+def test_nearest_by_tiers_equals_all_pairs_without_making_them(spark):
+    left = spark.range(80).selectExpr("id AS a", "if(id % 13 = 0, 'x', 's' || id % 3) AS sheet", "id % 4 AS lo", "id * 7 % 40 AS r")
+    right = spark.range(60).selectExpr("id AS b", "'s' || id % 3 AS sheet", "id % 5 AS lo", "id * 11 % 37 AS r")
+    tiers = [(["sheet", "lo"], 2), (["sheet"], 3), (["sheet"], None)]
+    found = grid.nearest(left, right, ["a"], "r", "b", tiers, "b")
+
+    def best(x):
+        d = lambda y: abs(x.r - y.r)
+        mine = [y for y in right.collect() if y.sheet == x.sheet]
+        return min(((1 if y.lo == x.lo and d(y) <= 2 else 2 if d(y) <= 3 else 3, d(y), y.b) for y in mine), default=(None, None, None))
+
+    want = {x.a: best(x) for x in left.collect()}
+    assert {r.a: (r.tier, r.distance, r.b) for r in found.collect()} == want
+    assert {t for t, *_ in want.values()} == {None, 1, 2, 3}
+
+
+def test_places_beside_a_spot_are_the_last_and_the_next_mark(spark):
+    spots = spark.createDataFrame([("s", 1), ("s", 5), ("s", 5), ("s", 9), ("t", 1)], "sheet string, r int")
+    marks = spark.createDataFrame([("s", 3, "a"), ("s", 5, "b"), ("s", 7, "c")], "sheet string, r int, v string")
+    got = {(x.sheet, x.r): (x.before and x.before.v, x.after and x.after.v) for x in grid.beside(spots, marks, ["sheet"], "r").collect()}
+    assert got == {("s", 1): (None, "a"), ("s", 5): ("b", "b"), ("s", 9): ("c", None), ("t", 1): (None, None)}
