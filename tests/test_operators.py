@@ -136,3 +136,9 @@ def test_places_beside_a_spot_are_the_last_and_the_next_mark(spark):
     marks = spark.createDataFrame([("s", 3, "a"), ("s", 5, "b"), ("s", 7, "c")], "sheet string, r int, v string")
     got = {(x.sheet, x.r): (x.before and x.before.v, x.after and x.after.v) for x in grid.beside(spots, marks, ["sheet"], "r").collect()}
     assert got == {("s", 1): (None, "a"), ("s", 5): ("b", "b"), ("s", 9): ("c", None), ("t", 1): (None, None)}
+
+
+def test_many_small_files_share_batches():
+    got = list(cells.batched((f"c-{i}.csv", b"name,segment\n\n\"a\",b\n") for i in range(2000)))
+    assert [b.num_rows for b in got] == [5000, 3000]
+    assert len(set(got[0].column("locator").to_pylist())) == 1250
