@@ -142,3 +142,26 @@ def test_many_small_files_share_batches():
     got = list(cells.batched((f"c-{i}.csv", b"name,segment\n\n\"a\",b\n") for i in range(2000)))
     assert [b.num_rows for b in got] == [5000, 3000]
     assert len(set(got[0].column("locator").to_pylist())) == 1250
+
+
+def test_workbooks_are_deflated_and_neither_written_nor_read_as_a_whole():
+    import tracemalloc
+
+    body = [["Понеділок", f"Основи програмування {i}", f"Вовна О. В. {i}"] for i in range(20000)]
+    tracemalloc.start()
+    book = xlsx_bytes([("a", body)])
+    assert sum(1 for _ in cells.xlsx_cells(book)) == 60000
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(book) < 1_000_000 and most < 8_000_000
+
+
+def test_parts_of_a_large_workbook_keep_all_records(spark, monkeypatch):
+    from conftest import SF, as_rows
+
+    from tabulon.plans import files
+    from tabulon.sinks import workbooks
+
+    whole = as_rows(files.workbook_roundtrip(spark, SF).toPandas())
+    monkeypatch.setattr(workbooks.workbooks, "__defaults__", (20,))  # most rows of a part
+    assert as_rows(files.workbook_roundtrip(spark, SF).toPandas()) == whole
