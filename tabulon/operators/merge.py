@@ -10,33 +10,37 @@ from tabulon.sources.scratch import kept
 
 
 def unique_match(df: DataFrame, slot: list[str], order: list[str], is_host: Column, is_guest: Column, fits: Column, fields: list[str],
-                 seps: dict[str, str] | None = None) -> DataFrame:
+                 seps: dict[str, str] | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """Guests (metadata-only rows) merge into the one host of their slot that fits.
 
-    ``fits`` compares h.* with g.*.  A guest with no fitting host, or with several,
+    ``fits`` compares h.* with g.*, of the columns ``by``.  A guest with no fitting host, or with several,
     stays a row of its own.  A host takes its guests' values in order, each distinct one once, joined by the field's entry in ``seps`` or a
     semicolon; ``merged`` counts the guests.
-    Hosts do not change while guests are matched, so the set form equals the row-by-row one.  The input and the matches are
+    Hosts do not change while guests are matched, so the set form equals the row-by-row one.  Hosts and guests fold to the distinct values of
+    slot and ``by``, hosts with their number; only these meet, so a slot of many rows makes no pairs of rows.  The input is
     read several times and therefore stored.
     """
     df = kept(df, "match-input")
-    key = F.struct(*order)
+    key, by = F.struct(*order), list(by)
     hosts = df.where(is_host).select("*", key.alias("__host"))
-    guests = df.where(is_guest).select("*", key.alias("__guest"))
+    guests = df.where(is_guest)
+    kinds = hosts.groupBy(*slot, *by).agg(F.count("*").alias("__n"), F.min("__host").alias("__host"))
     meet = [F.col(f"h.{c}") == F.col(f"g.{c}") for c in slot] + [fits]
-    pairs = hosts.alias("h").join(guests.alias("g"), meet).select("h.__host", "g.__guest", *[F.col(f"g.{f}").alias(f) for f in fields])
-    pairs = pairs.withColumn("__n", F.count("*").over(Window.partitionBy("__guest"))).where("__n = 1")
-    pairs = kept(pairs.drop("__n"), "match-pairs")
-    in_order = lambda f: F.transform(F.array_sort(F.collect_list(F.struct("__guest", f))), lambda s: s[f])
-    taken = pairs.groupBy("__host").agg(F.count("*").alias("merged"), *[in_order(f).alias(f"__{f}") for f in fields])
+    asked = guests.select(*slot, *by).distinct()
+    pairs = kinds.alias("h").join(asked.alias("g"), meet).select("h.__n", "h.__host", *[F.col(f"g.{c}").alias(f"__{c}") for c in (*slot, *by)])
+    only = pairs.groupBy(*[f"__{c}" for c in (*slot, *by)]).agg(F.sum("__n").alias("__n"), F.min("__host").alias("__host")).where("__n = 1").drop("__n")
+    only = kept(only, "match-kinds")
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in (*slot, *by)]
+    placed = guests.join(only, same, "left")
+    in_order = lambda f: F.transform(F.array_sort(F.collect_list(F.struct(key.alias("__guest"), f))), lambda s: s[f])
+    taken = placed.where("__host IS NOT NULL").groupBy("__host").agg(F.count("*").alias("merged"), *[in_order(f).alias(f"__{f}") for f in fields])
     joined = hosts.join(taken.withColumnRenamed("__host", "__t"), F.col("__host") == F.col("__t"), "left")
     both = lambda f: F.array_join(F.array_distinct(F.filter(
         F.concat(F.array(F.col(f)), F.coalesce(f"__{f}", F.array().cast("array<string>"))), lambda x: x != "")), (seps or {}).get(f, "; "))
     merged = joined.withColumns({f: both(f) for f in fields}).withColumn("merged", F.coalesce("merged", F.lit(0)).cast("long"))
-    left_over = guests.join(pairs.select(F.col("__guest").alias("__g")), F.col("__guest") == F.col("__g"), "left_anti").withColumn("merged", F.lit(0).cast("long"))
-    others = df.where(~is_host & ~is_guest).withColumn("merged", F.lit(0).cast("long"))
+    alone = lambda rows: rows.withColumn("merged", F.lit(0).cast("long"))
     names = [*df.columns, "merged"]
-    return merged.select(names).unionByName(left_over.select(names)).unionByName(others.select(names))
+    return merged.select(names).unionByName(alone(placed.where("__host IS NULL")).select(names)).unionByName(alone(df.where(~is_host & ~is_guest)).select(names))
 
 
 def continuation_runs(df: DataFrame, partition: list[str], order: list, continues: Column, text: str, first: list[str]) -> DataFrame:

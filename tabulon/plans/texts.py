@@ -578,5 +578,5 @@ def slot_context_merge(spark, sf_dir):
     rows = rows.withColumn("teacher", F.when(F.col("guest"), F.concat(F.lit("T"), F.col("k").cast("string"))).otherwise(""))
     fits = fields.same_context(F.col("h.g"), F.col("g.g")) & fields.same_context(F.col("h.course"), F.col("g.course"))
     host = ~F.col("guest") & (F.col("k") % 8 == 1)
-    out = merge.unique_match(rows, ["slot"], ["k"], host, F.col("guest"), fits, ["teacher"])
+    out = merge.unique_match(rows, ["slot"], ["k"], host, F.col("guest"), fits, ["teacher"], by=("g", "course"))
     return out.where(host).select("k", "merged", "teacher")

@@ -91,7 +91,7 @@ def merged_rows(rows: DataFrame) -> DataFrame:
     slot = ["asset_locator", "sheet_ord", "day", "start_time", "end_time"]
     has = F.col("subject") != ""
     done = lambda name: F.when(F.col("merged") > 0, F.array_union("autofix_actions", F.array(F.lit(name)))).otherwise(F.col("autofix_actions"))
-    met = merge.unique_match(rows, slot, ["place"], has, ~has & ~bare, fits, ["teacher", "room", "link", "notes"], {"link": " "})
+    met = merge.unique_match(rows, slot, ["place"], has, ~has & ~bare, fits, ["teacher", "room", "link", "notes"], {"link": " "}, by=("course", "groups"))
     met = met.withColumn("autofix_actions", done("slot_metadata_merged")).where(has | bare | (F.col("merged") > 0) | (F.concat("groups", "course") != "")).drop("merged")
     told = continuation.with_continuations(met, ["asset_locator", "sheet_ord"], "place", ["source_name", "sheet_name", "day", "start_time", "end_time"])
     return told.withColumn("autofix_actions", done("subject_continuation_merged")).drop("merged", "place")

@@ -165,3 +165,15 @@ def test_parts_of_a_large_workbook_keep_all_records(spark, monkeypatch):
     whole = as_rows(files.workbook_roundtrip(spark, SF).toPandas())
     monkeypatch.setattr(workbooks.workbooks, "__defaults__", (20,))  # most rows of a part
     assert as_rows(files.workbook_roundtrip(spark, SF).toPandas()) == whole
+
+
+def test_unique_match_folds_hosts_and_guests_to_kinds(spark):
+    """One slot with many rows: no kind is met more than once, and ambiguous guests stay as they are."""
+    df = spark.range(3000).selectExpr("'a' AS slot", "id AS n", "if(id < 1000, 'X', '') AS subject", "if(id < 1000, '', 'T' || id) AS teacher",
+                                      "if(id = 0 OR id % 2 = 1, id % 2, 2)::string AS k")
+    fits = F.col("h.k") == F.col("g.k")
+    out = merge.unique_match(df, ["slot"], ["n"], F.col("subject") != "", F.col("subject") == "", fits, ["teacher"], by=("k",)).collect()
+    assert len(out) == 3000 and sum(r.merged for r in out) == 0
+    one = df.where("n = 1 OR n >= 1000")
+    out = merge.unique_match(one, ["slot"], ["n"], F.col("subject") != "", F.col("subject") == "", fits, ["teacher"], by=("k",)).collect()
+    assert {r.n: r.merged for r in out if r.merged} == {1: 1000} and len(out) == 1001
