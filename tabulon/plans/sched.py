@@ -24,13 +24,16 @@ def sched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     t = lambda name: read(spark, sf_dir, name)
     pick = lambda values, i: F.element_at(F.array(*map(F.lit, values)), i)
-    joined = (
+    orders = (
+        t("orders").select("o_orderkey", "o_custkey")
+        .join(t("customer").select("c_custkey", "c_nationkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    )
+    joined = (  # an order meets its customer before its lines meet it: lines are not shuffled by customer
         t("lineitem")
-        .join(t("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t("part").select("p_partkey", "p_name", "p_size"), F.col("l_partkey") == F.col("p_partkey"))
         .join(t("supplier").select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(t("customer").select("c_custkey", "c_nationkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     )
     slot = (F.col("l_suppkey") % 5 + 1).cast("int")
     bare = F.col("l_discount") < 0.02
