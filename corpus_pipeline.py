@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulon.llm import linededup, mixing, nearcopies, packing, toxicity
+from tabulon.llm import linededup, mixing, nearcopies, packing, simhash, toxicity
 from tabulon.llm.common import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -34,8 +34,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are no near copy (five-word Jaccard of 0.8 or more) of one with a smaller id."""
-    return nearcopies.without_near_copies(docs)
+    """One document of every SimHash component (the operator of op2); of these, none that an exact check finds a near copy (five-word Jaccard of 0.8 or more) of a smaller id."""
+    first = stored(simhash.one_of_each(docs), "pipeline-simhash", lasting=True)
+    return nearcopies.without_near_copies(first)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -769,3 +769,13 @@ def test_pipeline_drops_near_copies_by_brute_force(spark, monkeypatch, pairwise,
     for i, t, s in sets:
         if (i, t) not in kept:  # what goes is near another one, of no larger id
             assert any((j, u) != (i, t) and jac(s, v) >= 0.8 and (j is not None or i is None) and (i is None or j <= i) for j, u, v in sets)
+
+
+def test_pipeline_drops_by_simhash_and_then_by_exact_check(spark):
+    """Two texts of one fingerprint whose word shingles differ: only SimHash takes them for copies."""
+    import corpus_pipeline
+
+    rows = [(i, "x " * 60 + tail, "a") for i, tail in enumerate(("a b c", "d e f"))] + [(2, "another text of quite different words here", "a")]
+    assert simhash.fingerprint(rows[0][1]) == simhash.fingerprint(rows[1][1])
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs_of(spark, rows), SF).collect()
+    assert sorted(r.doc_id for r in kept) == [0, 2]
