@@ -3,6 +3,8 @@
 Row 2 names courses (and the columns of day and time), rows 3 and 4 groups and subgroups; every level is carried to the right.  A time in
 column 2 begins a block of eight rows.  A block's cells are subjects and, in columns that a subject shares, its teachers, rooms, links
 and weeks.  All of it is keyed by sheet, and by sheet and block once blocks are known, so a sheet's cells never meet in one task's object.
+What is kept between steps has rows for every sheet, block or text but is far smaller as a file than as rows, so joins with it are sort-merge
+joins: by the file's size it would be broadcast from the driver's memory.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tabulon.functions import splitcells, text, times
 from tabulon.functions.text import flat, rx
-from tabulon.operators.grid import covering, overlap_join
+from tabulon.operators.grid import overlap_join
 from tabulon.operators.rows import fill_down
 from tabulon.sources.scratch import kept
 
@@ -28,15 +30,24 @@ _PLACE = ["min_row", "max_row", "min_col", "max_col"]
 def split_sheets(cells: DataFrame) -> DataFrame:
     """(sheet, rows, columns) of the sheets of this layout: day and time among the first headers of row 2, ten rows and four columns at least."""
     head = (F.col("min_row") == 2) & (F.col("min_col") <= HEADER_COLUMNS)
-    named = lambda word: F.max(head & (text.header_key(F.col("text")) == word))
+    named = lambda word: F.max(F.when(head, text.header_key(F.col("text"))) == word)  # noqa: E731  # the key of header cells only
     found = cells.groupBy(*SHEET).agg(F.max("max_row").alias("rows"), F.max("max_col").alias("columns"), named("день").alias("d"), named("час").alias("t"))
     return found.where((F.col("rows") >= 10) & (F.col("columns") >= 4) & F.col("d") & F.col("t")).drop("d", "t")
 
 
-def header_levels(cells: DataFrame, sheets: DataFrame) -> DataFrame:
+def _spread(cells: DataFrame, rows: tuple[int, int | None], columns: tuple[int, int | None]) -> DataFrame:
+    """A row (sheet, row, col, text) for every place of a cell that lies in the rows and columns named."""
+    def places(low: str, high: str, within: tuple[int, int | None]) -> Column:
+        first, last = F.greatest(low, F.lit(within[0])), F.col(high) if within[1] is None else F.least(high, F.lit(within[1]))
+        return F.explode(F.when(first <= last, F.sequence(first, last)))
+
+    down = cells.select(*SHEET, places("min_row", "max_row", rows).alias("row"), "min_col", "max_col", "text")
+    return down.select(*SHEET, "row", places("min_col", "max_col", columns).alias("col"), "text")
+
+
+def header_levels(cells: DataFrame) -> DataFrame:
     """(sheet, col, course, group, subgroup) of every column, each level carried to the right; a day or time header clears all three."""
-    points = sheets.select(*SHEET, F.explode(F.sequence(F.lit(FIRST_BODY_COLUMN), "columns")).alias("col")).withColumn("row", F.explode(F.array(F.lit(2), F.lit(3), F.lit(4))))
-    found = covering(points, cells.where("min_row <= 4"), SHEET).select(*SHEET, "col", "row", flat(F.col("text")).alias("text"))
+    found = _spread(cells.where("min_row <= 4"), (2, 4), (FIRST_BODY_COLUMN, None)).withColumn("text", flat(F.col("text")))
     level = lambda row: F.coalesce(F.max(F.when(F.col("row") == row, F.col("text"))), F.lit(""))
     wide = found.groupBy(*SHEET, "col").agg(level(2).alias("course"), level(3).alias("group"), level(4).alias("subgroup"))
     wide = wide.withColumn("axis", text.header_key(F.col("course")).isin("день", "час"))
@@ -45,10 +56,9 @@ def header_levels(cells: DataFrame, sheets: DataFrame) -> DataFrame:
     return filled.select(*SHEET, "col", *[F.coalesce(c, F.lit("")).alias(c) for c in ("course", "group", "subgroup")])
 
 
-def block_starts(cells: DataFrame, sheets: DataFrame) -> DataFrame:
+def block_starts(cells: DataFrame) -> DataFrame:
     """(sheet, slot, day, start_time, end_time): rows whose time column holds a whole time range; days are carried down over all rows with a time."""
-    points = sheets.select(*SHEET, F.explode(F.sequence(F.lit(FIRST_BODY_ROW), "rows")).alias("row")).withColumn("col", F.explode(F.array(F.lit(DAY_COLUMN), F.lit(TIME_COLUMN))))
-    found = covering(points, cells.where(F.col("min_col") <= TIME_COLUMN), SHEET)
+    found = _spread(cells.where(F.col("min_col") <= TIME_COLUMN), (FIRST_BODY_ROW, None), (DAY_COLUMN, TIME_COLUMN))
     at = lambda col: F.max(F.when(F.col("col") == col, F.col("text")))
     rows = found.groupBy(*SHEET, "row").agg(times.weekday(at(DAY_COLUMN)).alias("day"), times.parse_range(flat(at(TIME_COLUMN))).alias("r"))
     timed = rows.where("r.start <> ''").select(*SHEET, F.col("row").alias("slot"), "day", F.col("r.start").alias("start_time"), F.col("r.end").alias("end_time"))
@@ -60,10 +70,14 @@ def block_cells(cells: DataFrame, starts: DataFrame, levels: DataFrame) -> DataF
     """(sheet, slot, place, text, kind): cells that begin in a block's rows and in a column under a course; blocks that overlap share cells."""
     body = cells.where((F.col("min_row") >= FIRST_BODY_ROW) & (F.col("min_col") >= FIRST_BODY_COLUMN))
     under = levels.where("course <> ''").select(*SHEET, F.col("col").alias("min_col"))
-    body = body.join(under, [*SHEET, "min_col"], "left_semi").select(*SHEET, *_PLACE, flat(F.col("text")).alias("text"))
-    kinds = kept(body.select("text").distinct().withColumn("kind", splitcells.kind(F.col("text"))).where("kind <> 'ignore'"), "split-kinds")
-    starting = F.sequence(F.col("min_row") - (BLOCK_ROWS - 1), F.col("min_row"))
-    return body.join(kinds, "text").withColumn("slot", F.explode(starting)).join(starts.select(*SHEET, "slot"), [*SHEET, "slot"], "left_semi")
+    body = body.join(under.hint("merge"), [*SHEET, "min_col"], "left_semi").select(*SHEET, *_PLACE, flat(F.col("text")).alias("text"))
+    # filtered as read: before, the filter would go below the distinct and judge every cell
+    kinds = kept(body.select("text").distinct().withColumn("kind", splitcells.kind(F.col("text"))), "split-kinds").where("kind <> 'ignore'")
+    # a cell lies in one bin of a block's rows, a block in two
+    bin_ = lambda c: F.floor(F.col(c) / BLOCK_ROWS)
+    begun = starts.select(*SHEET, "slot", F.explode(F.array(bin_("slot"), bin_("slot") + 1)).alias("bin"))
+    met = body.join(kinds.hint("merge"), "text").withColumn("bin", bin_("min_row")).join(begun.hint("merge"), [*SHEET, "bin"])
+    return met.where(F.col("slot").between(F.col("min_row") - (BLOCK_ROWS - 1), F.col("min_row"))).drop("bin")
 
 
 def _in_order(values: Column) -> Column:
@@ -76,7 +90,7 @@ def _metadata(blocks: DataFrame) -> DataFrame:
     mine = [*SHEET, "slot"]
     subjects = blocks.where("kind = 'subject'").select(*mine, *_PLACE)
     others = blocks.where("kind <> 'subject'").select(*mine, *_PLACE, "text", "kind")
-    pairs = overlap_join(subjects, others, mine, "min_col", "max_col")
+    pairs = overlap_join(subjects, others.hint("merge"), mine, "min_col", "max_col")
     parts = splitcells.bracketed(F.col("b_text"))
     is_ = lambda k: F.col("b_kind") == k
     texts = lambda cond, xs: splitcells.unique(_in_order(F.collect_list(F.when(cond, F.struct("b_min_row", "b_min_col", xs.alias("x"))))))
@@ -92,7 +106,7 @@ def _context(subjects: DataFrame, levels: DataFrame) -> DataFrame:
     spans = subjects.select(*SHEET, "min_row", "min_col", "max_col").distinct().withColumn("col", F.explode(F.sequence("min_col", "max_col")))
     number = F.regexp_extract(F.lower(F.col("course")), rx(COURSE), 1)
     seen = lambda x: splitcells.unique(F.transform(F.array_sort(F.collect_list(F.struct("col", x.alias("x")))), lambda s: s["x"]))
-    found = spans.join(levels, [*SHEET, "col"]).groupBy(*SHEET, "min_row", "min_col").agg(
+    found = spans.join(levels.hint("merge"), [*SHEET, "col"]).groupBy(*SHEET, "min_row", "min_col").agg(
         seen(F.col("subgroup")).alias("s"), seen(F.col("group")).alias("g"), F.array_join(seen(number), "; ").alias("course"))
     return found.select(*SHEET, "min_row", "min_col", F.array_join(F.when(F.size("s") > 0, F.col("s")).otherwise(F.col("g")), "; ").alias("groups"), "course")
 
@@ -116,13 +130,13 @@ def split_grid_records(cells: DataFrame) -> DataFrame:
     """
     known = cells.where("error IS NULL")
     sheets = kept(split_sheets(known), "split-sheets")
-    known = kept(known.join(sheets.select(*SHEET), SHEET, "left_semi"), "split-cells")
-    levels, starts = kept(header_levels(known, sheets), "split-levels"), kept(block_starts(known, sheets), "split-starts")
+    known = kept(known.join(sheets.select(*SHEET).hint("merge"), SHEET, "left_semi"), "split-cells")
+    levels, starts = kept(header_levels(known), "split-levels"), kept(block_starts(known), "split-starts")
     blocks = kept(block_cells(known, starts, levels), "split-blocks")
     subjects = blocks.where("kind = 'subject'")
     entries = kept(subject_entries(subjects.select("text").distinct()), "split-entries")
-    found = (subjects.join(entries, "text").join(starts, [*SHEET, "slot"]).join(_metadata(blocks), [*SHEET, "slot", "min_row", "min_col"], "left")
-             .join(_context(subjects, levels), [*SHEET, "min_row", "min_col"], "left"))
+    found = (subjects.join(entries.hint("merge"), "text").join(starts.hint("merge"), [*SHEET, "slot"])
+             .join(_metadata(blocks).hint("merge"), [*SHEET, "slot", "min_row", "min_col"], "left").join(_context(subjects, levels).hint("merge"), [*SHEET, "min_row", "min_col"], "left"))
     blank = lambda c: F.coalesce(F.col(c), F.lit(""))
     notes = F.coalesce("notes", F.array().cast("array<string>"))
     return found.select(
