@@ -40,14 +40,20 @@ def overlap_join(left: DataFrame, right: DataFrame, sheet: list[str], low: str,
 def covering(points: DataFrame, cells: DataFrame, sheet: list[str], rows: int = 32, columns: int = 8) -> DataFrame:
     """Points (sheet, row, col) with the cell whose rectangle holds each; points outside all cells are left out.
 
-    Rectangles are spread over bins of rows and columns, a point lies in one bin, and they meet by (sheet, bin): a hash join whose
-    shuffle grows with the cells' area over a bin's.  Where rectangles overlap, a point gets every one that holds it.
+    A rectangle that lies in one bin of rows and columns goes there; others are spread over bins of eight times the height and width.  A point
+    lies in one bin of either kind, and they meet by (sheet, bin) in a sort-merge join: nearly every rectangle is shuffled once, a point twice.  Neither side is broadcast, as both grow.
+    Where rectangles overlap, a point gets every one that holds it.
     """
-    bins = lambda low, high, width: F.sequence(F.floor(F.col(low) / width), F.floor(F.col(high) / width))
-    spread = cells.withColumn("__rb", F.explode(bins("min_row", "max_row", rows))).withColumn("__cb", F.explode(bins("min_col", "max_col", columns)))
-    placed = points.withColumn("__rb", F.floor(F.col("row") / rows)).withColumn("__cb", F.floor(F.col("col") / columns))
+    at = lambda c, width: F.floor(F.col(c) / width)
+    # one number a bin: its row bin, its column bin and its kind
+    bin_ = lambda r, c, wide: F.shiftleft(r, 33) + F.shiftleft(c, 1) + wide
+    one = (at("min_row", rows) == at("max_row", rows)) & (at("min_col", columns) == at("max_col", columns))
+    down, across = F.sequence(at("min_row", rows * 8), at("max_row", rows * 8)), F.sequence(at("min_col", columns * 8), at("max_col", columns * 8))
+    many = F.flatten(F.transform(down, lambda r: F.transform(across, lambda c: bin_(r, c, 1))))
+    spread = cells.withColumn("__bin", F.explode(F.when(one, F.array(bin_(at("min_row", rows), at("min_col", columns), 0))).otherwise(many)))
+    placed = points.withColumn("__bin", F.explode(F.array(bin_(at("row", rows), at("col", columns), 0), bin_(at("row", rows * 8), at("col", columns * 8), 1))))
     inside = F.col("row").between(F.col("min_row"), F.col("max_row")) & F.col("col").between(F.col("min_col"), F.col("max_col"))
-    return placed.join(spread, [*sheet, "__rb", "__cb"]).where(inside).drop("__rb", "__cb")
+    return placed.join(spread.hint("merge"), [*sheet, "__bin"]).where(inside).drop("__bin")
 
 
 def beside(spots: DataFrame, marks: DataFrame, keys: list[str], at: str) -> DataFrame:
