@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabulon.functions import classify, programs, times
 from tabulon.functions import segments as seg
-from tabulon.functions.text import behind_first, service_tokens
+from tabulon.functions.text import behind_first, let, service_tokens
 from tabulon.sources.scratch import kept
 
 #: Flags that send a row to review.
@@ -247,12 +247,17 @@ def bucket_reasons(df: DataFrame, source: str = "source_name", faculty: str = "f
 
 
 def without_dropped(review: DataFrame, subject: str = "subject", evidence: tuple[str, ...] = ("lesson_type", "notes", "raw_excerpt")) -> DataFrame:
-    """Review rows that may hold a class: neither a service subject, nor no subject and service text elsewhere."""
-    t = lambda c: service_tokens(F.coalesce(F.col(c), F.lit("")))
-    elsewhere = F.lit(False)
-    for c in evidence:
-        elsewhere = elsewhere | ((t(c) != "") & seg.is_drop_review(t(c)))
-    return review.where(~F.when(t(subject) != "", seg.is_drop_review(t(subject))).otherwise(elsewhere))
+    """Review rows that may hold a class: neither a service subject, nor no subject and service text elsewhere.
+
+    Every distinct text is judged once; null says that it holds nothing.
+    """
+    wide, marks = review, {}
+    for c in dict.fromkeys((subject, *evidence)):
+        marks[c] = f"__drop{len(marks)}"
+        judged = let(service_tokens(F.col("t")), lambda t: F.when(t != "", seg.is_drop_review(t)))
+        wide = wide.join(_facts(review, c, {marks[c]: judged}), F.coalesce(F.col(c), F.lit("")) == F.col("__x")).drop("__x")
+    elsewhere = F.exists(F.array(*[F.coalesce(marks[c], F.lit(False)) for c in evidence]), lambda x: x) if evidence else F.lit(False)
+    return wide.where(~F.coalesce(marks[subject], elsewhere)).select(*review.columns)
 
 
 def audit(rows: DataFrame, file: str, sheet: str) -> DataFrame:
