@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tabulon.operators import quality, rows
 from tabulon.plans.sched import ORDER, SCHED_SQL, read, sched
-from tabulon.sources.scratch import shared_folder
+from tabulon.sources.scratch import kept, shared_folder
 from tabulon.streaming import incremental
 
 QUERIES: dict = {}
@@ -57,6 +57,8 @@ def stream_window_counts(spark, sf_dir):
 def full_row_quality(spark, sf_dir):
     """Schedule rows through the whole quality chain: flags, severity, confidence, routing, demotion."""
     df = rows.first_wins(sched(spark, sf_dir), ["doc", "sheet_name", "day", "start_time", "subject", "course"], list(ORDER))
+    # kept: flags read the rows once for themselves and once for the texts of each column
+    df = kept(df.select("source_name", "day", "start_time", "end_time", "subject", "teacher", "room"), "quality-rows")
     df = quality.flagged(df, notes=None).withColumn("severity", quality.severity(F.col("flags")))
     has = [F.col(c) != "" for c in ("day", "start_time", "end_time", "subject")]
     df = df.withColumn("confidence", quality.confidence(*has, F.size("flags")))
