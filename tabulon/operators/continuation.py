@@ -92,11 +92,15 @@ def claims(df: DataFrame, doc: list[str], place: str, slot: list[str]) -> DataFr
     filled = lambda *names: F.greatest(*[F.trim(F.col(n)) != "" for n in names])
     repeating, subject = F.col("source_name") == REPEATING_SOURCE, F.trim("subject")
     payload = filled("teacher", "lesson_type", "link", "room")
-    hours = service_tokens(F.col("subject")).rlike(rx(HOURS))
-    facts = df.select(*doc, F.col(place).alias("place"), F.struct(*slot).alias("slot"), repeating.alias("repeating"), payload.alias("has_payload"), subject_key(F.col("subject")).alias("key"),
-                      ((subject != "") & (repeating | ~payload) & ~is_lower(subject) & (F.size(F.split(subject, r"(?U)\s+")) >= 2)).alias("begins"),
-                      ((subject != "") & is_lower(subject)).alias("lower"), continues_in_capitals(F.col("subject")).alias("capitals"),
-                      fields.slot_key(F.col("course")).alias("course"), fields.slot_key(F.col("groups")).alias("groups"), hours.alias("hours"))
+    # texts are judged once a distinct (subject, course, groups), not once a row
+    texts = ["subject", "course", "groups"]
+    judged = df.select(*texts).distinct().select(
+        *texts, subject_key(F.col("subject")).alias("key"), ((subject != "") & ~is_lower(subject) & (F.size(F.split(subject, r"(?U)\s+")) >= 2)).alias("may_begin"),
+        ((subject != "") & is_lower(subject)).alias("lower"), continues_in_capitals(F.col("subject")).alias("capitals"), service_tokens(F.col("subject")).rlike(rx(HOURS)).alias("hours"),
+        *[fields.slot_key(F.col(c)).alias(f"__{c}") for c in ("course", "groups")])
+    known = df.join(judged, texts)
+    facts = known.select(*doc, F.col(place).alias("place"), F.struct(*slot).alias("slot"), repeating.alias("repeating"), payload.alias("has_payload"), "key",
+                         (F.col("may_begin") & (repeating | ~payload)).alias("begins"), "lower", "capitals", F.col("__course").alias("course"), F.col("__groups").alias("groups"), "hours")
     facts = kept(facts, "continuation-facts")
     w = ordered(doc, ["place"])
     mine = facts.withColumn("run", F.sum(F.when(F.col("slot").eqNullSafe(F.lag("slot").over(w)), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
