@@ -267,7 +267,9 @@ def audit(rows: DataFrame, file: str, sheet: str) -> DataFrame:
     has = x != ""
     facts = {"s_room": has & classify.is_room(x), "s_teacher": has & classify.is_teacher(x), "s_link": has & classify.has_link(x), "s_admin": has & classify.is_admin(x),
              "s_garbage": has & classify.is_garbage(x)}
-    rows = rows.join(_facts(rows, "subject", facts), F.coalesce("subject", F.lit("")) == F.col("__x")).drop("__x")
+    # kept, so that the join knows how few texts there are and need not shuffle the rows by subject
+    known = kept(_facts(rows, "subject", facts), "audit-facts")
+    rows = rows.join(known, F.coalesce("subject", F.lit("")) == F.col("__x")).drop("__x")
     s, t = F.trim("subject"), F.trim("teacher")
     issues = {
         "missing_week_type": F.trim("week_type") == "",
