@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,16 +40,23 @@ def cell_lines(x: Column) -> Column:
     return F.filter(F.transform(F.split(F.coalesce(x, F.lit("")), r"\r\n|[\r\n\x0b\f\x1c-\x1e\x85  ]"), line_text), lambda t: t != "")
 
 
+def _may_hold_day(line: Column) -> Column:
+    """Whether all letters of a weekday stand in a line, as they must wherever it is one: most lines need no closer look."""
+    held = lambda low, name: reduce(and_, (F.contains(low, F.lit(x)) for x in sorted(set(name) - {"'"}, key="цчсбляпкдвнітрауиео".index)))
+    return let(F.lower(line), lambda low: reduce(or_, (held(low, name) for name in times.WEEKDAYS)))
+
+
 def day(line: Column) -> Column:
     """The weekday that a clean line is, '' if none."""
     names = [*dict.fromkeys(times.WEEKDAYS.values())]
-    return let(times.weekday(line), lambda d: F.when(d.isin(*names), d).otherwise(""))
+    return F.when(_may_hold_day(line), let(times.weekday(line), lambda d: F.when(d.isin(*names), d).otherwise(""))).otherwise("")
 
 
 def time_ranges(line: Column) -> Column:
     """Every whole time range in a clean line: array of struct(start, end)."""
     found = F.transform(F.regexp_extract_all(line, F.lit(times.RANGE), F.lit(0)), times.parse_range)
-    return F.filter(found, lambda r: (r["start"] != "") & (r["end"] != ""))
+    whole = F.filter(found, lambda r: (r["start"] != "") & (r["end"] != ""))
+    return F.when(line.rlike("[-–—]"), whole).otherwise(F.array().cast("array<struct<start:string,end:string>>"))
 
 
 def span(ranges: Column) -> Column:

@@ -3,7 +3,8 @@
 A line reader's state (day, pending time, buffered lines) is told by islands: a time begins a segment, a segment's text runs from its first
 content line to the next day line, and the day is the last one before that content.  Tables find their axes by scores, their blocks by rows that hold a day or
 time, and in a block's column every cell with a subject takes the cells without one around it.  In all of them a record's fields are folded from the
-roles of its lines, which are worked out once a distinct line.
+roles of its lines.  Line readers work these out once a distinct line; tables do so in place, since to meet a list of distinct lines all cells would
+have to be shuffled by text and back.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tabulon.functions import linecells
 from tabulon.functions.text import flat
-from tabulon.operators.rows import argmax_first, fill_down, first_wins, island, ordered
+from tabulon.operators.rows import fill_down, first_wins, island, ordered
 from tabulon.sources.scratch import kept
 
 FIELDS = ("teacher", "room", "link", "note", "subject")
@@ -51,6 +52,17 @@ def _timed(df: DataFrame, line: str) -> DataFrame:
     return df.join(kept(known, "line-times"), line)
 
 
+def _times_of(line: Column) -> Column:
+    """struct(day, start, end) of a clean line."""
+    return linecells.let(line, lambda t: linecells.let(linecells.span(linecells.time_ranges(t)), lambda s: F.struct(linecells.day(t).alias("day"), s["start"].alias("start"), s["end"].alias("end"))))
+
+
+def _heads(lines: Column) -> Column:
+    """struct(groups, course) of each header line that tells neither a day nor a time."""
+    plain = F.filter(lines, lambda t: linecells.let(_times_of(t), lambda s: (s["day"] == "") & (s["start"] == "")))
+    return F.transform(plain, lambda t: F.struct(linecells.header_groups(t).alias("groups"), linecells.header_course(t).alias("course")))
+
+
 def line_records(lines: DataFrame, doc: list[str], place: str, line: str) -> DataFrame:
     """(doc, row_index, day, start_time, end_time, subject, ...) from ordered lines of documents.
 
@@ -76,57 +88,58 @@ def line_records(lines: DataFrame, doc: list[str], place: str, line: str) -> Dat
     return valid(found, doc, ["seg"]).drop("seg")
 
 
-def _axis(scores: DataFrame, heads: DataFrame, sheet: list[str], score: str, word: str) -> DataFrame:
-    """(sheet, col) of an axis: columns with two hits, and those headed by its word; the best-scored one where there is none."""
-    sure = scores.where(F.col(score) >= 2).select(*sheet, "col").unionByName(heads.where(F.lower(flat(F.col("text"))) == word).select(*sheet, "col")).distinct()
-    best = scores.where(F.col(score) > 0).withColumn("__at", F.struct(f"{score}_at", "col"))
-    best = argmax_first(best, sheet, "__at", score).select(*sheet, F.col("__at.col").alias("col"))
-    return sure.unionByName(best.join(sure.select(*sheet).distinct(), sheet, "left_anti"))
+def _on_axis(sheet: list[str], column: list[str], found: str, word: str) -> tuple[Column, Column]:
+    """(score, headed) of a cell's column for an axis: its cells that have what is ``found``, with the first one's row; whether its word heads it."""
+    hit, here = F.col(found) != "", Window.partitionBy(*column)
+    score = F.struct((-F.count_if(hit).over(here)).alias("less"), F.min(F.when(hit, F.col("row"))).over(here).alias("at"), F.col("col"))
+    return score, F.max((F.col("row") == F.col("first") - 1) & (F.lower(flat(F.col("text"))) == word)).over(here)
 
 
 def table_records(cells: DataFrame, sheet: list[str], row: str = "row", col: str = "col", text: str = "text") -> DataFrame:
     """(sheet, row_index, col, day, start_time, end_time, subject, ...) of grid tables: days and times on axis columns, subjects in the others.
 
     ``row`` and ``col`` count from 0; ``row_index`` is the number, from 1, of a block's first row.  Tables without both axes give none.  Cells of one place must be one.
+
+    Every step is a window or a grouping within a sheet, so the cells are dealt by sheet once, or not at all where they come dealt so; nothing is stored between.
     """
     cells = cells.select(*sheet, F.col(row).alias("row"), F.col(col).alias("col"), F.col(text).alias("text")).where(flat(F.col("text")) != "")
-    known = kept(_timed(cells, "text"), "table-cells")
-    axis_cell = (F.col("day") != "") | (F.col("start_time") != "")
-    first = known.where(axis_cell).groupBy(*sheet).agg(F.min("row").alias("first"))
-    score = lambda c, name: [F.count_if(F.col(c) != "").alias(name), F.min(F.when(F.col(c) != "", F.col("row"))).alias(f"{name}_at")]
-    scores = kept(known.groupBy(*sheet, "col").agg(*score("day", "days"), *score("start_time", "hours")), "table-scores")
-    heads = known.join(first, sheet).where(F.col("row") == F.col("first") - 1)
-    days, hours = kept(_axis(scores, heads, sheet, "days", "день"), "table-days"), kept(_axis(scores, heads, sheet, "hours", "час"), "table-hours")
-    both = days.select(*sheet).distinct().join(hours.select(*sheet).distinct(), sheet)
-    placed = known.join(first.join(both, sheet), sheet)
-
-    body = placed.where(F.col("row") >= F.col("first"))
-    by_row = body.select(*sheet, "row", "first").distinct()
-    said = body.where("day <> ''").join(days, [*sheet, "col"], "left_semi").groupBy(*sheet, "row").agg(F.min_by("day", "col").alias("next_day"))
-    told = body.where("start_time <> ''").join(hours, [*sheet, "col"], "left_semi").groupBy(*sheet, "row").agg(F.min("start_time").alias("next_start"), F.max("end_time").alias("next_end"))
-    rows = by_row.join(said, [*sheet, "row"], "left").join(told, [*sheet, "row"], "left")
-    rows = island(rows, sheet, ["row"], F.col("next_day").isNotNull() | F.col("next_start").isNotNull() | (F.col("row") == F.col("first")), "block")
-    rows = kept(fill_down(rows, sheet, ["row"], ["next_day", "next_start", "next_end"]), "table-rows")
-    blocks = rows.groupBy(*sheet, "block").agg((F.min("row") + 1).alias("row_index"), *[F.min_by(c, "row").alias(n) for c, n in (("next_day", "day"), ("next_start", "start_time"), ("next_end", "end_time"))])
-    blocks = blocks.where("day IS NOT NULL AND start_time IS NOT NULL")
-
-    free = placed.join(days.unionByName(hours), [*sheet, "col"], "left_anti")
-    lines = free.select(*sheet, "row", "col", "first", F.posexplode(linecells.cell_lines(F.col("text"))).alias("nth", "line"))
-    heads = lines.where(F.col("row") < F.col("first"))
-    heads = _timed(heads, "line").where((F.col("day") == "") & (F.col("start_time") == "")).select(*sheet, "col", "row", "nth", "line")
-    mine = kept(lines.where(F.col("row") >= F.col("first")).drop("first").join(rows.select(*sheet, "row", "block"), [*sheet, "row"]), "table-lines")
-    subjects = kept(mine.select("line").distinct().where(linecells.role(F.col("line"))["subject"] != "").withColumn("is_subject", F.lit(True)), "table-subjects")
-    column = [*sheet, "block", "col"]
-    entries = mine.join(subjects, "line", "left").groupBy(*column, "row").agg(F.max(F.coalesce("is_subject", F.lit(False))).alias("anchor"))
-    w, at = ordered(column, ["row"]), F.when(F.col("anchor"), F.col("row"))
-    back, on = F.last(at, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.first(at, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    targets = entries.withColumns({"back": back, "on": on}).withColumn("record", F.explode(F.array_distinct(F.array_compact(F.array("back", "on")))))
-    targets = kept(targets.select(*column, "row", "record"), "table-targets")
-    items = mine.join(targets, [*column, "row"]).select(*column, "record", F.lit(False).alias("is_header"), "row", "nth", "line")
-    records = targets.select(*column, "record").distinct()
-    above = records.join(heads, [*sheet, "col"]).select(*column, "record", F.lit(True).alias("is_header"), "row", "nth", "line")
-    items = items.unionByName(above)
-    found = assembled(items, [*column, "record"], ["row", "nth"]).join(blocks, [*sheet, "block"])
+    known = cells.withColumn("t", _times_of(linecells.line_text(F.col("text")))).select("*", F.col("t.day").alias("day"), F.col("t.start").alias("start"), F.col("t.end").alias("end")).drop("t")
+    whole, column = Window.partitionBy(*sheet), [*sheet, "col"]
+    known = known.withColumn("first", F.min(F.when((F.col("day") != "") | (F.col("start") != ""), F.col("row"))).over(whole)).where("first IS NOT NULL")
+
+    # an axis is every column with two hits or headed by its word; the best-scored column where there is none
+    for name, found, word in (("days", "day", "день"), ("hours", "start", "час")):
+        score, headed = _on_axis(sheet, column, found, word)
+        known = known.withColumns({"score": score, "sure": headed}).withColumn("sure", F.col("sure") | (F.col("score.less") <= -2))
+        known = known.withColumns({"any": F.max("sure").over(whole), "best": F.min(F.when(F.col("score.less") < 0, F.col("score"))).over(whole)})
+        known = known.where(F.col("any") | F.col("best").isNotNull()).withColumn(name, F.when(F.col("any"), F.col("sure")).otherwise(F.col("col") == F.col("best.col"))).drop("score", "sure", "any", "best")
+    above = F.when((F.col("row") < F.col("first")) & ~F.col("days") & ~F.col("hours"), F.struct("row", _heads(linecells.cell_lines(F.col("text"))).alias("said")))
+    known = known.withColumn("above", above).withColumn("above", F.array_sort(F.collect_list("above").over(Window.partitionBy(*column))))
+
+    # a block begins where a row tells a day or a time; day and times last until the next are told
+    body, in_row, upto = known.where(F.col("row") >= F.col("first")), Window.partitionBy(*sheet, "row"), ordered(sheet, ["row"])
+    on_hours = F.col("hours") & (F.col("start") != "")
+    body = body.withColumns({"next_day": F.min(F.when(F.col("days") & (F.col("day") != ""), F.struct("col", "day"))).over(in_row)["day"],
+                             "next_start": F.min(F.when(on_hours, F.col("start"))).over(in_row), "next_end": F.max(F.when(on_hours, F.col("end"))).over(in_row)})
+    begins = F.col("next_day").isNotNull() | F.col("next_start").isNotNull() | (F.col("row") == F.col("first"))
+    told = {"block": F.max(F.when(begins, F.col("row"))).over(upto), "day": F.last("next_day", ignorenulls=True).over(upto),
+            "start_time": F.last("next_start", ignorenulls=True).over(upto), "end_time": F.last("next_end", ignorenulls=True).over(upto)}
+    body = body.withColumns(told).where(~F.col("days") & ~F.col("hours") & F.col("day").isNotNull() & F.col("start_time").isNotNull())
+
+    mine = body.select(*sheet, "block", "col", "row", "day", "start_time", "end_time", "above", F.transform(linecells.cell_lines(F.col("text")), linecells.role).alias("said")).where(F.size("said") > 0)
+    mine = mine.withColumn("at", F.when(F.exists("said", lambda r: r["subject"] != ""), F.col("row")))
+    w = ordered([*column, "block"], ["row"])
+    back, on = F.last("at", ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, 0)), F.first("at", ignorenulls=True).over(w.rangeBetween(0, Window.unboundedFollowing))
+    items = mine.withColumns({"back": back, "on": on}).withColumn("record", F.explode(F.array_distinct(F.array_compact(F.array("back", "on")))))
+    of = [*sheet, "block", "col", "record"]
+    said = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("row", "said"))), lambda s: s["said"]))
+    found = items.groupBy(*of).agg(*[F.first(c).alias(c) for c in ("day", "start_time", "end_time", "above")], said.alias("said"))
+    heads = F.flatten(F.transform("above", lambda s: s["said"]))
+    joined = lambda xs, seq="; ": F.array_join(F.array_distinct(F.filter(xs, lambda v: v != "")), seq)
+    fields = {f: joined(F.col(f"said.{f}"), {"subject": " / ", "link": " "}.get(f, "; ")) for f in FIELDS}
+    fields |= {"groups": joined(F.concat(F.transform(heads, lambda h: h["groups"]), F.flatten("said.groups"))), "course": joined(F.transform(heads, lambda h: h["course"]))}
+    found = found.select(*of, (F.col("block") + 1).alias("row_index"), "day", "start_time", "end_time", *[xs.alias(f) for f, xs in fields.items()])
+    found = found.where("subject <> ''").withColumnRenamed("note", "notes")
     return valid(found, sheet, ["block", "col", "record"]).drop("block", "record")
 
 

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from tabulon.operators import linerecords
 from tabulon.plans.sched import DAYS, ENDS, STARTS, read
 
+#: Shuffle partitions of printed tables are so many times the session's: a line of few bytes becomes several cells with texts, which are sorted within tasks.
+TASKS = 4
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
@@ -69,15 +72,17 @@ def printed_line_records(spark, sf_dir):
   QUALIFY row_number() OVER (PARTITION BY o, slot, subject, col, teacher ORDER BY block, r) = 1""")
 def printed_table_records(spark, sf_dir):
     """Records of printed tables, one an order: days and times on two axes, subjects, rooms and teachers in two group columns."""
-    line = read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("sheet"), "l_linenumber").agg(F.min("l_partkey").alias("p"), F.min("l_suppkey").alias("s"))
+    line = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("sheet"), "l_linenumber", "l_partkey", "l_suppkey")
+    line = line.repartition(TASKS * int(spark.conf.get("spark.sql.shuffle.partitions")), "sheet")  # the one shuffle: all that follows stays within a sheet
+    line = line.groupBy("sheet", "l_linenumber").agg(F.min("l_partkey").alias("p"), F.min("l_suppkey").alias("s"))
     line = line.withColumn("row", F.row_number().over(Window.partitionBy("sheet").orderBy("l_linenumber")))
-    cell = lambda col, text: F.struct(F.lit(col).alias("col"), text.alias("text"))
+    cell = lambda col, text, row=F.col("row"): F.struct(row.alias("row"), F.lit(col).alias("col"), text.alias("text"))
     p, s = F.col("p"), F.col("s")
     room = lambda x: F.concat(F.lit("ауд."), (x % 900 + 100).cast("string"))
     left = F.when(p % 4 == 0, F.concat(F.lit("Предмет роботи "), p.cast("string"))).when(p % 4 == 1, room(p)).when(p % 4 == 2, "доц. Шашкова Л.О.")
     right = F.when(s % 3 == 0, F.concat(F.lit("Вступ до теми "), s.cast("string"))).when(s % 3 == 1, room(s))
-    body = line.select("sheet", "row", F.explode(F.array(cell(0, F.when(F.col("row") % 3 == 1, _pick(DAYS, F.col("sheet") % 6))), cell(1, F.when(F.col("row") % 2 == 1, _range(s % 5))), cell(2, left), cell(3, right))).alias("c"))
-    heads = F.array(*[cell(k, F.lit(x)) for k, x in enumerate(("день", "час", "1 група", "2 група"))])
-    top = line.select("sheet").distinct().select("sheet", F.lit(0).alias("row"), F.explode(heads).alias("c"))
-    out = linerecords.table_records(body.unionByName(top).select("sheet", "row", "c.*"), ["sheet"])
+    body = F.array(cell(0, F.when(F.col("row") % 3 == 1, _pick(DAYS, F.col("sheet") % 6))), cell(1, F.when(F.col("row") % 2 == 1, _range(s % 5))), cell(2, left), cell(3, right))
+    heads = F.array(*[cell(k, F.lit(x), F.lit(0)) for k, x in enumerate(("день", "час", "1 група", "2 група"))])
+    cells = line.select("sheet", F.explode(F.when(F.col("row") == 1, F.concat(heads, body)).otherwise(body)).alias("c")).where("c.text IS NOT NULL")
+    out = linerecords.table_records(cells.select("sheet", "c.*"), ["sheet"])
     return out.select("sheet", "row_index", "col", "day", "start_time", "end_time", "subject", "teacher", "room", "groups")

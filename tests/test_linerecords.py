@@ -113,3 +113,16 @@ def test_rowwise_tables(spark):
     got = rowwise_records(as_cells(spark, {"rowwise": table} | TABLES), ["sheet"]).orderBy("day").collect()
     want = ("Академічне письмо; англійською мовою", "доц. Александрук І.В.", "для всіх; В10 код", 2)
     assert [(r.sheet, r.day, r.start_time, r.end_time, r.subject, r.teacher, r.notes, r.row_index) for r in got] == [("rowwise", "Вівторок", "12:20", "13:55", *want), ("rowwise", "Середа", "08:00", "10:50", *want)]
+
+
+def test_tables_are_dealt_by_sheet_once_and_store_nothing(spark, monkeypatch):
+    monkeypatch.setattr("tabulon.operators.linerecords.kept", lambda *_: pytest.fail("a table is stored"))
+    for cells in (as_cells(spark, TABLES), as_cells(spark, TABLES).repartition(3, "sheet")):
+        plan = table_records(cells, ["sheet"])._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange ") == 1 and "Join" not in plan
+
+
+def test_days_behind_the_quick_look(spark):
+    cases = {"Понеділок": "Понеділок", "КОЛІДЕНОП": "Понеділок", "П'ЯТНИЦЯ (02.09)": "П'ятниця", "с е р е д а": "Середа", "авдерес": "", "второк, лекції": "Вівторок", "Предмет роботи": "", "дереса": "", "се(парна)реда": "Середа", "": ""}
+    df = spark.createDataFrame([(x,) for x in cases], "x string").select("x", linecells.day(F.col("x")).alias("d"))
+    assert {r.x: r.d for r in df.collect()} == cases
