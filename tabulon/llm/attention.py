@@ -32,6 +32,8 @@ OWN_PLACES, PLACES = 24, 32
 LARGEST = np.float32(60)
 
 _CAUSAL = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
+#: Sums over a window's places are products with ones, which take a fifth of the time of ``sum``.
+_ONES = np.ones(WINDOW, np.float32)
 SHAPES = {"emb": (HASHED, DIM), "pos": (WINDOW, DIM), "qkv": (DIM, 3 * DIM), "o": (DIM, DIM), "out": (DIM, CLASSES), "bias": (CLASSES,)}
 
 _IDS = np.arange(VOCABULARY)
@@ -76,7 +78,7 @@ def _forward(w, ids):
     a = q @ k.transpose(0, 2, 1)
     a += _CAUSAL
     _exp(a)
-    a *= (1 / np.maximum(a.sum(axis=2), np.float32(1e-30)))[..., None]
+    a *= (1 / np.maximum(a @ _ONES, np.float32(1e-30)))[..., None]
     o = (a @ v).reshape(-1, DIM)
     return x, q, k, v, a, o, x + o @ w["o"]
 
@@ -93,9 +95,15 @@ class Trainer:
     """Adagrad over batches of full windows."""
 
     def __init__(self, w: dict[str, np.ndarray], rate: float = 0.08):
-        self.w, self.rate = {n: a.copy() for n, a in w.items()}, np.float32(rate)
-        self.g = {n: np.full(a.shape, 1e-6, np.float32) for n, a in w.items()}
-        self.seen = 0
+        self.rate, self.seen = np.float32(rate), 0
+        # weights that every step changes whole lie in one vector, so that their update is one; the dictionaries hold views of it
+        dense = [n for n in SHAPES if n != "emb"]
+        self._w = np.concatenate([w[n].ravel() for n in dense]).astype(np.float32)
+        self._g, self._grad = np.full_like(self._w, 1e-6), np.empty_like(self._w)
+        view = lambda v: dict(zip(dense, (x.reshape(SHAPES[n]) for n, x in zip(dense, np.split(v, np.cumsum([w[n].size for n in dense])[:-1])))))
+        self.w = {"emb": w["emb"].astype(np.float32), **view(self._w)}
+        self.g = {"emb": np.full(SHAPES["emb"], 1e-6, np.float32), **view(self._g)}
+        self.grad = view(self._grad)
 
     def step(self, ids: np.ndarray, wanted: np.ndarray, valid: np.ndarray) -> None:
         """One step on windows ``ids`` (what stands before) towards classes ``wanted`` at the ``valid`` places."""
@@ -106,26 +114,29 @@ class Trainer:
         z = _exp(h @ w["out"])
         lift = np.exp(w["bias"])
         total = z @ lift
-        z[np.arange(len(z)), wanted] -= total / lift[wanted]
+        at = np.arange(0, z.size, CLASSES) + wanted
+        z.ravel()[at] -= total / lift[wanted]
         scale = (valid / (total * np.float32(max(1, int(valid.sum()))))).astype(np.float32)
-        grad = {"out": ((h * scale[:, None]).T @ z) * lift, "bias": (scale @ z) * lift}
+        grad = self.grad
+        np.multiply((z.T @ (h * scale[:, None])).T, lift, out=grad["out"])
+        np.multiply(scale @ z, lift, out=grad["bias"])
         dh = (z @ (w["out"] * lift).T) * scale[:, None]
-        grad["o"] = o.T @ dh
+        np.matmul(o.T, dh, out=grad["o"])
         do = (dh @ w["o"].T).reshape(n, WINDOW, DIM)
         ds = do @ v.transpose(0, 2, 1)
         ds *= a
-        ds -= a * ds.sum(axis=2, keepdims=True)
+        ds -= a * (ds @ _ONES)[..., None]
         d = np.empty((n, WINDOW, 3 * DIM), np.float32)
         np.matmul(ds, k, out=d[..., :DIM])
         np.matmul(ds.transpose(0, 2, 1), q, out=d[..., DIM : 2 * DIM])
         np.matmul(a.transpose(0, 2, 1), do, out=d[..., 2 * DIM :])
         d = d.reshape(-1, 3 * DIM)
         dx = dh + d @ w["qkv"].T
-        grad["qkv"] = x.T @ d
-        grad["pos"] = dx.reshape(n, WINDOW, DIM).sum(axis=0)
-        for name, g in grad.items():
-            self.g[name] += g * g
-            w[name] -= self.rate * g / np.sqrt(self.g[name])
+        grad["qkv"][...] = (d.T @ x).T
+        np.sum(dx.reshape(n, WINDOW, DIM), axis=0, out=grad["pos"])
+        g = self._grad
+        self._g += g * g
+        self._w -= self.rate * g / np.sqrt(self._g)
         # each embedding row's gradient: the sum over its places
         row = ROW.take(ids.ravel())
         order = np.argsort(row, kind="stable")

@@ -779,3 +779,26 @@ def test_pipeline_drops_by_simhash_and_then_by_exact_check(spark):
     assert simhash.fingerprint(rows[0][1]) == simhash.fingerprint(rows[1][1])
     kept = corpus_pipeline.drop_near_duplicates(spark, docs_of(spark, rows), SF).collect()
     assert sorted(r.doc_id for r in kept) == [0, 2]
+
+
+def test_a_step_updates_its_dense_weights_as_one_vector_by_the_plain_rule():
+    import numpy as np
+
+    from tabulon.llm import attention
+
+    rng = np.random.default_rng(3)
+    ids, wanted, valid = rng.integers(0, 50, (4, attention.WINDOW)), rng.integers(0, attention.CLASSES, (4, attention.WINDOW)), rng.random((4, attention.WINDOW)) < 0.9
+    first = attention.fresh()
+    trainer = attention.Trainer(first, rate=0.1)
+    trainer.step(ids, wanted, valid)
+    assert all(np.shares_memory(trainer.w[n], trainer.w["out"].base) for n in ("pos", "qkv", "o", "out", "bias"))
+
+    def loss(name, at, by):
+        moved = {n: a.astype(np.float64) for n, a in first.items()}
+        moved[name][at] += by
+        return -attention.class_log_probs(moved, ids, valid, wanted[valid]).mean()
+
+    for name, at in (("pos", (3, 2)), ("qkv", (1, 40)), ("o", (2, 5)), ("out", (4, 7)), ("bias", (int(wanted[valid][0]),)), ("emb", (int(ids[0, 1]), 3))):
+        g = (loss(name, at, 1e-3) - loss(name, at, -1e-3)) / 2e-3
+        step = 0.1 * g / np.sqrt(1e-6 + g * g)
+        assert abs(first[name][at] - trainer.w[name][at] - step) < 2e-3, name
