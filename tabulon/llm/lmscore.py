@@ -49,6 +49,8 @@ CACHE_SHARE = 0.2
 HELD_OUT = 7, 2
 #: Words that a task counts, or whose ids it remembers, at once.
 FLUSH = 300_000
+#: Ids of a word that fit into one 64-bit number.
+SHORT = 4
 
 
 def words_of(text: str) -> list[bytes]:
@@ -106,6 +108,13 @@ def _chunks(texts: list, limit: int = 400_000) -> Iterator[slice]:
         at = upto
 
 
+def _packed(raw: bytes, places: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Words of at most ``SHORT`` ids as one number each, unused places filled with an id that there is none of; of longer ones the first ids."""
+    every = np.ndarray(len(raw) // 2, "<u8", raw + bytes(2 * SHORT), strides=(2,))
+    fill = np.array([(1 << 64) - (1 << 16 * n) for n in range(SHORT)] + [0], np.uint64)
+    return every[places] | fill[np.minimum(size, SHORT)]
+
+
 def joined(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """All texts' stored ids in one array, and where each text stops."""
     return np.frombuffer(b"".join(ids), np.uint16).astype(np.int64), np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) >> 1)
@@ -334,7 +343,11 @@ def scored(texts: DataFrame, counts: DataFrame, fitted: Fitted, ranks_path: str
         f: Fitted = shared.value
         first = begins_word(ranks_path)
         logs = np.log10(np.fromiter(f.common.values(), np.float64, len(f.common)) + 1.0).tolist()
-        get = {**dict(zip(f.common, logs)), END_ID: float(np.log10(f.ends + 1.0))}.get
+        known_log = {**dict(zip(f.common, logs)), END_ID: float(np.log10(f.ends + 1.0))}
+        short = [w for w in known_log if len(w) <= 2 * SHORT]
+        packed = np.frombuffer(b"".join([w.ljust(2 * SHORT, b"\xff") for w in short]), "<u8")
+        order = np.argsort(packed)
+        packed, packed_logs = packed[order], np.array([known_log[w] for w in short])[order]
         for b in slices(batches):
             all_ids = b.column(2).to_pylist()
             for part in _chunks(all_ids):
@@ -342,15 +355,19 @@ def scored(texts: DataFrame, counts: DataFrame, fitted: Fitted, ranks_path: str
                 places = np.flatnonzero(first[tokens])  # words and ends
                 stops = np.searchsorted(places, ends)
                 many = np.diff(stops, prepend=0)
-                raw, cuts = b"".join(all_ids[part]), [*(2 * places).tolist(), 2 * len(tokens)]
-                words = [raw[x:y] for x, y in zip(cuts, cuts[1:])]
-                found = list(map(get, words))
-                known = np.array(found, np.float64)  # None becomes nan
-                common = ~np.isnan(known)
-                text_of = np.repeat(np.arange(len(many)), many)
-                rest = Counter(zip(text_of[~common].tolist(), [w for w, x in zip(words, found) if x is None]))
+                raw, size = b"".join(all_ids[part]), np.diff(places, append=len(tokens))
+                key = _packed(raw, places, size)
+                found = np.minimum(np.searchsorted(packed, key), len(packed) - 1)
+                common = (packed[found] == key) & (size <= SHORT)
+                known = np.where(common, packed_logs[found], 0.0)
+                word_at = lambda at, raw=raw, cuts=2 * np.append(places, len(tokens)): [raw[x:y] for x, y in zip(cuts[at].tolist(), cuts[at + 1].tolist())]
+                long = np.flatnonzero(size > SHORT)
+                logs_of = np.array([known_log.get(w, np.nan) for w in word_at(long)], np.float64)
+                common[long] = ~np.isnan(logs_of)
+                known[long] = np.where(common[long], logs_of, 0.0)
+                text_of, other = np.repeat(np.arange(len(many)), many), np.flatnonzero(~common)
+                rest = Counter(zip(text_of[other].tolist(), word_at(other)))
                 at, word, tf = [i for i, _ in rest], [w for _, w in rest], list(rest.values())
-                known[~common] = 0.0
                 scores = text_scores(f.model, tokens, ends, places, known, f.cached)
                 begin = stops - many
                 sums = np.add.reduceat(known, begin).tolist()

@@ -802,3 +802,11 @@ def test_a_step_updates_its_dense_weights_as_one_vector_by_the_plain_rule():
         g = (loss(name, at, 1e-3) - loss(name, at, -1e-3)) / 2e-3
         step = 0.1 * g / np.sqrt(1e-6 + g * g)
         assert abs(first[name][at] - trainer.w[name][at] - step) < 2e-3, name
+
+
+def test_packed_words_are_those_of_equal_ids():
+    ids = [[0], [0, 0], [0, 0, 0, 0], [0, 0, 0, 0, 0], [5, 50256], [5], [50256, 5, 1], [0, 0, 0, 0, 1]]
+    raw, size = b"".join(np.array(x, np.uint16).tobytes() for x in ids), np.array(list(map(len, ids)))
+    got = lmscore._packed(raw, np.cumsum(size) - size, size)
+    assert got.tolist() == [int.from_bytes(np.array(x[:4], np.uint16).tobytes().ljust(8, b"\xff"), "little") for x in ids]
+    assert len(set(got[size <= lmscore.SHORT].tolist())) == (size <= lmscore.SHORT).sum()
