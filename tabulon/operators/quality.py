@@ -48,6 +48,8 @@ A_PHYS_BAD = (r"\b(?:timetable|sem\.)", r"\b20\d{2}\b")
 PHYS_SAFE = ("груп", "курс", "бакалавр", "магістр", "фізик", "оптик", "астроном", "мат-во", "матем", "івт", "наносистем")
 BIOMED_SUBJECTS = ("іноземна мова", "основи підприємництва")
 LAB_PROGRAMS, LAB_SUBJECT = ("лаб.діагностика бакалавр", "лаб.діагностика"), "Ендокринологія з оцінкою результатів досліджень"
+#: No rule for buckets fits a larger one than this, but for this source's.
+TINY, ANY_SIZE = 3, "phys-schedule"
 MILITARY, PRACTICE = "Базова загальновійськова підготовка", "Захист навчальної практики"
 
 
@@ -246,6 +248,29 @@ def bucket_reasons(df: DataFrame, source: str = "source_name", faculty: str = "f
     return facts.select(F.col("fac").alias(faculty), F.col("prog").alias(program), "n", reason.alias("reason"))
 
 
+def demoted(df: DataFrame, group: list[str], is_bare: Column, is_fragment: Column, source: str = "source_name", faculty: str = "faculty", program: str = "program") -> DataFrame:
+    """``df`` with its ``flags`` and ``accepted`` after both demotions: of a group's bare rows, then of whole buckets of (faculty, program).
+
+    Only accepted rows are demoted, and only those count.  Groups are looked for among the bare ones alone; texts of a bucket are judged where a rule may fit its size or source.
+    """
+    add = lambda cond, name: {"flags": F.when(cond, F.array_union("flags", F.array(F.lit(name)))).otherwise(F.col("flags")), "accepted": F.col("accepted") & ~cond}
+    bare = F.coalesce(F.col("accepted") & is_bare, F.lit(False))
+    met = demote_bare_groups(df.where(bare), group, F.lit(True), is_fragment).withColumns(add(F.col("demoted"), "inconsistent_columns")).drop("demoted")
+    df = df.where(~bare).unionByName(kept(met, "demoted-bare"))
+
+    unnamed, bucket = F.coalesce(program, F.lit("")) == "", [faculty, program]
+    named = df.where(F.col("accepted") & ~unnamed)
+    sizes = named.groupBy(*bucket).agg(F.count("*").alias("n"), F.min(F.lower(source)).alias("src"))
+    # kept, so that the joins know how few buckets there are
+    may = kept(sizes.where((F.col("n") <= TINY) | (F.col("src") == ANY_SIZE)).select(*bucket), "demoted-sizes")
+    same = lambda other: F.col(f"d.{faculty}").eqNullSafe(other[faculty]) & (F.col(f"d.{program}") == other[program])
+    why = bucket_reasons(named.alias("d").join(may, same(may), "left_semi"), source, faculty, program).where("reason IS NOT NULL").select(*bucket, "reason")
+    why = kept(why, "demoted-buckets")
+    bad = F.col("accepted") & (unnamed | F.col("reason").isNotNull())
+    found = df.alias("d").join(why, same(why), "left").select("d.*", "reason")
+    return found.withColumns(add(bad, "bad_program_label")).drop("reason")
+
+
 def without_dropped(review: DataFrame, subject: str = "subject", evidence: tuple[str, ...] = ("lesson_type", "notes", "raw_excerpt")) -> DataFrame:
     """Review rows that may hold a class: neither a service subject, nor no subject and service text elsewhere.
 

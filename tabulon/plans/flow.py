@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tabulon.functions import segments as seg
 from tabulon.operators import quality, rows
 from tabulon.plans.sched import ORDER, SCHED_SQL, read, sched
 from tabulon.sources.scratch import kept, shared_folder
@@ -58,9 +59,13 @@ def full_row_quality(spark, sf_dir):
     """Schedule rows through the whole quality chain: flags, severity, confidence, routing, demotion."""
     df = rows.first_wins(sched(spark, sf_dir), ["doc", "sheet_name", "day", "start_time", "subject", "course"], list(ORDER))
     # kept: flags read the rows once for themselves and once for the texts of each column
-    df = kept(df.select("source_name", "day", "start_time", "end_time", "subject", "teacher", "room"), "quality-rows")
-    df = quality.flagged(df, notes=None).withColumn("severity", quality.severity(F.col("flags")))
+    about = ["source_name", "faculty", "program", "doc", "sheet_name", "day", "start_time", "end_time", "subject", "teacher", "room", "course", "groups"]
+    df = quality.flagged(kept(df.select(about), "quality-rows"), notes=None)
     has = [F.col(c) != "" for c in ("day", "start_time", "end_time", "subject")]
     df = df.withColumn("confidence", quality.confidence(*has, F.size("flags")))
-    df = df.withColumn("accepted", quality.accepted(F.col("flags"), F.col("confidence"), ["day", "start_time", "end_time", "subject"]))
-    return df.groupBy("source_name", "severity", "accepted", F.array_join("flags", ",").alias("flags")).agg(F.count("*").alias("n"))
+    df = df.withColumn("accepted", quality.accepted(F.col("flags"), F.col("confidence"), ["day", "start_time", "end_time", "subject"])).drop("confidence")
+    # kept: demotion reads flagged rows for bare groups, for buckets and for the result; these rows have neither links nor notes
+    df = kept(df.withColumn("notes", F.lit("")), "quality-flagged")
+    bare = F.col("sheet_name").startswith("pdf") & (F.concat("teacher", "room") == "")
+    df = quality.demoted(df, ["doc", "sheet_name", "day", "start_time", "end_time", "course", "groups"], bare, seg.is_fragment_subject(F.trim("subject")))
+    return df.groupBy("source_name", quality.severity(F.col("flags")).alias("severity"), "accepted", F.array_join("flags", ",").alias("flags")).agg(F.count("*").alias("n"))
