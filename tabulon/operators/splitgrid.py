@@ -2,20 +2,22 @@
 
 Row 2 names courses (and the columns of day and time), rows 3 and 4 groups and subgroups; every level is carried to the right.  A time in
 column 2 begins a block of eight rows.  A block's cells are subjects and, in columns that a subject shares, its teachers, rooms, links
-and weeks.  All of it is keyed by sheet, and by sheet and block once blocks are known, so a sheet's cells never meet in one task's object.
-What is kept between steps has rows for every sheet, block or text but is far smaller as a file than as rows, so joins with it are sort-merge
-joins: by the file's size it would be broadcast from the driver's memory.
+and weeks.  All that a text says is worked out once a distinct text.  Cells meet their texts and are then dealt by sheet once: blocks are told by
+windows over a sheet's rows, and only a block's cells or a sheet's header cells meet in one object.  Texts and sheets are far smaller as files than
+as rows, so joins with them are sort-merge joins: by the file's size they would be broadcast from the driver's memory.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.functions import splitcells, text, times
-from tabulon.functions.text import flat, rx
-from tabulon.operators.grid import overlap_join
-from tabulon.operators.rows import fill_down
+from tabulon.functions.text import flat, let, rx
+from tabulon.operators.rows import ordered
 from tabulon.sources.scratch import kept
 
 SHEET = ["locator", "sheet_ord", "sheet_name"]
@@ -27,88 +29,94 @@ COURSE = r"\b(\d+)\s*курс\b"
 _PLACE = ["min_row", "max_row", "min_col", "max_col"]
 
 
+def _is_word(x: Column, word: str) -> Column:
+    """Whether a header says the word alone; its key is made only where all letters of the word stand in it."""
+    held = lambda low: reduce(and_, (F.contains(low, F.lit(c)) for c in dict.fromkeys(word)))
+    return held(F.lower(x)) & (text.header_key(x) == word)
+
+
 def split_sheets(cells: DataFrame) -> DataFrame:
     """(sheet, rows, columns) of the sheets of this layout: day and time among the first headers of row 2, ten rows and four columns at least."""
     head = (F.col("min_row") == 2) & (F.col("min_col") <= HEADER_COLUMNS)
-    named = lambda word: F.max(F.when(head, text.header_key(F.col("text"))) == word)  # noqa: E731  # the key of header cells only
+    named = lambda word: F.max(F.when(head, _is_word(F.col("text"), word)))  # noqa: E731  # header cells only
     found = cells.groupBy(*SHEET).agg(F.max("max_row").alias("rows"), F.max("max_col").alias("columns"), named("день").alias("d"), named("час").alias("t"))
     return found.where((F.col("rows") >= 10) & (F.col("columns") >= 4) & F.col("d") & F.col("t")).drop("d", "t")
 
 
-def _spread(cells: DataFrame, rows: tuple[int, int | None], columns: tuple[int, int | None]) -> DataFrame:
-    """A row (sheet, row, col, text) for every place of a cell that lies in the rows and columns named."""
-    def places(low: str, high: str, within: tuple[int, int | None]) -> Column:
-        first, last = F.greatest(low, F.lit(within[0])), F.col(high) if within[1] is None else F.least(high, F.lit(within[1]))
-        return F.explode(F.when(first <= last, F.sequence(first, last)))
-
-    down = cells.select(*SHEET, places("min_row", "max_row", rows).alias("row"), "min_col", "max_col", "text")
-    return down.select(*SHEET, "row", places("min_col", "max_col", columns).alias("col"), "text")
-
-
-def header_levels(cells: DataFrame) -> DataFrame:
-    """(sheet, col, course, group, subgroup) of every column, each level carried to the right; a day or time header clears all three."""
-    found = _spread(cells.where("min_row <= 4"), (2, 4), (FIRST_BODY_COLUMN, None)).withColumn("text", flat(F.col("text")))
-    level = lambda row: F.coalesce(F.max(F.when(F.col("row") == row, F.col("text"))), F.lit(""))
-    wide = found.groupBy(*SHEET, "col").agg(level(2).alias("course"), level(3).alias("group"), level(4).alias("subgroup"))
-    wide = wide.withColumn("axis", text.header_key(F.col("course")).isin("день", "час"))
-    wide = wide.withColumn("course", F.when(F.col("axis"), "").otherwise(F.col("course")))
-    filled = fill_down(wide, SHEET, ["col"], ["course", "group", "subgroup"], reset=F.col("axis")).drop("axis")
-    return filled.select(*SHEET, "col", *[F.coalesce(c, F.lit("")).alias(c) for c in ("course", "group", "subgroup")])
-
-
-def block_starts(cells: DataFrame) -> DataFrame:
-    """(sheet, slot, day, start_time, end_time): rows whose time column holds a whole time range; days are carried down over all rows with a time."""
-    found = _spread(cells.where(F.col("min_col") <= TIME_COLUMN), (FIRST_BODY_ROW, None), (DAY_COLUMN, TIME_COLUMN))
-    at = lambda col: F.max(F.when(F.col("col") == col, F.col("text")))
-    rows = found.groupBy(*SHEET, "row").agg(times.weekday(at(DAY_COLUMN)).alias("day"), times.parse_range(flat(at(TIME_COLUMN))).alias("r"))
-    timed = rows.where("r.start <> ''").select(*SHEET, F.col("row").alias("slot"), "day", F.col("r.start").alias("start_time"), F.col("r.end").alias("end_time"))
-    filled = fill_down(timed, SHEET, ["slot"], ["day"])
-    return filled.where("end_time <> ''").withColumn("day", F.coalesce("day", F.lit("")))
-
-
-def block_cells(cells: DataFrame, starts: DataFrame, levels: DataFrame) -> DataFrame:
-    """(sheet, slot, place, text, kind): cells that begin in a block's rows and in a column under a course; blocks that overlap share cells."""
-    body = cells.where((F.col("min_row") >= FIRST_BODY_ROW) & (F.col("min_col") >= FIRST_BODY_COLUMN))
-    under = levels.where("course <> ''").select(*SHEET, F.col("col").alias("min_col"))
-    body = body.join(under.hint("merge"), [*SHEET, "min_col"], "left_semi").select(*SHEET, *_PLACE, flat(F.col("text")).alias("text"))
+def _levels(heads: Column) -> Column:
+    """(col, course, number, group, subgroup) of every column under the header cells, each level carried to the right; a day or time header clears all three."""
+    first = lambda h: F.greatest(h["c0"], F.lit(FIRST_BODY_COLUMN))
+    under = F.flatten(F.transform(heads, lambda h: F.when(first(h) <= h["c1"], F.sequence(first(h), h["c1"])).otherwise(F.array().cast("array<int>"))))
+    at = lambda xs, c: F.array_max(F.transform(F.filter(xs, lambda h: (h["c0"] <= c) & (c <= h["c1"])), lambda h: h["said"]))
+    level = lambda row: F.filter(heads, lambda h: (h["r0"] <= row) & (h["r1"] >= row)).alias(f"l{row}")
+    rows = F.struct(level(2), level(3), level(4))
+    wide = let(rows, lambda r: F.transform(F.array_sort(F.array_distinct(under)), lambda c: let(at(r["l2"], c), lambda head: F.struct(
+        c.alias("col"), F.coalesce(head["axis"], F.lit(False)).alias("axis"), F.when(~head["axis"], head["text"]).alias("course"), F.when(~head["axis"], head["number"]).alias("number"),
+        at(r["l3"], c)["text"].alias("group"), at(r["l4"], c)["text"].alias("subgroup")))))
+    names = ("course", "number", "group", "subgroup")
+    none = F.array(F.struct(F.lit(0).alias("col"), F.lit(True).alias("axis"), *[F.lit("").alias(c) for c in names]))
+
+    def carried(done: Column, x: Column) -> Column:
+        keep = lambda last, c, of: F.when(F.coalesce(x[of], F.lit("")) != "", x[c]).when(x["axis"], "").otherwise(last[c]).alias(c)
+        return F.concat(done, let(F.element_at(done, -1), lambda last: F.array(F.struct(x["col"].alias("col"), x["axis"].alias("axis"), *[keep(last, c, "course" if c == "number" else c) for c in names]))))
+
+    return F.aggregate(wide, none, carried, lambda done: F.slice(done, 2, F.greatest(F.size(done) - 1, F.lit(0))))
+
+
+def sheet_headers(cells: DataFrame) -> DataFrame:
+    """(sheet, program, levels, courses) of the sheets of this layout; ``courses`` are the columns under a course."""
+    heads = cells.where((F.col("min_row") <= 4) & (F.col("max_row") >= 2) & (F.col("max_col") >= FIRST_BODY_COLUMN))
+    in_two = F.col("min_row") <= 2
+    said = F.struct(flat(F.col("text")).alias("text"), F.coalesce(in_two & (_is_word(F.col("text"), "день") | _is_word(F.col("text"), "час")), F.lit(False)).alias("axis"),
+                    F.when(in_two, F.regexp_extract(F.lower(flat(F.col("text"))), rx(COURSE), 1)).alias("number"))
+    found = heads.groupBy(*SHEET).agg(F.collect_list(F.struct(F.col("min_row").alias("r0"), F.col("max_row").alias("r1"), F.col("min_col").alias("c0"), F.col("max_col").alias("c1"), said.alias("said"))).alias("heads"))
+    found = found.join(split_sheets(cells).select(*SHEET).hint("merge"), SHEET)
+    found = found.select(*SHEET, flat(F.col("sheet_name")).alias("program"), _levels(F.col("heads")).alias("levels"))
+    return found.withColumn("courses", F.transform(F.filter("levels", lambda v: v["course"] != ""), lambda v: v["col"]))
+
+
+def cell_texts(body: DataFrame) -> DataFrame:
+    """(text, flat, kind, week, teacher, notes, entries) of distinct texts that are not ignored: what each says as a subject or beside one."""
     # filtered as read: before, the filter would go below the distinct and judge every cell
-    kinds = kept(body.select("text").distinct().withColumn("kind", splitcells.kind(F.col("text"))), "split-kinds").where("kind <> 'ignore'")
-    # a cell lies in one bin of a block's rows, a block in two
-    bin_ = lambda c: F.floor(F.col(c) / BLOCK_ROWS)
-    begun = starts.select(*SHEET, "slot", F.explode(F.array(bin_("slot"), bin_("slot") + 1)).alias("bin"))
-    met = body.join(kinds.hint("merge"), "text").withColumn("bin", bin_("min_row")).join(begun.hint("merge"), [*SHEET, "bin"])
-    return met.where(F.col("slot").between(F.col("min_row") - (BLOCK_ROWS - 1), F.col("min_row"))).drop("bin")
-
-
-def _in_order(values: Column) -> Column:
-    """The texts of collected (row, column, texts) in block order."""
-    return F.flatten(F.transform(F.array_sort(values), lambda s: s["x"]))
-
-
-def _metadata(blocks: DataFrame) -> DataFrame:
-    """(sheet, slot, subject's place, teacher, room, link, notes) from the cells that share a column with a subject."""
-    mine = [*SHEET, "slot"]
-    subjects = blocks.where("kind = 'subject'").select(*mine, *_PLACE)
-    others = blocks.where("kind <> 'subject'").select(*mine, *_PLACE, "text", "kind")
-    pairs = overlap_join(subjects, others.hint("merge"), mine, "min_col", "max_col")
-    parts = splitcells.bracketed(F.col("b_text"))
-    is_ = lambda k: F.col("b_kind") == k
-    texts = lambda cond, xs: splitcells.unique(_in_order(F.collect_list(F.when(cond, F.struct("b_min_row", "b_min_col", xs.alias("x"))))))
-    one = F.array("b_text")
-    found = pairs.groupBy(*[F.col(f"a_{c}").alias(c) for c in [*mine, "min_row", "min_col"]]).agg(
-        F.array_join(texts(is_("teacher"), F.array(parts["text"])), "; ").alias("teacher"), F.array_join(texts(is_("room"), one), "; ").alias("room"),
-        F.array_join(texts(is_("link"), one), " ").alias("link"), texts(is_("teacher") | is_("week"), F.when(is_("teacher"), parts["notes"]).otherwise(one)).alias("notes"))
-    return found
-
-
-def _context(subjects: DataFrame, levels: DataFrame) -> DataFrame:
-    """(sheet, place, groups, course) of subjects from the header columns they span: subgroups, or groups where there are none."""
-    spans = subjects.select(*SHEET, "min_row", "min_col", "max_col").distinct().withColumn("col", F.explode(F.sequence("min_col", "max_col")))
-    number = F.regexp_extract(F.lower(F.col("course")), rx(COURSE), 1)
-    seen = lambda x: splitcells.unique(F.transform(F.array_sort(F.collect_list(F.struct("col", x.alias("x")))), lambda s: s["x"]))
-    found = spans.join(levels.hint("merge"), [*SHEET, "col"]).groupBy(*SHEET, "min_row", "min_col").agg(
-        seen(F.col("subgroup")).alias("s"), seen(F.col("group")).alias("g"), F.array_join(seen(number), "; ").alias("course"))
-    return found.select(*SHEET, "min_row", "min_col", F.array_join(F.when(F.size("s") > 0, F.col("s")).otherwise(F.col("g")), "; ").alias("groups"), "course")
+    each = body.select("text").distinct().withColumn("flat", flat(F.col("text")))
+    kinds = kept(each.withColumn("kind", splitcells.kind(F.col("flat"))), "split-kinds").where("kind <> 'ignore'")
+    week = lambda x: splitcells.week_type(F.array(x))
+    noted = F.when(F.col("kind") == "teacher", splitcells.bracketed(F.col("flat"))["notes"]).when(F.col("kind") == "week", F.array("flat")).otherwise(F.array().cast("array<string>"))
+    kinds = kinds.select("text", "flat", "kind", week(F.col("flat")).alias("week"), F.when(F.col("kind") == "teacher", flat(splitcells.bracketed(F.col("flat"))["text"])).alias("teacher"),
+                         F.transform(noted, lambda x: F.struct(flat(x).alias("note"), week(x).alias("week"))).alias("notes"))
+    entries = subject_entries(kinds.where("kind = 'subject'").select(F.col("flat").alias("text")).distinct())
+    entry = F.struct("nth", "subject", "lesson_type", flat(F.col("entry_notes")).alias("entry_notes"), week(F.col("entry_notes")).alias("week"), "inline_notes", "inline_teacher", flat(F.col("inline_room")).alias("inline_room"))
+    entries = entries.groupBy(F.col("text").alias("flat")).agg(F.collect_list(entry).alias("entries"))
+    return kinds.join(entries.hint("merge"), "flat", "left")
+
+
+def block_cells(cells: DataFrame) -> DataFrame:
+    """(sheet, slot, day, start_time, end_time, cells): blocks with the cells that begin in their eight rows; blocks that overlap share cells.
+
+    A row whose time column holds a whole time range begins a block; days are carried down over all rows with a time.
+    """
+    body = cells.where((F.col("min_row") >= FIRST_BODY_ROW) & (F.col("min_col") >= FIRST_BODY_COLUMN)).select(*SHEET, F.col("min_row").alias("row"), "min_col", "max_col", "text")
+    texts = kept(cell_texts(body), "split-texts")
+    body = body.join(texts.hint("merge"), "text").drop("text")
+    # a time or day cell stands in every row that it covers
+    down = F.when(F.greatest("min_row", F.lit(FIRST_BODY_ROW)) <= F.col("max_row"), F.sequence(F.greatest("min_row", F.lit(FIRST_BODY_ROW)), F.col("max_row")))
+    covers = lambda c: F.when(F.col("min_col").between(1, c) & (F.col("max_col") >= c), F.col("text"))
+    marks = cells.where(F.col("min_col") <= TIME_COLUMN).select(*SHEET, F.explode(down).alias("row"), covers(DAY_COLUMN).alias("day"), covers(TIME_COLUMN).alias("time"))
+    placed = body.unionByName(marks, allowMissingColumns=True).repartition(*SHEET)  # once: all that follows stays within a sheet
+
+    here, upto = Window.partitionBy(*SHEET, "row"), ordered(SHEET, ["row"])
+    # a subject reaches as far as the widest of its place
+    placed = placed.withColumn("reach", F.max(F.when(F.col("kind") == "subject", F.col("max_col"))).over(Window.partitionBy(*SHEET, "row", "min_col")))
+    placed = placed.withColumns({"said_day": F.max("day").over(here), "said_time": F.max("time").over(here)})
+    told = F.struct(times.weekday(F.col("said_day")).alias("day"), times.parse_range(flat(F.col("said_time"))).alias("r"))
+    placed = placed.withColumn("told", F.when(F.col("time").isNotNull(), told)).drop("day", "time", "said_day", "said_time")
+    timed = F.col("told.r.start") != ""
+    placed = placed.withColumn("day", F.last(F.when(timed & (F.col("told.day") != ""), F.col("told.day")), ignorenulls=True).over(upto.rangeBetween(Window.unboundedPreceding, 0)))
+    begun = F.when(timed & (F.col("told.r.end") != ""), F.struct(F.col("row").alias("slot"), F.coalesce("day", F.lit("")).alias("day"), F.col("told.r.start").alias("start_time"), F.col("told.r.end").alias("end_time")))
+    placed = placed.withColumn("begun", begun).withColumn("blocks", F.collect_set("begun").over(upto.rangeBetween(-(BLOCK_ROWS - 1), 0)))
+    cell = F.struct("row", "min_col", "max_col", "reach", "kind", "flat", "week", "teacher", "notes", "entries")
+    met = placed.where("kind IS NOT NULL").select(*SHEET, F.explode("blocks").alias("b"), cell.alias("cell"))
+    return met.groupBy(*SHEET, F.col("b.slot").alias("slot")).agg(*[F.first(f"b.{c}").alias(c) for c in ("day", "start_time", "end_time")], F.collect_list("cell").alias("cells"))
 
 
 def subject_entries(texts: DataFrame) -> DataFrame:
@@ -122,25 +130,43 @@ def subject_entries(texts: DataFrame) -> DataFrame:
                                                  F.col("i.teacher").alias("inline_teacher"), F.col("i.room").alias("inline_room"))
 
 
+def _beside(near: Column, kind: str, value) -> Column:
+    """The distinct texts of a kind of cells in block order; a cell gives one or more."""
+    some = F.transform(F.filter(near, lambda c: c["kind"] == kind), lambda c: F.struct(c["row"], c["min_col"], F.array(value(c)).alias("x")))
+    return F.array_distinct(F.filter(F.flatten(F.transform(F.array_sort(some), lambda s: s["x"])), lambda x: x != ""))
+
+
+def _context(levels: Column, subject: Column) -> Column:
+    """struct(groups, course) of a subject from the header columns it spans: subgroups, or groups where there are none."""
+    seen = lambda xs, c: F.array_distinct(F.filter(F.transform(xs, lambda v: v[c]), lambda x: x != ""))
+    spanned = F.filter(levels, lambda v: (v["col"] >= subject["min_col"]) & (v["col"] <= subject["reach"]))
+    return let(spanned, lambda xs: F.struct(
+        F.array_join(let(seen(xs, "subgroup"), lambda s: F.when(F.size(s) > 0, s).otherwise(seen(xs, "group"))), "; ").alias("groups"), F.array_join(seen(xs, "number"), "; ").alias("course")))
+
+
 def split_grid_records(cells: DataFrame) -> DataFrame:
     """Records (sheet, row_index, min_row, min_col, nth, day, start_time, ..., notes) of every sheet of this layout.
 
     ``row_index`` is the block's first row; (min_row, min_col, nth) orders records inside it.  Sheets without blocks give none; error rows are
     passed over.  A time cell merged over rows begins a block in each of them, as every row of it holds the time.
     """
-    known = cells.where("error IS NULL")
-    sheets = kept(split_sheets(known), "split-sheets")
-    known = kept(known.join(sheets.select(*SHEET).hint("merge"), SHEET, "left_semi"), "split-cells")
-    levels, starts = kept(header_levels(known), "split-levels"), kept(block_starts(known), "split-starts")
-    blocks = kept(block_cells(known, starts, levels), "split-blocks")
-    subjects = blocks.where("kind = 'subject'")
-    entries = kept(subject_entries(subjects.select("text").distinct()), "split-entries")
-    found = (subjects.join(entries.hint("merge"), "text").join(starts.hint("merge"), [*SHEET, "slot"])
-             .join(_metadata(blocks).hint("merge"), [*SHEET, "slot", "min_row", "min_col"], "left").join(_context(subjects, levels).hint("merge"), [*SHEET, "min_row", "min_col"], "left"))
-    blank = lambda c: F.coalesce(F.col(c), F.lit(""))
-    notes = F.coalesce("notes", F.array().cast("array<string>"))
+    known = kept(cells.where("error IS NULL").select(*SHEET, *_PLACE, "text"), "split-cells")
+    sheets = kept(sheet_headers(known), "split-sheets")
+    blocks = block_cells(known).join(sheets.hint("merge"), SHEET)
+    blocks = blocks.withColumn("cells", F.filter("cells", lambda c: F.array_contains(F.col("courses"), c["min_col"])))
+    others = F.filter("cells", lambda c: c["kind"] != "subject")
+    subjects = blocks.withColumn("others", others).withColumn("s", F.explode(F.filter("cells", lambda c: (c["kind"] == "subject") & c["entries"].isNotNull()))).drop("cells", "courses")
+    s = F.col("s")
+    near = F.filter("others", lambda c: (c["min_col"] <= s["reach"]) & (s["min_col"] <= c["max_col"]))
+    found = subjects.withColumn("near", near).withColumn("context", _context(F.col("levels"), s)).drop("levels", "others")
+    noted = F.transform(F.filter("near", lambda c: c["kind"].isin("teacher", "week")), lambda c: F.struct(c["row"], c["min_col"], c["notes"].alias("x")))
+    noted = F.flatten(F.transform(F.array_sort(noted), lambda c: c["x"]))
+    found = found.withColumns({"teacher": F.array_join(_beside(F.col("near"), "teacher", lambda c: c["teacher"]), "; "), "room": F.array_join(_beside(F.col("near"), "room", lambda c: c["flat"]), "; "),
+                               "link": F.array_join(_beside(F.col("near"), "link", lambda c: c["flat"]), " "), "noted": noted}).drop("near").withColumn("e", F.explode("s.entries"))
+    filled = lambda *xs: F.array_distinct(F.filter(F.concat(*xs), lambda x: x != ""))
+    weeks = F.filter(F.concat(F.array("s.week", "e.week"), F.transform("noted", lambda x: x["week"])), lambda x: x != "")
     return found.select(
-        *SHEET, F.col("slot").alias("row_index"), "min_row", "min_col", "nth", flat(F.col("sheet_name")).alias("program"), "day", "start_time", "end_time", "subject", "lesson_type",
-        splitcells.week_type(F.concat(F.array("text", "entry_notes"), notes)).alias("week_type"), splitcells.with_teacher(blank("teacher"), F.col("inline_teacher")).alias("teacher"),
-        F.array_join(splitcells.unique(F.array(blank("room"), F.col("inline_room"))), "; ").alias("room"), blank("link").alias("link"), blank("groups").alias("groups"),
-        blank("course").alias("course"), F.array_join(splitcells.unique(F.concat(F.array("entry_notes"), F.col("inline_notes"), notes)), "; ").alias("notes"))
+        *SHEET, F.col("slot").alias("row_index"), F.col("s.row").alias("min_row"), F.col("s.min_col").alias("min_col"), F.col("e.nth").alias("nth"), "program", "day", "start_time", "end_time",
+        F.col("e.subject").alias("subject"), F.col("e.lesson_type").alias("lesson_type"), F.coalesce(F.get(weeks, F.lit(0)), F.lit("")).alias("week_type"),
+        splitcells.with_teacher(F.col("teacher"), F.col("e.inline_teacher")).alias("teacher"), F.array_join(filled(F.array("room", "e.inline_room")), "; ").alias("room"), "link",
+        F.col("context.groups").alias("groups"), F.col("context.course").alias("course"), F.array_join(filled(F.array("e.entry_notes"), F.col("e.inline_notes"), F.transform("noted", lambda x: x["note"])), "; ").alias("notes"))
