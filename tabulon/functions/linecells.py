@@ -30,9 +30,34 @@ _EDGES = " ,;/"
 
 def line_text(x: Column) -> Column:
     """A line with plain apostrophes and single spaces; spaced letters are joined where six tokens or more are mostly single characters."""
-    plain = F.regexp_replace(flat(x), "[’`]", "'")
     single = lambda w: F.length(F.regexp_replace(w, r"(?U)[^\w]", "")) <= 1
-    return let(plain, lambda t: let(F.split(t, " "), lambda ws: F.when((F.size(ws) >= 6) & (F.size(F.filter(ws, single)) >= F.size(ws) * F.lit(0.6)), F.replace(t, F.lit(" "), F.lit(""))).otherwise(t)))
+    spaced = lambda t: let(F.split(t, " "), lambda ws: F.when(F.size(F.filter(ws, single)) >= F.size(ws) * F.lit(0.6), F.replace(t, F.lit(" "), F.lit(""))).otherwise(t))
+    return let(F.translate(flat(x), "’`", "''"), lambda t: F.when(F.length(t) - F.length(F.replace(t, F.lit(" "), F.lit(""))) >= 5, spaced(t)).otherwise(t))
+
+
+def _folded(x: Column) -> Column:
+    """A text as case-blind patterns see it (long s and old Cyrillic forms match their letters), for quick looks: these may find too much, never too little."""
+    return F.translate(F.lower(x), "ſᲀᲁᲂᲃᲄᲅ", "sвдостт")
+
+
+def _holds_any(low: Column, *marks: str) -> Column:
+    return reduce(or_, (F.contains(low, F.lit(m)) for m in marks))
+
+
+def may_hold_link(t: Column, low: Column) -> Column:
+    return F.contains(t, F.lit(":")) | _holds_any(low, "zoom", "teams", "meet", "код")
+
+
+def may_hold_room(low: Column) -> Column:
+    return _holds_any(low, "ауд", "корп", "каб", "онл", "onl")
+
+
+def may_hold_teacher(t: Column, low: Column) -> Column:
+    return F.contains(t, F.lit(".")) | _holds_any(low, "ас", "проф", "доц", "викл", "phd")
+
+
+def may_hold_group(low: Column) -> Column:
+    return F.contains(low, F.lit("група"))
 
 
 def cell_lines(x: Column) -> Column:
@@ -70,8 +95,11 @@ def without_times(line: Column) -> Column:
 
 def besides_teacher_and_room(x: Column) -> Column:
     """What a line says besides rooms and teachers."""
-    bare = F.regexp_replace(F.regexp_replace(flat(x), rx(ROOM), " "), rx(TEACHER), " ")
-    return F.btrim(F.regexp_replace(bare, r"(?U)\s+", " "), F.lit(" ,.;"))
+    def bare(t: Column, low: Column) -> Column:
+        without = let(F.when(may_hold_room(low), F.regexp_replace(t, rx(ROOM), " ")).otherwise(t), lambda u: F.regexp_replace(F.regexp_replace(u, rx(TEACHER), " "), r"(?U)\s+", " "))
+        return F.btrim(F.when(may_hold_room(low) | may_hold_teacher(t, low), without).otherwise(t), F.lit(" ,.;"))
+
+    return let(flat(x), lambda t: let(_folded(t), lambda low: bare(t, low)))
 
 
 def may_be_subject(x: Column) -> Column:
@@ -107,7 +135,7 @@ def _behind_teacher(t: Column) -> Column:
 
         return F.when(r == "", _fields(teacher=teacher())).otherwise(let(F.struct(ahead.alias("ahead"), link.alias("link")), with_link))
 
-    return F.when(~t.rlike(rx(TEACHER_AHEAD)), _fields()).otherwise(let(rest, rested))
+    return F.when(~F.contains(t, F.lit(".")) | ~t.rlike(rx(TEACHER_AHEAD)), _fields()).otherwise(let(rest, rested))
 
 
 def role(line: Column) -> Column:
@@ -117,16 +145,17 @@ def role(line: Column) -> Column:
         (subject if isinstance(subject, Column) else F.lit(subject)).alias("subject"))
 
     def told(t: Column, groups: Column) -> Column:
-        alone = lambda pattern: t.rlike(rx(pattern)) & (besides_teacher_and_room(t) == "")
-        said = lambda f: (F.when(F.concat(f["teacher"], f["room"], f["link"], f["note"]) != "", shape(groups, f))
-                          .when(t.rlike(rx(LINK)), shape(groups, _fields(link=t))).when(alone(ROOM), shape(groups, _fields(room=t))).when(alone(TEACHER), shape(groups, _fields(teacher=t)))
-                          .when(t.rlike(rx(GROUP)), shape(F.concat(groups, F.array(t)))).when(t.rlike(rx(CODE)), shape(groups, _fields(note=t))).otherwise(shape(groups, subject=t)))
-        return F.when((t == "") | (day(t) != "") | (F.size(time_ranges(t)) > 0), shape(groups)).otherwise(let(_behind_teacher(t), said))
-
-    prefixed = line.rlike(rx(f"^.{{0,3}}?{GROUP_PREFIX}"))
-    groups = F.when(prefixed, F.regexp_extract_all(line, F.lit(rx(GROUP_PREFIX)), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    rest = F.when(prefixed, F.btrim(F.regexp_extract(line, rx(f"^.*{GROUP_PREFIX}(.*)$"), 1), F.lit(" -"))).otherwise(line)
-    return let(F.struct(groups.alias("g"), rest.alias("t")), lambda p: let(p["t"], lambda t: told(t, p["g"])))
+        alone = lambda may, pattern: may & t.rlike(rx(pattern)) & (besides_teacher_and_room(t) == "")
+        said = lambda f, low: (F.when(F.concat(f["teacher"], f["room"], f["link"], f["note"]) != "", shape(groups, f))
+                               .when(may_hold_link(t, low) & t.rlike(rx(LINK)), shape(groups, _fields(link=t))).when(alone(may_hold_room(low), ROOM), shape(groups, _fields(room=t)))
+                               .when(alone(may_hold_teacher(t, low), TEACHER), shape(groups, _fields(teacher=t))).when(may_hold_group(low) & t.rlike(rx(GROUP)), shape(F.concat(groups, F.array(t))))
+                               .when(t.rlike(rx(CODE)), shape(groups, _fields(note=t))).otherwise(shape(groups, subject=t)))
+        return F.when((t == "") | (day(t) != "") | (F.size(time_ranges(t)) > 0), shape(groups)).otherwise(let(_behind_teacher(t), lambda f: let(_folded(t), lambda low: said(f, low))))
+
+    none = F.array().cast("array<string>")
+    prefixed = may_hold_group(_folded(line)) & line.rlike(rx(f"^.{{0,3}}?{GROUP_PREFIX}"))
+    parts = F.when(prefixed, F.struct(F.regexp_extract_all(line, F.lit(rx(GROUP_PREFIX)), F.lit(0)).alias("g"), F.btrim(F.regexp_extract(line, rx(f"^.*{GROUP_PREFIX}(.*)$"), 1), F.lit(" -")).alias("t")))
+    return let(parts.otherwise(F.struct(none.alias("g"), line.alias("t"))), lambda p: let(p["t"], lambda t: told(t, p["g"])))
 
 
 def header_groups(line: Column) -> Column:

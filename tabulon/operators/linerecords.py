@@ -41,7 +41,8 @@ def assembled(items: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 def valid(records: DataFrame, source: list[str], order: list) -> DataFrame:
     """Records with day, times and a subject that may stand, the first of those equal in day, times, subject, groups and teacher."""
-    whole = (F.col("day") != "") & (F.col("start_time") != "") & (F.col("end_time") != "") & linecells.may_be_subject(F.col("subject"))
+    # by one name, as the filter goes below what works the subject out and would do so once a mention
+    whole = (F.col("day") != "") & (F.col("start_time") != "") & (F.col("end_time") != "") & linecells.let(F.col("subject"), linecells.may_be_subject)
     return first_wins(records.where(whole), [*source, "day", "start_time", "end_time", "subject", "groups", "teacher"], order)
 
 
@@ -102,7 +103,7 @@ def table_records(cells: DataFrame, sheet: list[str], row: str = "row", col: str
 
     Every step is a window or a grouping within a sheet, so the cells are dealt by sheet once, or not at all where they come dealt so; nothing is stored between.
     """
-    cells = cells.select(*sheet, F.col(row).alias("row"), F.col(col).alias("col"), F.col(text).alias("text")).where(flat(F.col("text")) != "")
+    cells = cells.select(*sheet, F.col(row).alias("row"), F.col(col).alias("col"), F.col(text).alias("text")).where(F.col("text").rlike(r"(?U)\S"))
     known = cells.withColumn("t", _times_of(linecells.line_text(F.col("text")))).select("*", F.col("t.day").alias("day"), F.col("t.start").alias("start"), F.col("t.end").alias("end")).drop("t")
     whole, column = Window.partitionBy(*sheet), [*sheet, "col"]
     known = known.withColumn("first", F.min(F.when((F.col("day") != "") | (F.col("start") != ""), F.col("row"))).over(whole)).where("first IS NOT NULL")
@@ -126,7 +127,9 @@ def table_records(cells: DataFrame, sheet: list[str], row: str = "row", col: str
             "start_time": F.last("next_start", ignorenulls=True).over(upto), "end_time": F.last("next_end", ignorenulls=True).over(upto)}
     body = body.withColumns(told).where(~F.col("days") & ~F.col("hours") & F.col("day").isNotNull() & F.col("start_time").isNotNull())
 
-    mine = body.select(*sheet, "block", "col", "row", "day", "start_time", "end_time", "above", F.transform(linecells.cell_lines(F.col("text")), linecells.role).alias("said")).where(F.size("said") > 0)
+    # cells with a filled line, told by their texts: a filter on what is said would work it out twice
+    body = body.where(F.col("text").rlike(r"(?U)[^\s\x1c-\x1e]"))
+    mine = body.select(*sheet, "block", "col", "row", "day", "start_time", "end_time", "above", F.transform(linecells.cell_lines(F.col("text")), linecells.role).alias("said"))
     mine = mine.withColumn("at", F.when(F.exists("said", lambda r: r["subject"] != ""), F.col("row")))
     w = ordered([*column, "block"], ["row"])
     back, on = F.last("at", ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, 0)), F.first("at", ignorenulls=True).over(w.rangeBetween(0, Window.unboundedFollowing))
@@ -139,7 +142,7 @@ def table_records(cells: DataFrame, sheet: list[str], row: str = "row", col: str
     fields = {f: joined(F.col(f"said.{f}"), {"subject": " / ", "link": " "}.get(f, "; ")) for f in FIELDS}
     fields |= {"groups": joined(F.concat(F.transform(heads, lambda h: h["groups"]), F.flatten("said.groups"))), "course": joined(F.transform(heads, lambda h: h["course"]))}
     found = found.select(*of, (F.col("block") + 1).alias("row_index"), "day", "start_time", "end_time", *[xs.alias(f) for f, xs in fields.items()])
-    found = found.where("subject <> ''").withColumnRenamed("note", "notes")
+    found = found.withColumnRenamed("note", "notes")
     return valid(found, sheet, ["block", "col", "record"]).drop("block", "record")
 
 
